@@ -244,7 +244,9 @@ class Preprocessor:
             index_names = [f"idx__{c}" for c in cat_names]
             onehot_names = [f"hot__{c}" for c in cat_names]
             # "keep" gives unseen text a slot of its own, and dropLast removes exactly that slot
-            stages.append(StringIndexerModel.from_arrays_of_labels(labels, cat_names, index_names, "keep"))
+            # one indexer per column: label lists of different lengths do not survive one shared array
+            for c, index, kept in zip(cat_names, index_names, labels):
+                stages.append(StringIndexerModel.from_labels(kept, c, index, "keep"))
             encoder = OneHotEncoder(inputCols=index_names, outputCols=onehot_names, dropLast=True, handleInvalid="error")
             stages.append(encoder.fit(PipelineModel(stages).transform(df.limit(0))))
             inputs += onehot_names

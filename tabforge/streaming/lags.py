@@ -57,12 +57,12 @@ class LagProcessor(StatefulProcessor):
         watermark = timerValues.getCurrentWatermarkInMs()
         first = None
         for part in rows:
-            ts = part["__ts_us"].to_numpy()
+            ts = part["row_us"].to_numpy()
             fresh = ts // 1000 > watermark
             if not fresh.any():
                 continue
-            y = part["__y"].to_numpy(dtype=float)[fresh]
-            tie = part["__tie"].to_numpy()[fresh]
+            y = part["row_y"].to_numpy(dtype=float)[fresh]
+            tie = part["row_tie"].to_numpy()[fresh]
             ts = ts[fresh]
             self.waiting.appendList(
                 [(int(t), int(k), None if np.isnan(v) else float(v)) for t, k, v in zip(ts, tie, y)]
@@ -138,12 +138,13 @@ def stream_lag_features(
     if unknown:
         raise ValueError(f"Unsupported rolling stats {unknown}. Use any of {sorted(ROLLING_STATS)}")
     timed = with_event_time(stream.where(col(date).isNotNull()), date, delay)
+    # plain names: the rows reach Python as named tuples, which rename leading underscores
     rows = timed.select(
         *[col(s) for s in series],
         col(date),
-        F.unix_micros(col(date)).alias("__ts_us"),
-        col(tie).cast("long").alias("__tie"),
-        col(target).cast("double").alias("__y"),
+        F.unix_micros(col(date)).alias("row_us"),
+        col(tie).cast("long").alias("row_tie"),
+        col(target).cast("double").alias("row_y"),
     )
     made = lag_names(n_lags, rolling_windows, rolling_stats, False, False)
     fields = [stream.schema[s] for s in series]
