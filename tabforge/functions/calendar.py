@@ -146,12 +146,22 @@ def join_holidays(
 
 
 def holiday_sql(ts: str, days: list) -> dict[str, str]:
-    """The same two features with the calendar inlined as literals, for use inside a saved model stage."""
+    """The same two features for use inside a saved model stage.
+
+    The days until the next holiday are written as one array with a number per calendar day, so a
+    row costs one lookup. Days outside the calendar give 0 and NULL.
+    """
     if not days:
         return {"is_holiday": "0", "days_to_holiday": "CAST(NULL AS DOUBLE)"}
-    listed = "array(" + ", ".join(f"DATE'{d.isoformat()}'" for d in sorted(days)) + ")"
-    day = f"CAST({ts} AS DATE)"
+    known = sorted(set(days))
+    first, gaps, at = known[0].replace(month=1, day=1), [], 0
+    for i in range((known[-1] - first).days + 1):
+        while (known[at] - first).days < i:
+            at += 1
+        gaps.append((known[at] - first).days - i)
+    table = "array(" + ", ".join(map(str, gaps)) + ")"
+    gap = f"get({table}, datediff(CAST({ts} AS DATE), DATE'{first.isoformat()}'))"
     return {
-        "is_holiday": f"coalesce(CAST(array_contains({listed}, {day}) AS INT), 0)",
-        "days_to_holiday": f"CAST(datediff(array_min(filter({listed}, h -> h >= {day})), {day}) AS DOUBLE)",
+        "is_holiday": f"coalesce(CAST({gap} = 0 AS INT), 0)",
+        "days_to_holiday": f"CAST({gap} AS DOUBLE)",
     }

@@ -16,7 +16,7 @@ from tabforge.functions.columns import (
     numeric_columns,
     rounded,
 )
-from tabforge.plans.aggregates import PAIR_CHUNK, long_aggregate, pairwise_corr, pearson
+from tabforge.plans.aggregates import aggregate_cells, numeric_cells, pairwise_corr, pearson
 from tabforge.plans.ordering import with_global_rank
 
 MISSING_LABEL = "∅_missing"
@@ -54,8 +54,8 @@ def target_correlations(df: DataFrame, target: str, task: str) -> DataFrame:
         n_classes = F.lit(None).cast("long")
     if not names:
         return df.sparkSession.createDataFrame([], "column string, r double, n_classes long")
-    rows = long_aggregate(
-        df, names, lambda c: {"r": pearson(col(c).cast("double"), F.col("__y"))}, chunk=PAIR_CHUNK
+    rows = aggregate_cells(
+        numeric_cells(df, names, [F.col("__y").alias("y")]), names, {"r": pearson(F.col("x"), F.col("y"))}
     )
     return rows.withColumn("n_classes", n_classes).orderBy(F.abs("r").desc_nulls_last(), "column")
 
@@ -84,10 +84,8 @@ def correlation_matrix(df: DataFrame, exclude: Sequence[str] = (), k: int | None
     both = upper.select(
         F.explode(F.array(F.struct("a", "b", "r"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "r"))).alias("p")
     ).select("p.*")
-    own = long_aggregate(
-        df, names, lambda c: {"b": F.lit(c), "r": F.when(F.var_pop(col(c).cast("double")) > 0, 1.0)}
-    ).withColumnRenamed("column", "a")
-    return both.unionByName(own)
+    own = aggregate_cells(numeric_cells(df, names), names, {"r": F.when(F.var_pop("x") > 0, 1.0)})
+    return both.unionByName(own.select(F.col("column").alias("a"), F.col("column").alias("b"), "r"))
 
 
 def numeric_vs_target(
@@ -97,14 +95,14 @@ def numeric_vs_target(
     df = nan_to_null(df)
     names = first_columns(numeric_columns(df, [target]), k)
     if task.startswith("classification"):
-        return long_aggregate(
-            df.select(col(target).alias("label"), *[col(c) for c in names]) if target != "label" else df,
+        return aggregate_cells(
+            numeric_cells(df, names, [col(target).alias("label")]),
             names,
-            lambda c: {"mean": rounded(F.avg(col(c).cast("double")), digits)},
+            {"mean": rounded(F.avg("x"), digits)},
             by=["label"],
         )
-    df = df.withColumn("__y", number_of(df, target))
-    rows = long_aggregate(df, names, lambda c: {"r": pearson(col(c).cast("double"), F.col("__y"))})
+    y = number_of(df, target)
+    rows = aggregate_cells(numeric_cells(df, names, [y.alias("y")]), names, {"r": pearson(F.col("x"), F.col("y"))})
     return rows.orderBy(F.abs("r").desc_nulls_last(), "column").select("column", rounded(F.col("r"), digits).alias("r"))
 
 

@@ -12,7 +12,7 @@ from tabforge.operators import profile
 from tabforge.operators.bivariate import correlation_matrix
 from tabforge.operators.metrics import confusion_matrix, roc_points
 from tabforge.operators.timeprofile import volume_trend
-from tabforge.plans.aggregates import long_aggregate, union_all
+from tabforge.plans.aggregates import aggregate_cells, numeric_cells, per_column, union_all
 from tabforge.plans.quantiles import TASK_ROWS, exact_quantiles
 
 __all__ = [
@@ -42,9 +42,7 @@ def missing_shares(df: DataFrame) -> DataFrame:
 
 def _ranges(df: DataFrame, names: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Column -> (low, high) of the present values; a single value gets one unit around it."""
-    rows = long_aggregate(
-        df, names, lambda c: {"lo": F.min(col(c).cast("double")), "hi": F.max(col(c).cast("double"))}
-    ).collect()
+    rows = aggregate_cells(numeric_cells(df, names), names, {"lo": F.min("x"), "hi": F.max("x")}).collect()
     out = {}
     for r in rows:
         if r.lo is not None:
@@ -52,36 +50,34 @@ def _ranges(df: DataFrame, names: Sequence[str]) -> dict[str, tuple[float, float
     return out
 
 
-def equal_width_bin(x: Column, low: float, high: float, bins: int) -> Column:
+def equal_width_bin(x: Column, low: Column, high: Column, bins: int) -> Column:
     """Bin 0..bins-1 of equal width; the last one is closed. Off-by-one division is put right at the edges."""
     width = (high - low) / bins
-    raw = F.least(F.floor((x - F.lit(low)) / F.lit(high - low) * bins), F.lit(bins - 1))
-    down = (x < F.lit(low) + raw * F.lit(width)).cast("int")
-    up = ((x >= F.lit(low) + (raw + 1) * F.lit(width)) & (raw < bins - 1)).cast("int")
+    raw = F.least(F.floor((x - low) / (high - low) * bins), F.lit(bins - 1))
+    down = (x < low + raw * width).cast("int")
+    up = ((x >= low + (raw + 1) * width) & (raw < bins - 1)).cast("int")
     return (raw - down + up).cast("int")
 
 
 def histograms(df: DataFrame, exclude: Sequence[str] = (), k: int | None = None, bins: int = 30) -> DataFrame:
     """``column, bin, lo, hi, n`` of the first k numeric columns; empty bins are left out."""
     df = nan_to_null(df)
-    ranges = _ranges(df, first_columns(numeric_columns(df, exclude), k))
-    if not ranges:
+    names = first_columns(numeric_columns(df, exclude), k)
+    ranges = _ranges(df, names) if names else {}
+    names = [c for c in names if c in ranges]
+    if not names:
         return df.sparkSession.createDataFrame([], "column string, bin int, lo double, hi double, n long")
-    cells = []
-    for c, (low, high) in ranges.items():
-        x = col(c).cast("double")
-        width = (high - low) / bins
-        b = equal_width_bin(x, low, high, bins)
-        cells.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                b.alias("bin"),
-                (F.lit(low) + b * F.lit(width)).alias("lo"),
-                (F.lit(low) + (b + 1) * F.lit(width)).alias("hi"),
-            )
-        )
-    rows = df.select(F.explode(F.array(*cells)).alias("r")).select("r.*").where("bin IS NOT NULL")
-    return rows.groupBy("column", "bin", "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
+    low, high = per_column([ranges[c][0] for c in names]), per_column([ranges[c][1] for c in names])
+    cells = numeric_cells(df, names).where("x IS NOT NULL")
+    counts = cells.groupBy("c", equal_width_bin(F.col("x"), low, high, bins).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    width = (high - low) / bins
+    return counts.select(
+        per_column(names, "string").alias("column"),
+        "bin",
+        (low + F.col("bin") * width).alias("lo"),
+        (low + (F.col("bin") + 1) * width).alias("hi"),
+        "n",
+    )
 
 
 def boxplot_stats(
@@ -96,20 +92,21 @@ def boxplot_stats(
         fields = ", ".join(f"{f} double" for f in ("q1", "median", "q3", "whisker_low", "whisker_high"))
         return df.sparkSession.createDataFrame([], f"column string, {fields}, n_outliers long")
 
-    def stats(c: str) -> dict[str, Column]:
-        q1, q2, q3 = found[c]
-        low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
-        x = col(c).cast("double")
-        return {
-            "q1": F.lit(q1),
-            "median": F.lit(q2),
-            "q3": F.lit(q3),
-            "whisker_low": F.least(F.min(F.when(x >= low, x)), F.lit(q1)),
-            "whisker_high": F.greatest(F.max(F.when(x <= high, x)), F.lit(q3)),
-            "n_outliers": F.count_if((x < low) | (x > high)),
-        }
-
-    return long_aggregate(df, names, stats)
+    q1, q2, q3 = (per_column([found[c][i] for c in names]) for i in range(3))
+    x, low, high = F.col("x"), q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+    rows = aggregate_cells(
+        numeric_cells(df, names).withColumns({"q1": q1, "q2": q2, "q3": q3, "low": low, "high": high}),
+        names,
+        {
+            "q1": F.first("q1"),
+            "median": F.first("q2"),
+            "q3": F.first("q3"),
+            "whisker_low": F.least(F.min(F.when(x >= F.col("low"), x)), F.first("q1")),
+            "whisker_high": F.greatest(F.max(F.when(x <= F.col("high"), x)), F.first("q3")),
+            "n_outliers": F.count_if((x < F.col("low")) | (x > F.col("high"))),
+        },
+    )
+    return rows
 
 
 def target_distribution(df: DataFrame, target: str, task: str, bins: int = 50) -> DataFrame:
@@ -125,7 +122,7 @@ def _grid(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
     parts = []
     for c in (x, y):
         low, high = ranges[c]
-        parts.append((equal_width_bin(col(c), low, high, bins), low, (high - low) / bins))
+        parts.append((equal_width_bin(col(c), F.lit(low), F.lit(high), bins), low, (high - low) / bins))
     (bx, lx, wx), (by, ly, wy) = parts
     return (
         df.groupBy(bx.alias("x_bin"), by.alias("y_bin"))

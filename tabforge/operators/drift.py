@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.functions.columns import col, nan_to_null, numeric_columns
-from tabforge.plans.aggregates import long_aggregate, union_all
+from tabforge.plans.aggregates import aggregate_cells, numeric_cells, per_column, union_all
 from tabforge.plans.ordering import TASK_ROWS, running_totals
 from tabforge.plans.quantiles import exact_quantiles
 
@@ -25,12 +25,15 @@ def bin_counts(df: DataFrame, edges: dict[str, Sequence[float]]) -> DataFrame:
     difference of two of them, so repeated edges give empty bins.
     """
 
-    def counts(c: str) -> dict[str, Column]:
-        x = col(c).cast("double")
-        reached = [F.count(x), *[F.count_if(x >= float(e)) for e in edges[c]], F.lit(0).cast("long")]
-        return {"counts": F.array(*[a - b for a, b in zip(reached, reached[1:])]), "n": F.count(x)}
-
-    return long_aggregate(df, list(edges), counts, chunk=10)
+    names = list(edges)
+    most = max(len(q) for q in edges.values())
+    padded = {c: [*map(float, q), *[None] * (most - len(q))] for c, q in edges.items()}
+    x = F.col("x")
+    # a column with fewer edges has NULL ones, which no value reaches
+    reached = [F.count(x), *[F.count_if(x >= per_column([padded[c][j] for c in names])) for j in range(most)]]
+    reached.append(F.lit(0).cast("long"))
+    bins = F.array(*[a - b for a, b in zip(reached, reached[1:])])
+    return aggregate_cells(numeric_cells(df, names), names, {"counts": bins, "n": F.count(x)})
 
 
 def drift_profile(
@@ -144,24 +147,24 @@ def ks_two_sample(
     ]
     sides = []
     for frame, left in ((reference, True), (live, False)):
-        pairs = F.array(*[F.struct(F.lit(c).alias("column"), col(c).cast("double").alias("value")) for c in names])
-        rows = frame.select(F.explode(pairs).alias("r")).select("r.*").where("value IS NOT NULL")
+        rows = numeric_cells(frame, names).where("x IS NOT NULL")
         one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
         sides.append(rows.withColumns({"ref": one if left else none, "new": none if left else one}))
-    counted = union_all(sides).groupBy("column", "value").agg(F.sum("ref").alias("ref"), F.sum("new").alias("new"))
-    totals = {r.column: r for r in counted.groupBy("column").agg(F.sum("ref").alias("ref"), F.sum("new").alias("new")).collect()}
-    full = {c: r for c, r in totals.items() if r.ref and r.new}
+    counted = union_all(sides).groupBy("c", "x").agg(F.sum("ref").alias("ref"), F.sum("new").alias("new"))
+    totals = counted.groupBy("c").agg(F.sum("ref").alias("ref"), F.sum("new").alias("new"), F.count(F.lit(1)).alias("n"))
+    full = {r.c: r for r in totals.collect() if r.ref and r.new}
     if not full:
         return reference.sparkSession.createDataFrame([], "column string, ks double")
 
     def size(side: str) -> Column:
-        return F.create_map(*[x for c, r in full.items() for x in (F.lit(c), F.lit(float(r[side])))])[F.col("column")]
+        return per_column([full[i][side] if i in full else None for i in range(len(names))])
 
     summed = running_totals(
-        counted.where(F.col("column").isin(list(full))), "value", ["ref", "new"], ["column"], task_rows=task_rows
-    )
+        counted.where(F.col("c").isin(list(full))), "x", ["ref", "new"], ["c"],
+        n_rows=sum(r.n for r in full.values()), task_rows=task_rows,
+    )
     distance = F.abs(F.col("upto_ref") / size("ref") - F.col("upto_new") / size("new"))
-    return summed.groupBy("column").agg(F.max(distance).alias("ks"))
+    return aggregate_cells(summed, names, {"ks": F.max(distance)})
 
 
 def prediction_drift(

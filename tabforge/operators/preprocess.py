@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.functions.columns import col, infer_columns, nan_to_null, quote
-from tabforge.plans.aggregates import long_aggregate, value_counts
+from tabforge.plans.aggregates import aggregate_cells, numeric_cells, value_counts
 from tabforge.plans.quantiles import TASK_ROWS, exact_quantiles
 
 MISSING_VALUE = "missing_value"
@@ -46,23 +46,27 @@ def numeric_fill(
     if strategy == "median":
         found = {c: q[0] for c, q in exact_quantiles(df, {c: [0.5] for c in columns}, task_rows).items()}
     elif strategy == "mean":
-        rows = long_aggregate(df, columns, lambda c: {"v": F.avg(col(c).cast("double"))})
+        rows = aggregate_cells(numeric_cells(df, columns), columns, {"v": F.avg("x")})
         found = {r.column: r.v for r in rows.collect()}
     elif strategy == "most_frequent":
-        found = {c: float(v) for c, v in _modes(df, columns, numeric=True).items()}
+        found = _modes(df, columns, numeric=True)
     elif strategy == "constant":
-        rows = long_aggregate(df, columns, lambda c: {"n": F.count(col(c))})
+        rows = aggregate_cells(numeric_cells(df, columns), columns, {"n": F.count("x")})
         found = {r.column: float(constant) for r in rows.collect() if r.n}
     else:
         raise ValueError(f"Unknown numeric strategy {strategy!r}. Use mean, median, most_frequent or constant")
     return {c: found[c] for c in columns if found.get(c) is not None}
 
 
-def _modes(df: DataFrame, columns: Sequence[str], numeric: bool = False) -> dict[str, str]:
+def _modes(df: DataFrame, columns: Sequence[str], numeric: bool = False) -> dict[str, object]:
     """Most frequent present value per column, the smallest of equally frequent ones."""
-    counts = value_counts(df, columns).where("value IS NOT NULL")
-    value = F.col("value").cast("double") if numeric else F.col("value")
-    best = counts.groupBy("column").agg(F.min(F.struct((-F.col("n")).alias("n"), value.alias("v"))).alias("best"))
+    columns = list(columns)
+    if numeric:
+        counts = numeric_cells(df, columns).where("x IS NOT NULL").groupBy("c", "x").agg(F.count(F.lit(1)).alias("n"))
+        counts = counts.select(F.get(F.array(*[F.lit(c) for c in columns]), F.col("c")).alias("column"), F.col("x").alias("value"), "n")
+    else:
+        counts = value_counts(df, columns).where("value IS NOT NULL")
+    best = counts.groupBy("column").agg(F.min(F.struct((-F.col("n")).alias("n"), F.col("value").alias("v"))).alias("best"))
     return {r.column: r.v for r in best.select("column", "best.v").collect()}
 
 
@@ -92,9 +96,7 @@ def scale_statistics(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[f
     if not columns:
         return {}
     df = nan_to_null(df)
-    rows = long_aggregate(
-        df, columns, lambda c: {"m": F.avg(col(c).cast("double")), "s": F.stddev_pop(col(c).cast("double"))}
-    )
+    rows = aggregate_cells(numeric_cells(df, columns), columns, {"m": F.avg("x"), "s": F.stddev_pop("x")})
     return {r.column: (r.m, r.s or 1.0) for r in rows.collect() if r.m is not None}
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,7 @@ from tabforge.functions.columns import (
     seconds_between,
     timestamp_of,
 )
-from tabforge.plans.aggregates import long_aggregate, union_all
+from tabforge.plans.aggregates import aggregate_cells, numeric_cells, union_all
 from tabforge.plans.ordering import order_cuts, running_totals, segment_number, with_previous
 from tabforge.plans.quantiles import TASK_ROWS, exact_quantiles
 
@@ -37,20 +37,18 @@ def parse_rates(df: DataFrame, formats: Sequence[str] = (), sample: int | None =
     if not names:
         return df.sparkSession.createDataFrame([], "column string, parse_rate double")
 
-    def rate(frame):
-        return lambda c: {
-            "parse_rate": F.coalesce(
-                F.avg(F.when(col(c).isNotNull(), timestamp_of(frame, c, formats).isNotNull().cast("double"))), F.lit(0.0)
-            )
-        }
+    def parsed(c: str) -> Column:
+        """1 or 0 for a present value, NULL for a missing one."""
+        return F.when(col(c).isNotNull(), timestamp_of(df, c, formats).isNotNull().cast("double"))
 
+    rate = {"parse_rate": F.coalesce(F.avg("x"), F.lit(0.0))}
     if sample is None or not order:
-        return long_aggregate(df, names, rate(df))
+        flags = df.select(*[parsed(c).alias(c) for c in names])
+        return aggregate_cells(numeric_cells(flags, names), names, rate)
     parts = []
     for c in names:
-        present = df.where(col(c).isNotNull())
-        head = present.orderBy(*[col(o) for o in order]).limit(sample)
-        parts.append(long_aggregate(head.select(col(c)), [c], rate(df)))
+        head = df.where(col(c).isNotNull()).orderBy(*[col(o) for o in order]).limit(sample)
+        parts.append(aggregate_cells(numeric_cells(head.select(parsed(c).alias(c)), [c]), [c], rate))
     return union_all(parts)
 
 
@@ -223,6 +221,6 @@ def time_quartile_means(
     numeric = first_columns(numeric_columns(df, [target]), k)
     names = list(dict.fromkeys(([target] if isinstance(field_type(df, target), T.NumericType) else []) + numeric))
     labelled = dated.withColumn("quartile", segment_number(dated, order, [cuts[r] for r in sorted(set(ranks)) if r in cuts]) + 1)
-    return long_aggregate(
-        labelled, names, lambda c: {"mean": rounded(F.avg(col(c).cast("double")), digits)}, by=["quartile"]
+    return aggregate_cells(
+        numeric_cells(labelled, names, [F.col("quartile")]), names, {"mean": rounded(F.avg("x"), digits)}, by=["quartile"]
     ).select(F.concat(F.lit("Q"), F.col("quartile").cast("string")).alias("quartile"), "column", "mean")

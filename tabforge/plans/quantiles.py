@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tabforge.functions.columns import col
-from tabforge.plans.aggregates import COLUMN_CHUNK
+from tabforge.plans.aggregates import numeric_cells, per_column, union_all
 
 TASK_ROWS = 2_000_000
 _SKETCH = 10_000
@@ -43,8 +43,8 @@ def exact_quantiles(
     if _fits(df, task_rows):
         return _builtin_quantiles(df, probs)
     names = list(probs)
-    counts = df.agg(*[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(names)]).first()
-    sizes = {c: counts[i] for i, c in enumerate(names)}
+    counts = {r.c: r.n for r in numeric_cells(df, names).groupBy("c").agg(F.count("x").alias("n")).collect()}
+    sizes = {c: counts.get(i, 0) for i, c in enumerate(names)}
     wanted: set[tuple[str, int]] = set()
     for c, ps in probs.items():
         for p in ps:
@@ -72,27 +72,21 @@ def _fits(df: DataFrame, task_rows: int) -> bool:
 
 
 def _builtin_quantiles(df, probs):
+    # one small aggregate per column, so that columns are ranked in parallel
     names = list(probs)
-    out: dict[str, list[float | None]] = {}
-    for start in range(0, len(names), COLUMN_CHUNK):
-        group = names[start : start + COLUMN_CHUNK]
-        row = df.agg(
-            *[F.percentile(col(c).cast("double"), F.lit(probs[c])).alias(f"q{i}") for i, c in enumerate(group)]
-        ).first()
-        for i, c in enumerate(group):
-            out[c] = list(row[i]) if row[i] is not None else [None] * len(probs[c])
-    return out
+    parts = [
+        df.agg(F.percentile(col(c).cast("double"), F.lit(probs[c])).alias("q")).select(F.lit(i).alias("i"), "q")
+        for i, c in enumerate(names)
+    ]
+    found = {r.i: r.q for r in union_all(parts).collect()}
+    return {c: list(found[i]) if found[i] is not None else [None] * len(probs[c]) for i, c in enumerate(names)}
 
 
 def _sketch_quantiles(df, probs):
-    names = list(probs)
-    row = df.agg(
-        *[
-            F.percentile_approx(col(c).cast("double"), probs[c], _SKETCH).alias(f"q{i}")
-            for i, c in enumerate(names)
-        ]
-    ).first()
-    return {c: list(row[i]) if row[i] is not None else [None] * len(probs[c]) for i, c in enumerate(names)}
+    every = sorted({p for ps in probs.values() for p in ps})
+    rows = numeric_cells(df, list(probs)).groupBy("c").agg(F.percentile_approx("x", every, _SKETCH).alias("q")).collect()
+    found = {r.c: dict(zip(every, r.q)) for r in rows if r.q is not None}
+    return {c: [found[i][p] if i in found else None for p in ps] for i, (c, ps) in enumerate(probs.items())}
 
 
 def order_statistics(
@@ -104,32 +98,15 @@ def order_statistics(
     """Exact 0-based order statistics ``(column, rank) -> value`` by shrinking brackets."""
     margin = 2.0 / _SKETCH
     columns = sorted({c for c, _ in wanted})
-    grid = {
-        c: sorted(
-            {0.0, 1.0}
-            | {
-                min(1.0, max(0.0, r / max(sizes[c] - 1, 1) + side * margin))
-                for cc, r in wanted
-                if cc == c
-                for side in (-1, 1)
-            }
-        )
-        for c in columns
-    }
-    sketch = df.agg(
-        *[
-            F.percentile_approx(col(c).cast("double"), grid[c], _SKETCH).alias(f"s{i}")
-            for i, c in enumerate(columns)
-        ]
-    ).first()
-    ends, brackets = {}, {}
-    for i, c in enumerate(columns):
-        at = dict(zip(grid[c], sketch[i]))
-        ends[c] = (at[0.0], at[1.0])
-        for cc, r in wanted:
-            if cc == c:
-                p = r / max(sizes[c] - 1, 1)
-                brackets[c, r] = (at[min(1.0, max(0.0, p - margin))], at[min(1.0, max(0.0, p + margin))])
+
+    def around(c: str, r: int, side: int) -> float:
+        return min(1.0, max(0.0, r / max(sizes[c] - 1, 1) + side * margin))
+
+    grid = sorted({0.0, 1.0} | {around(c, r, side) for c, r in wanted for side in (-1, 1)})
+    rows = numeric_cells(df, columns).groupBy("c").agg(F.percentile_approx("x", grid, _SKETCH).alias("q")).collect()
+    points = {columns[r.c]: dict(zip(grid, r.q)) for r in rows}
+    ends = {c: (points[c][0.0], points[c][1.0]) for c in columns}
+    brackets = {(c, r): (points[c][around(c, r, -1)], points[c][around(c, r, 1)]) for c, r in wanted}
 
     found: dict[tuple[str, int], float] = {}
     ready: dict[tuple[str, int], tuple[float, float, int]] = {}
@@ -138,32 +115,36 @@ def order_statistics(
             break
         brackets = _scan(df, brackets, ends, found, ready, task_rows)
     # A bracket that stops shrinking holds few distinct values, so grouping it is cheap too.
-    for target, (low, high, below) in brackets_with_counts(df, brackets).items():
-        ready[target] = (low, high, below)
+    ready.update(_count_below(df, brackets))
     if ready:
         found.update(_rank_inside(df, ready))
     return found
 
 
+def _target_cells(df, brackets):
+    """One cell per bracket and row: ``c`` numbers the bracket, with its ends as ``low`` and ``high``."""
+    targets = list(brackets)
+    cells = numeric_cells(df, [c for c, _rank in targets])
+    return targets, cells.withColumns(
+        {"low": per_column([brackets[t][0] for t in targets]), "high": per_column([brackets[t][1] for t in targets])}
+    )
+
+
 def _scan(df, brackets, ends, found, ready, task_rows):
     """One pass: count below and inside every bracket exactly, and sketch the inside for the next cut."""
-    targets = list(brackets)
+    targets, cells = _target_cells(df, brackets)
     even = [j / _POINTS for j in range(_POINTS + 1)]
-    aggs = []
-    for i, (c, _r) in enumerate(targets):
-        low, high = brackets[targets[i]]
-        x = col(c).cast("double")
-        aggs += [
-            F.count_if(x < low).alias(f"b{i}"),
-            F.count_if(x <= high).alias(f"u{i}"),
-            F.percentile_approx(F.when(x.between(low, high), x), even, 20 * _POINTS).alias(f"p{i}"),
-        ]
-    row = df.agg(*aggs).first()
+    rows = cells.groupBy("c").agg(
+        F.count_if(F.col("x") < F.col("low")).alias("below"),
+        F.count_if(F.col("x") <= F.col("high")).alias("upto"),
+        F.percentile_approx(F.when(F.col("x").between(F.col("low"), F.col("high")), F.col("x")), even, 20 * _POINTS).alias("q"),
+    )
     left = {}
-    for i, target in enumerate(targets):
+    for row in rows.collect():
+        target = targets[row.c]
         c, rank = target
         low, high = brackets[target]
-        below, upto, points = row[f"b{i}"], row[f"u{i}"], row[f"p{i}"]
+        below, upto, points = row.below, row.upto, row.q
         if rank < below:
             left[target] = (ends[c][0], low)
         elif rank >= upto:
@@ -182,26 +163,19 @@ def _scan(df, brackets, ends, found, ready, task_rows):
     return left
 
 
-def brackets_with_counts(df, brackets):
+def _count_below(df, brackets):
     if not brackets:
         return {}
-    targets = list(brackets)
-    row = df.agg(
-        *[F.count_if(col(c).cast("double") < brackets[c, r][0]).alias(f"b{i}") for i, (c, r) in enumerate(targets)]
-    ).first()
-    return {t: (*brackets[t], row[i]) for i, t in enumerate(targets)}
+    targets, cells = _target_cells(df, brackets)
+    rows = cells.groupBy("c").agg(F.count_if(F.col("x") < F.col("low")).alias("below")).collect()
+    return {targets[r.c]: (*brackets[targets[r.c]], r.below) for r in rows}
 
 
 def _rank_inside(df, ready):
     """Group what lies inside each bracket and pick the value at its rank."""
-    targets = list(ready)
-    inside = []
-    for i, target in enumerate(targets):
-        low, high, _below = ready[target]
-        x = col(target[0]).cast("double")
-        inside.append(F.when(x.between(low, high), F.struct(F.lit(i).alias("t"), x.alias("x"))))
-    rows = df.select(F.explode(F.array_compact(F.array(*inside))).alias("r")).select("r.t", "r.x")
-    counted = rows.groupBy("t", "x").agg(F.count(F.lit(1)).alias("n"))
+    targets, cells = _target_cells(df, {t: ends[:2] for t, ends in ready.items()})
+    inside = cells.where(F.col("x").between(F.col("low"), F.col("high")))
+    counted = inside.groupBy(F.col("c").alias("t"), "x").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(W.partitionBy("t").orderBy("x"))
     offset = df.sparkSession.createDataFrame(
         [(i, target[1] - ready[target][2]) for i, target in enumerate(targets)], "t int, k long"

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabforge.functions.columns import col, nan_to_null
-from tabforge.plans.aggregates import long_aggregate
 
 FORMATS = ("csv", "parquet")
 
@@ -39,26 +38,22 @@ def infer_types(df: DataFrame) -> T.StructType:
     """
     names = df.columns
 
-    def fits(c: str) -> dict:
-        text, present = col(c), col(c).isNotNull()
-
-        def every(ok):
-            return F.coalesce(F.bool_and(F.when(present, ok)), F.lit(False))
-
-        return {
-            "as_long": every(text.try_cast("bigint").isNotNull() & text.rlike(r"^\s*[+-]?\d+\s*$")),
-            "as_double": every(text.try_cast("double").isNotNull() & ~text.rlike(r"[dDfF]\s*$")),
-            "as_bool": every(F.lower(text).isin("true", "false")),
-            "empty": F.count(text) == 0,
-        }
-
-    found = {r.column: r for r in long_aggregate(df, names, fits, chunk=20).collect()}
+    text = F.col("value")
+    tests = {
+        "as_long": text.rlike(r"^\s*[+-]?\d+\s*$") & text.try_cast("bigint").isNotNull(),
+        "as_double": text.try_cast("double").isNotNull() & ~text.rlike(r"[dDfF]\s*$"),
+        "as_bool": F.lower(text).isin("true", "false"),
+    }
+    cells = df.select(F.posexplode(F.array(*[col(c) for c in names])).alias("c", "value")).where("value IS NOT NULL")
+    rows = cells.groupBy("c").agg(*[F.bool_and(t).alias(k) for k, t in tests.items()]).collect()
+    found = {names[r.c]: r for r in rows}
     fields = []
     for c in names:
-        r = found[c]
+        r = found.get(c)  # a column without any value counts as numeric
         kind = (
-            T.LongType() if r.as_long
-            else T.DoubleType() if r.as_double or r.empty
+            T.DoubleType() if r is None
+            else T.LongType() if r.as_long
+            else T.DoubleType() if r.as_double
             else T.BooleanType() if r.as_bool
             else T.StringType()
         )
