@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tabforge.functions.columns import col, nan_to_null, numeric_columns
 from tabforge.plans.aggregates import aggregate_cells, numeric_cells, per_column, union_all
 from tabforge.plans.ordering import TASK_ROWS, running_totals
-from tabforge.plans.quantiles import exact_quantiles
+from tabforge.plans.quantiles import exact_quantiles, present_counts
 
 EPSILON = 1e-6
 PSI_THRESHOLD = 0.25
@@ -151,17 +151,18 @@ def ks_two_sample(
         one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
         sides.append(rows.withColumns({"ref": one if left else none, "new": none if left else one}))
     counted = union_all(sides).groupBy("c", "x").agg(F.sum("ref").alias("ref"), F.sum("new").alias("new"))
-    totals = counted.groupBy("c").agg(F.sum("ref").alias("ref"), F.sum("new").alias("new"), F.count(F.lit(1)).alias("n"))
-    full = {r.c: r for r in totals.collect() if r.ref and r.new}
+    ref, new = present_counts(reference, names), present_counts(live, names)
+    full = {i: {"ref": ref[c], "new": new[c]} for i, c in enumerate(names) if ref[c] and new[c]}
     if not full:
         return reference.sparkSession.createDataFrame([], "column string, ks double")
+    rows = [r["ref"] + r["new"] for r in full.values()]
 
     def size(side: str) -> Column:
         return per_column([full[i][side] if i in full else None for i in range(len(names))])
 
     summed = running_totals(
         counted.where(F.col("c").isin(list(full))), "x", ["ref", "new"], ["c"],
-        n_rows=sum(r.n for r in full.values()), task_rows=task_rows,
+        n_rows=sum(rows), task_rows=task_rows, largest=max(rows),
     )
     distance = F.abs(F.col("upto_ref") / size("ref") - F.col("upto_new") / size("new"))
     return aggregate_cells(summed, names, {"ks": F.max(distance)})

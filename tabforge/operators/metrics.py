@@ -126,6 +126,12 @@ def _by_score(df: DataFrame, y: str, score: str, positive: object | None, by: Se
     )
 
 
+def _about_distinct(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> int:
+    """A safe estimate of the number of distinct scores (per group), to size the buckets."""
+    key = F.struct(*[col(b) for b in by], col(score).cast("double")) if by else col(score).cast("double")
+    return int(1.2 * df.where(col(y).isNotNull()).agg(F.approx_count_distinct(F.xxhash64(key) if by else key)).first()[0]) + 1
+
+
 def roc_auc(
     df: DataFrame,
     y: str,
@@ -142,7 +148,9 @@ def roc_auc(
     if positive is None and df.where(col(y).isNotNull()).select(col(y)).distinct().limit(3).count() > 2:
         fields = [*[df.schema[b] for b in by], T.StructField("roc_auc", T.DoubleType())]
         return df.sparkSession.createDataFrame([], T.StructType(fields))
-    summed = running_totals(_by_score(df, y, score, positive, by), "score", ["neg"], by, task_rows=task_rows)
+    scored = _by_score(df, y, score, positive, by)
+    n = _about_distinct(df, y, score, by)
+    summed = running_totals(scored, "score", ["neg"], by, n_rows=n, task_rows=task_rows)
     below = (F.col("upto_neg") - F.col("neg") / 2.0) * F.col("pos")
     area = F.try_divide(F.sum(below), F.sum("pos").cast("double") * F.sum("neg"))
     return summed.groupBy(*[col(b) for b in by]).agg(area.alias("roc_auc"))
@@ -174,12 +182,15 @@ def roc_points(
     """
     df = nan_to_null(df)
     scored = _by_score(df, y, score, positive)
-    total = scored.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
+    hit = is_positive(df, y, positive)
+    both = df.where(col(y).isNotNull() & col(score).isNotNull())
+    total = both.agg(F.count_if(hit).alias("p"), F.count_if(~hit).alias("n")).first()
+    n = _about_distinct(df, y, score)
     if not total.p or not total.n:
         raise ValueError("a ROC curve needs both classes")
-    summed = running_totals(scored, "score", ["pos", "neg"], task_rows=task_rows)
+    summed = running_totals(scored, "score", ["pos", "neg"], n_rows=n, task_rows=task_rows)
     if drop_intermediate:
-        summed = with_previous(summed, "score", {"lpos": F.col("pos"), "lneg": F.col("neg")}, task_rows=task_rows)
+        summed = with_previous(summed, "score", {"lpos": F.col("pos"), "lneg": F.col("neg")}, n, task_rows)
         top = (F.col("upto_pos") == total.p) & (F.col("upto_neg") == total.n)
         bend = (F.col("pos") != F.col("lpos")) | (F.col("neg") != F.col("lneg"))
         summed = summed.where(top | F.col("lpos").isNull() | bend)

@@ -68,16 +68,23 @@ def detect_datetime_columns(
     return found + [c for c in df.columns if rates.get(c, 0.0) > 0.9]
 
 
-def time_gaps(df: DataFrame, column: str, formats: Sequence[str] = (), task_rows: int = TASK_ROWS) -> DataFrame:
+def time_gaps(
+    df: DataFrame,
+    column: str,
+    formats: Sequence[str] = (),
+    task_rows: int = TASK_ROWS,
+    n_distinct: int | None = None,
+) -> DataFrame:
     """Gaps between neighbouring timestamps as rows ``(gap_seconds, n)``.
 
     Equal timestamps are counted first, so a hot one is a single row; each distinct value then
     looks back one step without a one-task window. The n-1 zero gaps of a repeated timestamp are
-    kept as a weighted row.
+    kept as a weighted row. ``n_distinct`` is an estimate of the distinct timestamps, if known.
     """
     ts = timestamp_of(df, column, formats)
+    n_distinct = _about_distinct(df, ts) if n_distinct is None else n_distinct
     counted = df.select(ts.alias("t")).where("t IS NOT NULL").groupBy("t").agg(F.count(F.lit(1)).alias("n"))
-    stepped = with_previous(counted, "t", {"previous": F.col("t")}, task_rows=task_rows)
+    stepped = with_previous(counted, "t", {"previous": F.col("t")}, n_distinct, task_rows)
     gap = seconds_between(F.col("t"), F.col("previous"))
     rows = stepped.select(
         F.explode(
@@ -95,19 +102,25 @@ def time_gaps(df: DataFrame, column: str, formats: Sequence[str] = (), task_rows
     )
 
 
-def weighted_median(rows: DataFrame, value: str, weight: str, task_rows: int = TASK_ROWS) -> float | None:
-    """Median of ``value`` repeated ``weight`` times; rows are distinct values."""
-    total = rows.agg(F.sum(weight)).first()[0]
-    if not total:
-        return None
-    if rows.count() <= task_rows:
-        return rows.agg(F.percentile(col(value), F.lit(0.5), col(weight))).first()[0]
-    summed = running_totals(rows.select(col(value).alias("v"), col(weight).alias("w")), "v", ["w"], task_rows=task_rows)
-    ranks = [(total - 1) // 2, total // 2]
-    picks = [
-        summed.where((F.col("upto_w") > r) & (F.col("upto_w") - F.col("w") <= r)).select("v").first().v for r in ranks
-    ]
-    return sum(picks) / 2
+def _about_distinct(df: DataFrame, ts: Column) -> int:
+    """A safe estimate of the number of distinct timestamps."""
+    return int(1.2 * df.agg(F.approx_count_distinct(ts)).first()[0]) + 1
+
+
+def gap_summary(gaps: DataFrame, few: bool, task_rows: int = TASK_ROWS) -> tuple[float | None, float | None]:
+    """Weighted median and maximum of the gaps. ``few`` says that one task can hold them."""
+    longest, total = F.max("gap_seconds").alias("longest"), F.sum("n").alias("total")
+    if few:
+        row = gaps.agg(longest, F.percentile("gap_seconds", F.lit(0.5), F.col("n")).alias("median")).first()
+        return row.median, row.longest
+    row = gaps.agg(longest, total, F.count(F.lit(1)).alias("rows")).first()
+    if not row.total:
+        return None, None
+    summed = running_totals(gaps, "gap_seconds", ["n"], n_rows=row.rows, task_rows=task_rows)
+    ranks = [(row.total - 1) // 2, row.total // 2]
+    at = [(F.col("upto_n") > r) & (F.col("upto_n") - F.col("n") <= r) for r in ranks]
+    low, high = summed.agg(*[F.max(F.when(a, F.col("gap_seconds"))) for a in at]).first()
+    return (low + high) / 2, row.longest
 
 
 def infer_frequency(df: DataFrame, column: str, formats: Sequence[str] = (), head: int = 50) -> str | None:
@@ -145,18 +158,19 @@ def datetime_summary(
 ) -> DataFrame:
     """One row: min, max, missing or unparseable count, median and longest gap in seconds, frequency."""
     ts = timestamp_of(df, column, formats)
-    gaps = time_gaps(df, column, formats, task_rows)
-    median = weighted_median(gaps, "gap_seconds", "n", task_rows)
-    longest = gaps.agg(F.max("gap_seconds")).first()[0]
-    return df.agg(
+    row = df.agg(
         F.min(ts).cast("string").alias("min"),
         F.max(ts).cast("string").alias("max"),
         F.count_if(ts.isNull()).alias("n_nat"),
-    ).select(
-        "*",
-        F.lit(median).cast("double").alias("median_gap_seconds"),
-        F.lit(longest).cast("double").alias("max_gap_seconds"),
-        F.lit(infer_frequency(df, column, formats)).cast("string").alias("inferred_freq"),
+        F.approx_count_distinct(ts).alias("d"),
+    ).first()
+    about = int(1.2 * row.d) + 1
+    gaps = time_gaps(df, column, formats, task_rows, about)
+    median, longest = gap_summary(gaps, about <= task_rows, task_rows)
+    found = (row.min, row.max, row.n_nat, median, longest, infer_frequency(df, column, formats))
+    return df.sparkSession.createDataFrame(
+        [found],
+        "min string, max string, n_nat long, median_gap_seconds double, max_gap_seconds double, inferred_freq string",
     )
 
 
@@ -168,7 +182,9 @@ def volume_trend(
     A month, quarter or year is labelled by its last day, a day or week by its first.
     """
     if rule is None:
-        median = weighted_median(time_gaps(df, column, formats, task_rows), "gap_seconds", "n", task_rows)
+        about = _about_distinct(df, timestamp_of(df, column, formats))
+        gaps = time_gaps(df, column, formats, task_rows, about)
+        median, _longest = gap_summary(gaps, about <= task_rows, task_rows)
         rule = "month" if median is not None and median >= 20 * 86400 else "day"
     if rule not in PERIODS:
         raise ValueError(f"Unknown rule {rule!r}. Use one of {sorted(PERIODS)}")

@@ -52,11 +52,19 @@ def _text_rows(frame: DataFrame) -> list[tuple]:
 class RangeBuckets:
     """A frozen mapping of the order key to bucket numbers 0, 1, ... in key order."""
 
-    def __init__(self, df: DataFrame, order: Sequence[str], n_rows: int, task_rows: int = TASK_ROWS):
+    def __init__(
+        self,
+        df: DataFrame,
+        order: Sequence[str],
+        n_rows: int,
+        task_rows: int = TASK_ROWS,
+        largest: int | None = None,
+    ):
+        """``largest`` is the row count of the largest group when ranks are taken per group."""
         self.order = list(order)
         wanted = min(MAX_BUCKETS, math.ceil(n_rows / max(task_rows, 1)))
         self.edges: list[tuple] = []
-        if wanted > 1:
+        if wanted > 1 and (largest is None or largest > task_rows):
             keys = df.select(*[k.alias(f"k{i}") for i, k in enumerate(sort_keys(df, order))])
             keep = min(1.0, 2.0 * wanted * _SAMPLE_PER_BUCKET / n_rows)
             sample = keys.sample(fraction=keep, seed=42) if keep < 1.0 else keys
@@ -128,10 +136,14 @@ def running_totals(
     by: Sequence[str] = (),
     n_rows: int | None = None,
     task_rows: int = TASK_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
-    """Add ``upto_<s>``, the inclusive prefix sum in ``order``; ``order`` must be unique per group."""
+    """Add ``upto_<s>``, the inclusive prefix sum in ``order``; ``order`` must be unique per group.
+
+    ``n_rows`` may be an estimate; ``largest`` is the size of the largest group, if known.
+    """
     n_rows = df.count() if n_rows is None else n_rows
-    buckets = RangeBuckets(df, [order], n_rows, task_rows)
+    buckets = RangeBuckets(df, [order], n_rows, task_rows, largest)
     group = ["__group"] if by else []
     parts = df.withColumn(_BUCKET, buckets.column(df))
     if by:

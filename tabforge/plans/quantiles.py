@@ -1,10 +1,11 @@
 """Exact quantiles that never hold a whole column in one task.
 
-Up to ``TASK_ROWS`` rows the built-in exact ``percentile`` is used: its value map is bounded by
-that number. Beyond it, the wanted order statistics are bracketed. A sketch gives for each a
-pair of values around it; a scan then counts exactly how many rows lie below and between; the
-bracket shrinks (about a thousandfold per scan) until what lies inside fits one task, and only
-those rows are grouped and ranked. Scans aggregate on the map side, so no column is shuffled.
+Up to ``TASK_ROWS`` rows each column is sorted by itself and the wanted ranks are read off. Beyond
+it, the wanted order statistics are bracketed. A sketch of a sample gives a pair of values around
+each; a scan then counts exactly how many rows lie below and between, so a bracket that missed is
+noticed and widened; the bracket shrinks (about a hundredfold per scan) until what lies inside
+fits one task, and only those rows are grouped and ranked. Scans aggregate on the map side, so no
+column is shuffled.
 """
 
 from __future__ import annotations
@@ -19,7 +20,11 @@ from pyspark.sql import Window as W
 from tabforge.functions.columns import col
 from tabforge.plans.aggregates import numeric_cells, per_column, union_all
 
+# column, rank, and the same rank or the next one
+Target = tuple[str, int, int]
+
 TASK_ROWS = 2_000_000
+_SAMPLE_ROWS = 4_000_000
 _SKETCH = 10_000
 _POINTS = 200
 _MAX_SCANS = 12
@@ -40,18 +45,15 @@ def exact_quantiles(
         return {}
     if approx:
         return _sketch_quantiles(df, probs)
-    if _fits(df, task_rows):
-        return _builtin_quantiles(df, probs)
-    names = list(probs)
-    counts = {r.c: r.n for r in numeric_cells(df, names).groupBy("c").agg(F.count("x").alias("n")).collect()}
-    sizes = {c: counts.get(i, 0) for i, c in enumerate(names)}
-    wanted: set[tuple[str, int]] = set()
+    sizes = present_counts(df, list(probs))
+    wanted: set[Target] = set()
     for c, ps in probs.items():
         for p in ps:
             if sizes[c]:
                 at = p * (sizes[c] - 1)
-                wanted |= {(c, math.floor(at)), (c, math.ceil(at))}
-    found = order_statistics(df, sizes, sorted(wanted), task_rows)
+                wanted.add((c, math.floor(at), math.ceil(at)))
+    fits = max(sizes.values()) <= task_rows
+    found = _sorted_statistics(df, wanted) if fits else order_statistics(df, sizes, sorted(wanted), task_rows)
     out: dict[str, list[float | None]] = {}
     for c, ps in probs.items():
         row: list[float | None] = []
@@ -66,20 +68,29 @@ def exact_quantiles(
     return out
 
 
-def _fits(df: DataFrame, task_rows: int) -> bool:
-    """Whether the frame has at most ``task_rows`` rows."""
-    return df.count() <= task_rows
+def present_counts(df: DataFrame, names: Sequence[str], chunk: int = 60) -> dict[str, int]:
+    """Column -> number of present values."""
+    out: dict[str, int] = {}
+    for start in range(0, len(names), chunk):
+        group = names[start : start + chunk]
+        row = df.agg(*[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(group)]).first()
+        out |= {c: row[i] for i, c in enumerate(group)}
+    return out
 
 
-def _builtin_quantiles(df, probs):
-    # one small aggregate per column, so that columns are ranked in parallel
-    names = list(probs)
-    parts = [
-        df.agg(F.percentile(col(c).cast("double"), F.lit(probs[c])).alias("q")).select(F.lit(i).alias("i"), "q")
-        for i, c in enumerate(names)
-    ]
-    found = {r.i: r.q for r in union_all(parts).collect()}
-    return {c: list(found[i]) if found[i] is not None else [None] * len(probs[c]) for i, c in enumerate(names)}
+def _sorted_statistics(df: DataFrame, wanted) -> dict[tuple[str, int], float]:
+    """Each column sorted by itself in one task; columns in parallel."""
+    ranks: dict[str, set[int]] = {}
+    for c, low, high in wanted:
+        ranks.setdefault(c, set()).update((low, high))
+    parts = []
+    for i, c in enumerate(ranks):
+        x = df.select(col(c).cast("double").alias("x")).where("x IS NOT NULL")
+        numbered = x.withColumn("rank", F.row_number().over(W.partitionBy(F.lit(0)).orderBy("x")) - 1)
+        picked = numbered.where(F.col("rank").isin(sorted(ranks[c])))
+        parts.append(picked.select(F.lit(i).alias("i"), "rank", "x"))
+    names = list(ranks)
+    return {(names[r.i], r["rank"]): r.x for r in union_all(parts).collect()} if parts else {}
 
 
 def _sketch_quantiles(df, probs):
@@ -90,32 +101,40 @@ def _sketch_quantiles(df, probs):
 
 
 def order_statistics(
-    df: DataFrame,
-    sizes: Mapping[str, int],
-    wanted: Sequence[tuple[str, int]],
-    task_rows: int = TASK_ROWS,
+    df: DataFrame, sizes: Mapping[str, int], wanted: Sequence[Target], task_rows: int = TASK_ROWS
 ) -> dict[tuple[str, int], float]:
-    """Exact 0-based order statistics ``(column, rank) -> value`` by shrinking brackets."""
-    margin = 2.0 / _SKETCH
-    columns = sorted({c for c, _ in wanted})
+    """Exact 0-based order statistics ``(column, rank) -> value`` by shrinking brackets.
 
-    def around(c: str, r: int, side: int) -> float:
-        return min(1.0, max(0.0, r / max(sizes[c] - 1, 1) + side * margin))
-
-    grid = sorted({0.0, 1.0} | {around(c, r, side) for c, r in wanted for side in (-1, 1)})
-    rows = numeric_cells(df, columns).groupBy("c").agg(F.percentile_approx("x", grid, _SKETCH).alias("q")).collect()
-    points = {columns[r.c]: dict(zip(grid, r.q)) for r in rows}
-    ends = {c: (points[c][0.0], points[c][1.0]) for c in columns}
-    brackets = {(c, r): (points[c][around(c, r, -1)], points[c][around(c, r, 1)]) for c, r in wanted}
+    A target is a column with two equal or neighbouring ranks.
+    """
+    columns = sorted({c for c, _low, _high in wanted})
+    keep = min(1.0, _SAMPLE_ROWS / max(sizes.values()))
+
+    def around(c: str, rank: int, side: int) -> float:
+        # six standard deviations of a sampled rank, on top of the sketch's own error
+        margin = 2.0 / _SKETCH + (0.0 if keep == 1.0 else 3.0 / math.sqrt(max(keep * sizes[c], 1)))
+        return min(1.0, max(0.0, rank / max(sizes[c] - 1, 1) + side * margin))
+
+    grid = sorted({p for c, low, high in wanted for p in (around(c, low, -1), around(c, high, 1))})
+    cells = numeric_cells(df, columns)
+    extremes = {columns[r.c]: (r.lo, r.hi) for r in cells.groupBy("c").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect()}
+    sampled = numeric_cells(df.sample(fraction=keep, seed=42) if keep < 1.0 else df, columns)
+    rows = sampled.groupBy("c").agg(F.percentile_approx("x", grid, _SKETCH).alias("q")).collect()
+    points = {columns[r.c]: dict(zip(grid, r.q)) for r in rows if r.q is not None}
+    brackets = {}
+    for c, low, high in wanted:
+        near = points.get(c)
+        ends = (near[around(c, low, -1)], near[around(c, high, 1)]) if near else extremes[c]
+        brackets[c, low, high] = ends
 
     found: dict[tuple[str, int], float] = {}
-    ready: dict[tuple[str, int], tuple[float, float, int]] = {}
+    ready: dict[Target, tuple[float, float, int]] = {}
     for _ in range(_MAX_SCANS):
         if not brackets:
             break
-        brackets = _scan(df, brackets, ends, found, ready, task_rows)
+        brackets = _scan(df, brackets, extremes, found, ready, task_rows)
     # A bracket that stops shrinking holds few distinct values, so grouping it is cheap too.
-    ready.update(_count_below(df, brackets))
+    ready.update(_count_below(df, {t: extremes[t[0]] for t in brackets}))
     if ready:
         found.update(_rank_inside(df, ready))
     return found
@@ -124,40 +143,42 @@ def order_statistics(
 def _target_cells(df, brackets):
     """One cell per bracket and row: ``c`` numbers the bracket, with its ends as ``low`` and ``high``."""
     targets = list(brackets)
-    cells = numeric_cells(df, [c for c, _rank in targets])
+    cells = numeric_cells(df, [t[0] for t in targets])
     return targets, cells.withColumns(
         {"low": per_column([brackets[t][0] for t in targets]), "high": per_column([brackets[t][1] for t in targets])}
     )
 
 
-def _scan(df, brackets, ends, found, ready, task_rows):
+def _scan(df, brackets, extremes, found, ready, task_rows):
     """One pass: count below and inside every bracket exactly, and sketch the inside for the next cut."""
     targets, cells = _target_cells(df, brackets)
     even = [j / _POINTS for j in range(_POINTS + 1)]
+    x, low, high = F.col("x"), F.col("low"), F.col("high")
     rows = cells.groupBy("c").agg(
-        F.count_if(F.col("x") < F.col("low")).alias("below"),
-        F.count_if(F.col("x") <= F.col("high")).alias("upto"),
-        F.percentile_approx(F.when(F.col("x").between(F.col("low"), F.col("high")), F.col("x")), even, 20 * _POINTS).alias("q"),
+        F.count_if(x < low).alias("below"),
+        F.count_if(x <= high).alias("upto"),
+        F.percentile_approx(F.when(x.between(low, high), x), even, 20 * _POINTS).alias("q"),
     )
     left = {}
     for row in rows.collect():
         target = targets[row.c]
-        c, rank = target
-        low, high = brackets[target]
-        below, upto, points = row.below, row.upto, row.q
-        if rank < below:
-            left[target] = (ends[c][0], low)
-        elif rank >= upto:
-            left[target] = (high, ends[c][1])
-        elif low == high:
-            found[target] = low
-        elif upto - below <= task_rows:
-            ready[target] = (low, high, below)
+        c, first, last = target
+        start, end = brackets[target]
+        if first < row.below:
+            left[target] = (extremes[c][0], end)
+        elif last >= row.upto:
+            left[target] = (start, extremes[c][1])
+        elif start == end:
+            found[c, first] = found[c, last] = start
+        elif row.upto - row.below <= task_rows:
+            ready[target] = (start, end, row.below)
         else:
-            at = (rank - below) / (upto - below) * _POINTS
-            cut = (points[max(0, math.floor(at) - 1)], points[min(_POINTS, math.ceil(at) + 1)])
-            if cut == (low, high):
-                ready[target] = (low, high, below)
+            scale = _POINTS / (row.upto - row.below)
+            at = max(0, math.floor((first - row.below) * scale) - 1)
+            to = min(_POINTS, math.ceil((last - row.below) * scale) + 1)
+            cut = (row.q[at], row.q[to])
+            if cut == (start, end):
+                ready[target] = (start, end, row.below)
             else:
                 left[target] = cut
     return left
@@ -172,19 +193,18 @@ def _count_below(df, brackets):
 
 
 def _rank_inside(df, ready):
-    """Group what lies inside each bracket and pick the value at its rank."""
+    """Group what lies inside each bracket and pick the values at its ranks."""
     targets, cells = _target_cells(df, {t: ends[:2] for t, ends in ready.items()})
     inside = cells.where(F.col("x").between(F.col("low"), F.col("high")))
     counted = inside.groupBy(F.col("c").alias("t"), "x").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(W.partitionBy("t").orderBy("x"))
-    offset = df.sparkSession.createDataFrame(
-        [(i, target[1] - ready[target][2]) for i, target in enumerate(targets)], "t int, k long"
-    )
+    ranks = [(i, rank, rank - ready[t][2]) for i, t in enumerate(targets) for rank in sorted(set(t[1:]))]
+    wanted = df.sparkSession.createDataFrame(ranks, "t int, rank long, k long")
     picked = (
         counted.withColumn("upto", upto)
-        .join(F.broadcast(offset), "t")
+        .join(F.broadcast(wanted), "t")
         .where("k >= upto - n AND k < upto")
-        .select("t", "x")
+        .select("t", "rank", "x")
         .collect()
     )
-    return {targets[r.t]: r.x for r in picked}
+    return {(targets[r.t][0], r["rank"]): r.x for r in picked}
