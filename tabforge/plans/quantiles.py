@@ -1,11 +1,11 @@
 """Exact quantiles that never hold a whole column in one task.
 
-Up to ``TASK_ROWS`` rows each column is sorted by itself and the wanted ranks are read off. Beyond
-it, the wanted order statistics are bracketed. A sketch of a sample gives a pair of values around
-each; a scan then counts exactly how many rows lie below and between, so a bracket that missed is
-noticed and widened; the bracket shrinks (about a hundredfold per scan) until what lies inside
-fits one task, and only those rows are grouped and ranked. Scans aggregate on the map side, so no
-column is shuffled.
+Up to ``TASK_ROWS`` present values per column, equal values are counted and each column's counts
+are summed in value order. Beyond it, the wanted order statistics are bracketed: a sketch of a
+sample gives a pair of values around each, a scan counts exactly how many rows lie below and
+between (so a pair that missed is noticed), and the pair shrinks until what lies inside fits one
+task. Only those rows are grouped and ranked. The scans aggregate on the map side, so no column is
+shuffled as a whole.
 """
 
 from __future__ import annotations
@@ -18,16 +18,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tabforge.functions.columns import col
-from tabforge.plans.aggregates import numeric_cells, per_column, union_all
+from tabforge.plans.aggregates import numeric_cells, per_column
 
 # column, rank, and the same rank or the next one
 Target = tuple[str, int, int]
 
 TASK_ROWS = 2_000_000
-_SAMPLE_ROWS = 4_000_000
-_SKETCH = 10_000
-_POINTS = 200
-_MAX_SCANS = 12
+_SKETCH = 20_000
+_SKETCH_CHUNK = 40
+_MAX_ROUNDS = 12
 
 
 def exact_quantiles(
@@ -45,6 +44,8 @@ def exact_quantiles(
         return {}
     if approx:
         return _sketch_quantiles(df, probs)
+    if df.count() <= task_rows:
+        return _counted_quantiles(df, probs)
     sizes = present_counts(df, list(probs))
     wanted: set[Target] = set()
     for c, ps in probs.items():
@@ -52,8 +53,7 @@ def exact_quantiles(
             if sizes[c]:
                 at = p * (sizes[c] - 1)
                 wanted.add((c, math.floor(at), math.ceil(at)))
-    fits = max(sizes.values()) <= task_rows
-    found = _sorted_statistics(df, wanted) if fits else order_statistics(df, sizes, sorted(wanted), task_rows)
+    found = order_statistics(df, sizes, sorted(wanted), task_rows)
     out: dict[str, list[float | None]] = {}
     for c, ps in probs.items():
         row: list[float | None] = []
@@ -78,26 +78,94 @@ def present_counts(df: DataFrame, names: Sequence[str], chunk: int = 60) -> dict
     return out
 
 
-def _sorted_statistics(df: DataFrame, wanted) -> dict[tuple[str, int], float]:
-    """Each column sorted by itself in one task; columns in parallel."""
-    ranks: dict[str, set[int]] = {}
-    for c, low, high in wanted:
-        ranks.setdefault(c, set()).update((low, high))
-    parts = []
-    for i, c in enumerate(ranks):
-        x = df.select(col(c).cast("double").alias("x")).where("x IS NOT NULL")
-        numbered = x.withColumn("rank", F.row_number().over(W.partitionBy(F.lit(0)).orderBy("x")) - 1)
-        picked = numbered.where(F.col("rank").isin(sorted(ranks[c])))
-        parts.append(picked.select(F.lit(i).alias("i"), "rank", "x"))
-    names = list(ranks)
-    return {(names[r.i], r["rank"]): r.x for r in union_all(parts).collect()} if parts else {}
+def _counted_quantiles(df: DataFrame, probs: Mapping[str, list[float]]) -> dict[str, list[float | None]]:
+    """Count equal values, sum the counts of each column in value order, and interpolate."""
+    names = list(probs)
+    counted = numeric_cells(df, names).where("x IS NOT NULL").groupBy("c", "x").agg(F.count(F.lit(1)).alias("n"))
+    column = W.partitionBy("c")
+    summed = counted.withColumns(
+        {
+            "upto": F.sum("n").over(column.orderBy("x").rowsBetween(W.unboundedPreceding, 0)),
+            "at_most": F.sum("n").over(column) - 1,
+        }
+    )
+    asked = [(i, float(p)) for i, c in enumerate(names) for p in sorted(set(probs[c]))]
+    wanted = F.broadcast(df.sparkSession.createDataFrame(asked, "c int, p double"))
+    at = F.col("p") * F.col("at_most")
+    first, last = F.floor(at), F.ceil(at)
+    here = [(r >= F.col("upto") - F.col("n")) & (r < F.col("upto")) for r in (first, last)]
+    rows = (
+        summed.join(wanted, "c")
+        .where(here[0] | here[1])
+        .groupBy("c", "p")
+        .agg(
+            F.max(F.when(here[0], F.col("x"))).alias("low"),
+            F.max(F.when(here[1], F.col("x"))).alias("high"),
+            F.max(at - first).alias("part"),
+        )
+        .collect()
+    )
+    found = {(r.c, r.p): r.low + (r.high - r.low) * r.part for r in rows}
+    return {c: [found.get((i, p)) for p in probs[c]] for i, c in enumerate(names)}
+
+
+def _pick(counted: DataFrame, ranks: list[tuple[int, int, int]], names: Sequence[str]) -> dict[tuple[str, int], float]:
+    """From ``(c, x, n)`` take the values at ``ranks``: group number, rank to report, rank inside the group."""
+    upto = F.sum("n").over(W.partitionBy("c").orderBy("x").rowsBetween(W.unboundedPreceding, 0))
+    wanted = counted.sparkSession.createDataFrame(ranks, "c int, rank long, k long")
+    rows = (
+        counted.withColumn("upto", upto)
+        .join(F.broadcast(wanted), "c")
+        .where("k >= upto - n AND k < upto")
+        .select("c", "rank", "x")
+        .collect()
+    )
+    return {(names[r.c], r["rank"]): r.x for r in rows}
+
+
+def _sketch(df: DataFrame, parts: Sequence[tuple[str, float | None, float | None, list[float]]]) -> list[list | None]:
+    """Sketched quantiles of ``(column, from, to, probabilities)``, a chunk of them per aggregate.
+
+    Sketches are kept out of grouped aggregates, which sort their input once they have many groups.
+    """
+    out: list[list | None] = []
+    for begin in range(0, len(parts), _SKETCH_CHUNK):
+        aggs = []
+        for c, start, end, ps in parts[begin : begin + _SKETCH_CHUNK]:
+            x = col(c).cast("double")
+            inside = x if start is None else F.when(x.between(start, end), x)
+            aggs.append(F.percentile_approx(inside, ps, _SKETCH).alias(f"q{len(aggs)}"))
+        out += [None if q is None else list(q) for q in df.agg(*aggs).first()]
+    return out
 
 
 def _sketch_quantiles(df, probs):
-    every = sorted({p for ps in probs.values() for p in ps})
-    rows = numeric_cells(df, list(probs)).groupBy("c").agg(F.percentile_approx("x", every, _SKETCH).alias("q")).collect()
-    found = {r.c: dict(zip(every, r.q)) for r in rows if r.q is not None}
-    return {c: [found[i][p] if i in found else None for p in ps] for i, (c, ps) in enumerate(probs.items())}
+    found = _sketch(df, [(c, None, None, ps) for c, ps in probs.items()])
+    return {c: q if q is not None else [None] * len(ps) for (c, ps), q in zip(probs.items(), found)}
+
+
+def _sample_share(rows: int) -> float:
+    """A hundredth of the rows, but at least four and at most four hundred million."""
+    return min(1.0, max(4_000_000, min(rows // 100, 400_000_000)) / max(rows, 1))
+
+
+class _Bracket:
+    """A pair of values around two neighbouring ranks of a column, with exact counts."""
+
+    def __init__(self, target: Target, size: int):
+        self.column, self.first, self.last = target
+        self.start: float | None = None
+        self.end: float | None = None
+        self.below, self.inside = 0, size
+        self.slack = 1.0
+
+    def probabilities(self, share: float) -> tuple[float, float]:
+        """Relative ranks a few standard errors of the sample outside the wanted ones."""
+        noise = 0.0 if share == 1.0 else 3.0 / math.sqrt(max(share * self.inside, 1.0))
+        margin = self.slack * (2.0 / _SKETCH + noise)
+        n = max(self.inside - 1, 1)
+        low, high = (self.first - self.below) / n - margin, (self.last - self.below) / n + margin
+        return min(1.0, max(0.0, low)), min(1.0, max(0.0, high))
 
 
 def order_statistics(
@@ -107,104 +175,75 @@ def order_statistics(
 
     A target is a column with two equal or neighbouring ranks.
     """
-    columns = sorted({c for c, _low, _high in wanted})
-    keep = min(1.0, _SAMPLE_ROWS / max(sizes.values()))
-
-    def around(c: str, rank: int, side: int) -> float:
-        # six standard deviations of a sampled rank, on top of the sketch's own error
-        margin = 2.0 / _SKETCH + (0.0 if keep == 1.0 else 3.0 / math.sqrt(max(keep * sizes[c], 1)))
-        return min(1.0, max(0.0, rank / max(sizes[c] - 1, 1) + side * margin))
-
-    grid = sorted({p for c, low, high in wanted for p in (around(c, low, -1), around(c, high, 1))})
-    cells = numeric_cells(df, columns)
-    extremes = {columns[r.c]: (r.lo, r.hi) for r in cells.groupBy("c").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect()}
-    sampled = numeric_cells(df.sample(fraction=keep, seed=42) if keep < 1.0 else df, columns)
-    rows = sampled.groupBy("c").agg(F.percentile_approx("x", grid, _SKETCH).alias("q")).collect()
-    points = {columns[r.c]: dict(zip(grid, r.q)) for r in rows if r.q is not None}
-    brackets = {}
-    for c, low, high in wanted:
-        near = points.get(c)
-        ends = (near[around(c, low, -1)], near[around(c, high, 1)]) if near else extremes[c]
-        brackets[c, low, high] = ends
-
+    open_ = [_Bracket(t, sizes[t[0]]) for t in wanted]
+    ready: list[_Bracket] = []
     found: dict[tuple[str, int], float] = {}
-    ready: dict[Target, tuple[float, float, int]] = {}
-    for _ in range(_MAX_SCANS):
-        if not brackets:
+    for _ in range(_MAX_ROUNDS):
+        if not open_:
             break
-        brackets = _scan(df, brackets, extremes, found, ready, task_rows)
-    # A bracket that stops shrinking holds few distinct values, so grouping it is cheap too.
-    ready.update(_count_below(df, {t: extremes[t[0]] for t in brackets}))
+        proposed = _propose(df, open_)
+        left = []
+        for b, (start, end), (below, upto) in zip(open_, proposed, _count(df, open_, proposed)):
+            if b.first < below or b.last >= upto:
+                b.slack *= 4  # missed: look wider
+                left.append(b)
+                continue
+            stuck = upto - below > 0.9 * b.inside and b.slack == 1.0
+            b.start, b.end, b.below, b.inside = start, end, below, upto - below
+            if start == end:
+                found[b.column, b.first] = found[b.column, b.last] = start
+            elif b.inside <= task_rows or stuck:
+                # a bracket that stops shrinking is mostly one value, which counting collapses
+                ready.append(b)
+            else:
+                left.append(b)
+        open_ = left
+    ready += open_
     if ready:
         found.update(_rank_inside(df, ready))
     return found
 
 
-def _target_cells(df, brackets):
+def _propose(df: DataFrame, brackets: Sequence[_Bracket]) -> list[tuple[float, float]]:
+    share = _sample_share(min(b.inside for b in brackets))
+    sample = df.sample(fraction=share, seed=42) if share < 1.0 else df
+    # brackets that still span the same stretch of a column share one sketch
+    stretches: dict[tuple, set[float]] = {}
+    for b in brackets:
+        stretches.setdefault((b.column, b.start, b.end), {0.0, 1.0}).update(b.probabilities(share))
+    parts = [(*key, sorted(ps)) for key, ps in stretches.items()]
+    points = {part[:3]: dict(zip(part[3], q)) for part, q in zip(parts, _sketch(sample, parts)) if q is not None}
+    out = []
+    for b in brackets:
+        known = points.get((b.column, b.start, b.end))
+        low, high = b.probabilities(share)
+        start = known[low] if known and low > 0.0 else (-math.inf if b.start is None else b.start)
+        end = known[high] if known and high < 1.0 else (math.inf if b.end is None else b.end)
+        out.append((start, end))
+    return out
+
+
+def _target_cells(df: DataFrame, columns: Sequence[str], ends: Sequence[tuple[float, float]]) -> DataFrame:
     """One cell per bracket and row: ``c`` numbers the bracket, with its ends as ``low`` and ``high``."""
-    targets = list(brackets)
-    cells = numeric_cells(df, [t[0] for t in targets])
-    return targets, cells.withColumns(
-        {"low": per_column([brackets[t][0] for t in targets]), "high": per_column([brackets[t][1] for t in targets])}
+    return numeric_cells(df, columns).withColumns(
+        {"low": per_column([e[0] for e in ends]), "high": per_column([e[1] for e in ends])}
     )
 
 
-def _scan(df, brackets, extremes, found, ready, task_rows):
-    """One pass: count below and inside every bracket exactly, and sketch the inside for the next cut."""
-    targets, cells = _target_cells(df, brackets)
-    even = [j / _POINTS for j in range(_POINTS + 1)]
-    x, low, high = F.col("x"), F.col("low"), F.col("high")
+def _count(df: DataFrame, brackets, ends) -> list[tuple[int, int]]:
+    """Exact rows below the start and up to the end of each proposed bracket, in one scan."""
+    cells = _target_cells(df, [b.column for b in brackets], ends)
     rows = cells.groupBy("c").agg(
-        F.count_if(x < low).alias("below"),
-        F.count_if(x <= high).alias("upto"),
-        F.percentile_approx(F.when(x.between(low, high), x), even, 20 * _POINTS).alias("q"),
+        F.count_if(F.col("x") < F.col("low")).alias("below"), F.count_if(F.col("x") <= F.col("high")).alias("upto")
     )
-    left = {}
-    for row in rows.collect():
-        target = targets[row.c]
-        c, first, last = target
-        start, end = brackets[target]
-        if first < row.below:
-            left[target] = (extremes[c][0], end)
-        elif last >= row.upto:
-            left[target] = (start, extremes[c][1])
-        elif start == end:
-            found[c, first] = found[c, last] = start
-        elif row.upto - row.below <= task_rows:
-            ready[target] = (start, end, row.below)
-        else:
-            scale = _POINTS / (row.upto - row.below)
-            at = max(0, math.floor((first - row.below) * scale) - 1)
-            to = min(_POINTS, math.ceil((last - row.below) * scale) + 1)
-            cut = (row.q[at], row.q[to])
-            if cut == (start, end):
-                ready[target] = (start, end, row.below)
-            else:
-                left[target] = cut
-    return left
-
-
-def _count_below(df, brackets):
-    if not brackets:
-        return {}
-    targets, cells = _target_cells(df, brackets)
-    rows = cells.groupBy("c").agg(F.count_if(F.col("x") < F.col("low")).alias("below")).collect()
-    return {targets[r.c]: (*brackets[targets[r.c]], r.below) for r in rows}
+    found = {r.c: (r.below, r.upto) for r in rows.collect()}
+    return [found[i] for i in range(len(brackets))]
 
 
-def _rank_inside(df, ready):
-    """Group what lies inside each bracket and pick the values at its ranks."""
-    targets, cells = _target_cells(df, {t: ends[:2] for t, ends in ready.items()})
+def _rank_inside(df: DataFrame, brackets: Sequence[_Bracket]) -> dict[tuple[str, int], float]:
+    """Count equal values inside each bracket and pick the ones at its ranks."""
+    ends = [(-math.inf if b.start is None else b.start, math.inf if b.end is None else b.end) for b in brackets]
+    cells = _target_cells(df, [b.column for b in brackets], ends)
     inside = cells.where(F.col("x").between(F.col("low"), F.col("high")))
-    counted = inside.groupBy(F.col("c").alias("t"), "x").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(W.partitionBy("t").orderBy("x"))
-    ranks = [(i, rank, rank - ready[t][2]) for i, t in enumerate(targets) for rank in sorted(set(t[1:]))]
-    wanted = df.sparkSession.createDataFrame(ranks, "t int, rank long, k long")
-    picked = (
-        counted.withColumn("upto", upto)
-        .join(F.broadcast(wanted), "t")
-        .where("k >= upto - n AND k < upto")
-        .select("t", "rank", "x")
-        .collect()
-    )
-    return {(targets[r.t][0], r["rank"]): r.x for r in picked}
+    ranks = [(i, r, r - b.below) for i, b in enumerate(brackets) for r in sorted({b.first, b.last})]
+    return _pick(inside.groupBy("c", "x").agg(F.count(F.lit(1)).alias("n")), ranks, [b.column for b in brackets])
