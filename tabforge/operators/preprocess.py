@@ -123,7 +123,7 @@ def level_counts(
     for r in rows:
         per[r.column][r.value] = r.n
     for c, levels in per.items():
-        if len(levels) > max_levels + 1 or len(rows) > most:
+        if sum(v is not None for v in levels) > max_levels or len(rows) > most:
             raise ValueError(
                 f"Column {c!r} or another has more than {max_levels} levels: pool rare ones, hash it, or leave it out"
             )
