@@ -167,5 +167,9 @@ def _gram_corr(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def pearson(a: Column, b: Column) -> Column:
-    """``corr`` with NaN (a constant side) as NULL."""
-    return F.nanvl(F.corr(a, b), F.lit(None))
+    """Correlation over the rows where both are present; NULL if a side is constant there.
+
+    The built-in ``corr`` raises on a constant side in ANSI mode.
+    """
+    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    return F.try_divide(F.covar_pop(a, b), spread)
