@@ -15,6 +15,7 @@ from tabforge.operators import chartdata, metrics, models, profile, selection, s
 from tabforge.operators.drift import PSI_THRESHOLD, check_drift, drift_profile
 from tabforge.operators.lags import add_lag_features
 from tabforge.operators.preprocess import Preprocessor
+from tabforge.session import materialise
 from tabforge.sources import registry
 from tabforge.sources.tables import check_columns, read_table, write_report, write_table
 
@@ -177,9 +178,16 @@ def _measured(task: Task, scored: DataFrame, job: Job, by: Sequence[str] = ()) -
 
 
 def prepare(df: DataFrame, job: Job) -> DataFrame:
-    """Features and the ``split`` label."""
+    """Features and the ``split`` label.
+
+    Lag features are written to the shared scratch folder once: fitting reads them several times,
+    and their windows are the one costly shuffle of a run.
+    """
     task = get_task(job.task)
-    return task.split(task.features(df, job), job)
+    data = task.features(df, job)
+    if job.task == "timeseries":
+        data = materialise(data, "features")
+    return task.split(data, job)
 
 
 @dataclass

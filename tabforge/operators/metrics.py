@@ -126,6 +126,14 @@ def _by_score(df: DataFrame, y: str, score: str, positive: object | None, by: Se
     )
 
 
+def _at_most_two(df: DataFrame, y: str) -> bool:
+    """Whether a column has at most two labels: those strictly between the least and the greatest say no."""
+    low, high = df.agg(F.min(col(y)), F.max(col(y))).first()
+    if low is None or low == high:
+        return True
+    return df.where((col(y) != F.lit(low)) & (col(y) != F.lit(high))).isEmpty()
+
+
 def _about_distinct(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> int:
     """A safe estimate of the number of distinct scores (per group), to size the buckets."""
     key = F.struct(*[col(b) for b in by], col(score).cast("double")) if by else col(score).cast("double")
@@ -145,7 +153,7 @@ def roc_auc(
     For a binary target. More than two distinct labels give no rows.
     """
     df = nan_to_null(df)
-    if positive is None and df.where(col(y).isNotNull()).select(col(y)).distinct().limit(3).count() > 2:
+    if positive is None and not _at_most_two(df, y):
         fields = [*[df.schema[b] for b in by], T.StructField("roc_auc", T.DoubleType())]
         return df.sparkSession.createDataFrame([], T.StructType(fields))
     scored = _by_score(df, y, score, positive, by)

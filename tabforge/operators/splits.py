@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 from tabforge.functions.columns import col, field_type
 from tabforge.plans.ordering import TASK_ROWS, order_cuts, segment_number
 
+MAX_CLASSES = 100_000
 _ALL = "g"  # above every hexadecimal digit
 _HASH = "__hash"
 
@@ -55,10 +56,13 @@ def allocate(counts: dict, total: int) -> dict:
 
 
 def _class_counts(df: DataFrame, y: str | None) -> dict:
-    """Rows per class: one row per class on the driver."""
+    """Rows per class: one row per class on the driver, so a column with too many is refused."""
     if y is None:
         return {None: df.count()}
-    return {r[0]: r[1] for r in df.groupBy(col(y)).count().collect()}
+    rows = df.groupBy(col(y)).count().limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"Cannot stratify by {y!r}: it has more than {MAX_CLASSES} classes")
+    return {r[0]: r[1] for r in rows}
 
 
 def _hash_cuts(df: DataFrame, key, seed: int, y: str | None, ranks: dict, n_rows: int, task_rows: int) -> dict:
