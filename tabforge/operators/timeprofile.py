@@ -22,7 +22,7 @@ from tabforge.functions.columns import (
 )
 from tabforge.plans.aggregates import aggregate_cells, numeric_cells, union_all
 from tabforge.plans.ordering import order_cuts, running_totals, segment_number, with_previous
-from tabforge.plans.quantiles import TASK_ROWS, exact_quantiles
+from tabforge.plans.quantiles import TASK_ROWS
 
 PERIODS = {"day": "interval 1 day", "week": "interval 7 days", "month": "interval 1 month",
            "quarter": "interval 3 months", "year": "interval 1 year"}
