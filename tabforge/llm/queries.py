@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import packing, quality, simhash
+from tabforge.llm import htmltext, packing, quality, sharding, simhash, warc
 from tabforge.llm.common import read
-from tabforge.session import materialise
+from tabforge.session import materialise, scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +34,23 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query("op1_sharding")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    # the layout to start from: a source is a shard's, so a hot source makes one far too large
+    old = F.pmod(F.xxhash64("source"), F.lit(8))
+    out = sharding.balance(docs, 8, old)
+    return out.select(
+        "doc_id",
+        "size",
+        F.crc32(F.encode("text", "UTF-8")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        F.col("shard").cast("int").alias("shard"),
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query("op3_quality_rules")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     voted = quality.votes(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
@@ -49,3 +66,37 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_best_fit_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_file())
+
+
+@query("op9_html_extraction")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return htmltext.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query(
+    "op10_warc",
+    """
+    WITH p AS (
+      SELECT page_id, coalesce(html, '') AS body, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages
+    ), q AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS first_id, sha1(body) AS payload_digest FROM p)
+    SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+      CASE WHEN payload_bytes >= 1000 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+      CASE WHEN payload_bytes >= 1000 AND page_id <> first_id THEN first_id END AS refers_to
+    FROM q
+    """,
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "warc")
+    warc.write(warc.records(read(spark, sf_dir, "pages"), "page_id", "url", "html"), path)
+    found = warc.read(spark, path)
+    kind, header = F.col("headers")["warc-type"], F.col("headers")
+    number = lambda c: F.regexp_extract(c, "<urn:page:(-?[0-9]+)>", 1).try_cast("long")
+    revisit = kind == "revisit"
+    return found.select(
+        number(header["warc-record-id"]).alias("page_id"),
+        F.when(revisit, F.col("http")["content-length"].cast("long")).otherwise(F.octet_length("payload")).alias("payload_bytes"),
+        F.when(revisit, F.substring_index(header["warc-payload-digest"], ":", -1)).otherwise(F.sha1("payload")).alias("payload_digest"),
+        kind.alias("record_type"),
+        F.when(revisit, number(header["warc-refers-to"])).alias("refers_to"),
+    )
