@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import htmltext, packing, quality, sharding, simhash, warc
+from tabforge.llm import htmltext, packing, quality, sharding, simhash, urls, warc
 from tabforge.llm.common import read
 from tabforge.session import materialise, scratch_dir
 
@@ -58,6 +58,82 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(voted, quality.posteriors(voted))
 
 
+RULES = [
+    urls.Rule("block", "net", "/"),
+    urls.Rule("allow", "example.net", "/en/"),
+    urls.Rule("block", "example.com", "/de/"),
+    urls.Rule("allow", "org", "/fr/"),
+]
+
+_URL_SQL = """
+WITH p AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+        FROM pages)
+), r AS (SELECT *, regexp_replace(path, '[0-9]+', '#', 'g') AS shape FROM p),
+k AS (
+  SELECT host, shape, count(*) AS labelled, sum(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad
+  FROM r JOIN labels ON doc_id = TRY_CAST(regexp_extract(path, '([0-9]+)[^0-9]*$', 1) AS BIGINT) GROUP BY ALL
+), sh AS (
+  SELECT host, shape, coalesce(n, 0) AS n, coalesce(labelled, 0) AS labelled, coalesce(bad, 0) AS bad
+  FROM (SELECT host, shape, count(*) AS n FROM r GROUP BY ALL) FULL JOIN k USING (host, shape)
+), pt AS (
+  SELECT host, shape, n, unnest(range(0, len(segs))) AS d, segs FROM (SELECT *, string_split(shape, '/') AS segs FROM sh)
+), pt2 AS (SELECT host, shape, n, d, segs[d + 1] AS s, array_to_string(segs[1:d], '/') AS parent FROM pt),
+fan AS (
+  SELECT host, d, parent FROM (SELECT host, d, parent, s, sum(n) AS n FROM pt2 GROUP BY ALL)
+  GROUP BY ALL HAVING count(*) > 20 AND sum(n) < 3 * count(*)
+), tm AS (
+  SELECT host, shape, string_agg(CASE WHEN fan.host IS NULL THEN s ELSE '*' END, '/' ORDER BY d) AS template
+  FROM pt2 LEFT JOIN fan USING (host, d, parent) GROUP BY host, shape
+), lf AS (
+  SELECT host, template, sum(labelled) AS labelled, sum(bad) AS bad FROM sh JOIN tm USING (host, shape) GROUP BY ALL
+), pa AS (
+  SELECT host, template, labelled, bad, d, array_to_string(segs[1:d + 1], '/') AS branch, array_to_string(segs[1:d], '/') AS above
+  FROM (SELECT *, unnest(range(0, len(segs))) AS d FROM (SELECT *, string_split(template, '/') AS segs FROM lf))
+), br AS (SELECT host, d, above, branch, sum(labelled) AS n1, sum(bad) AS b1 FROM pa GROUP BY ALL),
+ts AS (
+  SELECT *, CAST(n0 - n1 AS DOUBLE) AS n2, CAST(b0 - b1 AS DOUBLE) AS b2
+  FROM br JOIN (SELECT host, d, above, sum(n1) AS n0, sum(b1) AS b0 FROM br GROUP BY ALL) USING (host, d, above)
+), df AS (
+  SELECT host, d, branch, n1, b1 FROM ts WHERE n1 > 0 AND n2 > 0 AND b0 > 0 AND b0 < n0
+    AND (b1 * n2 - b2 * n1) * (b1 * n2 - b2 * n1) * n0 >= 3.84::DOUBLE * b0 * (n0 - b0) * n1 * n2
+), dp AS (
+  SELECT host, template, arg_max(branch, d) AS branch, arg_max(n1, d) AS n1, arg_max(b1, d) AS b1
+  FROM pa JOIN df USING (host, d, branch) GROUP BY host, template
+), dc AS (
+  SELECT host, template AS leaf, coalesce(branch, '') AS template,
+    (coalesce(b1, bh) + 10::DOUBLE * ba / greatest(na, 1)) / (coalesce(n1, nh) + 10::DOUBLE) > 0.5 AS bad
+  FROM lf LEFT JOIN dp USING (host, template)
+    JOIN (SELECT host, sum(labelled) AS nh, sum(bad) AS bh FROM lf GROUP BY host) USING (host)
+    CROSS JOIN (SELECT sum(labelled) AS na, sum(bad) AS ba FROM lf)
+), jd AS (
+  SELECT page_id, host, path, dc.template AS template, bad,
+    CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+      WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+      WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+      WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM r JOIN tm USING (host, shape) JOIN dc ON dc.host = r.host AND dc.leaf = tm.template
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+  WHEN rule IS NOT NULL THEN 'allow' WHEN bad THEN 'block' ELSE 'allow' END AS verdict, template
+FROM jd
+"""
+
+
+@query("op4_url_filters", _URL_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = read(spark, sf_dir, "pages").select("page_id", "url"), read(spark, sf_dir, "labels")
+    # the corpus's pages are numbered after their documents, whose labels hold for them
+    host, path = urls.host_and_path(F.col("url"))
+    number = F.regexp_extract("path", "([0-9]+)[^0-9]*$", 1).try_cast("long")
+    bad = F.coalesce((F.col("quality") == 0) | (F.col("toxic") == 1), F.lit(False)).alias("bad")
+    labelled = pages.select(host.alias("host"), path.alias("path")).withColumn("doc", number)
+    labelled = labelled.join(labels.select("doc_id", bad), F.col("doc") == F.col("doc_id"))
+    return urls.judge(pages, labelled.select("host", "path", "bad"), RULES)
+
+
 @query("op7_simhash")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
