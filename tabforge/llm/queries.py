@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import htmltext, lines, packing, quality, sharding, simhash, urls, warc
+from tabforge.llm import decontaminate, htmltext, lines, packing, quality, sharding, simhash, urls, warc
 from tabforge.llm.common import read
 from tabforge.session import materialise, scratch_dir
 
@@ -134,6 +134,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, labelled.select("host", "path", "bad"), RULES)
 
 
+@query("op5_benchmark_decontamination")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query("op6_line_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.summary(read(spark, sf_dir, "documents").select("doc_id", "text"))
