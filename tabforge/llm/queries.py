@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import decontaminate, htmltext, lines, packing, quality, sharding, simhash, urls, warc
+from tabforge.llm import decontaminate, htmltext, lines, packing, quality, sharding, simhash, suffixes, urls, warc
 from tabforge.llm.common import read
 from tabforge.session import materialise, scratch_dir
 
@@ -51,6 +51,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_suffix_array_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicate(read(spark, sf_dir, "documents")).drop("runs")
+
+
 @query("op3_quality_rules")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     voted = quality.votes(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
