@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import packing, quality, simhash
+from tabforge.llm import decontaminate, lines, packing, quality, simhash
 from tabforge.llm.common import read
 from tabforge.llm.queries import tokenizer_file
 from tabforge.session import materialise
@@ -18,11 +18,22 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that repeat an earlier one or nearly do; ``n_chars`` follows the text."""
+    out = lines.clean(docs)
+    return out.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in out.columns])
+
+
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints: the one with the smallest id."""
     return simhash.representatives(docs)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any passage of the benchmark."""
+    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 4096 tokens."""
     return packing.pack_documents(docs, tokenizer_file())
@@ -30,11 +41,13 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
     ("simhash_dedup", simhash_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
     ("best_fit_packing", best_fit_packing),
 ]
 
-#: The stages weigh votes by EM, hash shingles and tokenise, none of which SQL expresses.
+#: The stages weigh votes by EM, hash shingles, align and tokenise, none of which SQL expresses.
 ORACLE_SQL = None
 
 
