@@ -19,6 +19,8 @@ from tabforge.llm.common import small_batches, with_columns
 
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_closed", "n_upper",
             "n_distinct"]
+#: Accuracy that every rule is trusted to have on good documents, and on those with the fault it looks for.
+LEAST_GOOD, LEAST_SEEN = 0.995, 0.9
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
 _CLOSERS = (".", "!", "?", '"', "'", ")", ":", ";", "…", "”", "»", "。")
 
@@ -96,39 +98,48 @@ def rules(f: str = "f") -> list[Rule]:
         rule("word_length", c["word_chars"] / words, lambda v: (v < 3) | (v > 12), lambda v: (v >= 4) & (v <= 8)),
         rule("symbols", c["n_symbols"] / words, lambda v: v > 0.2, lambda v: v < 0.05),
         rule("repeated_lines", c["n_dup_lines"] / lines, lambda v: v > 0.4, lambda v: v < 0.1),
-        rule("repeated_words", c["n_repeat_words"] / words, lambda v: v > 0.4, lambda v: v < 0.1),
+        rule("repeated_words", c["n_repeat_words"] / words, lambda v: v > 0.5, lambda v: v < 0.1),
         rule("upper_case", c["n_upper"] / words, lambda v: v > 0.4, lambda v: v < 0.1),
-        rule("open_lines", c["n_closed"] / lines, lambda v: v < 0.2, lambda v: v > 0.6),
+        rule("open_lines", c["n_closed"] / lines, lambda v: (v < 0.2) & (c["n_lines"] >= 3), lambda v: v > 0.6),
         rule("vocabulary", c["n_distinct"] / words, lambda v: (v < 0.1) & (c["n_words"] < 2000), lambda v: v > 0.3),
     ]
 
 
-def estimate(patterns: np.ndarray, counts: np.ndarray, prior: float = 0.8, rounds: int = 200, tol: float = 1e-9):
-    """EM over vote patterns.
+def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 300, tol: float = 1e-9):
+    """EM over vote patterns: what each document's votes say about it, and how often each rule is right.
 
-    ``patterns`` is patterns x rules of -1/0/1 and ``counts`` the documents of each. A rule that votes is right with a
-    probability of its own in either class; abstentions say nothing. Starting values: right on 90 % of good documents
-    and 30 % of bad ones, as rules look for different faults. Returns the probability of "good" for each pattern, the
-    accuracies on good and on bad documents, and the share of good documents.
+    ``patterns`` is patterns x rules of -1/0/1 and ``counts`` the documents of each. A good document is of one kind, a bad
+    one has a main fault, one kind for each rule. Given its kind, every rule that votes is right or wrong with a
+    probability of its own; abstentions say nothing. Votes alone can't tell a fault that comes without others from a
+    harmless whim, so two things are taken on trust: rules spare good documents (accuracy ``LEAST_GOOD`` or more) and see
+    their own fault (``LEAST_SEEN`` or more). Everything else is estimated. Returns the probability of "good" for
+    each pattern, the rules' accuracies on good and on bad documents, and the share of good documents.
     """
-    rules_n = patterns.shape[1]
-    on_good, on_bad = np.full(rules_n, 0.9), np.full(rules_n, 0.3)
-    good, bad, weight = patterns == 1, patterns == -1, counts.astype(float)
+    n = patterns.shape[1]
+    good, bad, weight = (patterns == 1).astype(float), (patterns == -1).astype(float), counts.astype(float)
+    says_good = np.full((n + 1, n), 0.9)  # by kind of document and rule; kind 0 is good
+    says_good[0] = LEAST_GOOD
+    own = np.arange(n)
+    says_good[own + 1, own] = 1 - LEAST_SEEN
+    share = np.r_[0.8, np.full(n, 0.2 / n)]
     posterior = np.zeros(len(patterns))
     for _ in range(rounds):
-        log_good = np.log(prior) + good @ np.log(on_good) + bad @ np.log1p(-on_good)
-        log_bad = np.log1p(-prior) + good @ np.log1p(-on_bad) + bad @ np.log(on_bad)
-        new = 1 / (1 + np.exp(np.clip(log_bad - log_good, -700, 700)))
-        done = np.abs(new - posterior).max(initial=0) < tol
-        posterior = new
+        score = np.log(share) + good @ np.log(says_good).T + bad @ np.log1p(-says_good).T
+        score -= score.max(axis=1, keepdims=True)
+        kind = np.exp(score)
+        kind /= kind.sum(axis=1, keepdims=True)
+        done = np.abs(kind[:, 0] - posterior).max(initial=0) < tol
+        posterior = kind[:, 0]
         if done:
             break
-        is_good, is_bad = weight * posterior, weight * (1 - posterior)
-        # Beta(9, 1) and Beta(1, 2) priors keep the classes apart and the accuracies inside (0, 1)
-        on_good = (is_good @ good + 9) / (is_good @ (good | bad) + 10)
-        on_bad = (is_bad @ bad + 1) / (is_bad @ (good | bad) + 3)
-        prior = float((is_good.sum() + 8) / (weight.sum() + 10))
-    return posterior, on_good, on_bad, prior
+        mass = kind * weight[:, None]
+        # Beta(9, 1) priors keep the probabilities inside (0, 1)
+        says_good = (mass.T @ good + 9) / (mass.T @ (good + bad) + 10)
+        says_good[0] = np.maximum(says_good[0], LEAST_GOOD)
+        says_good[own + 1, own] = np.minimum(says_good[own + 1, own], 1 - LEAST_SEEN)
+        share = (mass.sum(axis=0) + 1) / (weight.sum() + n + 1)
+    faulty = share[1:] / share[1:].sum()
+    return posterior, says_good[0], 1 - faulty @ says_good[1:], float(share[0])
 
 
 def votes(df: DataFrame, text: str = "text") -> DataFrame:
