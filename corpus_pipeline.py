@@ -13,9 +13,10 @@ from tabforge.session import materialise
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base check and the weighed votes of the quality rules keep."""
-    voted = materialise(quality.votes(docs), "votes")
-    judged = quality.judge(voted, quality.posteriors(voted))
-    return judged.where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # the row goes along as one column, so that no name in it can clash
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("text"))
+    voted = materialise(quality.votes(rows).drop("text"), "votes")
+    return quality.judge(voted, quality.posteriors(voted)).where("kept").select("__row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
