@@ -1,4 +1,4 @@
-"""Time the headline queries: one JSON line with seconds per query, the second run of the short ones.
+"""Time the headline queries: one JSON line with seconds per query, the second run of each.
 
 Environment: BENCH_SF_DIR (default sf0.1), BENCH_CPUS (default 8), BENCH_QUERIES (comma list).
 """
@@ -27,9 +27,6 @@ HEADLINE = [
     "stream_volume", "stream_psi", "stream_score", "stream_lags",
 ]
 
-LONG = 8.0
-
-
 def run(fn, spark, sf_dir: str) -> float:
     begun = time.perf_counter()
     fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -44,9 +41,8 @@ def main() -> None:
     spark.sparkContext.setLogLevel("OFF")
     seconds = {}
     for name in names:
-        first = run(QUERIES[name], spark, sf_dir)
-        # a long query is its own warm-up, but for the first one, which starts everything up
-        seconds[name] = round(first if first > LONG and seconds else run(QUERIES[name], spark, sf_dir), 3)
+        run(QUERIES[name], spark, sf_dir)  # warm-up, the same for every query
+        seconds[name] = round(run(QUERIES[name], spark, sf_dir), 3)
         print(name, seconds[name], file=sys.stderr)
     print(
         json.dumps(

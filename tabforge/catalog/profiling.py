@@ -168,11 +168,12 @@ def categorical_top_segment(spark, sf_dir):
     union_sql(
         ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
         "SELECT '{c}' AS \"column\", count(*) AS n_unique, CASE "
-        "WHEN count(*) = sum(n) THEN 'unique per row: drop from features (ID-like)' "
-        "WHEN count(*) > 50 THEN 'high cardinality: target/frequency encoding or hashing, not one-hot' "
+        "WHEN count(*) = sum(n) THEN 'row_id' "
+        "WHEN count(*) > 50 THEN 'hash_or_frequency' "
         "WHEN count(*) FILTER (WHERE n < 0.01 * total) > 0 THEN "
-        "(count(*) FILTER (WHERE n < 0.01 * total)) || ' rare level(s) <1%: group into ''Other''' "
-        "ELSE 'low cardinality: one-hot encoding is fine' END AS advice "
+        "'pool_rare' "
+        "ELSE 'one_hot' END AS advice, CASE WHEN count(*) <> sum(n) AND count(*) <= 50 AND count(*) FILTER (WHERE n < 0.01 * total) > 0 "
+        "THEN count(*) FILTER (WHERE n < 0.01 * total) END AS n_rare "
         "FROM (SELECT {c} AS v, count(*) AS n, (SELECT count(*) FROM part) AS total FROM part GROUP BY 1)",
     ),
 )

@@ -89,9 +89,9 @@ def correlation_matrix(df: DataFrame, exclude: Sequence[str] = (), k: int | None
 
 
 def numeric_vs_target(
-    df: DataFrame, target: str, task: str, k: int | None = 8, digits: int | None = 3
+    df: DataFrame, target: str, task: str, k: int | None = None, digits: int | None = 3
 ) -> DataFrame:
-    """First k numeric features: mean per class (a NULL class is kept), or correlation for regression."""
+    """Numeric features (the first k if given): mean per class (a NULL class is kept), or correlation for regression."""
     df = nan_to_null(df)
     names = first_columns(numeric_columns(df, [target]), k)
     if task.startswith("classification"):

@@ -81,7 +81,7 @@ def histograms(df: DataFrame, exclude: Sequence[str] = (), k: int | None = None,
 
 
 def boxplot_stats(
-    df: DataFrame, exclude: Sequence[str] = (), k: int | None = 4, approx: bool = False, task_rows: int = TASK_ROWS
+    df: DataFrame, exclude: Sequence[str] = (), k: int | None = None, approx: bool = False, task_rows: int = TASK_ROWS
 ) -> DataFrame:
     """Quartiles, whiskers at the last value within 1.5 interquartile ranges, and outlier count."""
     df = nan_to_null(df)
@@ -119,6 +119,8 @@ def target_distribution(df: DataFrame, target: str, task: str, bins: int = 50) -
 def _grid(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
     """Counts over a 2-D grid of equal bins, as ``x_bin, y_bin, x_lo, y_lo, n``."""
     ranges = _ranges(df, [x, y])
+    if x not in ranges or y not in ranges:
+        return df.sparkSession.createDataFrame([], "x_bin int, y_bin int, x_lo double, y_lo double, n long")
     parts = []
     for c in (x, y):
         low, high = ranges[c]

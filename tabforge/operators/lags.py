@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from tabforge.functions import dates
 from tabforge.functions.calendar import join_holidays
 from tabforge.functions.columns import col, flat_columns, nan_to_null, timestamp_of
-from tabforge.plans.ordering import TASK_ROWS, sort_keys, with_global_rank
+from tabforge.plans.ordering import TASK_ROWS, TIE, sort_keys, with_global_rank, with_tie
 
 ROLLING_STATS = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
 
@@ -116,9 +116,10 @@ def add_lag_features(
     """
     unknown = sorted(set(rolling_stats) - set(ROLLING_STATS))
     if unknown:
-        raise ValueError(f"Unsupported rolling stats {unknown}. Use any of {sorted(ROLLING_STATS)}")
+        raise ValueError(f"No rolling statistic named {', '.join(unknown)}; there are {', '.join(sorted(ROLLING_STATS))}")
     df = nan_to_null(df).withColumn(date, timestamp_of(df, date, formats)).where(col(date).isNotNull())
-    order = [date, *tie]
+    # rows of equal date and tie still need one fixed order
+    df, order = with_tie(df, [date, *tie])
     reach = max([0, *n_lags, *rolling_windows]) + (1 if safe_lag_diffs else 0)
     keys = [col(s) for s in series]
 
@@ -141,6 +142,7 @@ def add_lag_features(
         out = _lag_columns(blocks, target, w, n_lags, rolling_windows, rolling_stats, lag_diffs, safe_lag_diffs, prefix)
         out = out.where("__block = __home").drop("__i", "__home", "__block")
 
+    out = out.drop(TIE)
     if date_parts:
         out = add_datetime_features(out, date, "", cyclical, holiday_country, holiday_subdiv, calendar)
     if strict:

@@ -18,10 +18,18 @@ from tabforge.plans.quantiles import exact_quantiles
 
 
 def confusion_counts(df: DataFrame, y: str, pred: str, by: Sequence[str] = ()) -> DataFrame:
-    """``by..., actual, predicted, n`` with the prediction cast to the target's type."""
+    """``by..., actual, predicted, n`` with the prediction cast to the target's type.
+
+    A fraction is no prediction of a whole-numbered class, so it is an error and not rounded to one.
+    """
     dtype = field_type(df, y)
+    fractions = (T.FloatType, T.DoubleType, T.DecimalType)
+    guess = col(pred).cast(dtype)
+    if isinstance(dtype, T.IntegralType) and isinstance(field_type(df, pred), fractions):
+        whole = col(pred).isNull() | F.isnan(col(pred).cast("double")) | (col(pred) == F.floor(col(pred)))
+        guess = F.when(whole, guess).otherwise(F.raise_error(F.lit(f"{pred} holds fractions, but {y} whole classes")))
     return (
-        df.select(*[col(b) for b in by], col(y).alias("actual"), col(pred).cast(dtype).alias("predicted"))
+        df.select(*[col(b) for b in by], col(y).alias("actual"), guess.alias("predicted"))
         .where("actual IS NOT NULL AND predicted IS NOT NULL")
         .groupBy(*[col(b) for b in by], "actual", "predicted")
         .agg(F.count(F.lit(1)).alias("n"))

@@ -67,8 +67,9 @@ def _logistic(params, facts: TrainingFacts):
     return LogisticRegression(regParam=1.0 / (c * max(facts.n_rows, 1)), standardization=False, **s)
 
 
+# solver "auto": the normal equation up to 4,096 features, L-BFGS beyond, so width is no limit
 def _linear(params, _facts: TrainingFacts):
-    return LinearRegression(solver="normal", **_settings(params, {"fit_intercept": "fitIntercept"}, {}))
+    return LinearRegression(**_settings(params, {"fit_intercept": "fitIntercept"}, {}))
 
 
 def _ridge(params, facts: TrainingFacts):
@@ -76,7 +77,7 @@ def _ridge(params, facts: TrainingFacts):
     alpha = s.pop("alpha")
     # the estimator scales the target by its deviation before it applies the penalty
     penalty = alpha / max(facts.n_rows, 1) * facts.target_std
-    return LinearRegression(solver="normal", elasticNetParam=0.0, standardization=False, regParam=penalty, **s)
+    return LinearRegression(elasticNetParam=0.0, standardization=False, regParam=penalty, **s)
 
 
 def _forest(cls, subset: str):
@@ -143,7 +144,7 @@ def build_model(
     """The estimator of a name in the task's family, reading ``features`` and the internal label."""
     table = model_registry(task)
     if name not in table:
-        raise ValueError(f"Unknown model type {name!r}. Available: {list(table)}")
+        raise ValueError(f"No {task} model is named {name!r}; there are {', '.join(table)}")
     return table[name](dict(params or {}), facts)
 
 

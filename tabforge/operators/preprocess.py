@@ -152,9 +152,17 @@ def fitted_levels(
 
 def pool_rare_levels(df: DataFrame, column: str, min_frequency: float = 0.01) -> DataFrame:
     """Replace levels with a smaller share of the present rows by ``__infrequent__``."""
-    _kept, rare = fitted_levels(df, [column], min_frequency)[column]
     value = col(column).cast("string")
-    return df.withColumn(column, F.when(value.isin(rare), INFREQUENT).otherwise(value) if rare else value)
+    counts = df.where(value.isNotNull()).groupBy(value.alias("__level")).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.agg(F.sum("__n")).first()[0] or 0
+    # the levels stay a table, however many there are: the kept ones are 1 / min_frequency at most
+    kept = counts.where(F.col("__n") >= min_frequency * total).select("__level")
+    if min_frequency >= 1e-4:
+        kept = F.broadcast(kept)
+    names = df.columns
+    joined = df.withColumn("__value", value).join(kept, F.col("__value") == F.col("__level"), "left")
+    pooled = F.when(F.col("__value").isNotNull() & F.col("__level").isNull(), INFREQUENT).otherwise(F.col("__value"))
+    return joined.withColumn(column, pooled).select(*[col(c) for c in names])
 
 
 def one_hot(df: DataFrame, column: str, levels: Sequence[str] | None = None) -> DataFrame:

@@ -72,7 +72,7 @@ def quality_flags(
             )
         ).alias("flag"),
     ).select("flag", F.col("column").alias("value"))
-    given = [("leak_suspects", c) for c in leak] + [("multicollinear", p) for p in list(pairs)[:6]]
+    given = [("leak_suspects", c) for c in leak] + [("multicollinear", p) for p in pairs]
     given += [(k, v) for k, v in (("task", task), ("target", target)) if v is not None]
     return dup.unionByName(per_column).unionByName(spark.createDataFrame(given, "flag string, value string"))
 
@@ -97,7 +97,8 @@ def run_universal_eda(
     # O(columns) rows each; they feed the flags as text
     leak = [r.column for r in bivariate.leakage_suspects(correlations).collect()] if known else []
     pairs = bivariate.multicollinear_pairs(df, exclude=skip)
-    listed = [f"{r.a}~{r.b}={r.r}" for r in pairs.limit(6).collect()]
+    place = {c: i for i, c in enumerate(df.columns)}  # in column order, as the rows come in none
+    listed = [f"{r.a}~{r.b}={r.r}" for r in sorted(pairs.collect(), key=lambda r: (place[r.a], place[r.b]))]
     return {
         "n_rows": df.count(),
         "n_columns": len(df.columns),

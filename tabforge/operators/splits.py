@@ -11,15 +11,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tabforge.functions.columns import col, field_type
-from tabforge.plans.ordering import TASK_ROWS, order_cuts, segment_number
+from tabforge.functions.columns import col
+from tabforge.plans.ordering import TASK_ROWS, TIE, order_cuts, running_totals, segment_number, with_global_rank, with_tie
+from tabforge.session import materialise
 
-MAX_CLASSES = 100_000
 _ALL = "g"  # above every hexadecimal digit
 _HASH = "__hash"
 
@@ -43,90 +44,81 @@ def _hash_label(h: Column, shares: Sequence[tuple[str, float]], rest: str) -> Co
     return out.otherwise(rest)
 
 
-def allocate(counts: dict, total: int) -> dict:
-    """Split ``total`` over classes in proportion to their counts, largest remainders first."""
-    n = sum(counts.values())
-    if not n:
-        return dict.fromkeys(counts, 0)
-    out = {c: k * total // n for c, k in counts.items()}
-    by_remainder = sorted(counts, key=lambda c: (-(counts[c] * total % n), c is not None, c))
-    for c in by_remainder[: total - sum(out.values())]:
-        out[c] += 1
-    return out
+def _classes(df: DataFrame, y: str | None) -> DataFrame:
+    """``y, n``: rows per class as a written table, so that a column may have any number of classes."""
+    label = col(y) if y is not None else F.lit(0)
+    return materialise(df.groupBy(label.alias("y")).agg(F.count(F.lit(1)).alias("n")), "classes")
 
 
-def _class_counts(df: DataFrame, y: str | None) -> dict:
-    """Rows per class: one row per class on the driver, so a column with too many is refused."""
-    if y is None:
-        return {None: df.count()}
-    rows = df.groupBy(col(y)).count().limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"Cannot stratify by {y!r}: it has more than {MAX_CLASSES} classes")
-    return {r[0]: r[1] for r in rows}
+def _allot(classes: DataFrame, total: int, of: str, name: str) -> DataFrame:
+    """Add ``name``: ``total`` dealt over the classes in proportion to ``of``, largest remainders first."""
+    rows, n = classes.agg(F.count(F.lit(1)), F.sum(of)).first()
+    if not n:
+        return classes.withColumn(name, F.lit(0).cast("long"))
+    share = f"cast({of} as decimal(38, 0)) * {total}"
+    dealt = classes.withColumns(
+        {name: F.expr(f"cast({share} div {n} as long)"), "__less": F.expr(f"-cast({share} % {n} as long)")}
+    )
+    over = total - dealt.agg(F.sum(name)).first()[0]
+    ranked = with_global_rank(dealt, ["__less", "y"], "__place", n_rows=rows)
+    return ranked.withColumn(name, F.col(name) + (F.col("__place") <= over).cast("long")).drop("__less", "__place")
 
 
-def _hash_cuts(df: DataFrame, key, seed: int, y: str | None, ranks: dict, n_rows: int, task_rows: int) -> dict:
-    """Per class the hash of the rows at the given 1-based ranks in hash order.
+def _hash_cuts(df: DataFrame, key, seed: int, y: str | None, ranks: DataFrame, task_rows: int) -> DataFrame:
+    """``y, cut, h``: per class the hash of the rows at the given 1-based ranks in hash order.
 
-    Rows are counted per leading hash digits first; only the few digit groups that hold a wanted
-    rank are sorted. The hash is uniform, so those groups are small whatever the class sizes.
+    Rows are counted per leading hash digits first; only the digit groups that hold a wanted rank
+    are sorted, once each. The hash is uniform, so those groups are small whatever the class sizes.
     """
-    digits = 0 if n_rows <= task_rows else min(8, math.ceil(math.log(n_rows / task_rows, 16)) + 1)
+    largest = ranks.agg(F.max("n")).first()[0] or 0
+    digits = 1 if largest <= task_rows else min(8, math.ceil(math.log(largest / task_rows, 16)) + 1)
     h = key_hash(key, seed)
     label = col(y) if y is not None else F.lit(0)
     hashed = df.select(label.alias("y"), h.alias("h"), F.substring(h, 1, digits).alias("lead"))
-    dtype = field_type(df, y).simpleString() if y is not None else "int"
-    spark = df.sparkSession
-    wanted = [(c if y is not None else 0, i, k) for c, ks in ranks.items() for i, k in enumerate(ks) if k > 0]
-    if not wanted:
-        return {}
-    cuts = F.broadcast(spark.createDataFrame(wanted, f"cy {dtype}, cut int, k long"))
-    if digits:
-        counts = hashed.groupBy("y", "lead").agg(F.count(F.lit(1)).alias("n"))
-        upto = F.sum("n").over(W.partitionBy("y").orderBy("lead"))
-        at = (
-            counts.withColumn("upto", upto)
-            .join(cuts, F.col("y").eqNullSafe(F.col("cy")))
-            .where("k > upto - n AND k <= upto")
-            .select("cy", "cut", (F.col("k") - F.col("upto") + F.col("n")).alias("k"), F.col("lead").alias("clead"))
-            .collect()
-        )
-        cuts = F.broadcast(spark.createDataFrame(at, f"cy {dtype}, cut int, k long, clead string"))
-        some = hashed.join(cuts, F.col("y").eqNullSafe(F.col("cy")) & (F.col("lead") == F.col("clead")))
-    else:
-        some = hashed.join(cuts, F.col("y").eqNullSafe(F.col("cy")))
-    ranked = some.withColumn("rn", F.row_number().over(W.partitionBy("cy", "cut").orderBy("h")))
-    return {(r.cy if y is not None else None, r.cut): r.h for r in ranked.where("rn = k").select("cy", "cut", "h").collect()}
+    wanted = ranks.select(F.col("y").alias("cy"), F.posexplode("ks").alias("cut", "k")).where("k > 0")
+    upto = F.sum("n").over(W.partitionBy("y").orderBy("lead"))
+    counts = hashed.groupBy("y", "lead").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto)
+    at = counts.join(wanted, F.col("y").eqNullSafe(F.col("cy"))).where("k > upto - n AND k <= upto")
+    at = at.select("cy", "cut", (F.col("k") - F.col("upto") + F.col("n")).alias("k"), F.col("lead").alias("clead"))
+    at = materialise(at, "cut-groups")
+    same = F.col("y").eqNullSafe(F.col("cy")) & (F.col("lead") == F.col("clead"))
+    some = hashed.join(at, same, "left_semi")
+    ranked = some.withColumn("rn", F.row_number().over(W.partitionBy("y", "lead").orderBy("h")))
+    return ranked.join(at, same & (F.col("rn") == F.col("k"))).select("y", "cut", "h")
 
 
 def _exact_number(
-    df: DataFrame, key, seed: int, y: str | None, sizes: Callable[[dict], dict], name: str, task_rows: int
+    df: DataFrame, key, seed: int, y: str | None, sizes: Callable[[DataFrame], DataFrame], name: str, task_rows: int
 ) -> DataFrame:
     """Add ``name`` = how many of its class's cuts a row's hash is above.
 
-    ``sizes(class counts)`` gives, per class, the cumulative rank of each cut.
+    ``sizes`` adds ``ks``, the cumulative rank of each cut, to the table of classes.
     """
-    counts = _class_counts(df, y)
-    ranks = sizes(counts)
-    found = _hash_cuts(df, key, seed, y, ranks, sum(counts.values()), task_rows)
-    h = key_hash(key, seed)
-
-    def levels(c) -> list[str]:
-        return [found.get((c, i), _ALL) if k > 0 else "" for i, k in enumerate(ranks[c])]
+    ranks = materialise(sizes(_classes(df, y)).select("y", "n", "ks"), "ranks")
+    found = _hash_cuts(df, key, seed, y, ranks, task_rows).groupBy("y")
+    found = found.agg(F.map_from_entries(F.collect_list(F.struct("cut", "h"))).alias("found"))
+    found = found.withColumnRenamed("y", "fy")
+    joined = ranks.join(found, F.col("y").eqNullSafe(F.col("fy")), "left")
+    cut = F.transform("ks", lambda k, i: F.when(k > 0, F.coalesce(F.col("found")[i], F.lit(_ALL))).otherwise(""))
+    levels = materialise(joined.select(F.col("y").alias("__cy"), cut.alias("__cuts")), "levels")
 
     def above(values) -> Column:
         return F.size(F.filter(values, lambda t: F.col(_HASH) > t))
 
-    hashed = df.withColumn(_HASH, h)
+    hashed = df.withColumn(_HASH, key_hash(key, seed))
     if y is None:
-        return hashed.withColumn(name, above(F.array(*[F.lit(v) for v in levels(None)]))).drop(_HASH)
-    dtype = field_type(df, y).simpleString()
-    table = df.sparkSession.createDataFrame([(c, levels(c)) for c in counts], f"__cy {dtype}, __cuts array<string>")
-    # one row per class, already counted on the driver
-    joined = hashed.join(F.broadcast(table), col(y).eqNullSafe(F.col("__cy")), "left")
+        only = levels.first()
+        values = F.array(*[F.lit(v) for v in only["__cuts"]]) if only and only["__cuts"] else F.array().cast("array<string>")
+        return hashed.withColumn(name, above(values)).drop(_HASH)
+    # a row a class: broadcast while the table is small, shuffled beyond
+    joined = hashed.join(levels, col(y).eqNullSafe(F.col("__cy")), "left")
     return joined.withColumn(name, above(F.col("__cuts"))).drop(_HASH, "__cy", "__cuts")
 
 
+def _rows(classes: DataFrame) -> int:
+    return classes.agg(F.sum("n")).first()[0] or 0
+
+
 def split_two_way(
     df: DataFrame,
     key: str | Sequence[str],
@@ -144,9 +136,9 @@ def split_two_way(
     if mode == "hash":
         return df.withColumn("split", _hash_label(key_hash(key, seed), [("test", test_size)], "train"))
 
-    def sizes(counts):
-        test = allocate(counts, math.ceil(test_size * sum(counts.values())))
-        return {c: [test[c]] for c in counts}
+    def sizes(classes):
+        out = _allot(classes, math.ceil(test_size * _rows(classes)), "n", "test")
+        return out.withColumn("ks", F.array("test"))
 
     out = _exact_number(df, key, seed, stratify, sizes, "split", task_rows)
     return out.withColumn("split", F.when(F.col("split") == 0, "test").otherwise("train"))
@@ -167,11 +159,12 @@ def split_three_way(
         shares = [("test", test_size), ("val", val_size)]
         return df.withColumn("split", _hash_label(key_hash(key, seed), shares, "train"))
 
-    def sizes(counts):
-        test = allocate(counts, math.ceil(test_size * sum(counts.values())))
-        left = {c: counts[c] - test[c] for c in counts}
-        val = allocate(left, math.ceil(val_size / (1 - test_size) * sum(left.values())))
-        return {c: [test[c], test[c] + val[c]] for c in counts}
+    def sizes(classes):
+        n = _rows(classes)
+        n_test = math.ceil(test_size * n)
+        out = _allot(classes, n_test, "n", "test").withColumn("left", F.col("n") - F.col("test"))
+        out = _allot(materialise(out, "test-sizes"), math.ceil(val_size / (1 - test_size) * (n - n_test)), "left", "val")
+        return out.withColumn("ks", F.array(F.col("test"), F.col("test") + F.col("val")))
 
     out = _exact_number(df, key, seed, stratify, sizes, "split", task_rows)
     return out.withColumn(
@@ -186,8 +179,12 @@ def split_chronological(
     val_size: float = 0.2,
     task_rows: int = TASK_ROWS,
 ) -> DataFrame:
-    """Add ``split`` by position in ``order``: train, then ``int(n*val)`` rows, then ``int(n*test)`` rows."""
+    """Add ``split`` by position in ``order``: train, then ``int(n*val)`` rows, then ``int(n*test)`` rows.
+
+    Rows of equal keys are put in a fixed order of their own, so the sizes hold whatever the ties.
+    """
     n = df.count()
+    df, order = with_tie(df, order)
     n_test, n_val = int(n * test_size), int(n * val_size)
     starts = [n - n_val - n_test, n - n_test]
     cuts = order_cuts(df, order, starts, n, task_rows)
@@ -195,7 +192,7 @@ def split_chronological(
     names = ["train"] + (["val"] if n_val else []) + (["test"] if n_test else [])
     if not n_val and n_test:
         number = segment_number(df, order, [cuts[starts[1]]])
-    return df.withColumn("split", F.element_at(F.array(*[F.lit(x) for x in names]), number + 1))
+    return df.withColumn("split", F.element_at(F.array(*[F.lit(x) for x in names]), number + 1)).drop(TIE)
 
 
 def split_last(
@@ -205,12 +202,10 @@ def split_last(
     n = df.count()
     start = n - max(1, int(n * test_size))
     if start <= 0:
-        raise ValueError(
-            "Not enough rows left after building lag/rolling features to leave any training data: "
-            "use fewer lags or shorter windows, a smaller test_size, or more history"
-        )
+        raise ValueError(f"{n} rows leave nothing to train on beside {n - start} test rows")
+    df, order = with_tie(df, order)
     cut = order_cuts(df, order, [start], n, task_rows)[start]
-    return df.withColumn("split", F.when(segment_number(df, order, [cut]) == 1, "test").otherwise("train"))
+    return df.withColumn("split", F.when(segment_number(df, order, [cut]) == 1, "test").otherwise("train")).drop(TIE)
 
 
 def assign_folds(
@@ -236,8 +231,9 @@ def assign_folds(
         if size == 0:
             raise ValueError(f"Cannot make {folds} folds from {n} rows")
         starts = [n - (folds - i) * size for i in range(folds)]
+        df, order = with_tie(df, order)
         cuts = order_cuts(df, order, starts, n, task_rows)
-        return df.withColumn("fold", segment_number(df, order, [cuts[s] for s in starts]).cast("int"))
+        return df.withColumn("fold", segment_number(df, order, [cuts[s] for s in starts]).cast("int")).drop(TIE)
     if task == "classification" and not target:
         raise ValueError("classification folds need a target")
     if not shuffle and task != "classification":
@@ -248,18 +244,19 @@ def assign_folds(
         for i in range(folds - 1):
             at += n // folds + (1 if i < n % folds else 0)
             starts.append(at)
+        df, order = with_tie(df, order)
         cuts = order_cuts(df, order, starts, n, task_rows)
-        return df.withColumn("fold", (segment_number(df, order, [cuts[s] for s in starts if s in cuts]) + 1).cast("int"))
+        number = segment_number(df, order, [cuts[s] for s in starts if s in cuts]) + 1
+        return df.withColumn("fold", number.cast("int")).drop(TIE)
 
-    def sizes(counts):
-        out, turn = {}, 0
+    def sizes(classes):
         # the extra rows of a class go on where those of the class before stopped
-        for c in sorted(counts, key=lambda v: (v is not None, v)):
-            whole, extra = divmod(counts[c], folds)
-            per_fold = [whole + (1 if (i - turn) % folds < extra else 0) for i in range(folds)]
-            turn = (turn + extra) % folds
-            out[c] = [sum(per_fold[: i + 1]) for i in range(folds - 1)]
-        return out
+        out = classes.withColumns({"extra": F.col("n") % folds, "whole": F.expr(f"n div {folds}")})
+        out = running_totals(out, "y", ["extra"])
+        turn = F.col("upto_extra") - F.col("extra")
+        held = [F.col("whole") + (F.pmod(F.lit(i) - turn, F.lit(folds)) < F.col("extra")).cast("long") for i in range(folds)]
+        upto = [reduce(lambda a, b: a + b, held[: i + 1]) for i in range(folds - 1)]
+        return out.withColumn("ks", F.array(*upto) if upto else F.array().cast("array<long>"))
 
     out = _exact_number(df, key, seed, target if task == "classification" else None, sizes, "fold", task_rows)
     return out.withColumn("fold", (F.col("fold") + 1).cast("int"))

@@ -21,7 +21,7 @@ from tabforge.functions.columns import (
     timestamp_of,
 )
 from tabforge.plans.aggregates import aggregate_cells, numeric_cells, union_all
-from tabforge.plans.ordering import order_cuts, running_totals, segment_number, with_previous
+from tabforge.plans.ordering import order_cuts, running_totals, segment_number, with_previous, with_tie
 from tabforge.plans.quantiles import TASK_ROWS
 
 PERIODS = {"day": "interval 1 day", "week": "interval 7 days", "month": "interval 1 month",
@@ -56,7 +56,7 @@ def detect_datetime_columns(
     df: DataFrame,
     forced: str | None = None,
     formats: Sequence[str] = (),
-    sample: int | None = 200,
+    sample: int | None = None,
     order: Sequence[str] = (),
 ) -> list[str]:
     """A forced column if it exists; else timestamp columns, then text columns that parse to over 90 %."""
@@ -218,12 +218,12 @@ def time_quartile_means(
     date: str,
     target: str,
     tie: Sequence[str] = (),
-    k: int = 4,
+    k: int | None = None,
     buckets: int = 4,
     digits: int | None = None,
     task_rows: int = TASK_ROWS,
 ) -> DataFrame:
-    """Mean of the target and of the first k numeric columns per equal-count stretch of time.
+    """Mean of the target and of the first k (all by default) numeric columns per equal-count stretch of time.
 
     The stretches are cut at the ranks where a quantile cut of the ranks puts them; the cuts are
     found without sorting the table and applied as literals.
@@ -231,7 +231,7 @@ def time_quartile_means(
     df = nan_to_null(df)
     dated = df.where(col(date).isNotNull())
     n = dated.count()
-    order = [date, *tie]
+    dated, order = with_tie(dated, [date, *tie])
     ranks = [q * (n - 1) // buckets + 1 for q in range(1, buckets)]
     cuts = order_cuts(dated, order, ranks, n, task_rows)
     numeric = first_columns(numeric_columns(df, [target]), k)

@@ -23,6 +23,7 @@ TASK_ROWS = 2_000_000
 MAX_BUCKETS = 4096
 _SAMPLE_PER_BUCKET = 20
 _BUCKET = "__bucket"
+TIE = "__tie"
 
 
 def sort_keys(df: DataFrame, order: Sequence[str]) -> list[Column]:
@@ -49,6 +50,18 @@ def _text_rows(frame: DataFrame) -> list[tuple]:
     return [tuple(r) for r in frame.select(*[F.col(c).cast("string") for c in frame.columns]).collect()]
 
 
+def with_tie(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with a hash of the whole row in ``TIE``, and ``order`` with it as the last key.
+
+    It gives rows of equal keys a fixed order that survives a retry, so that a hot key can be cut. Only rows that are
+    equal in every column stay together.
+    """
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    plain = [col(f.name) for f in df.schema if not isinstance(f.dataType, nested)]
+    deep = [F.to_json(F.struct(col(f.name))) for f in df.schema if isinstance(f.dataType, nested)]
+    return df.withColumn(TIE, F.xxhash64(*plain, *deep)), [*order, TIE]
+
+
 class RangeBuckets:
     """A frozen mapping of the order key to bucket numbers 0, 1, ... in key order."""
 

@@ -23,7 +23,9 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The table, or an empty one before the first append."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -88,7 +90,7 @@ def production_run(spark: SparkSession, root: str, name: str = "production"):
     """The promoted run's row; FileNotFoundError when nothing was promoted."""
     current = latest(promotions(spark, root)).where(F.col("name") == name).first()
     if current is None:
-        raise FileNotFoundError(f"No promoted model in {root}")
+        raise FileNotFoundError(f"Nothing is promoted as {name!r} under {root}")
     return runs(spark, root).where(F.col("run_id") == current.run_id).first()
 
 

@@ -23,12 +23,12 @@ def resolve_format(path: str, format: str | None = None) -> str:
     """The format given, or the one the path's ending names (in any case)."""
     if format:
         if format not in FORMATS:
-            raise ValueError(f"Unsupported format {format!r}. Use one of {sorted(FORMATS)}")
+            raise ValueError(f"Tables of format {format!r} can't be read; known are {', '.join(sorted(FORMATS))}")
         return format
     ending = path.rstrip("/").rsplit("/", 1)[-1].rpartition(".")[2].lower()
     if ending in FORMATS:
         return ending
-    raise ValueError(f"Could not infer format from {path!r}; pass format explicitly (one of {sorted(FORMATS)})")
+    raise ValueError(f"The ending of {path!r} names no known format; give one of {', '.join(sorted(FORMATS))}")
 
 
 def infer_types(df: DataFrame) -> T.StructType:
@@ -62,19 +62,24 @@ def infer_types(df: DataFrame) -> T.StructType:
 
 
 def read_table(
-    spark: SparkSession, path: str, format: str | None = None, schema: T.StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    format: str | None = None,
+    schema: T.StructType | str | None = None,
+    line_breaks: bool = True,
 ) -> DataFrame:
     """A csv (header, quoted fields, missing-value tokens) or parquet table from any path Spark reads.
 
     A csv without a ``schema`` is read twice: once to find the types, once for the data. Pass one
-    for a large table.
+    for a large table. Quoted fields may hold line breaks, for which a file is read by one task;
+    ``line_breaks=False`` promises that none do, so that large files are split.
     """
     if resolve_format(path, format) == "parquet":
         return nan_to_null(spark.read.parquet(path))
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema]) if schema is not None else None
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", False)
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", line_breaks)
     raw = reader.schema(text_schema).csv(path) if text_schema is not None else reader.csv(path)
     text = raw.select(*[F.when(~col(c).isin(NA_TOKENS), col(c)).alias(c) for c in raw.columns])
     schema = schema or infer_types(text)
@@ -109,9 +114,9 @@ def load_data(
 ) -> DataFrame:
     """Load a named kind of source; ``file`` is the only one and needs a path."""
     if source != "file":
-        raise ValueError(f"Unknown data source: {source!r}")
+        raise ValueError(f"No such kind of source: {source!r}")
     if not path:
-        raise ValueError("path must be set when source is 'file'")
+        raise ValueError("a file source needs a path")
     return read_table(spark, path, format, schema)
 
 

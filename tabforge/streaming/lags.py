@@ -136,7 +136,7 @@ def stream_lag_features(
         raise ValueError(f"set spark.sql.streaming.stateStore.providerClass to {ROCKSDB}")
     unknown = sorted(set(rolling_stats) - set(ROLLING_STATS))
     if unknown:
-        raise ValueError(f"Unsupported rolling stats {unknown}. Use any of {sorted(ROLLING_STATS)}")
+        raise ValueError(f"No rolling statistic named {', '.join(unknown)}; there are {', '.join(sorted(ROLLING_STATS))}")
     timed = with_event_time(stream.where(col(date).isNotNull()), date, delay)
     # plain names: the rows reach Python as named tuples, which rename leading underscores
     rows = timed.select(
