@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import bisect
 import zlib
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -17,73 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import small_batches
-from tabforge.session import materialise
-
-#: Words whose ids a Python worker remembers; it starts afresh when there are more.
-CACHE_WORDS = 1_000_000
-
-_ENCODERS: dict[str, Callable[[list[str]], list[bytes]]] = {}
-
-
-def id_encoder(tokenizer_file: str) -> Callable[[list[str]], list[bytes]]:
-    """Texts to their ids as little-endian unsigned 32-bit values.
-
-    The tokenizer drops white space and never merges across it, so a text's ids are those of its words in turn, and a word
-    that was seen before costs one lookup. Special strings hold no white space either.
-    """
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(tokenizer_file)
-    vocab = tokenizer.get_vocab()
-    last = np.zeros(max(vocab.values()) + 1, bool)  # tokens that end a word
-    last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-    seen: dict[str, bytes] = {}
-    get = seen.get
-
-    def plain(word: str) -> bool:
-        return word.isalpha() and max(word) < "\u0100"
-
-    def ids(words: list[str]) -> None:
-        # words of plain letters stay whole, so many go in one call and are told apart by their last tokens
-        whole, rest = [w for w in words if plain(w)], [w for w in words if not plain(w)]
-        for at in range(0, len(whole), 256):
-            some = whole[at : at + 256]
-            found = np.array(tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            raw, ends = found.tobytes(), (4 * (np.flatnonzero(last[found]) + 1)).tolist()
-            if len(ends) != len(some):
-                rest += some
-                continue
-            for word, a, b in zip(some, [0, *ends], ends, strict=False):
-                seen[word] = raw[a:b]
-        for word, e in zip(rest, tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
-            seen[word] = np.array(e.ids, "<u4").tobytes()
-
-    def learn(words: set[str]) -> None:
-        # a single stop or comma after a letter or digit is a token of its own
-        tails = {w: w[:-1] for w in words if len(w) > 1 and w[-1] in ".," and w[-2].isalnum()}
-        ids([w for w in {*words.difference(tails), *tails.values(), ".", ","} if w not in seen])
-        for word, stem in tails.items():
-            seen[word] = seen[stem] + seen[word[-1]]
-
-    def encode(texts: list[str]) -> list[bytes]:
-        if len(seen) > CACHE_WORDS:
-            seen.clear()
-        split, found, new = [], [], set()
-        for text in texts:
-            words = (text.replace("\n", " ") if "\n" in text else text).split(" ")
-            parts = list(map(get, words))
-            if None in parts:
-                new.update(w for w, p in zip(words, parts, strict=True) if p is None)
-            split.append(words)
-            found.append(parts)
-        learn(new)
-        return [
-            b"".join([seen[w] if p is None else p for w, p in zip(words, parts, strict=True)] if None in parts else parts)
-            for words, parts in zip(split, found, strict=True)
-        ]
-
-    return encode
+from tabforge.llm.common import small_batches, step
+from tabforge.llm.wordids import worker_table
 
 
 def pieces(
@@ -95,9 +29,7 @@ def pieces(
 
     @F.pandas_udf(f"array<struct<{kind.replace(' ', ':').replace(',:', ',')}>>")
     def cut(batches: pd.Series) -> pd.Series:
-        if tokenizer_file not in _ENCODERS:
-            _ENCODERS[tokenizer_file] = id_encoder(tokenizer_file)
-        encode = _ENCODERS[tokenizer_file]
+        encode = worker_table(tokenizer_file).encode
         end = int(end_id).to_bytes(4, "little")
         result = []
         for raw in encode([t or "" for t in batches]):
@@ -233,7 +165,7 @@ def pack(items: DataFrame, key: list[str], capacity: int, length: str = "length"
     total = items.count()
     buckets = max(1, total // bucket_rows)
     dealt = items.withColumn("__b", F.pmod(F.xxhash64(*key), F.lit(buckets)))
-    sums = materialise(dealt.groupBy(F.col(length).alias("__l"), F.col("__b").alias("__k")).agg(F.count("*").alias("__n")), "lengths")
+    sums = step(dealt.groupBy(F.col(length).alias("__l"), F.col("__b").alias("__k")).agg(F.count("*").alias("__n")), "lengths")
     counts = {r[0]: r[1] for r in sums.groupBy("__l").agg(F.sum("__n")).collect()}  # at most `capacity` rows
     plan = plan_bins(counts, capacity)
     runs = [np.array(x, np.int64) for x in (plan.length, plan.first, plan.bin, plan.each, plan.used)]
@@ -264,5 +196,5 @@ def pack_documents(
     df: DataFrame, tokenizer_file: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text: str = "text", with_ids: bool = False
 ) -> DataFrame:
     """Tokenise, cut what exceeds ``capacity``, and pack: a row per piece with its sequence and offset."""
-    cut = materialise(pieces(df, tokenizer_file, capacity, end_id, id_col, text, with_ids), "pieces")
+    cut = step(pieces(df, tokenizer_file, capacity, end_id, id_col, text, with_ids), "pieces")
     return pack(cut, [id_col, "piece"], capacity)
