@@ -1,3 +1,4 @@
+import datetime
 import math
 
 import pytest
@@ -7,31 +8,42 @@ from tabforge.operators import lags, models, preprocess, splits
 from tabforge.operators.preprocess import Preprocessor
 from tests.conftest import rows
 
-DAYS = "SELECT date_add(DATE'2024-01-01', CAST(id AS INT)) AS date, {y} AS y FROM range({n})"
-
-
 @pytest.fixture(scope="module")
-def dated(spark):
-    return spark.createDataFrame([("2024-07-03",), ("2024-07-04",), ("2024-07-06",)], "d string")
+def stamped(spark):
+    """Days around the ends of two years, one of them in February of a leap year."""
+    days = [datetime.date(2019, 12, 30) + datetime.timedelta(days=17 * i) for i in range(40)]
+    return spark.createDataFrame([(d.isoformat(), d) for d in days], "when string, day date")
 
 
-def test_date_parts(dated):
-    found = rows(lags.add_datetime_features(dated, "d", cyclical=True), "d")
-    assert [r["d_dayofweek"] for r in found] == [2, 3, 5] and [r["d_is_weekend"] for r in found] == [0, 0, 1]
-    assert {r["d_month"] for r in found} == {7} and {r["d_year"] for r in found} == {2024}
-    assert all(math.isclose(r["d_month_sin"], math.sin(2 * math.pi * 7 / 12)) for r in found)
-    assert all(math.isclose(r["d_month_sin"] ** 2 + r["d_month_cos"] ** 2, 1) for r in found)
+def test_parts_follow_the_calendar(stamped):
+    found = rows(lags.add_datetime_features(stamped, "when", cyclical=True), "when")
+    assert len(found) == 40
+    for r in found:
+        day = r["day"]
+        assert (r["when_year"], r["when_month"], r["when_day"]) == (day.year, day.month, day.day)
+        assert r["when_dayofweek"] == day.weekday() and r["when_is_weekend"] == (day.weekday() > 4)
+        assert r["when_dayofyear"] == day.timetuple().tm_yday and r["when_weekofyear"] == day.isocalendar()[1]
+        assert r["when_is_month_end"] == ((day + datetime.timedelta(days=1)).day == 1)
+        turn = 2 * math.pi * day.month / 12
+        assert abs(r["when_month_sin"] - math.sin(turn)) + abs(r["when_month_cos"] - math.cos(turn)) < 1e-9
+
+
+def test_holidays_of_a_given_calendar(stamped, spark):
+    feasts = [datetime.date(2020, 2, 29), datetime.date(2020, 9, 1), datetime.date(2021, 11, 30)]
+    own = spark.createDataFrame([("QQ", None, f, "feast") for f in feasts], "country string, subdiv string, day date, name string")
+    found = rows(lags.add_datetime_features(stamped, "when", holiday_country="QQ", calendar=own), "when")
+    for r in found:
+        ahead = [(f - r["day"]).days for f in feasts if f >= r["day"]]
+        assert r["when_days_to_holiday"] == (min(ahead) if ahead else None)
+        assert r["when_is_holiday"] == (r["day"] in feasts)
+    with pytest.raises(ValueError, match="QX"):
+        lags.add_datetime_features(stamped, "when", holiday_country="QX")
 
 
-def test_holidays(dated, spark):
-    found = rows(lags.add_datetime_features(dated, "d", holiday_country="US"), "d")
-    assert [r["d_is_holiday"] for r in found] == [0, 1, 0] and [r["d_days_to_holiday"] for r in found] == [1, 0, 58]
-    with pytest.raises(ValueError, match="XX"):
-        lags.add_datetime_features(dated, "d", holiday_country="XX")
-    own = spark.createDataFrame([("ZZ", None, "2024-07-06", "day")], "country string, subdiv string, day string, name string")
-    own = own.withColumn("day", F.col("day").cast("date"))
-    found = rows(lags.add_datetime_features(dated, "d", holiday_country="ZZ", calendar=own), "d")
-    assert [r["d_days_to_holiday"] for r in found] == [3, 2, 0]
+def test_us_holidays_by_rule(spark):
+    days = [(datetime.date(y, m, d).isoformat(),) for y in (2022, 2027) for m, d in ((1, 1), (12, 25), (3, 3))]
+    found = rows(lags.add_datetime_features(spark.createDataFrame(days, "d string"), "d", holiday_country="US"), "d")
+    assert [r["d_is_holiday"] for r in found] == [1, 0, 1] * 2
 
 
 def test_missing_and_bad_dates(spark):
@@ -45,48 +57,76 @@ def test_missing_and_bad_dates(spark):
             assert (r["d_is_weekend"], r["d_is_month_end"], r["d_is_holiday"]) == (0, 0, 0)
 
 
-def test_lags_and_rolling(spark):
-    df = spark.sql(DAYS.format(y="CAST((id + 1) * 10 AS DOUBLE)", n=6))
-    found = rows(lags.add_lag_features(df, "y", "date", [1, 2], [2], ["mean"], date_parts=False), "date")
-    assert [r["y"] for r in found] == [30.0, 40.0, 50.0, 60.0] and [r["lag_1"] for r in found] == [20.0, 30.0, 40.0, 50.0]
-    assert [r["rolling_mean_2"] for r in found] == [15.0, 25.0, 35.0, 45.0]
+GAPS = [(0, 3.0), (1, None), (2, 8.0), (5, -1.0), (6, 4.5), (9, 4.5), (10, 0.0), (14, 7.25)]
 
 
-def test_lag_diffs(spark):
-    df = spark.createDataFrame([("2024-01-01", 10.0), ("2024-01-02", 15.0), ("2024-01-03", 25.0), ("2024-01-04", 40.0)], "date string, y double")
-    found = rows(lags.add_lag_features(df, "y", "date", [1], [], lag_diffs=True, date_parts=False), "date")
-    assert [r["lag_1_diff"] for r in found] == [5.0, 10.0, 15.0]
-    safe = rows(lags.add_lag_features(df, "y", "date", [1], [], safe_lag_diffs=True, date_parts=False), "date")
-    assert [r["lag_1_diff_safe"] for r in safe] == [5.0, 10.0]
-    leaky = lags.add_lag_features(df, "y", "date", [1], [], lag_diffs=True, date_parts=False)
+@pytest.fixture(scope="module")
+def series(spark):
+    """A series with missing days and a missing value, out of order."""
+    start = datetime.date(2021, 5, 3)
+    made = [(start + datetime.timedelta(days=n), v) for n, v in GAPS]
+    return spark.createDataFrame(made[::-1], "date date, y double")
+
+
+def plain_lags(values, lag, window):
+    """Rows (y, lag, past mean) whose columns are all there, from a list."""
+    out = []
+    for i, y in enumerate(values):
+        past = [v for v in values[max(0, i - window) : i]]
+        before = values[i - lag] if i >= lag else None
+        if y is not None and before is not None and len(past) == window and None not in past:
+            out.append((y, before, sum(past) / window))
+    return out
+
+
+@pytest.mark.parametrize("lag,window", [(1, 2), (2, 3), (3, 1)])
+def test_lags_look_back_by_rows(series, lag, window):
+    out = lags.add_lag_features(series, "y", "date", [lag], [window], ["mean"], date_parts=False)
+    got = [(r["y"], r[f"lag_{lag}"], r[f"rolling_mean_{window}"]) for r in rows(out, "date")]
+    assert got == plain_lags([v for _, v in GAPS], lag, window)
+
+
+def test_differences(spark):
+    values = [2.0 ** n - 3 * n for n in range(9)]
+    df = spark.createDataFrame([(f"2022-03-{n + 1:02d}", v) for n, v in enumerate(values)], "date string, y double")
+    raw = rows(lags.add_lag_features(df, "y", "date", [2], [], lag_diffs=True, date_parts=False), "date")
+    assert [r["lag_2_diff"] for r in raw] == [b - a for a, b in zip(values, values[2:])]
+    safe = rows(lags.add_lag_features(df, "y", "date", [2], [], safe_lag_diffs=True, date_parts=False), "date")
+    assert [r["lag_2_diff_safe"] for r in safe] == [b - a for a, b in zip(values, values[2:])][:-1]
     with pytest.raises(ValueError, match="current target"):
-        models.fit_model(leaky, "y", "timeseries", "ridge")
+        models.fit_model(lags.add_lag_features(df, "y", "date", [2], [], lag_diffs=True, date_parts=False), "y", "timeseries", "ridge")
 
 
-def test_lag_errors_and_names(spark):
-    df = spark.sql(DAYS.format(y="CAST(id AS DOUBLE)", n=30))
-    with pytest.raises(ValueError, match="skew"):
-        lags.add_lag_features(df, "y", "date", [1], [2], ["skew"])
+def test_generated_names(spark):
+    df = spark.range(25).selectExpr("date_add(DATE'2023-08-20', CAST(id AS INT)) AS date", "CAST(id * id AS DOUBLE) AS y")
+    with pytest.raises(ValueError, match="kurtosis"):
+        lags.add_lag_features(df, "y", "date", [1], [3], ["kurtosis"])
     out = lags.add_lag_features(df, "y", "date")
+    # fixed values: the column names that users of the features rely on
     assert set(out.columns) == {
         "date", "y", "lag_1", "lag_7", "lag_14", "rolling_mean_7", "rolling_std_7", "rolling_mean_14", "rolling_std_14",
         "year", "month", "day", "dayofweek", "quarter", "weekofyear", "dayofyear", "is_month_end", "is_weekend",
     }
-    assert out.count() == 16
+    assert out.count() == 25 - 14
+
 
+def test_only_generated_columns_drop_rows(spark):
+    df = spark.range(7).selectExpr("date_add(DATE'2023-01-30', CAST(id AS INT)) AS date", "id / 2 AS y", "nullif(id % 3, 0) AS note")
+    assert lags.add_lag_features(df, "y", "date", [2], [], date_parts=False).count() == 5
+    assert lags.add_lag_features(df, "y", "date", [2], [], date_parts=False, strict=True).count() == 3
 
-def test_rows_are_dropped_for_generated_columns_only(spark):
-    df = spark.sql(DAYS.format(y="CAST(id AS DOUBLE)", n=6)).withColumn("note", F.when(F.col("y") != 4, "x"))
-    assert lags.add_lag_features(df, "y", "date", [1], [], date_parts=False).count() == 5
-    assert lags.add_lag_features(df, "y", "date", [1], [], date_parts=False, strict=True).count() == 4
 
+def test_equal_dates_have_one_order(spark):
+    df = spark.range(60).selectExpr("date_add(DATE'2023-01-30', CAST(id % 4 AS INT)) AS date", "CAST(id AS DOUBLE) AS y")
+    make = lambda d, n: {tuple(r) for r in lags.add_lag_features(d, "y", "date", [1, 3], [4], date_parts=False, task_rows=n).collect()}
+    assert make(df, 1000) == make(df.repartition(5), 1000) == make(df.repartition(3), 7)
 
-def test_featurize(spark):
-    df = spark.createDataFrame([("2024-01-01", 1.0, 0), ("2024-01-02", 2.0, 1)], "d string, x double, target int")
-    out = lags.featurize(df, "classification", ["d"])
-    assert "d" not in out.columns and "d_dayofweek" in out.columns
-    assert lags.featurize(df, "classification", None).columns == df.columns
-    assert lags.featurize(df, "timeseries", ["d"]).columns == df.columns
+
+def test_featurize_replaces_dates(stamped):
+    df = stamped.selectExpr("when", "length(when) AS size", "1 AS target")
+    out = lags.featurize(df, "regression", ["when"])
+    assert "when" not in out.columns and {"when_quarter", "size", "target"} <= set(out.columns)
+    assert lags.featurize(df, "regression", []).columns == lags.featurize(df, "timeseries", ["when"]).columns == df.columns
 
 
 # -------------------------------------------------------------- preprocess ---
@@ -165,6 +205,29 @@ def test_chronological_order(thousand):
         splits.split_last(thousand.limit(1), ["id"])
 
 
+def test_ties_are_cut_to_size(spark):
+    df = spark.range(100).selectExpr("id", "date_add(DATE'2020-02-28', CAST(id % 4 AS INT)) AS d")
+    for rows_per_task in (1000, 10):
+        sizes = {r.split: r.n for r in splits.split_sizes(splits.split_chronological(df, ["d"], task_rows=rows_per_task)).collect()}
+        assert sizes == {"train": 60, "val": 20, "test": 20}
+        assert splits.split_last(df, ["d"], task_rows=rows_per_task).where("split = 'test'").count() == 20
+        folds = splits.assign_folds(df, "regression", 5, order=["d"], shuffle=False, task_rows=rows_per_task)
+        assert {r.fold: r["count"] for r in folds.groupBy("fold").count().collect()} == dict.fromkeys(range(1, 6), 20)
+    a, b = (splits.split_chronological(x, ["d"]) for x in (df, df.repartition(7)))
+    assert a.exceptAll(b).isEmpty()
+
+
+def test_any_number_of_classes(spark):
+    df = spark.range(3000).selectExpr("id", "nullif(id % 700, 5) AS y")
+    out = splits.split_two_way(df, "id", "y", 0.25, task_rows=100)
+    assert out.where("split = 'test'").count() == 750
+    per = {r.y: r.n for r in out.where("split = 'test'").groupBy("y").agg(F.count("*").alias("n")).collect()}
+    whole = {r.y: r.n for r in df.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    assert all(n // 4 <= per.get(c, 0) <= n // 4 + 1 for c, n in whole.items())
+    folds = splits.assign_folds(df, "classification", 3, "id", target="y")
+    assert {r.fold: r["count"] for r in folds.groupBy("fold").count().collect()} == {1: 1000, 2: 1000, 3: 1000}
+
+
 def test_folds(thousand):
     out = splits.assign_folds(thousand, "classification", 4, "id", target="y")
     per = {(r.fold, r.y): r["count"] for r in out.groupBy("fold", "y").count().collect()}
