@@ -103,7 +103,9 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if resolve_format(path, format) == "csv":
-        writer.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+        writer = writer.option("header", True).option("quote", '"').option("escape", '"')
+        # texts keep the white space at their ends
+        writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     else:
         writer.parquet(path)
     return path
