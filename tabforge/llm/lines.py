@@ -11,17 +11,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import with_columns
-from tabforge.session import materialise
+from tabforge.llm.common import forget, step, with_columns
 
 #: Buckets of the word count sketch: its size, whatever the vocabulary.
 BUCKETS = 1 << 18
 #: Largest count the order of words tells apart.
 TOP = 1 << 22
 #: Bits of a set's parity mark.
-MARK = 40
-#: Buckets of the filter on lines to fetch for verification.
+MARK = 64
+#: Buckets of the filter on rows that a join can't want.
 FETCH = 1 << 18
+#: Sizes and places from here on are not told apart by the filters.
+LONG = 4095
 # Jaccard of at least NUM / DEN; below SMALL words only an equal set reaches it.
 NUM, DEN, SMALL = 4, 5, 4
 
@@ -54,19 +55,16 @@ def split_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def sets(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """A row per line: its set as two hashes and a size, its parity mark and its prefix.
+    """A row per line: its set as a hash, a parity mark and a size, and its prefix.
 
     Words are ordered by their sketched count, rarest first, then by hash; the prefix is long enough that two similar
     sets share a word of it. The mark holds, for each of ``MARK`` classes of words, whether the set has an odd number of
     them: the marks of two sets differ in no more bits than the sets do in words.
     """
     counts = word_counts(df, text)
-    lines = split_lines(df, id_col, text).withColumn("words", words(F.col("line"))).drop("line")
-    lines = lines.withColumn("h", F.transform("words", lambda w: F.xxhash64(w)))
-    xor = lambda a, x: a.bitwiseXOR(x)
-    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x)
-    zero = F.lit(0).cast("long")
-    size = F.size("h")
+    lines = split_lines(df, id_col, text).withColumn("h", F.transform(words(F.col("line")), lambda w: F.xxhash64(w)))
+    zero, size = F.lit(0).cast("long"), F.size("h")
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x, 20).bitwiseAND(F.lit(MARK - 1)).cast("int"))
     order = F.transform(
         "h",
         lambda x: F.call_function(
@@ -79,89 +77,99 @@ def sets(df: DataFrame, id_col: str, text: str) -> DataFrame:
         "version",
         "nth",
         size.alias("n"),
-        F.aggregate("h", zero, xor).alias("k1"),
-        F.aggregate(F.transform("words", lambda w: F.xxhash64(w, F.lit(1))), zero, xor).alias("k2"),
-        F.aggregate("h", zero, lambda a, x: a.bitwiseXOR(bit(F.pmod(F.shiftright(x, 20), F.lit(MARK)).cast("int")))).alias("mark"),
+        F.aggregate("h", zero, lambda a, x: a.bitwiseXOR(x)).alias("k"),
+        F.aggregate("h", zero, lambda a, x: a.bitwiseXOR(bit(x))).alias("mark"),
         F.when(size >= SMALL, prefix).alias("prefix"),
     )
 
 
+#: What tells sets apart: 128 bits of hash and mark, and the size.
+SET = ["k", "mark", "n"]
+
+
 def classes(lines: DataFrame) -> DataFrame:
-    """Equal sets as one row: hashes, size, the first line that has it, and ``label``, the mark with some hash bits."""
-    label = F.call_function("shiftleft", F.col("mark"), F.lit(64 - MARK)).bitwiseOR(
-        F.col("k1").bitwiseAND(F.lit((1 << (64 - MARK)) - 1))
-    )
-    found = lines.where("n > 0").groupBy("k1", "k2", "n").agg(
-        F.min(F.struct("id", "nth", "version")).alias("first"), F.any_value("mark").alias("mark"), F.any_value("prefix").alias("prefix")
+    """Equal sets as one row, with the first line that has it, their number, and the prefix."""
+    return lines.where("n > 0").groupBy(*SET).agg(
+        F.min(F.struct("id", "nth", "version")).alias("first"), F.count("*").alias("lines"), F.any_value("prefix").alias("prefix")
     )
-    return found.select("k1", "k2", "n", "first", label.alias("label"), "prefix")
 
 
 def candidates(found: DataFrame) -> DataFrame:
-    """Pairs of labels that pass the prefix, length, positional and mark filters.
+    """Pairs of marks whose sets pass the prefix, length, positional and mark filters.
 
-    The smaller set of a pair is looked up with its shorter index prefix, the larger one with the full prefix. One long
-    holds a word's 40 hash bits, with the set's size (capped, then the filters that need it pass) beside it in another.
+    A post is three numbers: the word, the set's size with the word's place, and the mark; posts are dealt by word once and
+    joined with themselves. Only the first common word of a pair need pass, so what follows it in the smaller
+    set must suffice alone. Sets of ``LONG`` words or more meet on the word alone. Different sets with the same mark are a
+    pair without a join.
     """
-    posts = found.where(f"n >= {SMALL}").select("n", "label", F.posexplode("prefix").alias("p", "w"))
-    posts = posts.select(
-        F.col("w").alias("w"),
-        F.expr("cast(n as long) * 2147483648 + p").alias("np"),
-        "label",
-    )
-    small = posts.selectExpr("w", "np as np1", "label as l1").where(
-        # index prefix: n - ceil(8n/9) + 1 words, as the larger set has n words or more
-        f"np1 % 2147483648 < np1 div 2147483648 - ({2 * NUM} * (np1 div 2147483648) + {NUM + DEN - 1}) div {NUM + DEN} + 1"
-    )
-    large = posts.selectExpr("w", "np as np2", "label as l2")
-    x, y, i, j = "(np1 div 2147483648)", "(np2 div 2147483648)", "(np1 % 2147483648)", "(np2 % 2147483648)"
+    posts = found.where(f"n >= {SMALL}").select("n", "mark", F.posexplode("prefix").alias("p", "w"))
+    posts = posts.select("w", F.expr(f"shiftleft(least(n, {LONG}), 12) | least(p, {LONG})").alias("m"), "mark")
+    side = lambda k: posts.select("w", F.col("m").alias(f"m{k}"), F.col("mark").alias(f"l{k}"))
+    x, y, i, j = (f"(({e}) & {LONG})" for e in ("m1 >> 12", "m2 >> 12", "m1", "m2"))
     need = f"(({NUM} * ({x} + {y}) + {NUM + DEN - 1}) div {NUM + DEN})"
-    pairs = small.join(large, "w").where(
-        f"({x} < {y} or ({x} = {y} and l1 < l2)) and {NUM} * {y} <= {DEN} * {x}"
-        f" and least({x} - {i}, {y} - {j}) >= {need} - least({i}, {j})"
-        f" and bit_count(shiftrightunsigned(l1 ^ l2, {64 - MARK})) <= {x} + {y} - 2 * {need}"
+    pairs = side(1).join(side(2), "w").where(
+        f"({x} < {y} or ({x} = {y} and l1 < l2)) and {NUM} * {y} <= {DEN} * {x} and ({y} = {LONG}"
+        f" or (least({x} - {i}, {y} - {j}) >= {need} and bit_count(l1 ^ l2) <= {x} + {y} - 2 * {need}))"
     )
-    twins = found.where(f"n >= {SMALL}").groupBy("label").count().where("count > 1")
-    return pairs.select("l1", "l2").union(twins.selectExpr("label as l1", "label as l2")).distinct()
+    twins = found.where(f"n >= {SMALL}").groupBy("mark").count().where("count > 1")
+    return pairs.select("l1", "l2").union(twins.selectExpr("mark as l1", "mark as l2")).distinct()
 
 
-def earlier(df: DataFrame, lines: DataFrame, id_col: str, text: str) -> DataFrame:
-    """Classes (``k1``, ``k2``, ``n``) for which a similar set has an earlier first line, verified on the words."""
-    found = classes(lines)
-    pairs = materialise(candidates(found), "line-pairs")
-    side = lambda k: found.select(
-        F.col("label").alias(f"l{k}"), F.struct("k1", "k2", "n").alias(f"c{k}"), F.col("first").alias(f"f{k}")
-    )
-    named = materialise(pairs.join(side(1), "l1").join(side(2), "l2").where("c1 <> c2"), "named-pairs")
-    wanted = named.select(F.explode(F.array("f1", "f2")).alias("f")).select("f.*").distinct()
-    # a fixed number of bits says which lines can't be wanted, so that few of the others are moved
-    bucket = F.pmod(F.xxhash64("id", "nth"), F.lit(FETCH)).cast("int")
+def sieve(df: DataFrame, keys: list[str], wanted: DataFrame) -> DataFrame:
+    """Leave out most rows of ``df`` whose keys aren't among ``wanted``, before a join that leaves out all.
+
+    A fixed number of bits says which hashed keys are wanted, whatever the sizes; the fuller, the more rows pass.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(FETCH)).cast("int")
     marked = [0] * FETCH
     for (b,) in wanted.select(bucket).distinct().collect():
         marked[b] = 1
-    some = split_lines(df, id_col, text).where(F.get(number_list(marked), bucket) == 1)
+    return df.where(F.get(number_list(marked), bucket) == 1)
+
+
+def earlier(df: DataFrame, found: DataFrame, heads: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Sets for which a similar set has an earlier first line, verified on the words; ``found`` is used up."""
+    pairs = step(candidates(found), "line-pairs")
+    forget(found)
+    few = step(sieve(heads, ["mark"], pairs.select(F.explode(F.array("l1", "l2")).alias("mark"))), "paired-sets")
+    side = lambda k: few.select(
+        F.col("mark").alias(f"l{k}"), F.struct(*SET).alias(f"c{k}"), F.col("first").alias(f"f{k}")
+    )
+    named = pairs.join(side(1), "l1").join(side(2), "l2").where("c1 <> c2")
+    first, second = F.struct("f1.id", "f1.nth"), F.struct("f2.id", "f2.nth")
+    # of each pair the set that is late, if the pair is one
+    late = F.when(first < second, F.col("c2")).when(second < first, F.col("c1"))
+    named = step(named.select("f1", "f2", late.alias("late")).where("late is not null"), "named-pairs")
+    wanted = named.select(F.explode(F.array("f1", "f2")).alias("f")).select("f.*").distinct()
+    some = sieve(split_lines(df, id_col, text), ["id", "nth"], wanted)
     keys = ["id", "nth", "version"]
     same = F.lit(True)
     right = wanted.select(*[F.col(k).alias(f"_{k}") for k in keys])
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    texts = some.join(right, same, "left_semi").dropDuplicates(keys).select(F.struct(*keys).alias("f"), words(F.col("line")).alias("w"))
-    texts = materialise(texts, "line-words")
-    sided = named.join(texts.selectExpr("f as f1", "w as w1"), "f1").join(texts.selectExpr("f as f2", "w as w2"), "f2")
+    # words go by their 64-bit hashes, as in the sets, at half the bytes
+    hashed = F.transform(words(F.col("line")), lambda w: F.xxhash64(w))
+    texts = some.join(right, same, "left_semi").dropDuplicates(keys).select(F.struct(*keys).alias("f"), hashed.alias("w"))
+    texts = step(texts, "line-words")
+    sided = named.join(texts.selectExpr("f as f1", "w as w1"), "f1").drop("f1")
+    sided = sided.join(texts.selectExpr("f as f2", "w as w2"), "f2")
     common = F.size(F.array_intersect("w1", "w2"))
     good = sided.where(DEN * common >= NUM * (F.size("w1") + F.size("w2") - common))
-    first, second = F.struct("f1.id", "f1.nth"), F.struct("f2.id", "f2.nth")
-    late = F.when(first < second, F.col("c2")).when(second < first, F.col("c1"))
-    return good.select(late.alias("c")).where("c is not null").select("c.*").distinct()
+    return step(good.select("late.*").distinct(), "late-sets")
 
 
 def flags(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per id and text: ``id``, ``version`` and ``removed``, a boolean for each line."""
-    lines = materialise(sets(df, id_col, text), "line-sets")
-    late = earlier(df, lines, id_col, text).withColumn("late", F.lit(True))
-    firsts = lines.where("n > 0").groupBy("k1", "k2", "n").agg(F.min(F.struct("id", "nth")).alias("first"))
-    verdicts = firsts.join(late, ["k1", "k2", "n"], "left")
-    judged = lines.select("id", "version", "nth", "k1", "k2", "n").join(verdicts, ["k1", "k2", "n"], "left")
+    full = step(sets(df, id_col, text), "line-sets")
+    found = step(classes(full), "line-classes")
+    # what comes later needs no prefixes
+    lines = step(full.drop("prefix"), "lines")
+    forget(full)
+    heads = step(found.select(*SET, "first", "lines"), "line-heads")
+    late = earlier(df, found, heads, id_col, text).withColumn("late", F.lit(True))
+    verdicts = heads.join(late, SET, "left").where("late or lines > 1")
+    verdicts = step(verdicts.select(*SET, F.struct("first.id", "first.nth").alias("first"), "late"), "verdicts")
+    judged = lines.join(verdicts, SET, "left")
     removed = (F.col("n") > 0) & (F.coalesce(F.col("late"), F.lit(False)) | (F.struct("id", "nth") > F.col("first")))
     judged = judged.select("id", "version", F.struct("nth", F.coalesce(removed, F.lit(False)).alias("r")).alias("l"))
     grouped = judged.groupBy("id", "version").agg(F.sort_array(F.collect_set("l")).alias("l"))

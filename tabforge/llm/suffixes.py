@@ -26,8 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import small_batches
-from tabforge.session import materialise
+from tabforge.llm.common import small_batches, step
 
 _BASE = 0x2545F4914F6CDD1D | 1
 #: Bytes of a text that are hashed at once, without the overlap.
@@ -241,7 +240,7 @@ def spans(df: DataFrame, id_col: str, text: str, length: int, k: int) -> tuple[D
     listed = _code_rows(docs, length, k)
     twice = listed.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
     wanted = listed.select(*KEYS, "h").join(twice, "h", "left_semi").groupBy(*KEYS).agg(F.collect_set("h").alias("hs"))
-    texts = materialise(_equi(docs, wanted), "repeat-texts")
+    texts = step(_equi(docs, wanted), "repeat-texts")
 
     def places(batches):
         for batch in batches:
@@ -256,10 +255,10 @@ def spans(df: DataFrame, id_col: str, text: str, length: int, k: int) -> tuple[D
             yield pd.DataFrame(out, columns=["id", "version", "s", "h", "first", "at", "stop"])
 
     kind = f"id {texts.schema['id'].dataType.simpleString()}, version long, {_PLACE}"
-    found = materialise(texts.mapInPandas(places, kind), "suffixes")
+    found = step(texts.mapInPandas(places, kind), "suffixes")
     one = F.struct(*KEYS, "first", "at", "stop")
     distinct = found.groupBy("s", "h").agg(F.count("*").alias("n"), F.min(one).alias("r"))
-    distinct = materialise(distinct.select("s", "h", "n", "r.*"), "distinct-suffixes")
+    distinct = step(distinct.select("s", "h", "n", "r.*"), "distinct-suffixes")
     total = distinct.count()
     parts = max(1, min(total // 10_000, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     lists = distinct.groupBy(*KEYS).agg(F.collect_list(F.struct("s", "first", "at", "stop")).alias("places"))
@@ -323,7 +322,7 @@ def spans(df: DataFrame, id_col: str, text: str, length: int, k: int) -> tuple[D
 
     dealt = source.mapInPandas(runs, "ord int, part int, task int, run int, block int, data binary")
     sorted_ = dealt.groupBy("ord", "part").applyInPandas(merged, "s binary, lead int, beside int, edge boolean, ord int")
-    sorted_ = materialise(sorted_, "sorted-suffixes")
+    sorted_ = step(sorted_, "sorted-suffixes")
     right = sorted_.where("ord = 0").selectExpr("s", "lead as r", "beside as r_l", "edge as r_edge")
     left = sorted_.where("ord = 1").selectExpr("s", "lead as l", "beside as l_r", "edge as l_edge")
     sides = distinct.join(right, "s").join(left, "s")
@@ -332,7 +331,7 @@ def spans(df: DataFrame, id_col: str, text: str, length: int, k: int) -> tuple[D
         f"not r_edge and r + r_l >= {length} as r_sure", f"not l_edge and l + l_r >= {length} as l_sure",
     )
     sides = sides.selectExpr("*", f"n > 1 or r_max + l_max < {length} or (r_sure and l_sure) as settled")
-    sides = materialise(sides, "suffix-matches")
+    sides = step(sides, "suffix-matches")
     sure = sides.where("settled").selectExpr(
         "s", "if(n > 1, at - first, l_max) as l", "if(n > 1, stop - at, r_max) as r"
     ).where(f"l + r >= {length}")
@@ -357,7 +356,7 @@ def spans(df: DataFrame, id_col: str, text: str, length: int, k: int) -> tuple[D
             yield pd.DataFrame(out, columns=["w", "s", "o", "lo"])
 
     tested = _equi(texts.drop("hs").dropDuplicates(KEYS), asked).mapInPandas(windows, "w binary, s binary, o int, lo int")
-    tested = materialise(tested, "windows")
+    tested = step(tested, "windows")
     again = tested.groupBy("w").count().where("count > 1").select("w")
     checked = tested.where("lo = 1").join(again, "w", "left_semi").groupBy("s")
     checked = checked.agg(F.max("o").alias("l"), (F.lit(length) - F.min("o")).alias("r"))
