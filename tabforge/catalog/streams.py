@@ -10,7 +10,7 @@ from tabforge.operators.preprocess import Preprocessor
 from tabforge.streaming.lags import ROCKSDB, stream_lag_features
 from tabforge.streaming.scoring import score_stream
 from tabforge.streaming.sources import read_stream, run_to_table
-from tabforge.streaming.windows import stream_drift, stream_volume
+from tabforge.streaming.windows import stream_drift, stream_volume, with_open_windows
 
 
 def _events(spark, sf_dir, name: str = "events"):
@@ -23,15 +23,16 @@ _LAST = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
 
 @query(
     "stream_volume",
-    "SELECT strftime(ts::DATE, '%Y-%m-%d') AS period_start, count(*) AS n FROM events GROUP BY 1, ts::DATE "
-    f"HAVING ts::DATE + INTERVAL 1 DAY <= {_LAST}",
+    "SELECT strftime(ts::DATE, '%Y-%m-%d') AS period_start, count(*) AS n FROM events GROUP BY 1, ts::DATE",
 )
 def volume(spark, sf_dir):
     out = run_to_table(stream_volume(_events(spark, sf_dir), "ts"), "volume")
+    day_after = F.col("period_start") + F.expr("INTERVAL 1 DAY")
+    out = with_open_windows(out, table(spark, sf_dir, "events"), "ts", lambda rows: stream_volume(rows, "ts"), day_after)
     return out.select(F.date_format("period_start", "yyyy-MM-dd").alias("period_start"), "n")
 
 
-_DAYS = "SELECT DISTINCT ts::DATE AS d FROM events WHERE ts::DATE + INTERVAL 1 DAY <= " + _LAST
+_DAYS = "SELECT DISTINCT ts::DATE AS d FROM events"
 
 
 def _window_psi(c: str) -> str:
@@ -52,6 +53,8 @@ def _window_psi(c: str) -> str:
 def psi(spark, sf_dir):
     profile = drift.drift_profile(table(spark, sf_dir, "events"), ["value", "user_id"])
     out = run_to_table(stream_drift(_events(spark, sf_dir), profile, "ts"), "psi")
+    measure = lambda rows: stream_drift(rows, profile, "ts")
+    out = with_open_windows(out, table(spark, sf_dir, "events"), "ts", measure, F.col("window_end"))
     out = out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd")).drop("window_end")
     return rounded_doubles(out)
 

@@ -149,7 +149,8 @@ def holiday_sql(ts: str, days: list) -> dict[str, str]:
     """The same two features for use inside a saved model stage.
 
     The days until the next holiday are written as one array with a number per calendar day, so a
-    row costs one lookup. Days outside the calendar give 0 and NULL.
+    row costs one lookup. A date in a year that the calendar doesn't cover is an error, as it would score as an ordinary
+    day; a missing date gives 0 and NULL.
     """
     if not days:
         return {"is_holiday": "0", "days_to_holiday": "CAST(NULL AS DOUBLE)"}
@@ -160,7 +161,11 @@ def holiday_sql(ts: str, days: list) -> dict[str, str]:
             at += 1
         gaps.append((known[at] - first).days - i)
     table = "array(" + ", ".join(map(str, gaps)) + ")"
-    gap = f"get({table}, datediff(CAST({ts} AS DATE), DATE'{first.isoformat()}'))"
+    end = known[-1].replace(month=12, day=31)
+    day = f"CAST({ts} AS DATE)"
+    known_day = f"{day} IS NULL OR {day} BETWEEN DATE'{first.isoformat()}' AND DATE'{end.isoformat()}'"
+    far = f"concat({day}, ' is beyond the holiday calendar of the model, {first.year} to {end.year}: train it again')"
+    gap = f"IF({known_day}, get({table}, datediff({day}, DATE'{first.isoformat()}')), raise_error({far}))"
     return {
         "is_holiday": f"coalesce(CAST({gap} = 0 AS INT), 0)",
         "days_to_holiday": f"CAST({gap} AS DOUBLE)",

@@ -12,8 +12,9 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tabforge.functions.columns import col, infer_columns, nan_to_null, quote
+from tabforge.functions.columns import col, field_type, infer_columns, nan_to_null, quote
 from tabforge.plans.aggregates import aggregate_cells, numeric_cells, value_counts
 from tabforge.plans.quantiles import TASK_ROWS, exact_quantiles
 
@@ -59,8 +60,19 @@ def numeric_fill(
 
 
 def _modes(df: DataFrame, columns: Sequence[str], numeric: bool = False) -> dict[str, object]:
-    """Most frequent present value per column, the smallest of equally frequent ones."""
+    """Most frequent present value per column, the smallest of equally frequent ones.
+
+    Whole numbers are counted as such: a double would merge neighbours above 2^53. One beyond that comes back as an int.
+    """
     columns = list(columns)
+    whole = [c for c in columns if numeric and isinstance(field_type(df, c), T.IntegralType)]
+    if whole:
+        counts = value_counts(df, whole).where("value IS NOT NULL").withColumn("v", F.col("value").cast("decimal(20, 0)"))
+        best = counts.groupBy("column").agg(F.min(F.struct((-F.col("n")).alias("n"), "v")).alias("best"))
+        found = {r.column: int(r.v) for r in best.select("column", "best.v").collect()}
+        found = {c: float(v) if abs(v) <= 2**53 else v for c, v in found.items()}
+        rest = [c for c in columns if c not in whole]
+        return {**found, **(_modes(df, rest, True) if rest else {})}
     if numeric:
         counts = numeric_cells(df, columns).where("x IS NOT NULL").groupBy("c", "x").agg(F.count(F.lit(1)).alias("n"))
         counts = counts.select(F.get(F.array(*[F.lit(c) for c in columns]), F.col("c")).alias("column"), F.col("x").alias("value"), "n")
@@ -86,7 +98,7 @@ def impute(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     df = nan_to_null(df)
     made = {}
     for c, v in values.items():
-        kind = "double" if isinstance(v, float) else "string"
+        kind = "double" if isinstance(v, float) else "bigint" if isinstance(v, int) else "string"
         made[c] = F.coalesce(col(c).cast(kind), F.lit(v))
     return df.withColumns(made)
 

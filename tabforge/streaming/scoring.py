@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -16,6 +17,7 @@ from tabforge.sources.tables import check_columns
 from tabforge.streaming.sources import start_batches
 
 REASON = "reject_reason"
+_BAD = "__corrupt"
 
 
 def score_stream(
@@ -42,9 +44,13 @@ def parse_records(stream: DataFrame, schema: StructType, required: Sequence[str]
     reason = F.when(names.isNull(), F.lit("not a JSON object")).when(
         F.size(absent) > 0, F.concat(F.lit("Missing columns: "), F.to_json(absent))
     )
-    parsed = F.from_json(text, schema, {"mode": "PERMISSIVE"})
-    return stream.select(text.alias(column), reason.alias(REASON), parsed.alias("__r")).select(
-        column, REASON, *[F.col(f"__r.`{f.name}`").alias(f.name) for f in schema]
+    # a value that doesn't fit its type would become NULL and be imputed: the whole record is set aside
+    marked = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
+    parsed = F.from_json(text, marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
+    rows = stream.select(text.alias(column), reason.alias(REASON), parsed.alias("__r"))
+    typed = F.when(F.col(f"__r.{_BAD}").isNotNull(), F.lit("a value of the wrong type"))
+    return rows.select(
+        column, F.coalesce(F.col(REASON), typed).alias(REASON), *[F.col(f"__r.`{f.name}`").alias(f.name) for f in schema]
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,19 @@ def stream_volume(stream: DataFrame, column: str, period: str = "1 day", delay:
     return counted.select(F.col("window.start").alias("period_start"), "n")
 
 
+def with_open_windows(
+    closed: DataFrame, source: DataFrame, column: str, compute: Callable[[DataFrame], DataFrame], end: Column
+) -> DataFrame:
+    """The windows a stopped stream has finished, and those its watermark left open, computed from the rows since.
+
+    ``closed`` is the stream's output, ``end`` the end of a window in it, ``source`` the stored rows the stream read and
+    ``compute`` what the stream did with them.
+    """
+    last = closed.agg(F.max(end)).first()[0]
+    rest = source if last is None else source.where(col(column).cast("timestamp") >= F.lit(last))
+    return closed.unionByName(compute(rest))
+
+
 def stream_drift(
     stream: DataFrame,
     profile: DataFrame,

@@ -143,6 +143,15 @@ def test_imputers(spark):
         fill("guess")
 
 
+def test_modes_of_large_ids(spark):
+    big = 2**53
+    df = spark.createDataFrame([(big + 3, 7)] * 3 + [(big, 7), (big + 1, 5), (big + 2, 5)], "id long, small int")
+    fill = preprocess.numeric_fill(df, ["id", "small"], "most_frequent")
+    assert fill == {"id": big + 3, "small": 7.0}
+    gaps = spark.createDataFrame([(None, 1), (4, 2)], "id long, small int")
+    assert {r.id for r in preprocess.impute(gaps, {"id": big + 3}).collect()} == {4, big + 3}
+
+
 def test_preprocessor_stages(spark, tmp_path):
     df = spark.createDataFrame(
         [(1.0, "b'q", 7.0), (2.0, "a", 7.0), (None, None, 7.0), (4.0, "b'q", 7.0)], "v double, s string, const double"
