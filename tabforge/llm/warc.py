@@ -11,8 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import small_batches
-from tabforge.session import materialise
+from tabforge.llm.common import small_batches, step
 
 MAGIC = b"WARC/1.0\r\n"
 END = "\r\n\r\n"
@@ -31,7 +30,8 @@ def records(df: DataFrame, id_col: str, uri: str, payload: str, least: int = 100
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{uri}`").cast("string").alias("uri"), body.alias("body"))
     rows = rows.withColumns({"size": F.octet_length("body").cast("long"), "digest": F.sha1(F.encode("body", "UTF-8"))})
     groups = rows.where(F.col("size") >= least).groupBy("digest", "size").agg(F.max("id").alias("first"), F.count("*").alias("n"))
-    groups = groups.where("n > 1").select(F.col("digest").alias("d"), F.col("size").alias("s"), "first")
+    # written first: where repeats are few, the payloads needn't be shuffled to meet them
+    groups = step(groups.where("n > 1").select(F.col("digest").alias("d"), F.col("size").alias("s"), "first"), "repeats")
     rows = rows.join(groups, (F.col("digest") == F.col("d")) & (F.col("size") == F.col("s")), "left")
     revisit = F.col("d").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     http = F.concat(
@@ -74,7 +74,7 @@ def _declared(value: bytes) -> int:
 
 
 def _scan(spark: SparkSession, path: str, content: bool) -> DataFrame:
-    """What lies between magic strings, per split: ``file``, ``split``, ``nth``, bytes before it in the split (``at``),
+    """What lies between magic strings, per split (the same splits in every scan, as files and settings are the same): ``file``, ``split``, ``nth``, bytes before it in the split (``at``),
     ``size``, the ``declared`` record length and, if wanted, the bytes. Spark's line reader finds the magic."""
     small_batches(spark)
     raw = spark.read.option("lineSep", MAGIC.decode()).text(path)
@@ -109,7 +109,7 @@ def chain(pieces: DataFrame) -> DataFrame:
     # one row a split
     base = splits.selectExpr("file", "split", "sum(total) over (partition by file order by split) - total as base", "total")
     placed = pieces.join(base, ["file", "split"]).withColumn("off", F.expr(f"base + at - {len(MAGIC)}"))
-    placed = materialise(placed.withColumn("next", F.expr("if(declared > 0 and off >= 0, off + declared, -1)")), "candidates")
+    placed = step(placed.withColumn("next", F.expr("if(declared > 0 and off >= 0, off + declared, -1)")), "candidates")
 
     def shorten(part: pd.DataFrame) -> pd.DataFrame:
         part = part[part["next"] >= 0].sort_values("off", ascending=False)
@@ -132,17 +132,17 @@ def chain(pieces: DataFrame) -> DataFrame:
         return part[["file", "split", "nth", "off", "declared", "starts"]]
 
     jumps = placed.groupBy("file", "split").applyInPandas(shorten, "file string, off long, next long").where("next >= 0")
-    jumps = materialise(jumps, "jumps")
+    jumps = step(jumps, "jumps")
     reached = placed.select("file", F.lit(0).cast("long").alias("off")).distinct()
     while True:
-        reached = materialise(reached, "reached")
-        step = reached.join(jumps, ["file", "off"]).select("file", F.col("next").alias("off"))
-        more = reached.union(step).distinct()
+        reached = step(reached, "reached")
+        onward = reached.join(jumps, ["file", "off"]).select("file", F.col("next").alias("off"))
+        more = reached.union(onward).distinct()
         if more.count() == reached.count():
             break
         reached = more
         far = jumps.select("file", F.col("off").alias("next"), F.col("next").alias("far"))
-        jumps = materialise(jumps.join(far, ["file", "next"]).select("file", "off", F.col("far").alias("next")), "jumps")
+        jumps = step(jumps.join(far, ["file", "next"]).select("file", "off", F.col("far").alias("next")), "jumps")
     # the chain enters a split once
     entries = base.join(reached, "file").where(f"off >= base - {len(MAGIC)} and off < base + total - {len(MAGIC)}")
     entries = entries.groupBy("file", "split").agg(F.min("off").alias("entry"))
@@ -155,7 +155,7 @@ def chain(pieces: DataFrame) -> DataFrame:
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Every record of the archives under ``path``: ``headers`` (lower-cased names), ``http`` headers and ``payload``."""
-    marks = materialise(chain(_scan(spark, path, False)), "chain").where("record is not null")
+    marks = step(chain(_scan(spark, path, False)), "chain").where("record is not null")
     # pieces beyond a record's declared end are garbage between records
     ends = marks.where("starts").selectExpr("file as f", "record as r", "record + declared as end")
     marks = marks.join(ends, (F.col("file") == F.col("f")) & (F.col("record") == F.col("r"))).where("off < end")
@@ -166,7 +166,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     split = found.where("parts > 1").groupBy("file", "record")
     split = split.agg(F.sort_array(F.collect_list(F.struct("off", "value"))).alias("p"), F.max_by("declared", -F.col("off")).alias("declared"))
     magic = F.lit(MAGIC)
-    joined = F.aggregate(F.slice("p", 2, 2**31 - 1), F.col("p")[0]["value"], lambda a, x: F.concat(a, magic, x["value"]))
+    joined = F.aggregate(F.slice("p", F.lit(2), F.size("p")), F.col("p")[0]["value"], lambda a, x: F.concat(a, magic, x["value"]))
     rows = whole.union(split.select(joined.alias("value"), "declared"))
 
     def fields(raw: bytes) -> dict[str, str]:
