@@ -19,8 +19,10 @@ from tabforge.llm.common import small_batches, with_columns
 
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_closed", "n_upper",
             "n_distinct"]
-#: Accuracy that every rule is trusted to have on good documents, and on those with the fault it looks for.
+#: Accuracy that a rule is trusted to have on good documents until the counts speak against it, and on its own fault.
 LEAST_GOOD, LEAST_SEEN = 0.995, 0.9
+#: Documents from which on a fault must show in other rules' votes, and by how much at least in one of them.
+ENOUGH, LEAST_SHOWN = 100, 0.02
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
 _CLOSERS = (".", "!", "?", '"', "'", ")", ":", ";", "…", "”", "»", "。")
 
@@ -110,36 +112,64 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 300, tol: f
 
     ``patterns`` is patterns x rules of -1/0/1 and ``counts`` the documents of each. A good document is of one kind, a bad
     one has a main fault, one kind for each rule. Given its kind, every rule that votes is right or wrong with a
-    probability of its own; abstentions say nothing. Votes alone can't tell a fault that comes without others from a
-    harmless whim, so two things are taken on trust: rules spare good documents (accuracy ``LEAST_GOOD`` or more) and see
-    their own fault (``LEAST_SEEN`` or more). Everything else is estimated. Returns the probability of "good" for
-    each pattern, the rules' accuracies on good and on bad documents, and the share of good documents.
+    probability of its own. Rules are at first trusted to spare good documents (accuracy ``LEAST_GOOD`` or more) and to see
+    their own fault (``LEAST_SEEN`` or more). A fault of ``ENOUGH`` documents or more on which all other rules vote and
+    abstain as on good documents is then the whim of its rule: the kind is given up, the rule's accuracy on good documents
+    is estimated without a bound, and everything is estimated again, until each fault left shows in another rule. Returns
+    the probability of "good" for each pattern, the rules' accuracies on good and on bad documents, and the share of good
+    documents.
     """
+    trusted = np.ones(patterns.shape[1], bool)
+    while True:
+        kind, says_good, share = _fit(patterns, counts, trusted, rounds, tol)
+        whims = _whims(patterns, kind * counts[:, None], trusted)
+        if not len(whims):
+            break
+        trusted[whims[0]] = False  # the commonest; the others are looked at again without it
+    faulty = share[1:] / max(share[1:].sum(), 1e-300)
+    return kind[:, 0], says_good[0], 1 - faulty @ says_good[1:], float(share[0])
+
+
+def _fit(patterns: np.ndarray, counts: np.ndarray, trusted: np.ndarray, rounds: int, tol: float):
+    """EM with a kind for the fault of each trusted rule: kinds of each pattern, rules' chances to say good, shares."""
     n = patterns.shape[1]
     good, bad, weight = (patterns == 1).astype(float), (patterns == -1).astype(float), counts.astype(float)
     says_good = np.full((n + 1, n), 0.9)  # by kind of document and rule; kind 0 is good
     says_good[0] = LEAST_GOOD
-    own = np.arange(n)
+    own = np.flatnonzero(trusted)
     says_good[own + 1, own] = 1 - LEAST_SEEN
-    share = np.r_[0.8, np.full(n, 0.2 / n)]
-    posterior = np.zeros(len(patterns))
+    there = np.r_[True, trusted]
+    share = np.where(there, np.r_[0.8, np.full(n, 0.2 / n)], 0.0)
+    kind = np.zeros((len(patterns), n + 1))
     for _ in range(rounds):
-        score = np.log(share) + good @ np.log(says_good).T + bad @ np.log1p(-says_good).T
+        score = np.log(np.maximum(share, 1e-300)) + good @ np.log(says_good).T + bad @ np.log1p(-says_good).T
+        score[:, ~there] = -np.inf
         score -= score.max(axis=1, keepdims=True)
-        kind = np.exp(score)
+        before, kind = kind[:, 0], np.exp(score)
         kind /= kind.sum(axis=1, keepdims=True)
-        done = np.abs(kind[:, 0] - posterior).max(initial=0) < tol
-        posterior = kind[:, 0]
-        if done:
+        if np.abs(kind[:, 0] - before).max(initial=0) < tol:
             break
         mass = kind * weight[:, None]
         # Beta(9, 1) priors keep the probabilities inside (0, 1)
         says_good = (mass.T @ good + 9) / (mass.T @ (good + bad) + 10)
-        says_good[0] = np.maximum(says_good[0], LEAST_GOOD)
+        says_good[0, own] = np.maximum(says_good[0, own], LEAST_GOOD)
         says_good[own + 1, own] = np.minimum(says_good[own + 1, own], 1 - LEAST_SEEN)
-        share = (mass.sum(axis=0) + 1) / (weight.sum() + n + 1)
-    faulty = share[1:] / share[1:].sum()
-    return posterior, says_good[0], 1 - faulty @ says_good[1:], float(share[0])
+        share = np.where(there, mass.sum(axis=0) + 1, 0.0) / (weight.sum() + there.sum())
+    return kind, says_good, share
+
+
+def _whims(patterns: np.ndarray, mass: np.ndarray, trusted: np.ndarray) -> np.ndarray:
+    """Trusted rules, commonest first, whose fault leaves the votes and abstentions of all others as good documents have
+    them: no share differs by ``LEAST_SHOWN`` beyond three standard errors."""
+    size = mass.sum(axis=0)
+    shares = np.stack([mass.T @ (patterns == v) for v in (-1, 0, 1)]) / np.maximum(size, 1e-300)[:, None]
+    found = []
+    for r in np.flatnonzero(trusted & (size[1:] >= ENOUGH)):
+        here, usual = np.delete(shares[:, r + 1], r, axis=1), np.delete(shares[:, 0], r, axis=1)
+        shown = np.abs(here - usual) - 3 * np.sqrt(usual * (1 - usual) / size[r + 1])
+        if shown.max(initial=0) < LEAST_SHOWN:
+            found.append(r)
+    return np.array(sorted(found, key=lambda r: -size[r + 1]), int)
 
 
 def votes(df: DataFrame, text: str = "text") -> DataFrame:

@@ -51,6 +51,26 @@ def test_estimate_finds_the_accuracies():
     assert np.all(np.diff(on_bad) < 0.05)  # the commoner its fault, the more of the bad documents a rule sees
 
 
+@pytest.mark.parametrize("share", [0.003, 0.01, 0.05, 0.1, 0.3])
+@pytest.mark.parametrize("abstain", [0.0, 0.1])
+def test_a_rule_that_errs_alone_rejects_nothing(share, abstain):
+    """One rule votes bad on a share of clean documents; one in a hundred documents has three faults, its own among them."""
+    rng = np.random.default_rng(2)
+    n, rules = 200_000, 8
+    bad = np.zeros((n, rules), bool)
+    faulty = rng.random(n) < 0.01
+    bad[:, 2] = rng.random(n) < share
+    bad[np.ix_(faulty, [2, 4, 5])] = True
+    votes = np.where(bad, -1, 1)
+    votes[rng.random(votes.shape) < abstain] = 0
+    patterns, which, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    posterior, on_good, _, good = quality.estimate(patterns, counts)
+    kept = posterior[which.ravel()] > 0.5
+    told = (votes[:, [4, 5]] != 0).any(axis=1)  # where both abstain, nothing tells a fault from the whim
+    assert kept[~faulty & told].all() and not kept[faulty & told].any()
+    assert abs(on_good[2] - (1 - share)) < 0.003 and abs(good - 0.99) < 0.003
+
+
 def test_operator(spark, sf):
     df = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", F.lit("x").alias("kept"))
     extra = spark.createDataFrame([(None, None, "x"), (-1, "", "x"), (-2, " \n ", "x")], "doc_id long, text string, kept string")
