@@ -179,7 +179,7 @@ def _is_menu(node: _Node, found: dict[int, list[int]]) -> bool:
 
 
 def main_text(page: str | None) -> str:
-    """Text of the best-scored container and of those siblings that look like parts of it."""
+    """Text of the article or main that the best-scored container lies in, else of the container and all beside it."""
     if not page:
         return ""
     root = parse(page)
@@ -210,24 +210,34 @@ def main_text(page: str | None) -> str:
         score = (node.score + (25 if node.tag in ("article", "main") else 0)) * (1 - min(1.0, linked / chars))
         if score > top_score or (score == top_score and node.tag in ROOTS and best.tag not in ROOTS):
             best, top_score = node, score
-    chosen = [best]
-    if best.parent is not None and best.tag != "body":
+    article = best if best.tag in ("article", "main") else None
+    node = best
+    while node.parent is not None:
+        node = node.parent
+        article = node if node.tag in ("article", "main") else article
+    if article is None:  # all that stands beside the best container belongs to it, bare text too
+        chosen = [best if best.parent is None or best.tag == "body" else best.parent]
+    else:
         chosen = []
-        for kid in best.parent.kids:
-            if kid is best:
+        for kid in article.parent.kids:
+            if kid is article:
                 chosen.append(kid)
-            elif isinstance(kid, _Node) and not kid.noise and (t := totals.get(id(kid))):
+            elif isinstance(kid, _Node) and not kid.noise and (t := totals.get(id(kid))) and not _is_menu(kid, totals):
                 density = t[1] / t[0]
-                alike = kid.score * (1 - min(1, density)) >= max(10, 0.2 * top_score) or kid.tag == best.tag in ("article", "section")
+                alike = kid.score * (1 - min(1, density)) >= max(10, 0.2 * top_score) or kid.tag == article.tag == "article"
                 if alike or (kid.tag == "p" and t[0] > 80 and density < 0.25) or kid.tag in HEADINGS:
                     chosen.append(kid)
+    # a list of links is part of an article, or of a main without articles
+    whole = {"article"} if any(n.tag == "article" for n in nodes.values()) else {"article", "main"}
     out = []
     for part in chosen:
         for owner, text, _ in _blocks(part):
             node, menu = owner, False
-            while node is not part and node is not None and not menu:
-                menu = _is_menu(node, totals)
-                node = node.parent
+            while node is not None and node.tag not in whole and not (node is part and (part is best or part is article)):
+                menu = menu or (node is not best and _is_menu(node, totals))
+                node = None if node is part else node.parent
+            if node is not None and node.tag in whole:
+                menu = False
             if not menu:
                 out.append(text)
     return "\n".join(out)

@@ -121,6 +121,22 @@ def test_main_text(page, text):
     assert htmltext.main_text(page) == text
 
 
+def test_main_text_is_whole():
+    long = [f"Paragraph {i}, with, some, commas, and " + "words " * 30 + "." for i in range(30)]
+    body = lambda xs: "".join(f"<p>{x}</p>" for x in xs)
+    links = "<ul><li><a href=1>One</a><li><a href=2>Two</a><li><a href=3>Three</a></ul>"
+    rest = f"<div>{body(['a, b.', 'c.'])}</div><p>Short end.</p><blockquote>Said.</blockquote><pre>x = 1</pre>"
+    want = [" ".join(x.split()) for x in long] + ["a, b.", "c.", "Short end.", "Said.", "x = 1"]
+    page = "<body><div>{menu}</div>{open}<div>{long}</div>{rest}{links}{close}</body>"
+    for tag in ("article", "main"):
+        whole = page.format(menu=links, open=f"<{tag}>", long=body(long), rest=rest, links=links, close=f"</{tag}>")
+        assert htmltext.main_text(whole).split("\n") == [*want, "One", "Two", "Three"]
+    plain = page.format(menu=links, open="Bare text.", long=body(long), rest=rest, links=links, close="")
+    assert htmltext.main_text(plain).split("\n") == ["Bare text.", *want]
+    both = f"<main><article>{body(long)}</article>{links}<p>End.</p></main>"
+    assert htmltext.main_text(both).split("\n") == [*want[:30], "End."]
+
+
 def test_extract(spark):
     df = spark.createDataFrame([(i, p, "old", 1) for i, (p, _) in enumerate(PAGES)], "page_id long, html string, text string, n_chars int")
     out = htmltext.extract(df)
