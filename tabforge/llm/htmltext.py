@@ -24,13 +24,19 @@ BLOCKS = frozenset(
     "tbody td tfoot th thead tr ul".split()
 )
 RAW = frozenset("script style noscript template textarea iframe svg math object canvas select title xmp noembed".split())
-DROPPED = RAW | frozenset("head nav footer aside form button dialog menu input label fieldset audio video map".split())
+DROPPED = RAW | frozenset("head nav footer aside button dialog menu input label fieldset audio video map".split())
 NOISE = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary consent "
     "contentinfo cookie cookies dialog disqus footer gdpr login menu modal nav navbar navigation newsletter notice notices "
     "overlay pager pagination popup promo promoted promotion related recommended reply respond search share sharing "
     "sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Beside a noise word, a first part that denies it and last parts that leave it one.
+STATES = frozenset("has have no not with without is hide show".split())
+BOXES = frozenset(
+    "area bar block body bottom box btn button buttons col column container content footer form group header icons inner "
+    "item items left link links list main outer panel posts right row section slot text title top unit wrap wrapper".split()
+)
 ROOTS = frozenset("html body article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSED_BY = {
@@ -44,39 +50,58 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _WORDS = re.compile(r"[a-z]+")
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)", re.I)
+#: Share of a page's text outside links below which its class rules left too little.
+LITTLE = 0.2
 _SPACE = re.compile(r"\s+")
 
 
+#: What an element is by its own mark-up: wanted, noise by a word or a form (which may err), or never part of the text.
+CLEAN, SOFT, HARD = 0, 1, 2
+
+
 class _Node:
-    __slots__ = ("tag", "parent", "kids", "noise", "score")
+    __slots__ = ("tag", "parent", "kids", "mark", "noise", "score")
 
-    def __init__(self, tag: str, parent: _Node | None, noise: bool):
-        self.tag, self.parent, self.noise = tag, parent, noise
+    def __init__(self, tag: str, parent: _Node | None, mark: int):
+        self.tag, self.parent, self.mark, self.noise = tag, parent, mark, False
         self.kids: list[_Node | str] = []
         self.score = 0.0
 
 
-def _is_noise(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in DROPPED:
-        return True
-    if tag == "header":
-        return not in_article
-    if not attributes or tag in ROOTS:
+def _names_noise(token: str, in_article: bool) -> bool:
+    """Whether a whole class, id or role says noise, by itself or by its last part (by its first, if the last is a box)."""
+    parts = _WORDS.findall(token.split("--")[0])
+    if not parts or parts[0] in STATES:
         return False
+    noisy = [p in NOISE or (p == "header" and not in_article) for p in (parts[0], parts[-1])]
+    return noisy[1] or (noisy[0] and parts[-1] in BOXES)
+
+
+def _mark(tag: str, attributes: str, in_article: bool) -> int:
+    if tag == "form":
+        mark = SOFT
+    elif tag in DROPPED or (tag == "header" and not in_article):
+        return HARD
+    else:
+        mark = CLEAN
+    if not attributes or tag in ROOTS or tag == "header":
+        return mark
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next((v for v in values if v), "").lower()
         if name in ("class", "id", "role"):
-            words = set(_WORDS.findall(value))
-            if words & NOISE or ("header" in words and not in_article):
-                return True
+            if any(_names_noise(token, in_article) for token in value.split()):
+                mark = SOFT
         elif (name == "style" and "display:none" in value.replace(" ", "")) or (name == "aria-hidden" and value == "true"):
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|/|$)", attributes))
+            return HARD
+    return HARD if _HIDDEN.search(_QUOTED.sub('""', attributes)) else mark
 
 
-def parse(page: str) -> _Node:
-    """The page's elements as a tree; scripts, styles and the like keep no text."""
-    root = at = _Node("html", None, False)
+def parse(page: str) -> tuple[_Node, list[_Node]]:
+    """The page's elements as a tree and in page order; scripts, styles and the like keep no text."""
+    root = at = _Node("html", None, CLEAN)
+    nodes = [root]
     open_articles = 0
     place, end = 0, len(page)
     while place < end:
@@ -118,8 +143,9 @@ def parse(page: str) -> _Node:
                 node = node.parent
             if last is not None:
                 at = last.parent
-        node = _Node(tag, at, at.noise or _is_noise(tag, m[3], open_articles > 0))
+        node = _Node(tag, at, _mark(tag, m[3], open_articles > 0))
         at.kids.append(node)
+        nodes.append(node)
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, place)
             place = close.end() if close else end
@@ -129,7 +155,58 @@ def parse(page: str) -> _Node:
         elif tag not in VOID and tag in BLOCKS | {"a", "b", "i", "span", "em", "strong"}:
             at = node  # the slash means nothing on these
             open_articles += tag in ("article", "main")
-    return root
+    return root, nodes
+
+
+def _spread(nodes: list[_Node], least: int) -> None:
+    """Elements marked ``least`` or worse are noise, with all below them."""
+    for node in nodes:
+        node.noise = node.mark >= least or (node.parent is not None and node.parent.noise)
+
+
+def _plain_chars(root: _Node) -> dict[int, int]:
+    """Characters outside links in every element, as far as they aren't noise."""
+    found: dict[int, int] = {}
+    for owner, text, linked in _blocks(root):
+        node: _Node | None = owner
+        while node is not None:
+            found[id(node)] = found.get(id(node), 0) + max(len(text) - linked, 0)
+            node = node.parent
+    return found
+
+
+def _clear_wrappers(root: _Node, nodes: list[_Node]) -> None:
+    """Find the noise; a word or a form marks nothing that wraps the page's main, its article or most of its text."""
+    if not any(n.mark == SOFT for n in nodes):
+        _spread(nodes, SOFT)
+        return
+    _spread(nodes, HARD)
+    plain = _plain_chars(root)
+    told = [n for n in nodes if n.tag in ("article", "main") and plain.get(id(n))]
+    mains = [n for n in told if n.tag == "main"]
+    _spread(nodes, SOFT)
+    wrapped = mains
+    if not any(not n.noise for n in told):
+        wrapped = mains or (told if sum(not any(p.tag == "article" for p in _above(n)) for n in told) == 1 else [])
+    for node in wrapped:
+        for above in _above(node):
+            above.mark = CLEAN
+    _spread(nodes, SOFT)
+    left = _plain_chars(root)
+    if any(left.get(id(n)) for n in told) or left.get(id(root), 0) >= LITTLE * plain.get(id(root), 0):
+        return
+    for node in nodes:
+        if node.mark == SOFT and 2 * plain.get(id(node), 0) > plain[id(root)]:
+            node.mark = CLEAN
+    _spread(nodes, SOFT)
+    if _plain_chars(root).get(id(root), 0) < LITTLE * plain[id(root)]:
+        _spread(nodes, HARD)
+
+
+def _above(node: _Node):
+    while node.parent is not None:
+        node = node.parent
+        yield node
 
 
 def _blocks(top: _Node):
@@ -182,7 +259,8 @@ def main_text(page: str | None) -> str:
     """Text of the article or main that the best-scored container lies in, else of the container and all beside it."""
     if not page:
         return ""
-    root = parse(page)
+    root, elements = parse(page)
+    _clear_wrappers(root, elements)
     blocks = _blocks(root)
     if not blocks:
         return ""

@@ -137,6 +137,29 @@ def test_main_text_is_whole():
     assert htmltext.main_text(both).split("\n") == [*want[:30], "End."]
 
 
+ARTICLE = "<p>One, two, three, four, five, and some more words to read.</p><p>Six.</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<div id="page" class="has-sidebar">{ARTICLE}</div>',
+        f'<div class="content no-sidebar">{ARTICLE}</div>',
+        f'<div class="post share-enabled">{ARTICLE}</div>',
+        f'<div id="search-results">{ARTICLE}</div>',
+        f'<form action=x><div class=content>{ARTICLE}</div><div class=sidebar><p>Beside.</p></div></form>',
+        f'<div class=search><main>{ARTICLE}</main><div class=widget><p>Beside.</p></div></div>',
+        f'<div class=social><article>{ARTICLE}</article></div><p>x</p>',
+        f'<div class=sidebar><div>{ARTICLE}</div></div>',
+        f'<div class="hidden md:block" title="the hidden side">{ARTICLE}</div><div hidden><p>no</p></div><div HIDDEN=""><p>no</p></div>',
+        f'<article>{ARTICLE}<div class="sidebar-left"><p>no</p></div><ul id="comments--open"><li>no</ul><form><p>no</p></form></article>',
+    ],
+)
+def test_noise_words_spare_the_page(page):
+    assert "One, two" in htmltext.main_text(page) and htmltext.main_text(page).split("\n")[1] == "Six."
+    assert not {"no", "Beside."} & set(htmltext.main_text(page).split("\n"))
+
+
 def test_extract(spark):
     df = spark.createDataFrame([(i, p, "old", 1) for i, (p, _) in enumerate(PAGES)], "page_id long, html string, text string, n_chars int")
     out = htmltext.extract(df)
