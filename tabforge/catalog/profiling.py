@@ -442,6 +442,35 @@ def datetime_summary_events(spark, sf_dir):
     return rounded_doubles(timeprofile.datetime_summary(table(spark, sf_dir, "events"), "ts"))
 
 
+#: Derived series: regular ones, and one that is irregular from its 61st day on.
+_SERIES = {
+    "days": ("customer", "timestamp_ntz'2000-01-01' + make_dt_interval(cast(c_custkey as int))"),
+    "late": ("customer", "timestamp_ntz'2000-01-01' + make_dt_interval(cast(if(c_custkey <= 60, c_custkey, c_custkey * 3 + c_custkey % 2) as int))"),
+    "hours": ("customer", "timestamp_ntz'2000-01-01' + make_dt_interval(0, cast(c_custkey * 6 as int))"),
+    "quarters": ("nation", "cast(add_months(date'2000-01-01', cast(n_nationkey * 3 as int)) as timestamp_ntz)"),
+}
+
+
+@query(
+    "datetime_frequency_series",
+    "WITH s AS (SELECT 'days' AS series, TIMESTAMP '2000-01-01' + to_days(c_custkey::INT) AS t FROM customer "
+    "UNION ALL SELECT 'late', TIMESTAMP '2000-01-01' + to_days((CASE WHEN c_custkey <= 60 THEN c_custkey ELSE c_custkey * 3 + c_custkey % 2 END)::INT) FROM customer "
+    "UNION ALL SELECT 'hours', TIMESTAMP '2000-01-01' + to_hours(c_custkey * 6) FROM customer "
+    "UNION ALL SELECT 'quarters', TIMESTAMP '2000-01-01' + to_months((n_nationkey * 3)::INT) FROM nation), "
+    "g AS (SELECT series, t, epoch(t) - epoch(lag(t) OVER w) AS gap, "
+    "year(t) * 12 + month(t) - lag(year(t) * 12 + month(t)) OVER w AS months FROM s WINDOW w AS (PARTITION BY series ORDER BY t)) "
+    "SELECT series, CASE WHEN count(DISTINCT gap) = 1 AND min(gap) = 86400 THEN 'D' "
+    "WHEN count(DISTINCT gap) = 1 AND min(gap) = 21600 THEN '6h' "
+    "WHEN min(months) = 3 AND max(months) = 3 AND max(day(t)) = 1 THEN 'QS-OCT' END AS inferred_freq FROM g GROUP BY series",
+)
+def datetime_frequency_series(spark, sf_dir):
+    found = [
+        (name, timeprofile.infer_frequency(table(spark, sf_dir, source).selectExpr(f"{t} AS t"), "t"))
+        for name, (source, t) in _SERIES.items()
+    ]
+    return spark.createDataFrame(found, "series string, inferred_freq string")
+
+
 @query(
     "time_gaps_orders",
     "SELECT gap_seconds, count(*) AS n FROM (SELECT (epoch_us(o_orderdate) - epoch_us(lag(o_orderdate) OVER (ORDER BY o_orderdate)))::DOUBLE / 1e6 AS gap_seconds "

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +22,7 @@ from tabforge.functions.columns import (
 from tabforge.plans.aggregates import aggregate_cells, numeric_cells, union_all
 from tabforge.plans.ordering import order_cuts, running_totals, segment_number, with_previous, with_tie
 from tabforge.plans.quantiles import TASK_ROWS
+from tabforge.session import materialise
 
 PERIODS = {"day": "interval 1 day", "week": "interval 7 days", "month": "interval 1 month",
            "quarter": "interval 3 months", "year": "interval 1 year"}
@@ -123,33 +123,92 @@ def gap_summary(gaps: DataFrame, few: bool, task_rows: int = TASK_ROWS) -> tuple
     return (low + high) / 2, row.longest
 
 
-def infer_frequency(df: DataFrame, column: str, formats: Sequence[str] = (), head: int = 50) -> str | None:
-    """Frequency of the first ``head`` timestamps in time order, or None.
+MONTHS = "JAN FEB MAR APR MAY JUN JUL AUG SEP OCT NOV DEC".split()
+_DAY, _HOUR = 86400, 3600
 
-    ``D``/``h``/``min``/``s`` with a multiple, ``MS`` for month starts, ``ME`` for month ends.
-    Repeated or fewer than three timestamps have none.
+
+def infer_frequency(
+    df: DataFrame, column: str, formats: Sequence[str] = (), task_rows: int = TASK_ROWS, gaps: DataFrame | None = None
+) -> str | None:
+    """Frequency of the whole column by pandas' names, or None.
+
+    ``D``/``h``/``min``/``s``/``ms``/``us`` and ``W-...`` with a multiple; month, quarter and year starts and ends (``MS``,
+    ``QE-DEC``, ``2YS-JAN``) and their business forms; ``B``, ``bh`` and ``WOM-...``. Repeated or fewer than three timestamps
+    have none. ``gaps`` is the result of ``time_gaps``, if there is one already.
     """
-    ts = timestamp_of(df, column, formats)
-    rows = df.select(ts.alias("t")).where("t IS NOT NULL").orderBy("t").limit(head).collect()
-    times = [r.t for r in rows]
-    if len(times) < 3:
+    gaps = time_gaps(df, column, formats, task_rows) if gaps is None else gaps
+    gap = F.col("gap_seconds")
+    g = gaps.agg(
+        F.sum("n").alias("n"),
+        F.min(gap).alias("least"),
+        F.max(gap).alias("most"),
+        F.count_if(gap % _DAY != 0).alias("broken_days"),
+        F.sum(F.when(gap == 3 * _DAY, F.col("n")).otherwise(0)).alias("threes"),
+        F.count_if(~gap.isin(1.0 * _DAY, 3.0 * _DAY)).alias("not_business"),
+        F.count_if(~gap.isin(1.0 * _HOUR, 17.0 * _HOUR, 65.0 * _HOUR)).alias("not_hours"),
+    ).first()
+    if not g.n or g.n < 2 or g.least <= 0:
+        return None
+    if not g.broken_days:
+        return _calendar_frequency(df, timestamp_of(df, column, formats), g)
+    if g.least == _HOUR < g.most and not g.not_hours:
+        return "bh"
+    if g.least != g.most:
         return None
-    gaps = [b - a for a, b in zip(times, times[1:])]
-    if len(set(gaps)) == 1 and gaps[0] > timedelta(0):
-        seconds = gaps[0].total_seconds()
-        if seconds == 7 * 86400:
-            return "W-" + times[0].strftime("%a").upper()
-        for size, name in ((86400, "D"), (3600, "h"), (60, "min"), (1, "s")):
-            if seconds % size == 0:
-                return name if seconds == size else f"{int(seconds // size)}{name}"
-        return f"{int(seconds * 1000)}ms"
-    months = [(t.year * 12 + t.month) for t in times]
-    same_clock = len({t.time() for t in times}) == 1
-    if same_clock and all(b - a == 1 for a, b in zip(months, months[1:])):
-        if all(t.day == 1 for t in times):
-            return "MS"
-        if all((t + timedelta(days=1)).month != t.month for t in times):
-            return "ME"
+    micros = round(g.least * 1_000_000)
+    for size, name in ((_HOUR * 1_000_000, "h"), (60_000_000, "min"), (1_000_000, "s"), (1000, "ms"), (1, "us")):
+        if micros % size == 0:
+            return _times(micros // size, name)
+    return None
+
+
+def _times(count: int, name: str) -> str:
+    return name if count == 1 else f"{count}{name}"
+
+
+def _calendar_frequency(df: DataFrame, ts: Column, g) -> str | None:
+    """Frequency of timestamps whose gaps, summed up in ``g``, are whole days."""
+    dated = df.select(ts.alias("t")).where("t IS NOT NULL")
+    t = F.col("t")
+    day, weekday, left = F.dayofmonth(t), F.weekday(t), F.dayofmonth(F.last_day(t)) - F.dayofmonth(t)
+    number = F.year(t) * 12 + F.month(t) - 1
+    c = dated.agg(
+        F.min(t).alias("first"),
+        F.min(number).alias("lo"),
+        F.max(number).alias("hi"),
+        F.count_distinct(number).alias("months"),  # no more than the calendar has
+        F.bool_and(day == 1).alias("S"),
+        F.bool_and((day == 1) | ((day <= 3) & (weekday == 0))).alias("BS"),
+        F.bool_and(left == 0).alias("E"),
+        F.bool_and((left == 0) | ((left < 3) & (weekday == 4))).alias("BE"),
+        F.count_if(weekday > 4).alias("weekends"),
+        F.count_if(weekday == 0).alias("mondays"),
+        F.min(weekday).alias("weekday"),
+        F.max(weekday).alias("last_weekday"),
+        F.min((day - 1).cast("int") / 7).cast("int").alias("week"),
+        F.max((day - 1).cast("int") / 7).cast("int").alias("last_week"),
+    ).first()
+    step, rest = divmod(c.hi - c.lo, g.n)
+    steady = c.months == g.n + 1 and not rest
+    if steady and step > 1:
+        steady = not dated.agg(F.count_if((number - c.lo) % step != 0)).first()[0]
+    place = next((p for p in ("S", "BS", "E", "BE") if c[p]), None)
+    if steady and place:
+        business, edge = place[:-1], place[-1]
+        if step % 12 == 0:
+            return _times(step // 12, f"{business}Y{edge}-{MONTHS[c.first.month - 1]}")
+        if step % 3 == 0:
+            return _times(step // 3, f"{business}Q{edge}-{MONTHS[(c.first.month - 1) % 3 + 9]}")
+        return _times(step, f"{business}M{edge}")
+    names = "MON TUE WED THU FRI SAT SUN".split()
+    if g.least == g.most:
+        days = int(g.least) // _DAY
+        return _times(days, "D") if days % 7 else _times(days // 7, f"W-{names[c.first.weekday()]}")
+    # among weekdays a step of three days that doesn't end on a Monday leaves a day out
+    if g.least == _DAY and not g.not_business and not c.weekends and g.threes == c.mondays - (c.first.weekday() == 0):
+        return "B"
+    if steady and step == 1 and c.weekday == c.last_weekday and c.week == c.last_week < 4:
+        return f"WOM-{c.week + 1}{names[c.weekday]}"
     return None
 
 
@@ -165,9 +224,9 @@ def datetime_summary(
         F.approx_count_distinct(ts).alias("d"),
     ).first()
     about = int(1.2 * row.d) + 1
-    gaps = time_gaps(df, column, formats, task_rows, about)
+    gaps = materialise(time_gaps(df, column, formats, task_rows, about), "gaps")
     median, longest = gap_summary(gaps, about <= task_rows, task_rows)
-    found = (row.min, row.max, row.n_nat, median, longest, infer_frequency(df, column, formats))
+    found = (row.min, row.max, row.n_nat, median, longest, infer_frequency(df, column, formats, task_rows, gaps))
     return df.sparkSession.createDataFrame(
         [found],
         "min string, max string, n_nat long, median_gap_seconds double, max_gap_seconds double, inferred_freq string",
