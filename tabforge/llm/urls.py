@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabforge.llm.common import step
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -59,18 +61,23 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 def templates(urls: DataFrame, tree: Tree) -> DataFrame:
     """Templates of the distinct ``host``, ``shape`` in ``urls`` (with the number of urls, ``n``).
 
-    A shape has its digit runs replaced by ``#``. A segment becomes ``*`` where its parent has too many kinds of it.
+    A shape has its digit runs replaced by ``#``. A segment becomes ``*`` where its parent has too many kinds of it. Parents
+    are compared as the levels above left them, so what is below a ``*`` is pooled. Only levels where some host has kinds
+    enough are looked at, one after the other.
     """
-    parts = urls.select("host", "shape", "n", F.posexplode(F.split("shape", "/", -1)).alias("d", "s"))
-    parts = parts.withColumn("parent", F.expr("array_join(slice(split(shape, '/', -1), 1, d), '/')"))
-    kinds = parts.groupBy("host", "d", "parent", "s").agg(F.sum("n").alias("n"))
-    fans = kinds.groupBy("host", "d", "parent").agg(F.count("*").alias("kinds"), F.sum("n").alias("urls"))
-    fans = fans.where((F.col("kinds") > tree.fan) & (F.col("urls") < F.col("kinds") * tree.reuse))
-    parts = parts.join(fans.select("host", "d", "parent", F.lit(True).alias("wild")), ["host", "d", "parent"], "left")
-    step = F.struct("d", F.when(F.col("wild"), "*").otherwise(F.col("s")).alias("s"))
-    return parts.groupBy("host", "shape").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(step)), lambda x: x["s"]), "/").alias("template")
-    )
+    rows = step(urls.select("host", "shape", "n", F.split("shape", "/", -1).alias("segs")), "url-shapes")
+    rows = rows.withColumn("way", F.col("segs"))
+    each = rows.select("host", F.posexplode("segs").alias("d", "s")).distinct().groupBy("host", "d").count()
+    levels = sorted(r[0] for r in each.where(F.col("count") > tree.fan).select("d").distinct().collect())
+    for d in levels:
+        here = rows.withColumn("parent", F.when(F.size("segs") > d, F.array_join(F.slice("way", 1, d), "/")))
+        kinds = here.where("parent is not null").groupBy("host", "parent", F.col("segs")[d].alias("s")).agg(F.sum("n").alias("n"))
+        fans = kinds.groupBy("host", "parent").agg(F.count("*").alias("kinds"), F.sum("n").alias("urls"))
+        fans = fans.where((F.col("kinds") > tree.fan) & (F.col("urls") < F.col("kinds") * tree.reuse))
+        here = here.join(fans.select("host", "parent", F.lit(True).alias("wild")), ["host", "parent"], "left")
+        way = F.transform("way", lambda x, k: F.when(F.col("wild") & (k == d), "*").otherwise(x))  # noqa: B023
+        rows = step(here.withColumn("way", way).select("host", "shape", "n", "segs", "way"), f"url-level-{d}")
+    return rows.select("host", "shape", F.array_join("way", "/").alias("template"))
 
 
 def judge(

@@ -257,6 +257,20 @@ def test_url_purity(spark):
     assert by["/spam/3/x"].template == "/spam" and len({by[p].template for p in free}) == 1
 
 
+def test_urls_pool_below_wildcards(spark):
+    """Names vary, and so do the few slugs of each: one template, whose purity blocks a page without labels of its own."""
+    word = lambda k: "".join(chr(97 + k // 26**j % 26) for j in range(3))
+    paths = [f"/u/{word(k)}/p/{word(2 * k + j)}" for k in range(600) for j in range(2)]
+    labels = [("h.test", p, k % 10 > 0) for k, p in enumerate(paths[:1000])] + [("h.test", "/ok/a", False)] * 400
+    rows = [(k, f"http://h.test{p}") for k, p in enumerate([*paths, "/ok/a"])]
+    out = urls.judge(
+        spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(labels, "host string, path string, bad boolean"), []
+    ).collect()
+    pooled = [r for r in out if r.path.startswith("/u/")]
+    assert len(pooled) == 1200 and all(r.verdict == "block" for r in pooled) and len({r.template for r in pooled}) == 1
+    assert [r.verdict for r in out if r.path == "/ok/a"] == ["allow"]
+
+
 def load_pipeline():
     path = Path(__file__).resolve().parents[2] / "corpus_pipeline.py"
     spec = importlib.util.spec_from_file_location("corpus_pipeline", path)
