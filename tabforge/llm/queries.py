@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import decontaminate, htmltext, lines, packing, quality, sharding, simhash, suffixes, urls, warc
+from tabforge.llm import (
+    decontaminate,
+    htmltext,
+    importance,
+    langid,
+    lexical,
+    lines,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    suffixes,
+    urls,
+    warc,
+)
 from tabforge.llm.common import read
 from tabforge.session import materialise, scratch_dir
 
@@ -191,3 +205,66 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         kind.alias("record_type"),
         F.when(revisit, number(header["warc-refers-to"])).alias("refers_to"),
     )
+
+
+@query(
+    "op11_lexical_search",
+    r"""
+    WITH q AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+    w AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+    d AS (SELECT doc_id, count(*) AS n FROM w GROUP BY doc_id),
+    g AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM d),
+    p AS (SELECT doc_id, term, count(*) AS tf FROM w SEMI JOIN q USING (term) GROUP BY ALL),
+    r AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+          FROM (SELECT term, count(*) AS df FROM p GROUP BY term), g),
+    s AS (SELECT item_id, doc_id, sum(r.w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms)))) AS score
+          FROM q JOIN r USING (term) JOIN p USING (term) JOIN d USING (doc_id), g GROUP BY ALL),
+    o AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM o WHERE rank <= 10
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op12_language_id")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
+#: The words of a table, the n-grams of one and two words, and the crc32 of a string, whose byte steps SQL can fold.
+_WORDS_SQL = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+_GRAMS_SQL = "list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+_CRC_SQL = """xor(list_reduce(list_prepend(4294967295, list_transform(range(0, len(h) // 2),
+    lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT))), lambda a, b:
+    list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x // 2, 3988292384 * (x % 2)))), 4294967295)"""
+
+
+@query(
+    "op13_importance_resampling",
+    f"""
+    WITH docs AS (SELECT doc_id, coalesce({_WORDS_SQL}, []) AS w FROM documents),
+    grams AS (SELECT doc_id, unnest({_GRAMS_SQL}) AS g FROM docs),
+    aims AS (SELECT unnest({_GRAMS_SQL}) AS g FROM (SELECT coalesce({_WORDS_SQL}, []) AS w FROM benchmark)),
+    names AS (SELECT g, hex(encode(g)) AS h FROM (SELECT g FROM grams UNION SELECT g FROM aims)),
+    b AS (SELECT g, {_CRC_SQL} % 10000 AS bucket FROM names),
+    sc AS (SELECT bucket, CAST(count(*) AS DOUBLE) AS s FROM grams JOIN b USING (g) GROUP BY bucket),
+    tc AS (SELECT bucket, CAST(count(*) AS DOUBLE) AS t FROM aims JOIN b USING (g) GROUP BY bucket),
+    al AS (SELECT (SELECT coalesce(sum(s), 0) FROM sc) AS sa, (SELECT coalesce(sum(t), 0) FROM tc) AS ta),
+    gn AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1) * (sa + 10000) / ((s + 1) * (ta + 10000)))) AS BIGINT) AS gain
+           FROM sc LEFT JOIN tc USING (bucket), al),
+    wt AS (SELECT doc_id, count(*) AS n, CAST(sum(gain) AS BIGINT) AS total FROM grams JOIN b USING (g) JOIN gn USING (bucket) GROUP BY doc_id),
+    x AS (SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features, CASE WHEN n IS NULL THEN 0
+          ELSE (total - ((total % n) + n) % n) // n END AS weight,
+          CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) AS hash FROM docs LEFT JOIN wt USING (doc_id)),
+    y AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((hash + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM x),
+    z AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS fit FROM y WHERE n_words >= 20)
+    SELECT y.doc_id, CAST(y.n_features AS BIGINT) AS n_features, CAST(y.weight AS BIGINT) AS weight, CAST(y.score AS BIGINT) AS score,
+      CASE WHEN r <= 25 * fit // 100 THEN r END AS rank FROM y LEFT JOIN z USING (doc_id)
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
