@@ -13,7 +13,7 @@ from tabforge.operators.bivariate import correlation_matrix
 from tabforge.operators.metrics import confusion_matrix, roc_points
 from tabforge.operators.timeprofile import volume_trend
 from tabforge.plans.aggregates import aggregate_cells, numeric_cells, per_column, union_all
-from tabforge.plans.quantiles import TASK_ROWS, exact_quantiles
+from tabforge.plans.quantiles import exact_quantiles
 
 __all__ = [
     "boxplot_stats",
@@ -80,13 +80,11 @@ def histograms(df: DataFrame, exclude: Sequence[str] = (), k: int | None = None,
     )
 
 
-def boxplot_stats(
-    df: DataFrame, exclude: Sequence[str] = (), k: int | None = None, approx: bool = False, task_rows: int = TASK_ROWS
-) -> DataFrame:
+def boxplot_stats(df: DataFrame, exclude: Sequence[str] = (), k: int | None = None, approx: bool = False) -> DataFrame:
     """Quartiles, whiskers at the last value within 1.5 interquartile ranges, and outlier count."""
     df = nan_to_null(df)
     names = first_columns(numeric_columns(df, exclude), k)
-    found = exact_quantiles(df, {c: profile.QUARTILES for c in names}, task_rows, approx)
+    found = exact_quantiles(df, {c: profile.QUARTILES for c in names}, approx)
     names = [c for c in names if found[c][0] is not None]
     if not names:
         fields = ", ".join(f"{f} double" for f in ("q1", "median", "q3", "whisker_low", "whisker_high"))

@@ -43,7 +43,6 @@ def drift_profile(
     sample_rows: int | None = None,
     order: Sequence[str] = (),
     approx: bool = False,
-    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Frozen reference of each numeric column: inner quantile edges and the counts between them.
 
@@ -61,9 +60,9 @@ def drift_profile(
         parts = []
         for c in names:
             head = df.where(col(c).isNotNull()).orderBy(*[col(o) for o in order]).limit(sample_rows).select(col(c))
-            parts.append(drift_profile(head, [c], bins, task_rows=task_rows))
+            parts.append(drift_profile(head, [c], bins))
         return union_all(parts)
-    found = exact_quantiles(df, {c: probs for c in names}, task_rows, approx)
+    found = exact_quantiles(df, {c: probs for c in names}, approx)
     edges = {c: q for c, q in found.items() if q[0] is not None}
     if not edges:
         return df.sparkSession.createDataFrame([], PROFILE_SCHEMA)

@@ -299,10 +299,10 @@ def with_residual(df: DataFrame, y: str, pred: str, name: str = "residual") -> D
     return df.withColumn(name, col(y).cast("double") - col(pred).cast("double"))
 
 
-def residual_summary(df: DataFrame, y: str, pred: str, task_rows: int = TASK_ROWS) -> DataFrame:
+def residual_summary(df: DataFrame, y: str, pred: str) -> DataFrame:
     """One row: count, RMSE, mean and quantiles of the residual."""
     rows = with_residual(nan_to_null(df), y, pred).where("residual IS NOT NULL").select("residual")
-    q = exact_quantiles(rows, {"residual": [0.0, 0.25, 0.5, 0.75, 1.0]}, task_rows)["residual"]
+    q = exact_quantiles(rows, {"residual": [0.0, 0.25, 0.5, 0.75, 1.0]})["residual"]
     names = ("min", "p25", "p50", "p75", "max")
     return rows.agg(
         F.count("residual").alias("n"),

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tabforge.functions.columns import col, field_type, infer_columns, nan_to_null, quote
 from tabforge.plans.aggregates import aggregate_cells, numeric_cells, value_counts
-from tabforge.plans.quantiles import TASK_ROWS, exact_quantiles
+from tabforge.plans.quantiles import exact_quantiles
 
 MISSING_VALUE = "missing_value"
 INFREQUENT = "__infrequent__"
@@ -37,7 +37,6 @@ def numeric_fill(
     columns: Sequence[str],
     strategy: str = "median",
     constant: float = 0.0,
-    task_rows: int = TASK_ROWS,
 ) -> dict[str, float]:
     """Column -> fill value. A column without any value has none and is missing from the result."""
     df = nan_to_null(df)
@@ -45,7 +44,7 @@ def numeric_fill(
     if not columns:
         return {}
     if strategy == "median":
-        found = {c: q[0] for c, q in exact_quantiles(df, {c: [0.5] for c in columns}, task_rows).items()}
+        found = {c: q[0] for c, q in exact_quantiles(df, {c: [0.5] for c in columns}).items()}
     elif strategy == "mean":
         rows = aggregate_cells(numeric_cells(df, columns), columns, {"v": F.avg("x")})
         found = {r.column: r.v for r in rows.collect()}
@@ -204,14 +203,12 @@ class Preprocessor:
         numeric_constant: float = 0.0,
         categorical_constant: str = MISSING_VALUE,
         exclude: Sequence[str] = (),
-        task_rows: int = TASK_ROWS,
     ):
         self.numeric, self.categorical = numeric, categorical
         self.numeric_strategy, self.categorical_strategy = numeric_strategy, categorical_strategy
         self.scale_numeric, self.min_frequency = scale_numeric, min_frequency
         self.numeric_constant, self.categorical_constant = numeric_constant, categorical_constant
         self.exclude = list(exclude)
-        self.task_rows = task_rows
         self.dropped: list[str] = []
 
     def columns(self, df: DataFrame, target: str | None = None) -> tuple[list[str], list[str]]:
@@ -221,7 +218,7 @@ class Preprocessor:
 
     def fit(self, df: DataFrame, target: str | None = None) -> PipelineModel:
         numeric, categorical = self.columns(df, target)
-        fill = numeric_fill(df, numeric, self.numeric_strategy, self.numeric_constant, self.task_rows)
+        fill = numeric_fill(df, numeric, self.numeric_strategy, self.numeric_constant)
         filled = impute(df.select(*[col(c) for c in fill]), fill) if fill else df
         stats = scale_statistics(filled, list(fill)) if self.scale_numeric else {}
         text_fill, with_fill = {}, {}

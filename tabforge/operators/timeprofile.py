@@ -20,8 +20,7 @@ from tabforge.functions.columns import (
     timestamp_of,
 )
 from tabforge.plans.aggregates import aggregate_cells, numeric_cells, union_all
-from tabforge.plans.ordering import order_cuts, running_totals, segment_number, with_previous, with_tie
-from tabforge.plans.quantiles import TASK_ROWS
+from tabforge.plans.ordering import TASK_ROWS, order_cuts, running_totals, segment_number, with_previous, with_tie
 from tabforge.session import materialise
 
 PERIODS = {"day": "interval 1 day", "week": "interval 7 days", "month": "interval 1 month",

@@ -1,73 +1,61 @@
-"""Exact quantiles that never hold a whole column in one task.
-
-Up to ``TASK_ROWS`` present values per column, equal values are counted and each column's counts
-are summed in value order. Beyond it, the wanted order statistics are bracketed: a sketch of a
-sample gives a pair of values around each, a scan counts exactly how many rows lie below and
-between (so a pair that missed is noticed), and the pair shrinks until what lies inside fits one
-task. Only those rows are grouped and ranked. The scans aggregate on the map side, so no column is
-shuffled as a whole.
+"""Exact quantiles by radix selection: one path for any size, in at most five scans.
+
+A double's bits, with those of a negative turned over, sort as a whole number. The first scan counts every column by the
+leading bits of that number, on the map side; the bin that holds a wanted rank is then counted by the next bits, and so
+on. Each bin also knows its least and greatest value, so a rank is settled as soon as its bin holds one value or the rank is
+its first or last, which for most data is after two or three scans; after five no bit is left. What is
+shuffled are counts, at most ``2 ** max(_DIGITS)`` a task and open bin, never values.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tabforge.functions.columns import col
-from tabforge.plans.aggregates import numeric_cells, per_column
-
-# column, rank, and the same rank or the next one
-Target = tuple[str, int, int]
 
-TASK_ROWS = 2_000_000
+#: Bits that each scan adds; together they are the 64 of a double.
+_DIGITS = (14, 13, 13, 12, 12)
+#: Columns, or later open bins, counted by one scan: a task holds three numbers a bin of each.
+_TOGETHER = 200
 _SKETCH = 20_000
 _SKETCH_CHUNK = 40
-_MAX_ROUNDS = 12
+_LOW = np.iinfo(np.int64).min
+_HIGH = np.iinfo(np.int64).max
 
 
 def exact_quantiles(
-    df: DataFrame,
-    probs: Mapping[str, Sequence[float]],
-    task_rows: int = TASK_ROWS,
-    approx: bool = False,
+    df: DataFrame, probs: Mapping[str, Sequence[float]], approx: bool = False
 ) -> dict[str, list[float | None]]:
     """Column -> quantiles (linear interpolation, missing left out; all-missing gives ``None``).
 
-    The result is O(columns x probabilities) numbers on the driver, ready to be used as literals.
+    The result is O(columns x probabilities) numbers on the driver, ready to be used as literals. ``approx`` is one scan
+    with a sketch instead.
     """
     probs = {c: list(p) for c, p in probs.items()}
-    if not probs:
-        return {}
     if approx:
-        return _sketch_quantiles(df, probs)
-    if df.count() <= task_rows:
-        return _counted_quantiles(df, probs)
-    sizes = present_counts(df, list(probs))
-    wanted: set[Target] = set()
-    for c, ps in probs.items():
-        for p in ps:
-            if sizes[c]:
-                at = p * (sizes[c] - 1)
-                wanted.add((c, math.floor(at), math.ceil(at)))
-    found = order_statistics(df, sizes, sorted(wanted), task_rows)
-    out: dict[str, list[float | None]] = {}
-    for c, ps in probs.items():
-        row: list[float | None] = []
-        for p in ps:
-            if not sizes[c]:
-                row.append(None)
-                continue
-            at = p * (sizes[c] - 1)
-            low, high = found[c, math.floor(at)], found[c, math.ceil(at)]
-            row.append(low + (high - low) * (at - math.floor(at)))
-        out[c] = row
+        return _sketch_quantiles(df, probs) if probs else {}
+    names, out = list(probs), {}
+    for at in range(0, len(names), _TOGETHER):
+        some = names[at : at + _TOGETHER]
+        sizes, found = _select(df, some, [(i, float(p)) for i, c in enumerate(some) for p in sorted(set(probs[c]))])
+        for i, c in enumerate(some):
+            out[c] = [_between(found, i, p, sizes[i]) if i in sizes else None for p in probs[c]]
     return out
 
 
+def _between(found: Mapping[tuple[int, int], float], i: int, p: float, size: int) -> float:
+    at = p * (size - 1)
+    low, high = found[i, math.floor(at)], found[i, math.ceil(at)]
+    return low if low == high else low + (high - low) * (at - math.floor(at))
+
+
 def present_counts(df: DataFrame, names: Sequence[str], chunk: int = 60) -> dict[str, int]:
     """Column -> number of present values."""
     out: dict[str, int] = {}
@@ -78,172 +66,101 @@ def present_counts(df: DataFrame, names: Sequence[str], chunk: int = 60) -> dict
     return out
 
 
-def _counted_quantiles(df: DataFrame, probs: Mapping[str, list[float]]) -> dict[str, list[float | None]]:
-    """Count equal values, sum the counts of each column in value order, and interpolate."""
-    names = list(probs)
-    counted = numeric_cells(df, names).where("x IS NOT NULL").groupBy("c", "x").agg(F.count(F.lit(1)).alias("n"))
-    column = W.partitionBy("c")
-    summed = counted.withColumns(
-        {
-            "upto": F.sum("n").over(column.orderBy("x").rowsBetween(W.unboundedPreceding, 0)),
-            "at_most": F.sum("n").over(column) - 1,
-        }
-    )
-    asked = [(i, float(p)) for i, c in enumerate(names) for p in sorted(set(probs[c]))]
-    wanted = F.broadcast(df.sparkSession.createDataFrame(asked, "c int, p double"))
-    at = F.col("p") * F.col("at_most")
-    first, last = F.floor(at), F.ceil(at)
-    here = [(r >= F.col("upto") - F.col("n")) & (r < F.col("upto")) for r in (first, last)]
-    rows = (
-        summed.join(wanted, "c")
-        .where(here[0] | here[1])
-        .groupBy("c", "p")
-        .agg(
-            F.max(F.when(here[0], F.col("x"))).alias("low"),
-            F.max(F.when(here[1], F.col("x"))).alias("high"),
-            F.max(at - first).alias("part"),
-        )
-        .collect()
-    )
-    found = {(r.c, r.p): r.low + (r.high - r.low) * r.part for r in rows}
-    return {c: [found.get((i, p)) for p in probs[c]] for i, c in enumerate(names)}
-
-
-def _pick(counted: DataFrame, ranks: list[tuple[int, int, int]], names: Sequence[str]) -> dict[tuple[str, int], float]:
-    """From ``(c, x, n)`` take the values at ``ranks``: group number, rank to report, rank inside the group."""
-    upto = F.sum("n").over(W.partitionBy("c").orderBy("x").rowsBetween(W.unboundedPreceding, 0))
-    wanted = counted.sparkSession.createDataFrame(ranks, "c int, rank long, k long")
-    rows = (
-        counted.withColumn("upto", upto)
-        .join(F.broadcast(wanted), "c")
-        .where("k >= upto - n AND k < upto")
-        .select("c", "rank", "x")
-        .collect()
-    )
-    return {(names[r.c], r["rank"]): r.x for r in rows}
-
-
-def _sketch(df: DataFrame, parts: Sequence[tuple[str, float | None, float | None, list[float]]]) -> list[list | None]:
-    """Sketched quantiles of ``(column, from, to, probabilities)``, a chunk of them per aggregate.
-
-    Sketches are kept out of grouped aggregates, which sort their input once they have many groups.
-    """
-    out: list[list | None] = []
-    for begin in range(0, len(parts), _SKETCH_CHUNK):
-        aggs = []
-        for c, start, end, ps in parts[begin : begin + _SKETCH_CHUNK]:
-            x = col(c).cast("double")
-            inside = x if start is None else F.when(x.between(start, end), x)
-            aggs.append(F.percentile_approx(inside, ps, _SKETCH).alias(f"q{len(aggs)}"))
-        out += [None if q is None else list(q) for q in df.agg(*aggs).first()]
-    return out
-
-
-def _sketch_quantiles(df, probs):
-    found = _sketch(df, [(c, None, None, ps) for c, ps in probs.items()])
-    return {c: q if q is not None else [None] * len(ps) for (c, ps), q in zip(probs.items(), found)}
-
-
-def _sample_share(rows: int) -> float:
-    """A hundredth of the rows, but at least four and at most four hundred million."""
-    return min(1.0, max(4_000_000, min(rows // 100, 400_000_000)) / max(rows, 1))
-
-
-class _Bracket:
-    """A pair of values around two neighbouring ranks of a column, with exact counts."""
-
-    def __init__(self, target: Target, size: int):
-        self.column, self.first, self.last = target
-        self.start: float | None = None
-        self.end: float | None = None
-        self.below, self.inside = 0, size
-        self.slack = 1.0
-
-    def probabilities(self, share: float) -> tuple[float, float]:
-        """Relative ranks a few standard errors of the sample outside the wanted ones."""
-        noise = 0.0 if share == 1.0 else 3.0 / math.sqrt(max(share * self.inside, 1.0))
-        margin = self.slack * (2.0 / _SKETCH + noise)
-        n = max(self.inside - 1, 1)
-        low, high = (self.first - self.below) / n - margin, (self.last - self.below) / n + margin
-        return min(1.0, max(0.0, low)), min(1.0, max(0.0, high))
-
-
-def order_statistics(
-    df: DataFrame, sizes: Mapping[str, int], wanted: Sequence[Target], task_rows: int = TASK_ROWS
-) -> dict[tuple[str, int], float]:
-    """Exact 0-based order statistics ``(column, rank) -> value`` by shrinking brackets.
-
-    A target is a column with two equal or neighbouring ranks.
-    """
-    open_ = [_Bracket(t, sizes[t[0]]) for t in wanted]
-    ready: list[_Bracket] = []
-    found: dict[tuple[str, int], float] = {}
-    for _ in range(_MAX_ROUNDS):
-        if not open_:
-            break
-        proposed = _propose(df, open_)
-        left = []
-        for b, (start, end), (below, upto) in zip(open_, proposed, _count(df, open_, proposed)):
-            if b.first < below or b.last >= upto:
-                b.slack *= 4  # missed: look wider
-                left.append(b)
-                continue
-            stuck = upto - below > 0.9 * b.inside and b.slack == 1.0
-            b.start, b.end, b.below, b.inside = start, end, below, upto - below
-            if start == end:
-                found[b.column, b.first] = found[b.column, b.last] = start
-            elif b.inside <= task_rows or stuck:
-                # a bracket that stops shrinking is mostly one value, which counting collapses
-                ready.append(b)
+def order_number(x: np.ndarray) -> np.ndarray:
+    """Whole numbers in the order of the doubles ``x``; both zeros are one."""
+    bits = (x + 0.0).view(np.int64)
+    return bits ^ ((bits >> 63) & _HIGH)
+
+
+def order_value(number: int) -> float:
+    """The double whose ``order_number`` this is."""
+    number = np.int64(number)
+    return float((number ^ ((number >> np.int64(63)) & np.int64(_HIGH))).view(np.float64))
+
+
+def _select(df: DataFrame, names: Sequence[str], asked: Sequence[tuple[int, float]]):
+    """Present values by column number, and the values at the ranks that the asked (column, probability) pairs need."""
+    spark = df.sparkSession
+    doubles = df.select(*[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)])
+    sizes: dict[int, int] = {}
+    found: dict[tuple[int, int], float] = {}
+    counted = _histogram(doubles, [(i, 0) for i in range(len(names))], 0)
+    upto, each = W.partitionBy("c").orderBy("bin"), W.partitionBy("c")
+    counted = counted.withColumns({"upto": F.sum("n").over(upto), "size": F.sum("n").over(each)})
+    at = F.col("p") * (F.col("size") - 1)
+    wanted = F.broadcast(spark.createDataFrame(list(asked), "c int, p double"))
+    hits = counted.join(wanted, "c").withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(at), F.ceil(at)))))
+    hits = hits.where("rank >= upto - n AND rank < upto").select("c", "bin", "n", "lo", "hi", "size", "rank", F.expr("rank - upto + n").alias("k"))
+    open_: dict[tuple[int, int], dict[int, int]] = {}
+
+    def settle(rows) -> None:
+        open_.clear()
+        for r in rows:
+            if r.lo == r.hi or r.k == 0:
+                found[r.c, r["rank"]] = order_value(r.lo)
+            elif r.k == r.n - 1:
+                found[r.c, r["rank"]] = order_value(r.hi)
             else:
-                left.append(b)
-        open_ = left
-    ready += open_
-    if ready:
-        found.update(_rank_inside(df, ready))
-    return found
-
-
-def _propose(df: DataFrame, brackets: Sequence[_Bracket]) -> list[tuple[float, float]]:
-    share = _sample_share(min(b.inside for b in brackets))
-    sample = df.sample(fraction=share, seed=42) if share < 1.0 else df
-    # brackets that still span the same stretch of a column share one sketch
-    stretches: dict[tuple, set[float]] = {}
-    for b in brackets:
-        stretches.setdefault((b.column, b.start, b.end), {0.0, 1.0}).update(b.probabilities(share))
-    parts = [(*key, sorted(ps)) for key, ps in stretches.items()]
-    points = {part[:3]: dict(zip(part[3], q)) for part, q in zip(parts, _sketch(sample, parts)) if q is not None}
-    out = []
-    for b in brackets:
-        known = points.get((b.column, b.start, b.end))
-        low, high = b.probabilities(share)
-        start = known[low] if known and low > 0.0 else (-math.inf if b.start is None else b.start)
-        end = known[high] if known and high < 1.0 else (math.inf if b.end is None else b.end)
-        out.append((start, end))
+                open_.setdefault((r.c, r.bin), {})[r["rank"]] = r.k
+
+    first = hits.distinct().collect()
+    sizes |= {r.c: r["size"] for r in first}
+    settle(first)
+    for level in range(1, len(_DIGITS)):
+        bins, rows = sorted(open_), []
+        for start in range(0, len(bins), _TOGETHER):
+            some = bins[start : start + _TOGETHER]
+            ranks = [(g, rank, k) for g, b in enumerate(some) for rank, k in open_[b].items()]
+            counted = _histogram(doubles, some, level).withColumn("upto", F.sum("n").over(W.partitionBy("g").orderBy("bin")))
+            wanted = F.broadcast(spark.createDataFrame(ranks, "g int, rank long, at long"))
+            hits = counted.join(wanted, "g").where("at >= upto - n AND at < upto")
+            rows += hits.select("c", "bin", "n", "lo", "hi", "rank", F.expr("at - upto + n").alias("k")).collect()
+        if not bins:
+            break
+        settle(rows)
+    return sizes, found
+
+
+def _histogram(doubles: DataFrame, bins: Sequence[tuple[int, int]], level: int) -> DataFrame:
+    """Rows ``g, c, bin, n, lo, hi``: the values of each of ``bins`` (column, leading bits) by the bits that come next."""
+    width = _DIGITS[level]
+    before = 64 - sum(_DIGITS[:level])
+    after = before - width
+    size = 1 << width
+    columns = sorted({c for c, _ in bins})
+    schema = pa.schema([("g", pa.int32()), ("c", pa.int32()), *[(x, pa.int64()) for x in ("bin", "n", "lo", "hi")]])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros((len(bins), size), np.int64)
+        lo, hi = np.full(n.shape, _HIGH), np.full(n.shape, _LOW)
+        groups = {c: [(g, top) for g, (k, top) in enumerate(bins) if k == c] for c in columns}
+        for batch in batches:
+            for place, c in enumerate(columns):
+                x = batch.column(place).to_numpy(zero_copy_only=False)
+                x = x[~np.isnan(x)] if x.dtype == np.float64 else np.zeros(0)
+                number = order_number(x)
+                for g, top in groups[c]:
+                    some = number if level == 0 else number[number >> before == top]
+                    digit = (some >> after) + (size >> 1) if level == 0 else (some >> after) & (size - 1)
+                    n[g] += np.bincount(digit, minlength=size)
+                    np.minimum.at(lo[g], digit, some)
+                    np.maximum.at(hi[g], digit, some)
+        g, digit = np.nonzero(n)
+        top = np.array([t for _, t in bins], np.int64)[g]
+        full = digit - (size >> 1) if level == 0 else (top << width) + digit
+        c = np.array([c for c, _ in bins], np.int32)[g]
+        yield pa.RecordBatch.from_arrays([g.astype(np.int32), c, full, n[g, digit], lo[g, digit], hi[g, digit]], schema=schema)
+
+    found = doubles.select(*[f"x{c}" for c in columns]).mapInArrow(count, "g int, c int, bin long, n long, lo long, hi long")
+    return found.groupBy("g", "c", "bin").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+
+def _sketch_quantiles(df: DataFrame, probs: Mapping[str, list[float]]) -> dict[str, list[float | None]]:
+    """One aggregate with a sketch a column; a chunk of columns at a time."""
+    out: dict[str, list[float | None]] = {}
+    names = list(probs)
+    for begin in range(0, len(names), _SKETCH_CHUNK):
+        some = names[begin : begin + _SKETCH_CHUNK]
+        row = df.agg(*[F.percentile_approx(col(c).cast("double"), probs[c], _SKETCH).alias(f"q{i}") for i, c in enumerate(some)]).first()
+        out |= {c: [None] * len(probs[c]) if q is None else list(q) for c, q in zip(some, row)}
     return out
-
-
-def _target_cells(df: DataFrame, columns: Sequence[str], ends: Sequence[tuple[float, float]]) -> DataFrame:
-    """One cell per bracket and row: ``c`` numbers the bracket, with its ends as ``low`` and ``high``."""
-    return numeric_cells(df, columns).withColumns(
-        {"low": per_column([e[0] for e in ends]), "high": per_column([e[1] for e in ends])}
-    )
-
-
-def _count(df: DataFrame, brackets, ends) -> list[tuple[int, int]]:
-    """Exact rows below the start and up to the end of each proposed bracket, in one scan."""
-    cells = _target_cells(df, [b.column for b in brackets], ends)
-    rows = cells.groupBy("c").agg(
-        F.count_if(F.col("x") < F.col("low")).alias("below"), F.count_if(F.col("x") <= F.col("high")).alias("upto")
-    )
-    found = {r.c: (r.below, r.upto) for r in rows.collect()}
-    return [found[i] for i in range(len(brackets))]
-
-
-def _rank_inside(df: DataFrame, brackets: Sequence[_Bracket]) -> dict[tuple[str, int], float]:
-    """Count equal values inside each bracket and pick the ones at its ranks."""
-    ends = [(-math.inf if b.start is None else b.start, math.inf if b.end is None else b.end) for b in brackets]
-    cells = _target_cells(df, [b.column for b in brackets], ends)
-    inside = cells.where(F.col("x").between(F.col("low"), F.col("high")))
-    ranks = [(i, r, r - b.below) for i, b in enumerate(brackets) for r in sorted({b.first, b.last})]
-    return _pick(inside.groupBy("c", "x").agg(F.count(F.lit(1)).alias("n")), ranks, [b.column for b in brackets])

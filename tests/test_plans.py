@@ -22,26 +22,39 @@ def hot(spark):
     )
 
 
-def test_quantiles_equal_numpy(hot, monkeypatch):
+@pytest.mark.parametrize("together,digits", [(200, (14, 13, 13, 12, 12)), (2, (14, 13, 13, 12, 12)), (3, (8,) * 8)])
+def test_quantiles_equal_numpy(hot, monkeypatch, together, digits):
+    monkeypatch.setattr(quantiles, "_TOGETHER", together)
+    monkeypatch.setattr(quantiles, "_DIGITS", digits)
     data = hot.toPandas()
     probs = {c: [0, 0.1, 0.25, 0.5, 0.75, 0.99, 1] for c in ("a", "b", "c", "empty")}
-    for task_rows in (10**6, 2000, 40):
-        got = quantiles.exact_quantiles(hot, probs, task_rows)
-        for c in "abc":
-            np.testing.assert_allclose(got[c], np.quantile(data[c].dropna(), probs[c]), rtol=1e-12)
-        assert got["empty"] == [None] * 7
-    # a small sample makes brackets miss and shrink over several rounds
-    monkeypatch.setattr(quantiles, "_sample_share", lambda n: min(1.0, 800 / n))
-    got = quantiles.exact_quantiles(hot, probs, 40)
+    got = quantiles.exact_quantiles(hot, probs)
     for c in "abc":
         np.testing.assert_allclose(got[c], np.quantile(data[c].dropna(), probs[c]), rtol=1e-12)
+    assert got["empty"] == [None] * 7
+    assert quantiles.exact_quantiles(hot.limit(0), probs)["a"] == [None] * 7
+
+
+def test_order_numbers_sort_like_doubles():
+    x = np.array([-np.inf, -1e300, -2.5, -5e-324, -0.0, 0.0, 5e-324, 1.0, np.nextafter(1.0, 2.0), 1e300, np.inf])
+    number = quantiles.order_number(x)
+    assert (np.diff(number) >= 0).all() and number[4] == number[5] and len(set(number.tolist())) == len(x) - 1
+    assert [quantiles.order_value(n) for n in number.tolist()] == (x + 0.0).tolist()
+
+
+def test_quantiles_of_neighbouring_doubles_need_every_bit(spark):
+    """Values that differ in their last bits only, and the greatest and least ones beside them."""
+    values = [float(v) for v in np.nextafter(1.0, 2.0) + np.arange(40) * 2.0**-52] + [-1e308, 1e308, 1.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    probs = [i / 42 for i in range(43)]
+    assert quantiles.exact_quantiles(df, {"v": probs})["v"] == np.sort(values)[np.arange(43)].tolist()
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=60), st.integers(1, 30))
-def test_quantiles_property(spark, values, task_rows):
+@given(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=60))
+def test_quantiles_property(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    got = quantiles.exact_quantiles(df, {"v": [0.0, 0.3, 0.5, 1.0]}, task_rows)["v"]
+    got = quantiles.exact_quantiles(df, {"v": [0.0, 0.3, 0.5, 1.0]})["v"]
     np.testing.assert_allclose(got, np.quantile(values, [0.0, 0.3, 0.5, 1.0]), rtol=1e-9, atol=1e-9)
 
 
