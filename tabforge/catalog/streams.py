@@ -9,7 +9,7 @@ from tabforge.operators import drift, models
 from tabforge.operators.preprocess import Preprocessor
 from tabforge.streaming.lags import ROCKSDB, stream_lag_features
 from tabforge.streaming.scoring import score_stream
-from tabforge.streaming.sources import read_stream, run_to_table
+from tabforge.streaming.sources import read_stream, run_to_end, run_to_table
 from tabforge.streaming.windows import stream_drift, stream_volume, with_open_windows
 
 
@@ -18,9 +18,6 @@ def _events(spark, sf_dir, name: str = "events"):
     return read_stream(spark, f"{sf_dir}/{name}.parque[t]", table(spark, sf_dir, name).schema)
 
 
-_LAST = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
-
-
 @query(
     "stream_volume",
     "SELECT strftime(ts::DATE, '%Y-%m-%d') AS period_start, count(*) AS n FROM events GROUP BY 1, ts::DATE",
@@ -83,18 +80,16 @@ def score(spark, sf_dir):
     "CASE WHEN count(value) OVER (w ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) = 4 THEN "
     "round(avg(value) OVER (w ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), 5) END AS rolling_mean_4 "
     "FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)) "
-    f"WHERE rolling_mean_4 IS NOT NULL AND lag_3 IS NOT NULL AND epoch_ms(ts) < epoch_ms({_LAST})",
+    "WHERE value IS NOT NULL AND rolling_mean_4 IS NOT NULL AND lag_1 IS NOT NULL AND lag_3 IS NOT NULL",
 )
 def lag_stream(spark, sf_dir):
-    """Rows before the final watermark: later ones are still waiting for late arrivals."""
+    """Every row the batch operator keeps, to the last one of the stream."""
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key, None)
     spark.conf.set(key, ROCKSDB)
     try:
-        stream = stream_lag_features(
-            _events(spark, sf_dir), "value", "ts", ["event_type"], "event_id", [1, 3], [4], ["mean"]
-        )
-        out = run_to_table(stream, "lags")
+        make = lambda s: stream_lag_features(s, "value", "ts", ["event_type"], "event_id", [1, 3], [4], ["mean"])
+        out = run_to_end(_events(spark, sf_dir), "ts", make, "lags")
     finally:
         if before is None:
             spark.conf.unset(key)

@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from tabforge.session import scratch_dir
 
+#: Marks the row that only moves the watermark past all others.
+FLUSH = "__flush"
+
 
 def read_stream(
     spark: SparkSession, path: str, schema: StructType | None = None, files_per_trigger: int | None = None
@@ -45,3 +49,29 @@ def run_to_table(stream: DataFrame, name: str) -> DataFrame:
     query = start(stream, f"{base}/out", f"{base}/checkpoint", available_now=True)
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
+
+
+def with_flush(stream: DataFrame, folder: str) -> DataFrame:
+    """``stream`` joined by a folder that ``flush`` writes to once the stream has ended."""
+    spark, schema = stream.sparkSession, StructType([*stream.schema.fields, StructField(FLUSH, BooleanType())])
+    spark.createDataFrame([], schema).write.mode("append").parquet(folder)
+    return stream.withColumn(FLUSH, F.lit(False)).unionByName(read_stream(spark, folder, schema))
+
+
+def flush(spark: SparkSession, folder: str, schema: StructType, date: str) -> None:
+    """End a stream made by ``with_flush``: its next run finds a row beyond all times, so nothing waits any longer."""
+    end = F.to_timestamp(F.lit("9999-01-01 00:00:00"))
+    fields = [(end if f.name == date else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+    spark.range(1).select(*fields, F.lit(True).alias(FLUSH)).write.mode("append").parquet(folder)
+
+
+def run_to_end(stream: DataFrame, date: str, make: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """Process everything that is there and what still waits for late rows, and read the result of ``make`` back as a table."""
+    spark = stream.sparkSession
+    base = scratch_dir(spark, name)
+    out = make(with_flush(stream, f"{base}/flush"))
+    for last in (False, True):
+        if last:
+            flush(spark, f"{base}/flush", stream.schema, date)
+        start(out, f"{base}/out", f"{base}/checkpoint", available_now=True).awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{base}/out")

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -179,31 +180,71 @@ def parts(df, path, n=4):
     return path
 
 
-def test_stream_lags_equal_batch_over_many_batches(spark, load, tmp_path):
-    e = load("events").select("event_id", "ts", "event_type", "value")
+@pytest.fixture
+def rocksdb(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(key, stream_lags.ROCKSDB)
+    yield
+    spark.conf.unset(key)
+
+
+NAMES = ["event_type", "event_id", "value", "lag_1", "lag_3", "round(rolling_mean_4, 9)", "round(rolling_std_4, 9)"]
+
+
+def lag_stream(stream, **more):
+    return stream_lags.stream_lag_features(stream, "value", "ts", ["event_type"], "event_id", [1, 3], [4], ["mean", "std"], **more)
+
+
+def batch_lags(e):
+    return lags.add_lag_features(e, "value", "ts", [1, 3], [4], ["mean", "std"], date_parts=False, series=["event_type"], tie=["event_id"])
+
+
+def test_stream_lags_wait_for_late_files(spark, load, tmp_path, rocksdb):
+    e = load("events").select("event_id", "ts", "event_type", F.when(F.col("event_id") % 50 > 0, F.col("value")).alias("value"))
     path = parts(e, str(tmp_path / "in"), 5)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", stream_lags.ROCKSDB)
-    try:
-        stream = sources.read_stream(spark, path, e.schema, files_per_trigger=1)
-        out = sources.run_to_table(
-            # files arrive in any order, so the delay covers the whole month
-            stream_lags.stream_lag_features(stream, "value", "ts", ["event_type"], "event_id", [1, 3], [4], ["mean", "std"], delay="40 days"),
-            "lags",
-        )
-        assert out.count() == 0
-        stream = sources.read_stream(spark, path, e.schema)
-        out = sources.run_to_table(
-            stream_lags.stream_lag_features(stream, "value", "ts", ["event_type"], "event_id", [1, 3], [4], ["mean", "std"], delay="2 days", ttl="1 day"),
-            "lags",
-        )
-    finally:
-        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
-    want = lags.add_lag_features(e, "value", "ts", [1, 3], [4], ["mean", "std"], date_parts=False, series=["event_type"], tie=["event_id"])
-    last = e.agg(F.max("ts") - F.expr("INTERVAL 2 DAYS")).first()[0]
-    want = want.where(F.date_trunc("millisecond", "ts").cast("timestamp_ntz") < F.date_trunc("millisecond", F.lit(str(last))).cast("timestamp_ntz"))
-    names = ["event_type", "event_id", "value", "lag_1", "lag_3", F.round("rolling_mean_4", 9), F.round("rolling_std_4", 9)]
+    stream = sources.read_stream(spark, path, e.schema, files_per_trigger=1)
+    # files arrive in any order, so the delay covers the whole month: all rows come out at the end
+    out = sources.run_to_end(stream, "ts", lambda s: lag_stream(s, delay="40 days", stretch="3 days"), "lags")
+    want = batch_lags(e)
     assert out.count() == want.count() > 800
-    assert out.select(names).exceptAll(want.select(names)).isEmpty()
+    assert out.selectExpr(NAMES).exceptAll(want.selectExpr(NAMES)).isEmpty()
+    assert sources.run_to_table(lag_stream(sources.read_stream(spark, path, e.schema), delay="40 days"), "lags").count() == 0
+
+
+def test_one_busy_series_over_many_batches(spark, load, tmp_path, rocksdb):
+    """Whatever the series, a key holds a day; finished days leave the state."""
+    e = load("events").select("event_id", "ts", F.lit("only").alias("event_type"), "value")
+    path, day = str(tmp_path / "in"), F.dayofmonth("ts")
+    for first in range(1, 32, 8):  # files in time order, each a little late for the one after it
+        e.where(day.between(first, first + 7)).coalesce(1).write.mode("append").parquet(path)
+    stream = sources.read_stream(spark, path, e.schema, files_per_trigger=1)
+    folder, out, kept = str(tmp_path / "flush"), str(tmp_path / "out"), []
+    made = lag_stream(sources.with_flush(stream, folder), ttl="20 days")
+    for last in (False, True):
+        if last:
+            sources.flush(spark, folder, e.schema, "ts")
+        query = sources.start(made, out, str(tmp_path / "checkpoint"), available_now=True)
+        query.awaitTermination()
+        kept.append([[o["numRowsTotal"] for o in p["stateOperators"]] for p in query.recentProgress if p["stateOperators"]])
+    got, want = spark.read.schema(made.schema).parquet(out), batch_lags(e)
+    assert got.count() == want.count() > 900
+    assert got.selectExpr(NAMES).exceptAll(want.selectExpr(NAMES)).isEmpty()
+    # about nine days, each with its rows and a timer, and the one series' last values
+    assert max(n for batch in kept[0] for n in batch) <= 40
+    assert kept[1][-1] == [0, 0]
+
+
+def test_series_features_equal_pandas():
+    y = np.random.default_rng(1).normal(size=40)
+    y[7] = np.nan
+    s = pd.Series(y)
+    got = stream_lags.series_features(y, [1, 50], [1, 4], ["mean", "std", "min", "max"])
+    want = [s.shift(1), s.shift(50)]
+    for w in (1, 4):
+        roll = s.shift(1).rolling(w)
+        want += [roll.mean(), roll.std(), roll.min(), roll.max()]
+    np.testing.assert_allclose(got, np.stack(want, axis=1), rtol=1e-9)
+    assert stream_lags.series_features(y[:0], [1], [2], ["mean"]).shape == (0, 2)
 
 
 def test_stream_volume_drops_late_rows(spark, load, tmp_path):
