@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import numpy as np
 
 #: Words a Python worker remembers before it starts afresh.
@@ -125,9 +127,16 @@ class WordTable:
             out[i] = np.array(e.ids, np.uint32)
         return out
 
+    def _solid(self, stem: str) -> bool:
+        """Whether the tokenizer sees a letter or digit at the end of ``stem``, which it normalises first."""
+        if not stem[-1].isascii():
+            # a letter may become a letter and a mark, which would go with the stop
+            stem = self.tokenizer.normalizer.normalize_str(stem) if self.tokenizer.normalizer else stem
+        return bool(stem) and unicodedata.category(stem[-1])[0] in "LN"
+
     def _learn(self, codes: np.ndarray, words: list[str]) -> None:
         # a single stop or comma after a letter or digit is a token of its own
-        tail = [len(w) > 1 and w[-1] in ".," and w[-2].isalnum() for w in words]
+        tail = [len(w) > 1 and w[-1] in ".," and self._solid(w[:-1]) for w in words]
         stems = [w[:-1] if t else w for w, t in zip(words, tail, strict=True)]
         heads = [s for s, t in zip(stems, tail, strict=True) if t]
         if heads:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import importlib.util
 import random
+import unicodedata
 import zlib
 from pathlib import Path
 
@@ -70,6 +71,18 @@ def test_word_table(monkeypatch):
     assert table.encode(texts) == want
 
 
+def test_word_table_over_all_alphabets():
+    """Every letter, digit and mark below U+3000, and some above, at the end of a word with a stop or comma."""
+    t, table = tokenizer(), WordTable(tokenizer_file())
+    some = [chr(c) for c in [*range(0x21, 0x3000), *range(0x3000, 0x20000, 97)] if not 0xD800 <= c < 0xE000]
+    some = [c for c in some if not c.isspace() and unicodedata.category(c) not in ("Cn", "Cc", "Zs", "Zl", "Zp")]
+    rng = random.Random(4)
+    texts = [" ".join(f"{h}{c}{e}" for c in some for h, e in (("a", "."), ("", ","))), "BELEDİYESİ. क़. ড়,"]
+    texts += ["".join(rng.choices([*some[::7], ".", ",", " ", "a"], k=300)) for _ in range(60)]
+    want = [np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    assert table.encode(texts) == want
+
+
 def test_pack_documents(spark):
     rng = random.Random(1)
     texts = [None, "", "word " * 700] + [" ".join(rng.choices(["alpha", "beta", "x"], k=rng.randint(0, 40))) for _ in range(80)]
