@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left, bisect_right
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -23,7 +24,7 @@ BLOCKS = frozenset(
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table "
     "tbody td tfoot th thead tr ul".split()
 )
-RAW = frozenset("script style noscript template textarea iframe svg math object canvas select title xmp noembed".split())
+RAW = frozenset("script style noscript template textarea iframe svg object canvas select title xmp noembed".split())
 DROPPED = RAW | frozenset("head nav footer aside button dialog menu input label fieldset audio video map".split())
 NOISE = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary consent "
@@ -38,6 +39,7 @@ BOXES = frozenset(
     "item items left link links list main outer panel posts right row section slot text title top unit wrap wrapper".split()
 )
 ROOTS = frozenset("html body article main".split())
+PLAIN = frozenset("a b i span em strong".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSED_BY = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]),
@@ -45,16 +47,20 @@ CLOSED_BY = {
 }
 SCOPES = frozenset("table ul ol dl menu nav article section main aside header footer div form body html td th".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S
-)
-_ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+# quantifiers that never give back keep every match linear in what it reads
+_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/><]*+)")
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/><]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_MARKS = re.compile("[<>\"']")
+_ATTRIBUTE = re.compile(r"(?<![\w:-])([a-zA-Z][\w:-]*+)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))")
 _WORDS = re.compile(r"[a-z]+")
 _QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)", re.I)
 #: Share of a page's text outside links below which its class rules left too little.
 LITTLE = 0.2
-_SPACE = re.compile(r"\s+")
+#: Scored text beside a wrapper that makes it part of the page's text: a share of the best container's points, and points.
+BESIDE, LEAST_BESIDE = 0.1, 3.0
+MENUS = frozenset("ul ol div table section dl".split())
 
 
 #: What an element is by its own mark-up: wanted, noise by a word or a form (which may err), or never part of the text.
@@ -62,12 +68,117 @@ CLEAN, SOFT, HARD = 0, 1, 2
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "kids", "mark", "noise", "score")
+    __slots__ = ("tag", "parent", "kids", "mark", "noise", "score", "chars", "linked", "runs", "points")
 
     def __init__(self, tag: str, parent: _Node | None, mark: int):
         self.tag, self.parent, self.mark, self.noise = tag, parent, mark, False
         self.kids: list[_Node | str] = []
-        self.score = 0.0
+        self.score = self.points = 0.0
+        self.chars = self.linked = self.runs = 0
+
+
+class _Open:
+    """The open elements, innermost last, with the depths of each tag and of those that bound implied end tags."""
+
+    def __init__(self, root: _Node):
+        self.path, self.depths, self.scopes = [root], {}, []
+
+    def push(self, node: _Node) -> None:
+        self.depths.setdefault(node.tag, []).append(len(self.path))
+        if node.tag in SCOPES:
+            self.scopes.append(len(self.path))
+        self.path.append(node)
+
+    def cut(self, depth: int) -> None:
+        """Close the element at ``depth`` and all in it."""
+        while len(self.path) > depth:
+            node = self.path.pop()
+            self.depths[node.tag].pop()
+            if node.tag in SCOPES:
+                self.scopes.pop()
+
+    def last(self, tag: str) -> int:
+        """Depth of the innermost open element of this tag, 0 if there is none."""
+        found = self.depths.get(tag)
+        return found[-1] if found else 0
+
+    def end(self, tag: str) -> None:
+        """An end tag; one of an inline element doesn't close blocks."""
+        depth = self.last(tag)
+        if depth and (tag in SCOPES or tag in BLOCKS or not self.scopes or self.scopes[-1] <= depth):
+            self.cut(depth)
+
+    def close(self, tags: frozenset[str]) -> None:
+        """Implied end tags: close the outermost element of ``tags`` within the nearest scope."""
+        at = len(self.scopes) - 1
+        while at >= 0 and self.path[self.scopes[at]].tag in tags:
+            at -= 1
+        bound = self.scopes[at] if at >= 0 else 0
+        first = len(self.path)
+        for tag in tags:
+            found = self.depths.get(tag)
+            if found and found[-1] > bound:
+                first = min(first, found[bisect_right(found, bound)])
+        self.cut(first)
+
+
+def _tag_ends(page: str) -> tuple[list[int], list[int]]:
+    """Every bracket and quote of the page, and where a tag that reads on from there ends (-1: nowhere)."""
+    places = [m.start() for m in _MARKS.finditer(page)]
+    ends = [-1] * (len(places) + 1)
+    after = {'"': len(places), "'": len(places)}  # of the next such quote
+    for i in range(len(places) - 1, -1, -1):
+        c = page[places[i]]
+        if c == ">":
+            ends[i] = places[i]
+        elif c == "<":
+            ends[i] = ends[i + 1]
+        else:
+            ends[i] = ends[after[c] + 1] if after[c] < len(places) else -1
+            after[c] = i
+    return places, ends
+
+
+def _tokens(page: str):
+    """Text pieces, and tags as (slash, name, attributes), in page order; a bracket that begins no tag is text.
+
+    As soon as one tag has no end, the ends of all others are found in one pass from the back, so that no page is
+    searched again from each of its brackets.
+    """
+    place, end, last = 0, len(page), page.rfind(">")
+    marks: tuple[list[int], list[int]] | None = None
+    while place < end:
+        at = page.find("<", place)
+        if at != place:
+            at = end if at < 0 else at
+            yield page[place:at]
+            place = at
+            continue
+        lead = page[place + 1 : place + 2]
+        if lead in ("!", "?") and lead:
+            if page.startswith("<!--", place):
+                place = _COMMENT.match(page, place).end()
+                continue
+            if place < last:
+                place = page.find(">", place) + 1
+                continue
+        name = _NAME.match(page, place) if place < last else None
+        tag = None
+        if name is not None:
+            if marks is None:
+                tag = _TAG.match(page, place)
+                marks = _tag_ends(page) if tag is None else None
+            elif marks[1][bisect_left(marks[0], name.end())] >= 0:
+                tag = _TAG.match(page, place)
+        if tag is None:
+            yield "<"
+            place += 1
+            continue
+        place = tag.end()
+        yield tag
+        if not tag[1] and tag[2].lower() in RAW:
+            close = re.compile(rf"</{re.escape(tag[2])}\s*+>", re.I).search(page, place)
+            place = close.end() if close else end
 
 
 def _names_noise(token: str, in_article: bool) -> bool:
@@ -100,61 +211,29 @@ def _mark(tag: str, attributes: str, in_article: bool) -> int:
 
 def parse(page: str) -> tuple[_Node, list[_Node]]:
     """The page's elements as a tree and in page order; scripts, styles and the like keep no text."""
-    root = at = _Node("html", None, CLEAN)
-    nodes = [root]
-    open_articles = 0
-    place, end = 0, len(page)
-    while place < end:
-        m = _TOKEN.match(page, place)
-        place = m.end()
-        tag = m[2]
-        if tag is None:
-            piece = m[0]
-            if piece[:2] in ("<!", "<?"):
-                continue
-            at.kids.append(html.unescape(piece))
+    root = _Node("html", None, CLEAN)
+    nodes, open_ = [root], _Open(root)
+    for token in _tokens(page):
+        if isinstance(token, str):
+            open_.path[-1].kids.append(html.unescape(token))
             continue
-        tag = tag.lower()
-        if m[1]:
-            node = at
-            while node is not root and node.tag != tag:
-                if node.tag in SCOPES and tag not in SCOPES and tag not in BLOCKS:
-                    node = root  # an inline end tag doesn't close blocks
-                    break
-                node = node.parent
-            if node is not root:
-                while at is not node.parent:
-                    open_articles -= at.tag in ("article", "main")
-                    at = at.parent
+        tag, attributes = token[2].lower(), token[3]
+        if token[1]:
+            open_.end(tag)
             continue
         if tag == "html":
             continue
         if tag == "body":  # ends the head, closed or not
-            at = root
+            open_.cut(1)
         if tag in BLOCKS:  # a block ends an open paragraph, a list item the one before, and so on
-            closes = CLOSED_BY.get(tag, frozenset()) | {"p"} | (HEADINGS if tag in HEADINGS else frozenset())
-            node = at
-            last = None
-            while node is not root:
-                if node.tag in closes:
-                    last = node
-                elif node.tag in SCOPES and node.tag not in closes:
-                    break
-                node = node.parent
-            if last is not None:
-                at = last.parent
-        node = _Node(tag, at, _mark(tag, m[3], open_articles > 0))
+            open_.close(CLOSED_BY.get(tag, frozenset()) | {"p"} | (HEADINGS if tag in HEADINGS else frozenset()))
+        at = open_.path[-1]
+        node = _Node(tag, at, _mark(tag, attributes, bool(open_.last("article") or open_.last("main"))))
         at.kids.append(node)
         nodes.append(node)
-        if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, place)
-            place = close.end() if close else end
-        elif tag not in VOID and not m[3].endswith("/"):
-            at = node
-            open_articles += tag in ("article", "main")
-        elif tag not in VOID and tag in BLOCKS | {"a", "b", "i", "span", "em", "strong"}:
-            at = node  # the slash means nothing on these
-            open_articles += tag in ("article", "main")
+        # a closing slash means nothing on blocks and the common inline elements
+        if tag not in RAW and tag not in VOID and (not attributes.endswith("/") or tag in BLOCKS or tag in PLAIN):
+            open_.push(node)
     return root, nodes
 
 
@@ -164,15 +243,26 @@ def _spread(nodes: list[_Node], least: int) -> None:
         node.noise = node.mark >= least or (node.parent is not None and node.parent.noise)
 
 
-def _plain_chars(root: _Node) -> dict[int, int]:
-    """Characters outside links in every element, as far as they aren't noise."""
-    found: dict[int, int] = {}
-    for owner, text, linked in _blocks(root):
-        node: _Node | None = owner
-        while node is not None:
-            found[id(node)] = found.get(id(node), 0) + max(len(text) - linked, 0)
-            node = node.parent
-    return found
+def _sum_up(root: _Node, nodes: list[_Node]) -> list[tuple[_Node, str, int]]:
+    """The text runs, and in every element the characters, those in links, and the runs of all below it but noise."""
+    for node in nodes:
+        node.chars = node.linked = node.runs = 0
+    blocks = _blocks(root)
+    for owner, text, linked in blocks:
+        owner.chars += len(text)
+        owner.linked += min(linked, len(text))
+        owner.runs += 1
+    for node in reversed(nodes):  # what is below an element comes after it
+        if node.parent is not None:
+            node.parent.chars += node.chars
+            node.parent.linked += node.linked
+            node.parent.runs += node.runs
+    return blocks
+
+
+def _plain(node: _Node) -> int:
+    """Characters outside links."""
+    return node.chars - node.linked
 
 
 def _clear_wrappers(root: _Node, nodes: list[_Node]) -> None:
@@ -181,34 +271,37 @@ def _clear_wrappers(root: _Node, nodes: list[_Node]) -> None:
         _spread(nodes, SOFT)
         return
     _spread(nodes, HARD)
-    plain = _plain_chars(root)
-    told = [n for n in nodes if n.tag in ("article", "main") and plain.get(id(n))]
+    _sum_up(root, nodes)
+    plain = {id(n): _plain(n) for n in nodes}
+    told = [n for n in nodes if n.tag in ("article", "main") and plain[id(n)]]
     mains = [n for n in told if n.tag == "main"]
     _spread(nodes, SOFT)
     wrapped = mains
     if not any(not n.noise for n in told):
-        wrapped = mains or (told if sum(not any(p.tag == "article" for p in _above(n)) for n in told) == 1 else [])
+        within = set()  # elements below an article
+        for n in nodes:
+            if n.parent is not None and (n.parent.tag == "article" or id(n.parent) in within):
+                within.add(id(n))
+        wrapped = mains or (told if sum(id(n) not in within for n in told) == 1 else [])
+    cleared: set[int] = set()
     for node in wrapped:
-        for above in _above(node):
-            above.mark = CLEAN
+        while node.parent is not None and id(node.parent) not in cleared:
+            node = node.parent
+            node.mark = CLEAN
+            cleared.add(id(node))
     _spread(nodes, SOFT)
-    left = _plain_chars(root)
-    if any(left.get(id(n)) for n in told) or left.get(id(root), 0) >= LITTLE * plain.get(id(root), 0):
+    _sum_up(root, nodes)
+    if any(_plain(n) for n in told) or _plain(root) >= LITTLE * plain[id(root)]:
         return
     for node in nodes:
-        if node.mark == SOFT and 2 * plain.get(id(node), 0) > plain[id(root)]:
+        if node.mark == SOFT and 2 * plain[id(node)] > plain[id(root)]:
             node.mark = CLEAN
     _spread(nodes, SOFT)
-    if _plain_chars(root).get(id(root), 0) < LITTLE * plain[id(root)]:
+    _sum_up(root, nodes)
+    if _plain(root) < LITTLE * plain[id(root)]:
         _spread(nodes, HARD)
 
 
-def _above(node: _Node):
-    while node.parent is not None:
-        node = node.parent
-        yield node
-
-
 def _blocks(top: _Node):
     """Paragraph-like runs of text under ``top`` in page order: (innermost block, text, characters in links)."""
     out: list[tuple[_Node, str, int]] = []
@@ -217,7 +310,7 @@ def _blocks(top: _Node):
 
     def flush(owner: _Node) -> None:
         nonlocal linked
-        text = _SPACE.sub(" ", "".join(parts)).strip()
+        text = " ".join("".join(parts).split())
         if text:
             out.append((owner, text, linked))
         parts.clear()
@@ -250,74 +343,97 @@ def _blocks(top: _Node):
     return out
 
 
-def _is_menu(node: _Node, found: dict[int, list[int]]) -> bool:
-    chars, linked, runs = found.get(id(node), (0, 0, 0))
-    return node.tag in ("ul", "ol", "div", "table", "section", "dl") and runs >= 3 and linked > 0.6 * chars
+def _is_menu(node: _Node) -> bool:
+    return node.tag in MENUS and node.runs >= 3 and node.linked > 0.6 * node.chars
+
+
+def _container(best: _Node) -> _Node:
+    """What stands beside the best container belongs to it, bare text too; and so do wrappers beside its own wrapper
+    that hold scored text, however deep."""
+    if best.parent is None or best.tag == "body":
+        return best
+    top = at = best.parent
+    while at.parent is not None and at.tag != "body":
+        if at.parent.points - at.points >= max(LEAST_BESIDE, BESIDE * best.points):
+            top = at.parent
+        at = at.parent
+    return top
+
+
+def _in_menus(part: _Node, spared: bool, best: _Node, whole: frozenset[str]):
+    """A test of elements in ``part``: whether a list of links holds them that is no part of an article."""
+    known: dict[int, tuple[bool, bool]] = {}  # (below an article, in a menu)
+
+    def settle(node: _Node) -> None:
+        path = []
+        while id(node) not in known and node.tag not in whole and node is not part:
+            path.append(node)
+            node = node.parent
+        if id(node) not in known:
+            ends = node.tag in whole or spared
+            known[id(node)] = (node.tag in whole, not ends and node is not best and _is_menu(node))
+        for below in reversed(path):
+            inside, menu = known[id(below.parent)]
+            known[id(below)] = (inside, menu or (below is not best and _is_menu(below)))
+
+    def menu(node: _Node) -> bool:
+        settle(node)
+        inside, listed = known[id(node)]
+        return listed and not inside
+
+    return menu
 
 
 def main_text(page: str | None) -> str:
     """Text of the article or main that the best-scored container lies in, else of the container and all beside it."""
     if not page:
         return ""
-    root, elements = parse(page)
-    _clear_wrappers(root, elements)
-    blocks = _blocks(root)
+    root, nodes = parse(page)
+    _clear_wrappers(root, nodes)
+    blocks = _sum_up(root, nodes)
     if not blocks:
         return ""
-    # Totals of characters, of those in links, and of text runs for every element above a run.
-    totals: dict[int, list[int]] = {}
-    nodes: dict[int, _Node] = {}
     for owner, text, linked in blocks:
         points = 1 + text.count(",") + min(len(text) / 100, 3)
         points *= 1 - min(1.0, linked / len(text))
+        owner.points += points
         node, level = owner.parent if owner.parent and owner.tag not in ROOTS else owner, 0
         while node is not None and level < 4:
             node.score += points if level == 0 else points / (2 * level)
             node, level = node.parent, level + 1
-        node = owner
-        while node is not None:
-            nodes.setdefault(id(node), node)
-            t = totals.setdefault(id(node), [0, 0, 0])
-            t[0] += len(text)
-            t[1] += linked
-            t[2] += 1
-            node = node.parent
-    best, top_score = None, -1.0
-    for key, node in nodes.items():
-        chars, linked, _ = totals[key]
-        score = (node.score + (25 if node.tag in ("article", "main") else 0)) * (1 - min(1.0, linked / chars))
-        if score > top_score or (score == top_score and node.tag in ROOTS and best.tag not in ROOTS):
+    best, top_score, articles = None, -1.0, False
+    for node in nodes:
+        if not node.chars:
+            continue
+        articles = articles or node.tag == "article"
+        score = (node.score + (25 if node.tag in ("article", "main") else 0)) * (1 - min(1.0, node.linked / node.chars))
+        if score > top_score:
             best, top_score = node, score
-    article = best if best.tag in ("article", "main") else None
-    node = best
-    while node.parent is not None:
-        node = node.parent
+    for node in reversed(nodes):
+        if node.parent is not None:
+            node.parent.points += node.points
+    article, node = None, best
+    while node is not None:
         article = node if node.tag in ("article", "main") else article
-    if article is None:  # all that stands beside the best container belongs to it, bare text too
-        chosen = [best if best.parent is None or best.tag == "body" else best.parent]
+        node = node.parent
+    if article is None:
+        chosen = [_container(best)]
     else:
         chosen = []
         for kid in article.parent.kids:
             if kid is article:
                 chosen.append(kid)
-            elif isinstance(kid, _Node) and not kid.noise and (t := totals.get(id(kid))) and not _is_menu(kid, totals):
-                density = t[1] / t[0]
-                alike = kid.score * (1 - min(1, density)) >= max(10, 0.2 * top_score) or kid.tag == article.tag == "article"
-                if alike or (kid.tag == "p" and t[0] > 80 and density < 0.25) or kid.tag in HEADINGS:
+            elif isinstance(kid, _Node) and not kid.noise and kid.chars and not _is_menu(kid):
+                density = kid.linked / kid.chars
+                alike = kid.score * (1 - density) >= max(10, 0.2 * top_score) or kid.tag == article.tag == "article"
+                if alike or (kid.tag == "p" and kid.chars > 80 and density < 0.25) or kid.tag in HEADINGS:
                     chosen.append(kid)
     # a list of links is part of an article, or of a main without articles
-    whole = {"article"} if any(n.tag == "article" for n in nodes.values()) else {"article", "main"}
+    whole = frozenset({"article"} if articles else {"article", "main"})
     out = []
     for part in chosen:
-        for owner, text, _ in _blocks(part):
-            node, menu = owner, False
-            while node is not None and node.tag not in whole and not (node is part and (part is best or part is article)):
-                menu = menu or (node is not best and _is_menu(node, totals))
-                node = None if node is part else node.parent
-            if node is not None and node.tag in whole:
-                menu = False
-            if not menu:
-                out.append(text)
+        menu = _in_menus(part, part is best or part is article, best, whole)
+        out += [text for owner, text, _ in _blocks(part) if not menu(owner)]
     return "\n".join(out)
 
 

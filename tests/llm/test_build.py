@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import importlib.util
 import random
+import time
 import unicodedata
 import zlib
 from pathlib import Path
@@ -333,3 +334,36 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
             stage(spark, docs, folder).write.parquet(path)
             docs = spark.read.parquet(path)
         assert {r.doc_id for r in docs.collect()} == ({3, None} if part else set())
+
+
+LONG = {
+    "open brackets": "<a " * 350_000,
+    "a quote before the only end": "<a " * 300_000 + '">',
+    "nested blocks": "<div>text" * 100_000,
+    "end tags of nothing": "<div>" * 100_000 + "</p>" * 100_000,
+    "end tags of an outer inline element": "<b><div>" + "<i>" * 120_000 + "</b>" * 120_000 + "x",
+    "a long attribute": "<p " + "a" * 1_000_000 + ">x",
+    "nested mains in noise": "<div class=sidebar>" + "<main>x " * 100_000,
+    "nested menus": "<ul><li><a href=1>x</a>" * 40_000,
+    "nested adverts": "<article><div class='ad'>x" * 40_000,
+    "declarations": "<!" * 500_000,
+    "one tag name": "<a" * 500_000 + " ",
+}
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_main_text_takes_linear_time(name):
+    began = time.process_time()
+    htmltext.main_text(LONG[name])
+    assert time.process_time() - began < 15  # a page of 1 MB; the square of it would take an hour
+
+
+def test_main_text_keeps_wrappers_beside_the_best_one():
+    prose = "".join(f"<p>Words, and more words {i}, and commas, and so on, for as long as it takes to read.</p>" for i in range(6))
+    page = f"<div id=page><div><div>{prose}</div></div><div><div>{prose.replace('Words', 'Others')}<span>bare</span></div></div></div>"
+    got = htmltext.main_text(f"<nav><a href=1>n</a></nav>{page}<footer>f</footer>").split("\n")
+    assert len(got) == 13 and got[0].startswith("Words") and got[6].startswith("Others") and got[-1] == "bare"
+
+
+def test_main_text_keeps_formulas():
+    assert htmltext.main_text("<article><p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p></article>") == "So x=1 holds."
