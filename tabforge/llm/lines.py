@@ -2,8 +2,9 @@
 
 A line is the set of its words. Lines without words (and null or empty texts) are never removed. A line is removed if an
 earlier line, by (id, line number), has an equal set or one of Jaccard similarity ``4/5`` or more. Rows that repeat the id
-share positions, so none of their lines is earlier than its twin. A null id comes first. An empty table gives an
-empty result; extra columns are carried along, one named like a result gives way to it.
+share positions, so none of their lines is earlier than its twin. A null id comes first. Results have a row for every
+input row, a null text with no lines. An empty table gives an empty result; extra columns are carried along, one named like
+a result gives way to it.
 """
 
 from __future__ import annotations
@@ -15,36 +16,45 @@ from tabforge.llm.common import forget, step, with_columns
 
 #: Buckets of the word count sketch: its size, whatever the vocabulary.
 BUCKETS = 1 << 18
-#: Largest count the order of words tells apart.
-TOP = 1 << 22
+#: Steps of the sketch's counts a power of e, so that counts of any size keep their order.
+STEPS = 1000
 #: Bits of a set's parity mark.
 MARK = 64
-#: Buckets of the filter on rows that a join can't want.
-FETCH = 1 << 18
+#: Bits of the filter on rows that a join can't want.
+FETCH = 1 << 22
 #: Sizes and places from here on are not told apart by the filters.
 LONG = 4095
 # Jaccard of at least NUM / DEN; below SMALL words only an equal set reaches it.
 NUM, DEN, SMALL = 4, 5, 4
 
 
+def blanks(text: Column) -> Column:
+    """The text's words one or more blanks apart; line breaks stay."""
+    for c in "\t\v\f\r":
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return text
+
+
 def words(line: Column) -> Column:
-    """Distinct words of a line."""
-    return F.array_remove(F.array_distinct(F.split(line, r"[\x20\x09-\x0D]+")), "")
+    """Hashes of the distinct words of a line."""
+    each = F.transform(F.split(blanks(line), " "), lambda w: F.xxhash64(w))
+    return F.array_remove(F.array_distinct(each), F.xxhash64(F.lit("")))
 
 
-def number_list(values: list[int]) -> Column:
+def number_list(values: list[int], kind: str = "int") -> Column:
     """A constant array of numbers, parsed once when the query is planned."""
-    return F.from_json(F.lit("[" + ",".join(map(str, values)) + "]"), "array<int>")
+    return F.from_json(F.lit("[" + ",".join(map(str, values)) + "]"), f"array<{kind}>")
 
 
 def word_counts(df: DataFrame, text: str) -> Column:
-    """Count sketch of all words: occurrences by hash bucket. ``BUCKETS`` numbers come to the driver."""
-    each = df.select(F.explode(F.split(F.col(f"`{text}`").cast("string"), r"[\x20\x09-\x0D]+")).alias("w"))
-    sums = each.groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int").alias("b")).count().collect()
+    """Count sketch of all words: the logarithm of the occurrences by hash bucket. ``BUCKETS`` numbers come to the driver."""
+    body = F.replace(blanks(F.col(f"`{text}`").cast("string")), F.lit("\n"), F.lit(" "))
+    each = df.select(F.explode(F.split(body, " ")).alias("w"))
+    sums = each.groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("b")).count()
     counts = [0] * BUCKETS
-    for b, n in sums:
-        counts[b] = min(n, TOP - 1)
-    return number_list(counts)
+    for b, n in sums.select("b", F.floor(STEPS * F.log1p("count")).cast("int")).collect():
+        counts[b] = n << 40
+    return number_list(counts, "bigint")
 
 
 def split_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -62,14 +72,12 @@ def sets(df: DataFrame, id_col: str, text: str) -> DataFrame:
     them: the marks of two sets differ in no more bits than the sets do in words.
     """
     counts = word_counts(df, text)
-    lines = split_lines(df, id_col, text).withColumn("h", F.transform(words(F.col("line")), lambda w: F.xxhash64(w)))
+    lines = split_lines(df, id_col, text).withColumn("h", words(F.col("line")))
     zero, size = F.lit(0).cast("long"), F.size("h")
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x, 20).bitwiseAND(F.lit(MARK - 1)).cast("int"))
     order = F.transform(
         "h",
-        lambda x: F.call_function(
-            "shiftleft", F.get(counts, F.pmod(x, F.lit(BUCKETS)).cast("int")).cast("long"), F.lit(40)
-        ).bitwiseOR(x.bitwiseAND(F.lit((1 << 40) - 1))),
+        lambda x: F.get(counts, x.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).bitwiseOR(x.bitwiseAND(F.lit((1 << 40) - 1))),
     )
     prefix = F.slice(F.sort_array(order), 1, F.expr(f"size(h) - (size(h) * {NUM} + {DEN - 1}) div {DEN} + 1").cast("int"))
     return lines.select(
@@ -112,7 +120,8 @@ def candidates(found: DataFrame) -> DataFrame:
         f" or (least({x} - {i}, {y} - {j}) >= {need} and bit_count(l1 ^ l2) <= {x} + {y} - 2 * {need}))"
     )
     twins = found.where(f"n >= {SMALL}").groupBy("mark").count().where("count > 1")
-    return pairs.select("l1", "l2").union(twins.selectExpr("mark as l1", "mark as l2")).distinct()
+    pairs = pairs.select("l1", "l2").union(twins.selectExpr("mark as l1", "mark as l2")).distinct()
+    return pairs.withColumn("d", F.bit_count(F.col("l1").bitwiseXOR(F.col("l2"))))
 
 
 def sieve(df: DataFrame, keys: list[str], wanted: DataFrame) -> DataFrame:
@@ -120,26 +129,17 @@ def sieve(df: DataFrame, keys: list[str], wanted: DataFrame) -> DataFrame:
 
     A fixed number of bits says which hashed keys are wanted, whatever the sizes; the fuller, the more rows pass.
     """
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(FETCH)).cast("int")
-    marked = [0] * FETCH
-    for (b,) in wanted.select(bucket).distinct().collect():
-        marked[b] = 1
-    return df.where(F.get(number_list(marked), bucket) == 1)
+    bucket = F.xxhash64(*keys).bitwiseAND(F.lit(FETCH - 1))
+    place = F.shiftright(bucket, 6).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), bucket.bitwiseAND(F.lit(63)).cast("int"))
+    marked = [0] * (FETCH >> 6)
+    for at, bits in wanted.select(place.alias("at"), bit.alias("bit")).groupBy("at").agg(F.bit_or("bit")).collect():
+        marked[at] = bits
+    return df.where(F.get(number_list(marked, "bigint"), place).bitwiseAND(bit) != 0)
 
 
-def earlier(df: DataFrame, found: DataFrame, heads: DataFrame, id_col: str, text: str) -> DataFrame:
-    """Sets for which a similar set has an earlier first line, verified on the words; ``found`` is used up."""
-    pairs = step(candidates(found), "line-pairs")
-    forget(found)
-    few = step(sieve(heads, ["mark"], pairs.select(F.explode(F.array("l1", "l2")).alias("mark"))), "paired-sets")
-    side = lambda k: few.select(
-        F.col("mark").alias(f"l{k}"), F.struct(*SET).alias(f"c{k}"), F.col("first").alias(f"f{k}")
-    )
-    named = pairs.join(side(1), "l1").join(side(2), "l2").where("c1 <> c2")
-    first, second = F.struct("f1.id", "f1.nth"), F.struct("f2.id", "f2.nth")
-    # of each pair the set that is late, if the pair is one
-    late = F.when(first < second, F.col("c2")).when(second < first, F.col("c1"))
-    named = step(named.select("f1", "f2", late.alias("late")).where("late is not null"), "named-pairs")
+def similar(named: DataFrame, df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """The ``late`` sets of those pairs in ``named`` whose first lines ``f1`` and ``f2`` are similar, judged on the words."""
     wanted = named.select(F.explode(F.array("f1", "f2")).alias("f")).select("f.*").distinct()
     some = sieve(split_lines(df, id_col, text), ["id", "nth"], wanted)
     keys = ["id", "nth", "version"]
@@ -148,14 +148,42 @@ def earlier(df: DataFrame, found: DataFrame, heads: DataFrame, id_col: str, text
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
     # words go by their 64-bit hashes, as in the sets, at half the bytes
-    hashed = F.transform(words(F.col("line")), lambda w: F.xxhash64(w))
-    texts = some.join(right, same, "left_semi").dropDuplicates(keys).select(F.struct(*keys).alias("f"), hashed.alias("w"))
+    texts = some.join(right, same, "left_semi").dropDuplicates(keys).select(F.struct(*keys).alias("f"), words(F.col("line")).alias("w"))
     texts = step(texts, "line-words")
     sided = named.join(texts.selectExpr("f as f1", "w as w1"), "f1").drop("f1")
     sided = sided.join(texts.selectExpr("f as f2", "w as w2"), "f2")
     common = F.size(F.array_intersect("w1", "w2"))
     good = sided.where(DEN * common >= NUM * (F.size("w1") + F.size("w2") - common))
-    return step(good.select("late.*").distinct(), "late-sets")
+    found = step(good.select("late").distinct(), "late-sets")
+    forget(texts)
+    return found
+
+
+def earlier(df: DataFrame, found: DataFrame, heads: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Sets for which a similar set has an earlier first line, verified on the words; ``found`` is used up.
+
+    One similar set is enough, so each set is first compared with the one whose mark is nearest; only where that
+    fails, which the marks make rare, are all its other pairs compared. Large families of like lines cost a comparison
+    a line, not one a pair.
+    """
+    pairs = step(candidates(found), "line-pairs")
+    forget(found)
+    few = step(sieve(heads, ["mark"], pairs.select(F.explode(F.array("l1", "l2")).alias("mark"))), "paired-sets")
+    side = lambda k: few.select(
+        F.col("mark").alias(f"l{k}"), F.struct(*SET).alias(f"c{k}"), F.col("first").alias(f"f{k}")
+    )
+    named = pairs.join(side(1), "l1").join(side(2), "l2").where("c1 <> c2")
+    first, second = F.struct("f1.id", "f1.nth"), F.struct("f2.id", "f2.nth")
+    # of each pair the set that is late, if the pair is one
+    late = F.when(first < second, F.col("c2")).when(second < first, F.col("c1"))
+    named = step(named.select("f1", "f2", "d", late.alias("late")).where("late is not null"), "named-pairs")
+    nearest = named.groupBy("late").agg(F.min(F.struct("d", "f1", "f2")).alias("p")).select("late", "p.f1", "p.f2")
+    done = similar(step(nearest, "nearest-pairs"), df, id_col, text)
+    rest = step(named.join(done, "late", "left_anti").drop("d"), "other-pairs")
+    forget(named)
+    if not rest.isEmpty():
+        done = done.union(similar(rest, df, id_col, text))
+    return done.select("late.*")
 
 
 def flags(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -177,11 +205,16 @@ def flags(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFram
 
 
 def summary(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document (id and text): ``n_lines``, ``n_removed`` and the numbers of the ``removed`` lines, from 0."""
+    """Per row of ``df``: its id, ``n_lines``, ``n_removed`` and the numbers of the ``removed`` lines, from 0."""
     found = flags(df, id_col, text)
     gone = F.filter(F.transform("removed", lambda r, i: F.when(r, i)), lambda i: i.isNotNull())
-    out = found.select(F.col("id").alias(id_col), F.size("removed").alias("n_lines"), gone.alias("removed"))
-    return out.select(id_col, "n_lines", F.size("removed").alias("n_removed"), "removed")
+    found = found.select(F.col("id").alias("__id"), F.col("version").alias("__version"), F.size("removed").alias("n_lines"), gone.alias("removed"))
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.when(F.col(f"`{text}`").isNotNull(), F.xxhash64(F.col(f"`{text}`").cast("string"))).alias("version"))
+    out = rows.join(found, F.col("id").eqNullSafe(F.col("__id")) & (F.col("version") == F.col("__version")), "left")
+    removed = F.coalesce("removed", F.array().cast("array<int>"))
+    return out.select(
+        F.col("id").alias(id_col), F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.size(removed).alias("n_removed"), removed.alias("removed")
+    )
 
 
 def clean(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:

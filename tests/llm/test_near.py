@@ -63,7 +63,21 @@ def test_lines(spark, seed):
         expect.append((str(i), str(kept)))
     assert got == sorted(expect)
     summed = sorted((str(r.doc_id), r.n_lines, list(r.removed)) for r in lines.summary(df).collect())
-    assert summed == sorted((str(i), len(t.split("\n")), gone) for (i, t), gone in want.items() if t is not None)
+    assert summed == sorted((str(i), 0 if t is None else len(t.split("\n")), want[i, t] if t is not None else []) for i, t in rows)
+    assert all(r.n_removed == len(r.removed) for r in lines.summary(df).collect())
+
+
+def test_families_of_like_lines(spark, monkeypatch):
+    """Many lines near each other: all but the first go, also where the nearest mark belongs to a line that isn't similar."""
+    base = [f"w{k}" for k in range(40)]
+    rows = [(i, " ".join([*base[: i % 40], f"x{i}", *base[i % 40 + 1 :]])) for i in range(120)]
+    rows += [(200 + i, f"a{i} b{i} c{i} d{i} e{i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in lines.summary(df).collect()}
+    assert got == {i: int(0 < i < 120) for i, _ in rows}
+    # marks of two bits tell almost nothing: the other pairs of a set decide
+    monkeypatch.setattr(lines, "MARK", 2)
+    assert {r.doc_id: r.n_removed for r in lines.summary(df).collect()} == got
 
 
 def test_long_lines_meet_on_the_word_alone(spark):
