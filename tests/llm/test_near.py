@@ -205,3 +205,14 @@ def test_find_and_clean(spark):
     assert decontaminate.find(df.limit(0), items).count() == 0
     assert decontaminate.find(df, items.where(F.lit(False))).count() == 0
     assert decontaminate.clean(df, items.where(F.lit(False))).count() == 6
+
+
+def test_representatives_are_one_row_a_component(spark):
+    a, b, c = ("".join(f"{w}{i} " for i in range(80)) for w in ("left", "right", "other"))
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "x"), (1, a, "x"), (3, c, "y"), (3, c, "z"), (None, c, "x"), (None, "alone " * 9, None), (4, None, "x"), (5, "", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __fp string").repartition(3)
+    out = simhash.representatives(df)
+    assert out.columns == df.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(1, a), (2, b), (3, c), (None, "alone " * 9), (4, None)], key=str)
+    assert simhash.representatives(df.limit(0)).count() == 0
