@@ -7,6 +7,7 @@ gives way to the result.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -21,8 +22,12 @@ FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
             "n_distinct"]
 #: Accuracy that a rule is trusted to have on good documents until the counts speak against it, and on its own fault.
 LEAST_GOOD, LEAST_SEEN = 0.995, 0.9
-#: Documents from which on a fault must show in other rules' votes, and by how much at least in one of them.
-ENOUGH, LEAST_SHOWN = 100, 0.02
+#: Prior odds, as a logarithm, that a rule's lone votes are a fault and not its whim: counts add to them or outweigh them.
+TRUST = 15.0
+#: Statistic of a test with one degree of freedom that holds in 999 of 1,000 cases.
+FITS = 10.83
+#: Documents with two other bad votes or more that such a test must expect, or it has nothing to test.
+LEAST_EXPECTED = 5.0
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
 _CLOSERS = (".", "!", "?", '"', "'", ")", ":", ";", "…", "”", "»", "。")
 
@@ -113,21 +118,20 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 300, tol: f
     ``patterns`` is patterns x rules of -1/0/1 and ``counts`` the documents of each. A good document is of one kind, a bad
     one has a main fault, one kind for each rule. Given its kind, every rule that votes is right or wrong with a
     probability of its own. Rules are at first trusted to spare good documents (accuracy ``LEAST_GOOD`` or more) and to see
-    their own fault (``LEAST_SEEN`` or more). A fault of ``ENOUGH`` documents or more on which all other rules vote and
-    abstain as on good documents is then the whim of its rule: the kind is given up, the rule's accuracy on good documents
-    is estimated without a bound, and everything is estimated again, until each fault left shows in another rule. Returns
-    the probability of "good" for each pattern, the rules' accuracies on good and on bad documents, and the share of good
-    documents.
+    their own fault (``LEAST_SEEN`` or more). Where the counts outweigh that trust (``fault_odds``), the documents that a rule
+    alone votes bad are its whim: its kind is given up, where it is alone it counts as abstaining, and its accuracy on good documents is
+    estimated without a bound. Returns the probability of "good" for each pattern, the rules' accuracies on good and
+    on bad documents, and the share of good documents.
     """
-    trusted = np.ones(patterns.shape[1], bool)
-    while True:
-        kind, says_good, share = _fit(patterns, counts, trusted, rounds, tol)
-        whims = _whims(patterns, kind * counts[:, None], trusted)
-        if not len(whims):
-            break
-        trusted[whims[0]] = False  # the commonest; the others are looked at again without it
+    trusted = np.array([fault_odds(patterns, counts, r) + TRUST >= 0 for r in range(patterns.shape[1])])
+    bad = patterns == -1
+    whims = (bad & ~trusted).any(axis=1) & (bad.sum(axis=1) == 1)
+    heard = np.where(whims[:, None] & bad, 0, patterns)  # where it is alone, such a rule is taken to abstain
+    kind, says_good, share = _fit(heard, counts, trusted, rounds, tol)
     faulty = share[1:] / max(share[1:].sum(), 1e-300)
-    return kind[:, 0], says_good[0], 1 - faulty @ says_good[1:], float(share[0])
+    mass = kind[:, 0] * counts
+    on_good = (mass @ (patterns == 1) + 9) / (mass @ (patterns != 0) + 10)
+    return kind[:, 0], np.where(trusted, says_good[0], on_good), 1 - faulty @ says_good[1:], float(share[0])
 
 
 def _fit(patterns: np.ndarray, counts: np.ndarray, trusted: np.ndarray, rounds: int, tol: float):
@@ -158,18 +162,48 @@ def _fit(patterns: np.ndarray, counts: np.ndarray, trusted: np.ndarray, rounds:
     return kind, says_good, share
 
 
-def _whims(patterns: np.ndarray, mass: np.ndarray, trusted: np.ndarray) -> np.ndarray:
-    """Trusted rules, commonest first, whose fault leaves the votes and abstentions of all others as good documents have
-    them: no share differs by ``LEAST_SHOWN`` beyond three standard errors."""
-    size = mass.sum(axis=0)
-    shares = np.stack([mass.T @ (patterns == v) for v in (-1, 0, 1)]) / np.maximum(size, 1e-300)[:, None]
-    found = []
-    for r in np.flatnonzero(trusted & (size[1:] >= ENOUGH)):
-        here, usual = np.delete(shares[:, r + 1], r, axis=1), np.delete(shares[:, 0], r, axis=1)
-        shown = np.abs(here - usual) - 3 * np.sqrt(usual * (1 - usual) / size[r + 1])
-        if shown.max(initial=0) < LEAST_SHOWN:
-            found.append(r)
-    return np.array(sorted(found, key=lambda r: -size[r + 1]), int)
+def fault_odds(patterns: np.ndarray, counts: np.ndarray, rule: int) -> float:
+    """Logarithm of the odds that the documents which ``rule`` votes bad have a fault of their own, and not its whim.
+
+    If the number of other bad votes beside it is that of independent rules, where enough of them vote bad to tell, these documents are one kind: it is a fault if
+    other rules vote bad or abstain on them at other rates than elsewhere. If not, those on which no other rule votes
+    bad are a kind by themselves: it is a fault if other rules abstain on them at other rates than on documents without
+    any bad vote. Every rate is compared by its evidence: the chance of the counts under a rate of which nothing is known,
+    against that under the rate elsewhere.
+    """
+    others = np.delete(patterns, rule, axis=1)
+    bad, abstains = others == -1, others == 0
+    mine = patterns[:, rule] == -1
+    n = counts[mine].sum()
+    if not n:
+        return 0.0
+    rates = lambda votes, where: counts[where] @ votes[where] / max(counts[where].sum(), 1)
+    beside = np.zeros(bad.shape[1] + 1)  # chances of so many other bad votes, were the rules independent
+    beside[0] = 1.0
+    for q in rates(bad, mine):
+        beside[1:] = beside[1:] * (1 - q) + beside[:-1] * q
+        beside[0] *= 1 - q
+    want = n * np.array([beside[0], beside[1:2].sum(), beside[2:].sum()])
+    number = np.minimum(bad.sum(axis=1), 2)
+    have = np.array([counts[mine & (number == k)].sum() for k in range(3)])
+    some = have > 0
+    misfit = 2 * (have[some] * np.log(have[some] / np.maximum(want[some], 1e-300))).sum()
+    if misfit < FITS and want[2] >= LEAST_EXPECTED:
+        return _evidence(bad, counts, mine, ~mine) + _evidence(abstains, counts, mine, ~mine)
+    alone = number == 0
+    # a rule that mostly votes bad beside this one abstains on a part of those documents, which then look alone
+    usual = rates(bad, mine & ~alone) <= 0.5
+    return _evidence(abstains[:, usual], counts, mine & alone, ~mine & alone)
+
+
+def _evidence(votes: np.ndarray, counts: np.ndarray, here: np.ndarray, there: np.ndarray) -> float:
+    """Logarithm of the odds that rules cast ``votes`` at other rates ``here`` than ``there``, summed over the rules."""
+    n, m = float(counts[here].sum()), float(counts[there].sum())
+    out = 0.0
+    for k, usual in zip(counts[here] @ votes[here], (counts[there] @ votes[there] + 0.5) / (m + 1), strict=True):
+        out += math.lgamma(k + 1) + math.lgamma(n - k + 1) - math.lgamma(n + 2)
+        out -= k * math.log(usual) + (n - k) * math.log1p(-usual)
+    return out
 
 
 def votes(df: DataFrame, text: str = "text") -> DataFrame:

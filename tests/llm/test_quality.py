@@ -71,6 +71,49 @@ def test_a_rule_that_errs_alone_rejects_nothing(share, abstain):
     assert abs(on_good[2] - (1 - share)) < 0.003 and abs(good - 0.99) < 0.003
 
 
+SHARES = [0.003, 0.01, 0.05, 0.1, 0.3]
+
+
+# any two faults at a whim's share of 0.05, or where rules also abstain, are numbers that independent rules could give: not told apart
+@pytest.mark.parametrize(
+    "share,abstain,pairs", [(s, a, False) for s in SHARES for a in (0.0, 0.1)] + [(s, 0.0, True) for s in SHARES if s != 0.05]
+)
+def test_a_rule_that_errs_alone_beside_documents_with_two_faults(share, abstain, pairs):
+    """One document in twenty has two faults, always the same two or any two; one rule also votes bad on clean ones."""
+    rng = np.random.default_rng(3)
+    n, rules = 200_000, 8
+    bad = np.zeros((n, rules), bool)
+    faulty = rng.random(n) < 0.05
+    bad[:, 2] = rng.random(n) < share
+    if pairs:
+        both = np.argsort(rng.random((faulty.sum(), rules)), axis=1)[:, :2]
+        bad[np.flatnonzero(faulty)[:, None], both] = True
+    else:
+        bad[np.ix_(faulty, [2, 4])] = True
+    votes = np.where(bad, -1, 1)
+    votes[rng.random(votes.shape) < abstain] = 0
+    patterns, which, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    posterior, *_ = quality.estimate(patterns, counts)
+    kept = posterior[which.ravel()] > 0.5
+    assert kept[~faulty].mean() > 0.9999
+    seen = (votes == -1).sum(axis=1) >= 2  # where a rule abstains, one of the faults may be unseen
+    assert not kept[faulty & seen].any()
+
+
+def test_a_lone_fault_that_shows_in_abstentions_stays_a_fault():
+    """A twentieth of the documents has a fault that one rule sees; another rule often abstains there."""
+    rng = np.random.default_rng(4)
+    n = 20_000
+    votes = np.ones((n, 5), int)
+    faulty = rng.random(n) < 0.05
+    votes[faulty, 1] = -1
+    votes[faulty & (rng.random(n) < 0.2), 3] = 0
+    votes[rng.random(n) < 0.02, 3] = 0
+    patterns, which, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    posterior, *_ = quality.estimate(patterns, counts)
+    assert ((posterior[which.ravel()] > 0.5) == ~faulty).all()
+
+
 def test_operator(spark, sf):
     df = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", F.lit("x").alias("kept"))
     extra = spark.createDataFrame([(None, None, "x"), (-1, "", "x"), (-2, " \n ", "x")], "doc_id long, text string, kept string")
