@@ -14,6 +14,7 @@ from tabforge.catalog.registry import (
     union_sql,
 )
 from tabforge.operators import bivariate, profile, quality, timeprofile
+from tabforge.plans.aggregates import union_all
 
 _DTYPES = {
     "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
@@ -400,6 +401,87 @@ def universal_eda_orders(spark, sf_dir):
     return found["flags"]
 
 
+_EDA_COLUMNS = [*LINEITEM_NUMERIC, *_LINEITEM_OTHER]
+_LONG = "SELECT '{part}' AS part, name, stat, CAST(value AS DOUBLE) AS value FROM ({rows})"
+
+
+def _long_sql(part: str, columns: list[str], stats: dict[str, str], source: str = INJECTED_SQL) -> str:
+    """Rows (part, name, stat, value), one a column and stat; ``{c}`` is the column."""
+    each = union_sql(columns, "SELECT '{c}' AS name, " + ", ".join(f"{v} AS {k}" for k, v in stats.items()) + f" FROM {source}")
+    rows = "\nUNION ALL\n".join(f"SELECT name, '{k}' AS stat, CAST({k} AS DOUBLE) AS value FROM ({each})" for k in stats)
+    return _LONG.format(part=part, rows=rows)
+
+
+_X = "CAST({c} AS DOUBLE)"
+_UNIQUE = "(count(DISTINCT {c}) + max(({c} IS NULL)::INT))"
+_CODED = (
+    "(SELECT *, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 WHEN 'R' THEN 2 END::DOUBLE AS code FROM " + INJECTED_SQL + ")"
+)
+_EDA_PAIRS = "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS r FROM {INJECTED_SQL}"
+    for i, a in enumerate(LINEITEM_NUMERIC)
+    for b in LINEITEM_NUMERIC[i + 1 :]
+)
+_EDA_SQL = "\nUNION ALL\n".join(
+    [
+        _long_sql("profile", _EDA_COLUMNS, {
+            "pct_missing": "round((count(*) - count({c})) * 100.0::DOUBLE / count(*), 2)", "n_unique": _UNIQUE,
+            "is_constant": f"({_UNIQUE} <= 1)::INT", "is_id_like": f"({_UNIQUE} >= 0.95 * count(*))::INT",
+        }),
+        "SELECT * FROM (" + _long_sql("missing", _EDA_COLUMNS, {"n_missing": "count(*) - count({c})"}) + ") WHERE value > 0",
+        _long_sql("numeric_describe", LINEITEM_NUMERIC, {
+            "count": "count({c})", "mean": f"round(avg({_X}), 4)", "std": f"round(stddev_samp({_X}), 4)", "min": "min({c})", "max": "max({c})",
+            "p25": f"round(quantile_cont({_X}, 0.25), 4)", "p50": f"round(quantile_cont({_X}, 0.5), 4)",
+            "p75": f"round(quantile_cont({_X}, 0.75), 4)", "skew": f"round(skewness({_X}), 4)", "kurt": f"round(kurtosis({_X}), 4)",
+        }),
+        "SELECT 'outliers' AS part, \"column\" AS name, 'outlier_share' AS stat, round(outlier_share, 4) AS value FROM ("
+        + union_sql(LINEITEM_NUMERIC, _OUTLIER.replace("FROM events", f"FROM {INJECTED_SQL}")) + ") WHERE outlier_share IS NOT NULL",
+        _long_sql("zeros", LINEITEM_NUMERIC, {"zero_share": "round_even(count(*) FILTER (WHERE {c} = 0)::DOUBLE / count(*), 4)"}),
+        "SELECT 'categoricals' AS part, unnest(['l_linenumber', 'l_tax', 'l_linestatus']) AS name, 'categorical' AS stat, 1.0::DOUBLE AS value",
+        "SELECT 'target_stats' AS part, '' AS name, unnest(['imbalance_ratio', 'minority_share']) AS stat, "
+        "unnest([round(max(s) / min(s), 2), round(min(s), 4)]) AS value FROM (SELECT count(*)::DOUBLE / (SELECT count(*) FROM lineitem) AS s FROM "
+        + INJECTED_SQL + " GROUP BY l_returnflag)",
+        _long_sql("corr_with_target", LINEITEM_NUMERIC, {
+            "r": f"round(corr({_X}, code) FILTER (WHERE {{c}} IS NOT NULL AND code IS NOT NULL), 4)", "n_classes": "3"
+        }, _CODED),
+        "SELECT 'multicollinear' AS part, a || '~' || b AS name, 'r' AS stat, round(r, 3) AS value FROM ("
+        + _EDA_PAIRS + ") WHERE abs(r) > 0.8",
+        "SELECT 'flags' AS part, name, 'missing_gt30' AS stat, 1.0::DOUBLE AS value FROM ("
+        + union_sql(_EDA_COLUMNS, "SELECT '{c}' AS name, avg(({c} IS NULL)::INT) AS share FROM " + INJECTED_SQL) + ") WHERE share > 0.3",
+        "SELECT 'flags' AS part, '' AS name, 'dup_pct' AS stat, round(1 - count(*)::DOUBLE / (SELECT count(*) FROM lineitem), 4) AS value "
+        "FROM (SELECT DISTINCT * FROM " + INJECTED_SQL + ")",
+    ]
+)
+
+
+@query("universal_eda_lineitem", _EDA_SQL)
+def universal_eda_lineitem(spark, sf_dir):
+    """All ten tables of one run as (part, name, stat, value)."""
+    found = quality.run_universal_eda(injected(spark, sf_dir), "l_returnflag", order=["l_orderkey", "l_linenumber"])
+    number = lambda c: F.col(c).cast("double")
+
+    def long(part: str, name, stats: list[str], digits: int = 4):
+        cells = F.explode(F.array(*[F.struct(F.lit(s).alias("stat"), F.round(number(s), digits).alias("value")) for s in stats]))
+        return found[part].select(F.lit(part).alias("part"), name.alias("name"), cells.alias("r")).select("part", "name", "r.stat", "r.value")
+
+    column = F.col("column")
+    flags = found["flags"].where("flag IN ('missing_gt30', 'dup_pct')")
+    share = F.col("flag") == "dup_pct"
+    parts = [
+        long("profile", column, ["pct_missing", "n_unique", "is_constant", "is_id_like"]),
+        long("missing", column, ["n_missing"]),
+        long("numeric_describe", column, ["count", "mean", "std", "min", "max", "p25", "p50", "p75", "skew", "kurt"]),
+        long("outliers", column, ["outlier_share"]),
+        long("zeros", column, ["zero_share"]),
+        found["categoricals"].select(F.lit("categoricals"), column, F.lit("categorical"), F.lit(1.0)),
+        found["target_stats"].select(F.lit("target_stats"), F.lit(""), "stat", "value"),
+        long("corr_with_target", column, ["r", "n_classes"]),
+        long("multicollinear", F.concat_ws("~", "a", "b"), ["r"], 3),
+        flags.select(F.lit("flags"), F.when(share, "").otherwise(F.col("value")), "flag", F.when(share, number("value")).otherwise(1.0)),
+    ]
+    return union_all([p.toDF("part", "name", "stat", "value") for p in parts])
+
+
 @query(
     "duplicate_rows_lineitem",
     "SELECT n_rows, n_distinct, round(1 - n_distinct::DOUBLE / n_rows, 6) AS dup_pct FROM ("

@@ -24,9 +24,13 @@ MISSING_LABEL = "∅_missing"
 LITERAL_LABELS = 1000
 
 
-def target_code(df: DataFrame, target: str, name: str = "__y") -> DataFrame:
-    """Add the target's class code: its position among the sorted distinct labels, NULL stays NULL."""
-    labels = df.select(col(target).alias("label")).where(F.col("label").isNotNull()).distinct()
+def target_code(df: DataFrame, target: str, name: str = "__y", labels: DataFrame | None = None) -> DataFrame:
+    """Add the target's class code: its position among the sorted distinct labels, NULL stays NULL.
+
+    ``labels`` may hold the distinct labels (column ``label``), if they are known.
+    """
+    labels = df.select(col(target).alias("label")).distinct() if labels is None else labels.select("label")
+    labels = labels.where(F.col("label").isNotNull())
     few = [r.label for r in labels.limit(LITERAL_LABELS + 1).collect()]
     if len(few) <= LITERAL_LABELS:
         dtype = field_type(df, target)
@@ -70,7 +74,11 @@ def multicollinear_pairs(
 ) -> DataFrame:
     """Pairs of numeric columns, in schema order, whose absolute correlation is above the threshold."""
     df = nan_to_null(df)
-    pairs = pairwise_corr(df, numeric_columns(df, exclude))
+    return strong_pairs(pairwise_corr(df, numeric_columns(df, exclude)), threshold, digits)
+
+
+def strong_pairs(pairs: DataFrame, threshold: float = 0.8, digits: int | None = 3) -> DataFrame:
+    """``multicollinear_pairs`` of known correlations."""
     return pairs.where(F.abs("r") > threshold).select("a", "b", rounded(F.col("r"), digits).alias("r"))
 
 

@@ -7,8 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.functions.columns import col, flat_columns, nan_to_null
+from tabforge.functions.columns import col, flat_columns, nan_to_null, number_of, numeric_columns
 from tabforge.operators import bivariate, profile, timeprofile
+from tabforge.plans.aggregates import pairwise_corr
+from tabforge.plans.quantiles import exact_quantiles
+from tabforge.session import materialise
+
+_CODE = "__target_code"
 
 
 def _digest(df: DataFrame) -> list:
@@ -55,11 +60,20 @@ def quality_flags(
     Id-like here means one distinct value per row, stricter than in ``column_profile``.
     """
     df = nan_to_null(df)
-    spark = df.sparkSession
-    dup = duplicate_rows(df, exact).select(
-        F.lit("dup_pct").alias("flag"), F.bround("dup_pct", 4).cast("string").alias("value")
-    )
-    unique = profile._uniqueness(df)
+    return flags_of(duplicate_rows(df, exact), profile._uniqueness(df), target, task, leak, pairs)
+
+
+def flags_of(
+    duplicates: DataFrame,
+    unique: DataFrame,
+    target: str | None = None,
+    task: str | None = None,
+    leak: Sequence[str] = (),
+    pairs: Sequence[str] = (),
+) -> DataFrame:
+    """``quality_flags`` from the duplicate count and the counts of each column."""
+    spark = unique.sparkSession
+    dup = duplicates.select(F.lit("dup_pct").alias("flag"), F.bround("dup_pct", 4).cast("string").alias("value"))
     per_column = unique.select(
         "column",
         F.explode(
@@ -77,6 +91,11 @@ def quality_flags(
     return dup.unionByName(per_column).unionByName(spark.createDataFrame(given, "flag string, value string"))
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """The few rows of a table, held by the driver: what is made of them reads no data again."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def run_universal_eda(
     df: DataFrame,
     target: str | None = None,
@@ -86,33 +105,63 @@ def run_universal_eda(
 ) -> dict[str, object]:
     """Every check as a dict of DataFrames, plus task, datetime columns and shape.
 
-    The tables are lazy except where one check needs the number another one found.
+    All tables are made of a few statistics that the data is read for once each: value counts of every column, duplicate
+    rows, parse rates of text, moments, quartiles (two or three scans), outliers beyond them, class counts, and one
+    table of correlations with the target's code as one more column. They hold a row a column or pair of columns.
     """
     df = nan_to_null(df)
     dated = timeprofile.detect_datetime_columns(df, forced=date, order=order)
     known = target is not None and target in df.columns
-    task = profile.detect_task(df, target, bool(dated)) if known else None
     skip = [target] if target else []
-    correlations = bivariate.target_correlations(df, target, task) if known else None
+    unique = _kept(profile._uniqueness(df))
+    counts = {r.column: r for r in unique.collect()}
+    few = {c: r.n_unique - (r.n_missing > 0) for c, r in counts.items()}  # without NULL
+    n_rows = max((r.n_rows for r in counts.values()), default=0) if counts else df.count()
+    names = numeric_columns(df, skip)
+    task = None
+    if known:
+        task = profile.task_of(df, target, few[target], bool(dated))
+    classes = known and task.startswith("classification")
+
+    measured = numeric_columns(df)
+    summary = _kept(profile.numeric_summary(df, measured)) if measured else None
+    quartiles = exact_quantiles(df, {c: profile.QUARTILES for c in names})
+    described = summary.where(F.col("column").isin(names)) if names else None
+    coded, n_classes, balance = df, None, None
+    if classes:
+        n_classes = few[target]
+        balance = profile.class_counts(df, target)
+        balance = _kept(balance) if n_classes <= bivariate.LITERAL_LABELS else materialise(balance, "classes")
+        coded = bivariate.target_code(df, target, _CODE, balance)
+    elif known:
+        coded = df.withColumn(_CODE, number_of(df, target))
+    related = _kept(pairwise_corr(coded, [*names, *([_CODE] if known else [])]))
+    correlations = None
+    if known:
+        with_target = related.where(F.col("b") == _CODE).select(F.col("a").alias("column"), "r", F.lit(n_classes).cast("long").alias("n_classes"))
+        correlations = with_target.orderBy(F.abs("r").desc_nulls_last(), "column")
+    pairs = bivariate.strong_pairs(related.where(F.col("b") != _CODE))
     # O(columns) rows each; they feed the flags as text
     leak = [r.column for r in bivariate.leakage_suspects(correlations).collect()] if known else []
-    pairs = bivariate.multicollinear_pairs(df, exclude=skip)
     place = {c: i for i, c in enumerate(df.columns)}  # in column order, as the rows come in none
     listed = [f"{r.a}~{r.b}={r.r}" for r in sorted(pairs.collect(), key=lambda r: (place[r.a], place[r.b]))]
+    stats = None
+    if known:
+        stats = profile.balance_of(balance) if classes else profile.shape_of(summary.where(F.col("column") == target))
     return {
-        "n_rows": df.count(),
+        "n_rows": n_rows,
         "n_columns": len(df.columns),
-        "profile": profile.column_profile(df),
-        "missing": profile.missing_summary(df),
-        "numeric_describe": profile.numeric_describe(df, exclude=skip),
-        "outliers": profile.outlier_shares(df, exclude=skip),
-        "zeros": profile.zero_shares(df, exclude=skip),
-        "categoricals": profile.categorical_columns(df, target=target),
+        "profile": profile.column_profile_of(unique),
+        "missing": profile.missing_summary_of(unique),
+        "numeric_describe": profile.describe_of(described, quartiles) if names else profile.numeric_describe(df, exclude=skip),
+        "outliers": _kept(profile.outliers_of(df, profile.fences_of(quartiles))),
+        "zeros": profile.zeros_of(described) if names else profile.zero_shares(df, exclude=skip),
+        "categoricals": profile.categoricals_of(df, target, few),
         "datetime_columns": dated,
         "task": task,
-        "target_stats": profile.target_stats(df, target, task) if known else None,
+        "target_stats": stats,
         "corr_with_target": correlations,
         "multicollinear": pairs,
-        "flags": quality_flags(df, target if known else None, task, leak, listed),
+        "flags": flags_of(_kept(duplicate_rows(df)), unique, target if known else None, task, leak, listed),
         "id_cols": [c for c in id_cols if c in flat_columns(df)],
     }
