@@ -120,8 +120,7 @@ def candidates(found: DataFrame) -> DataFrame:
         f" or (least({x} - {i}, {y} - {j}) >= {need} and bit_count(l1 ^ l2) <= {x} + {y} - 2 * {need}))"
     )
     twins = found.where(f"n >= {SMALL}").groupBy("mark").count().where("count > 1")
-    pairs = pairs.select("l1", "l2").union(twins.selectExpr("mark as l1", "mark as l2")).distinct()
-    return pairs.withColumn("d", F.bit_count(F.col("l1").bitwiseXOR(F.col("l2"))))
+    return pairs.select("l1", "l2").union(twins.selectExpr("mark as l1", "mark as l2")).distinct()
 
 
 def sieve(df: DataFrame, keys: list[str], wanted: DataFrame) -> DataFrame:
@@ -138,9 +137,8 @@ def sieve(df: DataFrame, keys: list[str], wanted: DataFrame) -> DataFrame:
     return df.where(F.get(number_list(marked, "bigint"), place).bitwiseAND(bit) != 0)
 
 
-def similar(named: DataFrame, df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """The ``late`` sets of those pairs in ``named`` whose first lines ``f1`` and ``f2`` are similar, judged on the words."""
-    wanted = named.select(F.explode(F.array("f1", "f2")).alias("f")).select("f.*").distinct()
+def line_words(df: DataFrame, wanted: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``f`` (id, line and version) of the ``wanted`` lines, their words ``w`` and a parity mark of ``4 * MARK`` classes."""
     some = sieve(split_lines(df, id_col, text), ["id", "nth"], wanted)
     keys = ["id", "nth", "version"]
     same = F.lit(True)
@@ -149,14 +147,22 @@ def similar(named: DataFrame, df: DataFrame, id_col: str, text: str) -> DataFram
         same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
     # words go by their 64-bit hashes, as in the sets, at half the bytes
     texts = some.join(right, same, "left_semi").dropDuplicates(keys).select(F.struct(*keys).alias("f"), words(F.col("line")).alias("w"))
-    texts = step(texts, "line-words")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    part = lambda k: F.aggregate(
+        F.filter("w", lambda x: F.shiftright(x, 32).bitwiseAND(F.lit(3)) == k),
+        zero,
+        lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", one, F.shiftright(x, 40).bitwiseAND(F.lit(MARK - 1)).cast("int"))),
+    )
+    return step(texts.withColumn("wide", F.array(*[part(k) for k in range(4)])), "line-words")
+
+
+def similar(named: DataFrame, texts: DataFrame) -> DataFrame:
+    """The ``late`` sets of those pairs in ``named`` whose first lines ``f1`` and ``f2`` are similar, judged on the words."""
     sided = named.join(texts.selectExpr("f as f1", "w as w1"), "f1").drop("f1")
     sided = sided.join(texts.selectExpr("f as f2", "w as w2"), "f2")
     common = F.size(F.array_intersect("w1", "w2"))
     good = sided.where(DEN * common >= NUM * (F.size("w1") + F.size("w2") - common))
-    found = step(good.select("late").distinct(), "late-sets")
-    forget(texts)
-    return found
+    return step(good.select("late").distinct(), "late-sets")
 
 
 def earlier(df: DataFrame, found: DataFrame, heads: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -164,7 +170,7 @@ def earlier(df: DataFrame, found: DataFrame, heads: DataFrame, id_col: str, text
 
     One similar set is enough, so each set is first compared with the one whose mark is nearest; only where that
     fails, which the marks make rare, are all its other pairs compared. Large families of like lines cost a comparison
-    a line, not one a pair.
+    a line, not one a pair. Of the paired lines wider marks are made first, which tell long lines apart, too.
     """
     pairs = step(candidates(found), "line-pairs")
     forget(found)
@@ -176,13 +182,21 @@ def earlier(df: DataFrame, found: DataFrame, heads: DataFrame, id_col: str, text
     first, second = F.struct("f1.id", "f1.nth"), F.struct("f2.id", "f2.nth")
     # of each pair the set that is late, if the pair is one
     late = F.when(first < second, F.col("c2")).when(second < first, F.col("c1"))
-    named = step(named.select("f1", "f2", "d", late.alias("late")).where("late is not null"), "named-pairs")
-    nearest = named.groupBy("late").agg(F.min(F.struct("d", "f1", "f2")).alias("p")).select("late", "p.f1", "p.f2")
-    done = similar(step(nearest, "nearest-pairs"), df, id_col, text)
-    rest = step(named.join(done, "late", "left_anti").drop("d"), "other-pairs")
+    named = named.select("f1", "f2", late.alias("late"), F.expr("c1.n + c2.n").alias("n")).where("late is not null")
+    named = step(named, "named-pairs")
+    texts = line_words(df, named.select(F.explode(F.array("f1", "f2")).alias("f")).select("f.*").distinct(), id_col, text)
+    near = named.join(texts.selectExpr("f as f1", "wide as m1"), "f1").join(texts.selectExpr("f as f2", "wide as m2"), "f2")
+    apart = sum((F.bit_count(F.get("m1", F.lit(k)).bitwiseXOR(F.get("m2", F.lit(k)))) for k in range(4)), F.lit(0))
+    # similar sets of n words together differ in no more words than this, and their marks in no more bits
+    budget = F.expr(f"n - 2 * (({NUM} * n + {NUM + DEN - 1}) div {NUM + DEN})")
+    near = step(near.select("late", "f1", "f2", apart.alias("d"), budget.alias("most")).where("d <= most").drop("most"), "near-pairs")
     forget(named)
+    nearest = near.groupBy("late").agg(F.min(F.struct("d", "f1", "f2")).alias("p")).select("late", "p.f1", "p.f2")
+    done = similar(nearest, texts)
+    rest = step(near.join(done, "late", "left_anti").drop("d"), "other-pairs")
     if not rest.isEmpty():
-        done = done.union(similar(rest, df, id_col, text))
+        done = done.union(similar(rest, texts))
+    forget(near)
     return done.select("late.*")
 
 
