@@ -23,6 +23,7 @@ from tabforge.session import materialise
 
 _ALL = "g"  # above every hexadecimal digit
 _HASH = "__hash"
+_LEAD = 4  # leading hash digits that rows are counted by
 
 
 def key_hash(key: str | Sequence[str], seed: int) -> Column:
@@ -44,13 +45,7 @@ def _hash_label(h: Column, shares: Sequence[tuple[str, float]], rest: str) -> Co
     return out.otherwise(rest)
 
 
-def _classes(df: DataFrame, y: str | None) -> DataFrame:
-    """``y, n``: rows per class as a written table, so that a column may have any number of classes."""
-    label = col(y) if y is not None else F.lit(0)
-    return materialise(df.groupBy(label.alias("y")).agg(F.count(F.lit(1)).alias("n")), "classes")
-
-
-def _allot(classes: DataFrame, total: int, of: str, name: str) -> DataFrame:
+def _allot(classes: DataFrame, total: int, of: str, name: str, task_rows: int = TASK_ROWS) -> DataFrame:
     """Add ``name``: ``total`` dealt over the classes in proportion to ``of``, largest remainders first."""
     rows, n = classes.agg(F.count(F.lit(1)), F.sum(of)).first()
     if not n:
@@ -59,32 +54,10 @@ def _allot(classes: DataFrame, total: int, of: str, name: str) -> DataFrame:
     dealt = classes.withColumns(
         {name: F.expr(f"cast({share} div {n} as long)"), "__less": F.expr(f"-cast({share} % {n} as long)")}
     )
-    over = total - dealt.agg(F.sum(name)).first()[0]
-    ranked = with_global_rank(dealt, ["__less", "y"], "__place", n_rows=rows)
-    return ranked.withColumn(name, F.col(name) + (F.col("__place") <= over).cast("long")).drop("__less", "__place")
-
-
-def _hash_cuts(df: DataFrame, key, seed: int, y: str | None, ranks: DataFrame, task_rows: int) -> DataFrame:
-    """``y, cut, h``: per class the hash of the rows at the given 1-based ranks in hash order.
-
-    Rows are counted per leading hash digits first; only the digit groups that hold a wanted rank
-    are sorted, once each. The hash is uniform, so those groups are small whatever the class sizes.
-    """
-    largest = ranks.agg(F.max("n")).first()[0] or 0
-    digits = 1 if largest <= task_rows else min(8, math.ceil(math.log(largest / task_rows, 16)) + 1)
-    h = key_hash(key, seed)
-    label = col(y) if y is not None else F.lit(0)
-    hashed = df.select(label.alias("y"), h.alias("h"), F.substring(h, 1, digits).alias("lead"))
-    wanted = ranks.select(F.col("y").alias("cy"), F.posexplode("ks").alias("cut", "k")).where("k > 0")
-    upto = F.sum("n").over(W.partitionBy("y").orderBy("lead"))
-    counts = hashed.groupBy("y", "lead").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto)
-    at = counts.join(wanted, F.col("y").eqNullSafe(F.col("cy"))).where("k > upto - n AND k <= upto")
-    at = at.select("cy", "cut", (F.col("k") - F.col("upto") + F.col("n")).alias("k"), F.col("lead").alias("clead"))
-    at = materialise(at, "cut-groups")
-    same = F.col("y").eqNullSafe(F.col("cy")) & (F.col("lead") == F.col("clead"))
-    some = hashed.join(at, same, "left_semi")
-    ranked = some.withColumn("rn", F.row_number().over(W.partitionBy("y", "lead").orderBy("h")))
-    return ranked.join(at, same & (F.col("rn") == F.col("k"))).select("y", "cut", "h")
+    ranked = with_global_rank(dealt, ["__less", "y"], "__place", n_rows=rows, task_rows=task_rows)
+    over = dealt.agg((F.lit(total) - F.sum(name)).alias("__over"))  # one row
+    ranked = ranked.crossJoin(F.broadcast(over))
+    return ranked.withColumn(name, F.col(name) + (F.col("__place") <= F.col("__over")).cast("long")).drop("__less", "__place", "__over")
 
 
 def _exact_number(
@@ -92,15 +65,28 @@ def _exact_number(
 ) -> DataFrame:
     """Add ``name`` = how many of its class's cuts a row's hash is above.
 
-    ``sizes`` adds ``ks``, the cumulative rank of each cut, to the table of classes.
+    ``sizes`` adds ``ks``, the cumulative rank of each cut in hash order, to the table of classes (``y`` and ``n``).
+
+    One scan counts every class by leading hash digits, on the map side; the sizes of the classes and the group of rows that
+    holds each cut come from those counts. A second scan sorts the hashes of these groups alone: the hash is uniform, so
+    a group is a 65,536th of its class. Classes stay tables, so a column may have any number of them.
     """
-    ranks = materialise(sizes(_classes(df, y)).select("y", "n", "ks"), "ranks")
-    found = _hash_cuts(df, key, seed, y, ranks, task_rows).groupBy("y")
-    found = found.agg(F.map_from_entries(F.collect_list(F.struct("cut", "h"))).alias("found"))
-    found = found.withColumnRenamed("y", "fy")
-    joined = ranks.join(found, F.col("y").eqNullSafe(F.col("fy")), "left")
-    cut = F.transform("ks", lambda k, i: F.when(k > 0, F.coalesce(F.col("found")[i], F.lit(_ALL))).otherwise(""))
-    levels = materialise(joined.select(F.col("y").alias("__cy"), cut.alias("__cuts")), "levels")
+    label, h = col(y) if y is not None else F.lit(0), key_hash(key, seed)
+    hashed = df.select(label.alias("y"), h.alias("h"), F.substring(h, 1, _LEAD).alias("lead"))
+    counts = materialise(hashed.groupBy("y", "lead").agg(F.count(F.lit(1)).alias("n")), "hash-counts")
+    ranks = sizes(counts.groupBy("y").agg(F.sum("n").alias("n")))
+    cuts = ranks.select(F.col("y").alias("cy"), F.posexplode("ks").alias("cut", "rank"))
+    upto = counts.withColumn("upto", F.sum("n").over(W.partitionBy("y").orderBy("lead")))
+    inside = F.col("y").eqNullSafe(F.col("cy")) & (F.col("rank") > F.col("upto") - F.col("n")) & (F.col("rank") <= F.col("upto"))
+    at = cuts.join(upto, inside, "left")
+    at = materialise(at.select("cy", "cut", "rank", F.col("lead").alias("clead"), F.expr("rank - upto + n").alias("k")), "cut-groups")
+    same = F.col("y").eqNullSafe(F.col("cy")) & (F.col("lead") == F.col("clead"))
+    some = hashed.join(at.where("k IS NOT NULL"), same, "left_semi")
+    ranked = some.withColumn("rn", F.row_number().over(W.partitionBy("y", "lead").orderBy("h")))
+    placed = at.join(ranked, same & (F.col("rn") == F.col("k")), "left")
+    cut = F.when(F.col("rank") > 0, F.coalesce("h", F.lit(_ALL))).otherwise("")
+    listed = placed.groupBy("cy").agg(F.sort_array(F.collect_list(F.struct("cut", cut.alias("h")))).alias("c"))
+    levels = materialise(listed.select(F.col("cy").alias("__cy"), F.col("c.h").alias("__cuts")), "levels")
 
     def above(values) -> Column:
         return F.size(F.filter(values, lambda t: F.col(_HASH) > t))
@@ -112,7 +98,8 @@ def _exact_number(
         return hashed.withColumn(name, above(values)).drop(_HASH)
     # a row a class: broadcast while the table is small, shuffled beyond
     joined = hashed.join(levels, col(y).eqNullSafe(F.col("__cy")), "left")
-    return joined.withColumn(name, above(F.col("__cuts"))).drop(_HASH, "__cy", "__cuts")
+    cuts = F.coalesce("__cuts", F.array().cast("array<string>"))
+    return joined.withColumn(name, above(cuts)).drop(_HASH, "__cy", "__cuts")
 
 
 def _rows(classes: DataFrame) -> int:
@@ -137,7 +124,7 @@ def split_two_way(
         return df.withColumn("split", _hash_label(key_hash(key, seed), [("test", test_size)], "train"))
 
     def sizes(classes):
-        out = _allot(classes, math.ceil(test_size * _rows(classes)), "n", "test")
+        out = _allot(classes, math.ceil(test_size * _rows(classes)), "n", "test", task_rows)
         return out.withColumn("ks", F.array("test"))
 
     out = _exact_number(df, key, seed, stratify, sizes, "split", task_rows)
@@ -162,8 +149,8 @@ def split_three_way(
     def sizes(classes):
         n = _rows(classes)
         n_test = math.ceil(test_size * n)
-        out = _allot(classes, n_test, "n", "test").withColumn("left", F.col("n") - F.col("test"))
-        out = _allot(materialise(out, "test-sizes"), math.ceil(val_size / (1 - test_size) * (n - n_test)), "left", "val")
+        out = _allot(classes, n_test, "n", "test", task_rows).withColumn("left", F.col("n") - F.col("test"))
+        out = _allot(out, math.ceil(val_size / (1 - test_size) * (n - n_test)), "left", "val", task_rows)
         return out.withColumn("ks", F.array(F.col("test"), F.col("test") + F.col("val")))
 
     out = _exact_number(df, key, seed, stratify, sizes, "split", task_rows)
