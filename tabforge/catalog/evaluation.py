@@ -174,7 +174,17 @@ def compare_runs(spark, sf_dir):
     "SELECT x.v AS actual, z.v AS predicted, (SELECT count(*) FROM t WHERE t.a = x.v AND t.p = z.v) AS n FROM l x, l z",
 )
 def confusion(spark, sf_dir):
-    return chartdata.confusion_matrix(predicted(spark, sf_dir), "l_returnflag", "flag_pred")
+    return chartdata.confusion_matrix(predicted(spark, sf_dir), "l_returnflag", "flag_pred", zeros=True)
+
+
+@query(
+    "confusion_many_labels",
+    "SELECT l_partkey AS actual, l_partkey + l_linenumber % 3 AS predicted, count(*) AS n FROM lineitem GROUP BY ALL",
+)
+def confusion_many_labels(spark, sf_dir):
+    """As many labels as parts: only the cells that have rows."""
+    df = table(spark, sf_dir, "lineitem").selectExpr("l_partkey", "l_partkey + l_linenumber % 3 AS guess")
+    return chartdata.confusion_matrix(df, "l_partkey", "guess")
 
 
 _RESIDUAL = "(SELECT l_extendedprice - price_pred AS r FROM " + PREDICTED_SQL + ")"

@@ -355,10 +355,20 @@ def numeric_vs_price(spark, sf_dir):
 )
 def crosstab_flag_status(spark, sf_dir):
     return rounded_doubles(
-        bivariate.categorical_vs_target(injected(spark, sf_dir), "l_returnflag", "l_linestatus", "classification", None)
+        bivariate.categorical_vs_target(injected(spark, sf_dir), "l_returnflag", "l_linestatus", "classification", None, zeros=True)
     )
 
 
+@query(
+    "crosstab_type_brand",
+    "SELECT p_type AS level, p_brand AS label, round(count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY p_type), 6) AS share "
+    "FROM part GROUP BY 1, 2",
+)
+def crosstab_type_brand(spark, sf_dir):
+    """Many levels and classes: the cells that occur."""
+    return rounded_doubles(bivariate.categorical_vs_target(table(spark, sf_dir, "part"), "p_type", "p_brand", "classification", None))
+
+
 @query(
     "mean_target_by_priority",
     "SELECT o_orderpriority AS level, round(avg(o_totalprice), 4) AS mean, count(o_totalprice) AS \"count\" FROM orders GROUP BY 1",

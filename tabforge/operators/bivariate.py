@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tabforge.functions.columns import (
     col,
@@ -16,8 +17,10 @@ from tabforge.functions.columns import (
     numeric_columns,
     rounded,
 )
+from tabforge.operators.metrics import with_zero_cells
 from tabforge.plans.aggregates import aggregate_cells, numeric_cells, pairwise_corr, pearson
 from tabforge.plans.ordering import with_global_rank
+from tabforge.session import materialise
 
 MISSING_LABEL = "∅_missing"
 # Labels written into the plan as literals; more of them are joined as a table.
@@ -115,35 +118,23 @@ def numeric_vs_target(
 
 
 def categorical_vs_target(
-    df: DataFrame, column: str, target: str, task: str, digits: int | None = 3
+    df: DataFrame, column: str, target: str, task: str, digits: int | None = 3, zeros: bool = False
 ) -> DataFrame:
     """Class shares within each level (classification), or mean and count of the target per level.
 
-    Missing levels are shown as ``∅_missing`` in the class table; rows without a class are left
-    out of it and empty cells are 0.
+    Missing levels are shown as ``∅_missing`` in the class table and rows without a class are left out of it. It has a
+    row for each level and class that occur together, whatever their numbers; with ``zeros`` for all levels and classes.
     """
     df = nan_to_null(df)
     if task.startswith("classification"):
         known = df.where(col(target).isNotNull())
-        classes = [r[0] for r in known.select(col(target)).distinct().orderBy(col(target)).collect()]
         level = F.coalesce(col(column).cast("string"), F.lit(MISSING_LABEL)).alias("level")
-        # one aggregate per class gives the zero cells without multiplying levels by classes
-        names = [f"c{i}" for i in range(len(classes))]
-        dtype = field_type(df, target)
-        cells = [F.count_if(col(target) == F.lit(v).cast(dtype)).alias(n) for v, n in zip(classes, names)]
-        wide = known.groupBy(level).agg(F.count(F.lit(1)).alias("n"), *cells)
-        long = wide.select(
-            "level",
-            F.explode(
-                F.array(
-                    *[
-                        F.struct(F.lit(v).cast(dtype).alias("label"), (F.col(n) / F.col("n")).alias("share"))
-                        for v, n in zip(classes, names)
-                    ]
-                )
-            ).alias("r"),
-        )
-        return long.select("level", "r.label", rounded(F.col("r.share"), digits).alias("share"))
+        counts = known.groupBy(level, col(target).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+        if zeros:
+            counts = materialise(counts, "level-counts")
+            counts = with_zero_cells(counts, "level", "label", counts.select("label").distinct(), counts.select("level").distinct())
+        total = F.sum("n").over(W.partitionBy("level"))
+        return counts.select("level", "label", rounded(F.col("n") / total, digits).alias("share"))
     y = number_of(df, target)
     return (
         df.groupBy(col(column).alias("level"))

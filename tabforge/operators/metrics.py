@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabforge.functions.columns import col, field_type, nan_to_null
-from tabforge.plans.ordering import TASK_ROWS, running_totals, with_previous
+from tabforge.plans.ordering import TASK_ROWS, running_totals, with_global_rank, with_previous
 from tabforge.plans.quantiles import exact_quantiles
+from tabforge.session import materialise
 
 
 def confusion_counts(df: DataFrame, y: str, pred: str, by: Sequence[str] = ()) -> DataFrame:
@@ -36,20 +37,31 @@ def confusion_counts(df: DataFrame, y: str, pred: str, by: Sequence[str] = ()) -
     )
 
 
-def confusion_matrix(df: DataFrame, y: str, pred: str) -> DataFrame:
-    """Every cell of the sorted labels, zero cells included."""
+def confusion_matrix(df: DataFrame, y: str, pred: str, zeros: bool = False) -> DataFrame:
+    """Cells ``actual, predicted, n``, sorted; with ``zeros`` also those of all pairs of labels that no row has.
+
+    Without them there are no more cells than rows, however many labels.
+    """
     counts = confusion_counts(df, y, pred)
-    labels = counts.agg(
-        F.array_sort(F.array_union(F.collect_set("actual"), F.collect_set("predicted"))).alias("labels")
-    )
-    cells = labels.select(F.explode("labels").alias("actual"), "labels").select(
-        "actual", F.explode("labels").alias("predicted")
-    )
-    return (
-        cells.join(counts, ["actual", "predicted"], "left")
-        .select("actual", "predicted", F.coalesce("n", F.lit(0)).alias("n"))
-        .orderBy("actual", "predicted")
-    )
+    if zeros:
+        labels = counts.select("actual").union(counts.select("predicted")).distinct()
+        counts = with_zero_cells(counts, "actual", "predicted", labels.withColumnRenamed("actual", "label"))
+    return counts.orderBy("actual", "predicted")
+
+
+def with_zero_cells(counts: DataFrame, row: str, column: str, labels: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """``row, column, n`` for every one of ``labels`` (column ``label``) in each of ``rows`` (one column; the labels by default).
+
+    Labels are numbered, and each row label asks for all the numbers, so that the cells are dealt out by number.
+    """
+    numbered = materialise(with_global_rank(labels, ["label"], "__number"), "labels")
+    last = numbered.agg(F.max("__number")).first()[0]
+    if last is None:
+        return counts
+    rows = (numbered.select("label") if rows is None else rows).toDF(row)
+    cells = rows.withColumn("__number", F.explode(F.sequence(F.lit(1), F.lit(last).cast("long"))))
+    cells = cells.join(numbered.withColumnRenamed("label", column), "__number")
+    return cells.join(counts, [row, column], "left").select(row, column, F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def _ratio(a: Column, b: Column) -> Column:

@@ -77,7 +77,7 @@ def test_residuals_and_their_sign(spark):
 
 
 def test_confusion_has_zero_cells(spark):
-    cells = {(r["actual"], r["predicted"]): r["n"] for r in rows(metrics.confusion_matrix(scored(spark, [0, 1, 2], [0, 0, 0]), "y", "p"))}
+    cells = {(r["actual"], r["predicted"]): r["n"] for r in rows(metrics.confusion_matrix(scored(spark, [0, 1, 2], [0, 0, 0]), "y", "p", zeros=True))}
     assert len(cells) == 9 and cells[2, 2] == 0 and cells[1, 0] == 1
 
 
@@ -157,3 +157,9 @@ def test_calibration(spark):
     df = spark.createDataFrame([(1, 1.0), (0, 0.05), (1, 0.05)], "y int, s double")
     found = by(metrics.calibration_bins(df, "y", "s"), "bin")
     assert found[9]["observed_rate"] == 1.0 and found[0]["observed_rate"] == 0.5
+
+
+def test_confusion_without_zero_cells(spark):
+    df = spark.range(3000).selectExpr("id AS y", "id + CASE WHEN id % 10 = 0 THEN 1 ELSE 0 END AS p")
+    cells = {(r["actual"], r["predicted"]): r["n"] for r in rows(metrics.confusion_matrix(df, "y", "p"))}
+    assert len(cells) == 3000 and cells[10, 11] == 1 and (10, 10) not in cells and metrics.confusion_matrix(df.limit(0), "y", "p", zeros=True).count() == 0
