@@ -359,6 +359,32 @@ def histograms(spark, sf_dir):
     return rounded_doubles(chartdata.histograms(injected(spark, sf_dir)))
 
 
+def _auto_sql(c: str) -> str:
+    x = f"CAST({c} AS DOUBLE)"
+    return (
+        f"(WITH s AS (SELECT {x} AS x FROM {INJECTED_SQL} WHERE {c} IS NOT NULL), r AS (SELECT min(x) AS lo, max(x) AS hi, count(*) AS n, "
+        "quantile_cont(x, 0.75) - quantile_cont(x, 0.25) AS iqr FROM s), "
+        "b AS (SELECT *, ceil((hi - lo) / CASE WHEN iqr > 0 THEN least(2 * iqr / n ** (1 / 3.0::DOUBLE), (hi - lo) / (log2(n) + 1)) "
+        "ELSE (hi - lo) / (log2(n) + 1) END) AS k FROM r) "
+        f"SELECT '{c}' AS \"column\", max(k)::BIGINT AS bins, sum(m)::BIGINT AS n, max(m) AS most, count(*) AS filled FROM ("
+        "SELECT k, least(floor((x - lo) / (hi - lo) * k), k - 1) AS bin, count(*) AS m FROM s, b GROUP BY ALL))"
+    )
+
+
+_AUTO = ["l_orderkey", "l_extendedprice", "l_suppkey"]
+
+
+@query("histogram_auto_bins", "\nUNION ALL ".join("SELECT * FROM " + _auto_sql(c) for c in _AUTO))
+def histogram_auto_bins(spark, sf_dir):
+    """The number of bins, the rows in all and in the fullest bin, and the bins that hold rows."""
+    out = chartdata.histograms(injected(spark, sf_dir).select(*_AUTO), bins="auto")
+    span = out.groupBy("column").agg(
+        F.sum("n").alias("n"), F.max("n").alias("most"), F.count(F.lit(1)).alias("filled"),
+        F.first(F.col("hi") - F.col("lo")).alias("w"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+    )
+    return span.select("column", F.round((F.col("hi") - F.col("lo")) / F.col("w")).cast("long").alias("bins"), "n", "most", "filled")
+
+
 @query(
     "corr_matrix",
     "\nUNION ALL ".join(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tabforge.catalog.evaluation import _psi_sql
 from tabforge.catalog.models import PRICED_SQL, priced
 from tabforge.catalog.registry import DAILY_SQL, daily_revenue, query, rounded_doubles, table
-from tabforge.operators import jobs
+from tabforge.operators import jobs, metrics, models
 from tabforge.session import scratch_dir
 from tabforge.sources import registry
 
@@ -60,6 +60,22 @@ _learn("full_bagging", "y", "bagging", n_estimators=5, max_depth=8)
 _learn("full_logistic_regression", "big", "logistic_regression")
 
 
+@query(
+    "boosting_probabilities",
+    f"SELECT band, count(*) AS n, true AS sums_to_one, true AS ranked FROM (SELECT {_KINDS['band']} AS band FROM {PRICED_SQL}) GROUP BY 1",
+)
+def boosting_probabilities(spark, sf_dir):
+    """Chances of three classes from boosting: each row's sum to 1, and the macro one-vs-rest AUC is above 0.9."""
+    df, job = _classed(spark, sf_dir, "band"), _job("band", "gradient_boosting", n_estimators=10)
+    result = jobs.run_training(df, job)
+    names = {c: f"probability_{c}" for c in ("high", "low", "mid")}
+    chances = models.class_probabilities(result.model, df, ["band"])
+    auc = metrics.roc_auc_one_vs_rest(chances, "band", names).first().value
+    whole = F.abs(sum((F.col(n) for n in names.values()), F.lit(0.0)) - 1) < 1e-9
+    out = chances.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.every(whole).alias("sums_to_one"))
+    return out.withColumn("ranked", F.lit(auc > 0.9))
+
+
 @query(
     "full_baseline",
     "SELECT 'o_orderstatus_o_totalprice_x' AS features, true AS learned, true AS sums_to_one FROM (SELECT count(*) FROM orders)",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,7 @@ from tabforge.operators.bivariate import correlation_matrix
 from tabforge.operators.metrics import confusion_matrix, roc_points
 from tabforge.operators.timeprofile import volume_trend
 from tabforge.plans.aggregates import aggregate_cells, numeric_cells, per_column, union_all
-from tabforge.plans.quantiles import exact_quantiles
+from tabforge.plans.quantiles import exact_quantiles, present_counts
 
 __all__ = [
     "boxplot_stats",
@@ -50,17 +51,38 @@ def _ranges(df: DataFrame, names: Sequence[str]) -> dict[str, tuple[float, float
     return out
 
 
-def equal_width_bin(x: Column, low: Column, high: Column, bins: int) -> Column:
+def equal_width_bin(x: Column, low: Column, high: Column, bins: int | Column) -> Column:
     """Bin 0..bins-1 of equal width; the last one is closed. Off-by-one division is put right at the edges."""
+    bins = F.lit(bins) if isinstance(bins, int) else bins
     width = (high - low) / bins
-    raw = F.least(F.floor((x - low) / (high - low) * bins), F.lit(bins - 1))
+    raw = F.least(F.floor((x - low) / (high - low) * bins), bins - 1)
     down = (x < low + raw * width).cast("int")
     up = ((x >= low + (raw + 1) * width) & (raw < bins - 1)).cast("int")
     return (raw - down + up).cast("int")
 
 
-def histograms(df: DataFrame, exclude: Sequence[str] = (), k: int | None = None, bins: int = 30) -> DataFrame:
-    """``column, bin, lo, hi, n`` of the first k numeric columns; empty bins are left out."""
+def automatic_bins(df: DataFrame, ranges: dict[str, tuple[float, float]]) -> dict[str, int]:
+    """Column -> number of equal bins: the larger of Sturges' and Freedman and Diaconis' from the exact quartiles.
+
+    Without spread between the quartiles the second rule has no width, so the first one holds.
+    """
+    sizes = present_counts(df, list(ranges))
+    quartiles = exact_quantiles(df, {c: [0.25, 0.75] for c in ranges})
+    out = {}
+    for c, (low, high) in ranges.items():
+        spread = quartiles[c][1] - quartiles[c][0]
+        width = (high - low) / (math.log2(sizes[c]) + 1)
+        if spread > 0:
+            width = min(width, 2 * spread / sizes[c] ** (1 / 3))
+        out[c] = max(1, math.ceil((high - low) / width))
+    return out
+
+
+def histograms(df: DataFrame, exclude: Sequence[str] = (), k: int | None = None, bins: int | str = 30) -> DataFrame:
+    """``column, bin, lo, hi, n`` of the first k numeric columns; empty bins are left out.
+
+    ``bins="auto"`` takes the number of bins of each column from its rows and quartiles (``automatic_bins``).
+    """
     df = nan_to_null(df)
     names = first_columns(numeric_columns(df, exclude), k)
     ranges = _ranges(df, names) if names else {}
@@ -68,6 +90,9 @@ def histograms(df: DataFrame, exclude: Sequence[str] = (), k: int | None = None,
     if not names:
         return df.sparkSession.createDataFrame([], "column string, bin int, lo double, hi double, n long")
     low, high = per_column([ranges[c][0] for c in names]), per_column([ranges[c][1] for c in names])
+    if bins == "auto":
+        number = automatic_bins(df, {c: ranges[c] for c in names})
+        bins = per_column([number[c] for c in names], "long")
     cells = numeric_cells(df, names).where("x IS NOT NULL")
     counts = cells.groupBy("c", equal_width_bin(F.col("x"), low, high, bins).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     width = (high - low) / bins

@@ -14,6 +14,7 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
     OneVsRest,
+    OneVsRestModel,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -256,6 +257,32 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] | None = None
     return out.select(*kept, *made)
 
 
+def class_labels(model: PipelineModel, spark) -> list:
+    """The classes of a fitted classifier, in the order of its scores: what its last stage decodes 0, 1, ... to."""
+    fitted = _predictor(model)
+    n = len(fitted.models) if isinstance(fitted, OneVsRestModel) else fitted.numClasses
+    codes = spark.createDataFrame([(float(i),) for i in range(n)], f"{RAW} double")
+    return [r.prediction for r in model.stages[-1].transform(codes).orderBy(RAW).collect()]
+
+
+def class_probabilities(model: PipelineModel, df: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
+    """``keep`` columns (all by default), ``prediction``, and ``probability_<class>`` for every class; each row's sum to 1.
+
+    A model of one boosted classifier a class has a margin for each; the chance that a margin gives its class, by the
+    logistic function of twice the margin as the boosting defines it, is divided by the sum over the classes.
+    """
+    out = model.transform(df)
+    if isinstance(_predictor(model), OneVsRestModel):
+        chance = F.transform(vector_to_array(F.col("rawPrediction")), lambda m: 1 / (1 + F.exp(-2 * m)))
+        total = F.aggregate(chance, F.lit(0.0), lambda s, v: s + v)
+        out = out.withColumn("__chances", F.transform(chance, lambda v: v / total))
+    else:
+        out = out.withColumn("__chances", vector_to_array(F.col("probability")))
+    made = [F.get("__chances", F.lit(i)).alias(f"probability_{c}") for i, c in enumerate(class_labels(model, df.sparkSession))]
+    kept = [col(c) for c in (keep if keep is not None else df.columns) if c != "prediction"]
+    return out.select(*kept, "prediction", *made)
+
+
 def _predictor(model: PipelineModel):
     """The fitted estimator: the last stage that is not SQL."""
     return [s for s in model.stages if not isinstance(s, SQLTransformer)][-1]
