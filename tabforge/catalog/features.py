@@ -218,6 +218,22 @@ def drop_missing_rows(spark, sf_dir):
     return injected(spark, sf_dir).na.drop("any").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "drop_missing_strict",
+    "SELECT event_id, value, lag_1 FROM (SELECT event_id, value, user_id, lag(value) OVER (ORDER BY ts, event_id) AS lag_1 FROM ("
+    "SELECT * REPLACE (CASE WHEN event_id % 13 = 0 THEN NULL ELSE user_id END AS user_id, CASE WHEN event_id % 29 = 0 THEN NULL ELSE value END AS value) "
+    "FROM events)) WHERE value IS NOT NULL AND user_id IS NOT NULL AND lag_1 IS NOT NULL",
+)
+def drop_missing_strict(spark, sf_dir):
+    """``strict`` leaves out rows that miss a value in any column, also one that no feature is made of."""
+    e = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "ts", "CASE WHEN event_id % 13 = 0 THEN NULL ELSE user_id END AS user_id",
+        "CASE WHEN event_id % 29 = 0 THEN NULL ELSE value END AS value",
+    )
+    out = lags.add_lag_features(e, "value", "ts", [1], [], date_parts=False, tie=["event_id"], strict=True)
+    return out.select("event_id", "value", "lag_1")
+
+
 # -------------------------------------------------------------- preprocess ---
 
 _FILLED = ["l_linenumber", "l_quantity"]

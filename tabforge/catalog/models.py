@@ -480,6 +480,25 @@ def eda_reports(spark, sf_dir):
     return out
 
 
+_REPORTED = ["o_orderkey", "o_custkey", "o_totalprice"]
+
+
+@query(
+    "eda_report_rows",
+    "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS name, count(*) AS n_rows, count(*) - count({c}) AS missing_count, round(avg({c}), 4) AS mean, "
+        f"round(stddev_samp({c}), 4) AS std, min({c})::DOUBLE AS min, round(quantile_cont({c}::DOUBLE, 0.5), 4) AS p50, max({c})::DOUBLE AS max FROM orders"
+        for c in _REPORTED
+    ),
+)
+def eda_report_rows(spark, sf_dir):
+    """The numeric part of the profiling job's report, as it was written."""
+    paths = jobs.run_eda(table(spark, sf_dir, "orders"), scratch_dir(spark, "eda"))
+    number = lambda c, d: F.round(F.col(c).cast("double"), d).alias(c)
+    out = spark.read.json(paths["report"]).where(F.col("column").isin(_REPORTED))
+    return out.select(F.col("column").alias("name"), "n_rows", "missing_count", number("mean", 4), number("std", 4), number("min", 4), number("p50", 4), number("max", 4))
+
+
 @query(
     "feature_target_separation",
     "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders",

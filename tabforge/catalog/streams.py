@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabforge.catalog.registry import query, rounded_doubles, table
 from tabforge.operators import drift, models
 from tabforge.operators.preprocess import Preprocessor
+from tabforge.session import scratch_dir
 from tabforge.streaming.lags import ROCKSDB, stream_lag_features
-from tabforge.streaming.scoring import score_stream
+from tabforge.streaming.scoring import REASON, parse_records, score_stream, start_scoring
 from tabforge.streaming.sources import read_stream, run_to_end, run_to_table
 from tabforge.streaming.windows import stream_drift, stream_volume, with_open_windows
 
@@ -96,3 +98,29 @@ def lag_stream(spark, sf_dir):
         else:
             spark.conf.set(key, before)
     return rounded_doubles(out.drop("ts_us"), 5)
+
+
+_RECORD = "CASE o_orderkey % 10 WHEN 0 THEN 'Missing columns: [\"x\"]' WHEN 1 THEN 'a value of the wrong type' WHEN 2 THEN 'not a JSON object' ELSE 'scored' END"
+
+
+@query("stream_bad_records", f"SELECT {_RECORD} AS reason, count(*) AS n FROM orders GROUP BY 1")
+def bad_records(spark, sf_dir):
+    """A stream of JSON records, three tenths of them bad in one of three ways: scored ones and those set aside, by reason."""
+    base = scratch_dir(spark, "records")
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "CAST(o_custkey % 50 AS DOUBLE) AS x", "o_totalprice")
+    model = models.fit_model(orders.withColumn("y", F.expr("x * 3 + o_totalprice")), "y", "regression", "linear_regression", None,
+                             Preprocessor(["x", "o_totalprice"], []))
+    key, whole = F.col("o_orderkey") % 10, F.to_json(F.struct("o_orderkey", "x", "o_totalprice"))
+    text = (
+        F.when(key == 0, F.to_json(F.struct("o_orderkey", "o_totalprice")))
+        .when(key == 1, F.to_json(F.struct("o_orderkey", F.lit("many").alias("x"), "o_totalprice")))
+        .when(key == 2, F.concat(F.lit("<"), whole))
+        .otherwise(whole)
+    )
+    orders.select(text.alias("value")).write.parquet(f"{base}/in")
+    schema = T.StructType.fromDDL("o_orderkey long, x double, o_totalprice double")
+    records = parse_records(read_stream(spark, f"{base}/in"), schema, models.input_columns(model))
+    start_scoring(records, model, f"{base}/out", f"{base}/bad", f"{base}/checkpoint", ["o_orderkey"], available_now=True).awaitTermination()
+    scored = spark.read.parquet(f"{base}/out").where("prediction IS NOT NULL").select(F.lit("scored").alias("reason"))
+    aside = spark.read.parquet(f"{base}/bad").select(F.col(REASON).alias("reason"))
+    return scored.union(aside).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
