@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from tabforge.catalog import QUERIES
@@ -37,7 +38,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = os.environ.get("BENCH_QUERIES", "").split(",") if os.environ.get("BENCH_QUERIES") else HEADLINE
-    spark = build_session("bench", f"local[{cpus}]", cpus)
+    scratch = tempfile.TemporaryDirectory(prefix="bench-")  # gone with its tables when the run ends
+    spark = build_session("bench", f"local[{cpus}]", cpus, scratch.name)
     spark.sparkContext.setLogLevel("OFF")
     seconds = {}
     for name in names:

@@ -8,8 +8,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "tabforge", master: str | None = None, cpus: int = 8) -> SparkSession:
-    """A session with adaptive execution on. On a cluster pass no ``master`` and let spark-submit decide."""
+def build_session(
+    app: str = "tabforge", master: str | None = None, cpus: int = 8, scratch: str | None = None
+) -> SparkSession:
+    """A session with adaptive execution on. On a cluster pass no ``master`` and let spark-submit decide.
+
+    ``scratch`` is the folder for intermediate tables where ``spark.checkpoint.dir`` is not set yet.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
@@ -20,7 +25,10 @@ def build_session(app: str = "tabforge", master: str | None = None, cpus: int =
     )
     if master:
         builder = builder.master(master).config("spark.sql.shuffle.partitions", str(cpus))
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    if scratch and not session.conf.get("spark.checkpoint.dir", None):
+        session.conf.set("spark.checkpoint.dir", scratch)
+    return session
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -13,8 +13,8 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[8]", 4)
+def spark(tmp_path_factory):
+    session = build_session("tests", "local[8]", 4, str(tmp_path_factory.mktemp("scratch")))
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
