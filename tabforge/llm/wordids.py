@@ -7,7 +7,7 @@ import unicodedata
 import numpy as np
 
 #: Words a Python worker remembers before it starts afresh.
-WORDS = 500_000
+WORDS = 880_000
 #: Bytes of texts handled at once.
 CHUNK = 1 << 20
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
