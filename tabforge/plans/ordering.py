@@ -9,7 +9,7 @@ sums and neighbours are then computed per bucket and joined with a small per-buc
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +22,7 @@ from tabforge.functions.columns import col
 TASK_ROWS = 2_000_000
 MAX_BUCKETS = 4096
 _SAMPLE_PER_BUCKET = 20
+_CUT_SAMPLE = 40_000  # keys that close in the wanted ranks, for all of them together
 _BUCKET = "__bucket"
 TIE = "__tie"
 
@@ -46,6 +47,11 @@ def _literals(df: DataFrame, order: Sequence[str], rows) -> list[Column]:
     ]
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once a row, however often and wherever the result is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _text_rows(frame: DataFrame) -> list[tuple]:
     return [tuple(r) for r in frame.select(*[F.col(c).cast("string") for c in frame.columns]).collect()]
 
@@ -97,10 +103,14 @@ class RangeBuckets:
         width = max(1, math.isqrt(len(self.edges)))
         blocks = [self.edges[i : i + width] for i in range(0, len(self.edges), width)]
         starts = F.array(*_literals(df, self.order, [b[0] for b in blocks]))
-        block = F.size(F.filter(starts, lambda e: e <= key))
         fine = F.array(*[F.array(*_literals(df, self.order, b)) for b in blocks])
-        inner = F.size(F.filter(F.element_at(fine, block), lambda e: e <= key))
-        return F.when(block == 0, F.lit(0)).otherwise((block - 1) * width + inner)
+
+        def place(k: Column) -> Column:
+            inner = lambda block: (block - 1) * width + F.size(F.filter(F.element_at(fine, block), lambda e: e <= k))
+            block = F.size(F.filter(starts, lambda e: e <= k))
+            return _once(block, lambda b: F.when(b == 0, F.lit(0)).otherwise(inner(b)))
+
+        return _once(key, place)
 
 
 def _small_offsets(counts: DataFrame, group: Sequence[str], sums: Sequence[str]) -> DataFrame:
@@ -211,30 +221,71 @@ def order_cuts(
 ) -> dict[int, tuple]:
     """Order keys (as text) of the rows at the given 0-based ranks.
 
-    Counting rows per bucket needs no shuffle of rows; only the buckets that hold a wanted rank
-    are sorted. With the keys as literals a table can be cut by a pure projection.
+    Each rank is closed in between sampled keys, a few for each whatever the table's size: one scan samples the stretches
+    that hold a rank, the next counts the rows between the sampled keys on the map side. Only stretches of up to
+    ``task_rows`` are sorted; larger ones are closed in further. A key that reaches over a rank is its answer, so equal
+    rows end the search. With the keys as literals a table can be cut by a pure projection.
     """
     n_rows = df.count() if n_rows is None else n_rows
     inside = sorted({r for r in ranks if 0 <= r < n_rows})
+    found: dict[int, tuple] = {}
     if not inside:
-        return {}
-    buckets = RangeBuckets(df, order, n_rows, task_rows)
-    keys = df.select(
-        *[k.alias(f"k{i}") for i, k in enumerate(sort_keys(df, order))], buckets.column(df).alias(_BUCKET)
-    )
-    sizes = {0: n_rows}
-    if not buckets.single:
-        sizes = {r[0]: r[1] for r in keys.groupBy(_BUCKET).count().collect()}
-    wanted, start = [], 0
-    for b in sorted(sizes):
-        wanted += [(b, r - start + 1, r) for r in inside if start <= r < start + sizes[b]]
-        start += sizes[b]
-    names = [f"k{i}" for i in range(len(order))]
-    some = keys.where(F.col(_BUCKET).isin([w[0] for w in wanted]))
-    numbered = some.withColumn("rn", F.row_number().over(W.partitionBy(_BUCKET).orderBy(*names)))
-    match = df.sparkSession.createDataFrame(wanted, f"{_BUCKET} int, rn int, rank long")
-    rows = numbered.join(F.broadcast(match), [_BUCKET, "rn"]).select("rank", *[F.col(c).cast("string") for c in names])
-    return {r.rank: tuple(r[1:]) for r in rows.collect()}
+        return found
+    keys = df.select(*[k.alias(f"k{i}") for i, k in enumerate(sort_keys(df, order))])
+    names = keys.columns
+    bounds: list[tuple] = []
+    # stretch -> its first rank, its size, the ranks in it
+    wanted = {0: (0, n_rows, inside)}
+    while any(size > task_rows for _, size, _ in wanted.values()):
+        bounds = _closer(df, order, keys, bounds, wanted)
+        at = _stretch(df, order, bounds)
+        sizes = {r[0]: r[1] for r in keys.groupBy(at.alias("at")).count().collect()}
+        wanted, start = {}, 0
+        for s in sorted(sizes):
+            here = [r for r in inside if r not in found and start <= r < start + sizes[s]]
+            if s % 2:
+                found |= {r: bounds[s // 2] for r in here}
+            elif here:
+                wanted[s] = (start, sizes[s], here)
+            start += sizes[s]
+    if wanted:
+        some = keys.withColumn("at", _stretch(df, order, bounds)).where(F.col("at").isin(list(wanted)))
+        numbered = some.withColumn("rn", F.row_number().over(W.partitionBy("at").orderBy(*names)))
+        places = [(s, r - start + 1, r) for s, (start, _, here) in wanted.items() for r in here]
+        match = df.sparkSession.createDataFrame(places, "at int, rn int, rank long")
+        rows = numbered.join(F.broadcast(match), ["at", "rn"]).select("rank", *[F.col(c).cast("string") for c in names])
+        found |= {r.rank: tuple(r[1:]) for r in rows.collect()}
+    return found
+
+
+def _stretch(df: DataFrame, order: Sequence[str], bounds: Sequence[tuple]) -> Column:
+    """Number of a row's stretch: ``2 * i`` between the bounds before and at ``i``, ``2 * i + 1`` at bound ``i``."""
+    if not bounds:
+        return F.lit(0)
+    key, edges = F.struct(*[F.col(f"k{i}") for i in range(len(order))]), F.array(*_literals(df, order, bounds))
+    return _once(key, lambda k: F.size(F.filter(edges, lambda e: e <= k)) + F.size(F.filter(edges, lambda e: e < k)))
+
+
+def _closer(df: DataFrame, order: Sequence[str], keys: DataFrame, bounds: Sequence[tuple], wanted: Mapping) -> list[tuple]:
+    """Sampled keys closely before and after each wanted rank, and the ends of the stretches that hold them."""
+    most = max(1, _CUT_SAMPLE // len(wanted))
+    shares = [most / wanted[s][1] if s in wanted else 0.0 for s in range(2 * len(bounds) + 1)]
+    share = F.get(F.array(*[F.lit(x) for x in shares]), F.col("at"))
+    some = keys.withColumn("at", _stretch(df, order, bounds)).where(F.rand() < share)
+    sample: dict[int, list[tuple]] = {s: [] for s in wanted}
+    for row in _text_rows(some.orderBy("at", *keys.columns).select("at", *keys.columns)):
+        sample[int(row[0])].append(row[1:])
+    out: list[tuple] = []
+    for s in sorted(wanted):
+        start, size, here = wanted[s]
+        m = len(sample[s])
+        # four standard deviations of a rank in the sample
+        slack = min(2 * math.isqrt(m) + 1, m // 4)
+        near = [(r - start) * m // size for r in here]
+        places = sorted({max(p - slack, 0) for p in near} | {min(p + slack, m - 1) for p in near}) if m else []
+        i = s // 2
+        out += [*bounds[max(i - 1, 0) : i], *[sample[s][p] for p in places], *bounds[i : i + 1]]
+    return list(dict.fromkeys(out))
 
 
 def at_or_after(df: DataFrame, order: Sequence[str], cut: tuple) -> Column:

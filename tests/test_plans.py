@@ -95,6 +95,20 @@ def test_order_cuts_on_text_and_time(load):
         assert {k: v[-1] for k, v in got.items()} == {k: want[k] for k in (0, 17, 500, 999)}
 
 
+def test_order_cuts_of_ties_need_few_literals(spark, monkeypatch):
+    made, literals = [], ordering._literals
+    monkeypatch.setattr(ordering, "_CUT_SAMPLE", 400)
+    monkeypatch.setattr(ordering, "_literals", lambda df, order, rows: made.append(len(rows)) or literals(df, order, rows))
+    # a missing key, a hot one, whole rows that repeat
+    k = F.when(F.col("id") % 9 == 0, None).when(F.col("id") % 3 == 0, 40).otherwise(F.pmod(F.xxhash64("id"), F.lit(90)))
+    df = spark.range(20_000).select(k.alias("k"), F.expr("if(id % 2 = 0, 1, id)").alias("v"))
+    df, order = ordering.with_tie(df, ["k"])
+    want = [tuple(None if x is None else str(x) for x in r) for r in df.orderBy(*order).select(*order).collect()]
+    ranks = [0, 1, 2221, 4000, 9000, 15_000, 19_999]
+    assert ordering.order_cuts(df, order, ranks, task_rows=20) == {r: want[r] for r in ranks}
+    assert max(made) <= 4 * len(ranks)
+
+
 def test_halo_equals_one_window(load):
     e = load("events")
     for series in ([], ["event_type"]):
