@@ -12,7 +12,7 @@ from tabforge.catalog.evaluation import _psi_sql
 from tabforge.catalog.models import PRICED_SQL, priced
 from tabforge.catalog.registry import DAILY_SQL, daily_revenue, query, rounded_doubles, table
 from tabforge.operators import jobs, metrics, models
-from tabforge.session import scratch_dir
+from tabforge.session import materialise, scratch_dir
 from tabforge.sources import registry
 
 _KINDS = {
@@ -69,7 +69,7 @@ def boosting_probabilities(spark, sf_dir):
     df, job = _classed(spark, sf_dir, "band"), _job("band", "gradient_boosting", n_estimators=10)
     result = jobs.run_training(df, job)
     names = {c: f"probability_{c}" for c in ("high", "low", "mid")}
-    chances = models.class_probabilities(result.model, df, ["band"])
+    chances = materialise(models.class_probabilities(result.model, df, ["band"]), "chances")
     auc = metrics.roc_auc_one_vs_rest(chances, "band", names).first().value
     whole = F.abs(sum((F.col(n) for n in names.values()), F.lit(0.0)) - 1) < 1e-9
     out = chances.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.every(whole).alias("sums_to_one"))

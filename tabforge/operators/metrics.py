@@ -187,7 +187,11 @@ def roc_auc(
 def roc_auc_one_vs_rest(
     df: DataFrame, y: str, scores: Mapping[object, str], task_rows: int = TASK_ROWS
 ) -> DataFrame:
-    """Unweighted mean over classes of each class against the rest; ``scores`` maps class to score column."""
+    """Unweighted mean over classes of each class against the rest; ``scores`` maps class to score column.
+
+    The scores are written once: each curve reads them several times, and a model behind them would score again.
+    """
+    df = materialise(df.select(*[col(c) for c in dict.fromkeys([y, *scores.values()])]), "scores")
     rows = []
     for label, score in scores.items():
         rows.append(roc_auc(df, y, score, label, (), task_rows).first().roc_auc)

@@ -163,3 +163,16 @@ def test_confusion_without_zero_cells(spark):
     df = spark.range(3000).selectExpr("id AS y", "id + CASE WHEN id % 10 = 0 THEN 1 ELSE 0 END AS p")
     cells = {(r["actual"], r["predicted"]): r["n"] for r in rows(metrics.confusion_matrix(df, "y", "p"))}
     assert len(cells) == 3000 and cells[10, 11] == 1 and (10, 10) not in cells and metrics.confusion_matrix(df.limit(0), "y", "p", zeros=True).count() == 0
+
+
+def test_one_vs_rest_scores_each_row_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def score(v):
+        calls.add(1)
+        return v / 60.0
+
+    df = spark.range(60).select(F.element_at(F.array(F.lit("a"), F.lit("b")), (F.col("id") % 2 + 1).cast("int")).alias("y"), score("id").alias("s"))
+    got = metrics.roc_auc_one_vs_rest(df, "y", {"a": "s", "b": "s"}).first().value
+    assert got == pytest.approx(0.5) and calls.value == 60
