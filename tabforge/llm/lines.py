@@ -20,10 +20,14 @@ BUCKETS = 1 << 18
 STEPS = 1000
 #: Bits of a set's parity mark.
 MARK = 64
+#: Bits of the rest of the mark, which fit into a post beside the set's size and the word's place.
+MORE = 40
 #: Bits of the filter on rows that a join can't want.
 FETCH = 1 << 22
 #: Sizes and places from here on are not told apart by the filters.
 LONG = 4095
+#: Words kept beyond the prefix, and signs made of the words kept, to find the families of like lines.
+BEYOND, SIGNS = 3, 4
 # Jaccard of at least NUM / DEN; below SMALL words only an equal set reaches it.
 NUM, DEN, SMALL = 4, 5, 4
 
@@ -64,30 +68,40 @@ def split_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
     return rows.select("id", "version", F.posexplode("lines").alias("nth", "line"))
 
 
+def prefix_size(n: str) -> Column:
+    """The rarest words of a set of ``n`` of which two similar sets share one."""
+    return F.expr(f"{n} - ({n} * {NUM} + {DEN - 1}) div {DEN} + 1")
+
+
 def sets(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """A row per line: its set as a hash, a parity mark and a size, and its prefix.
+    """A row per line: its set as a hash, a parity mark and a size, and its ``head``: the prefix and ``BEYOND`` words more.
 
     Words are ordered by their sketched count, rarest first, then by hash; the prefix is long enough that two similar
-    sets share a word of it. The mark holds, for each of ``MARK`` classes of words, whether the set has an odd number of
-    them: the marks of two sets differ in no more bits than the sets do in words.
+    sets share a word of it. The marks ``mark`` and ``more`` hold, for each of ``MARK`` and ``MORE`` classes of words, whether
+    the set has an odd number of them: the marks of two sets differ in no more bits than the sets do in words.
     """
     counts = word_counts(df, text)
     lines = split_lines(df, id_col, text).withColumn("h", words(F.col("line")))
-    zero, size = F.lit(0).cast("long"), F.size("h")
-    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x, 20).bitwiseAND(F.lit(MARK - 1)).cast("int"))
+    zero, one, size = F.lit(0).cast("long"), F.lit(1).cast("long"), F.size("h")
+    bit = lambda k: F.call_function("shiftleft", one, k.cast("int"))
+    # parts of the hash that the buckets and the wide marks don't use alone
+    kind = lambda x: F.shiftright(x, 20).bitwiseAND(F.lit(0xFFFFF)) % (MARK + MORE)
+    low = lambda x: F.when(kind(x) < MARK, bit(kind(x))).otherwise(zero)
+    high = lambda x: F.when(kind(x) >= MARK, bit(kind(x) - MARK)).otherwise(zero)
     order = F.transform(
         "h",
         lambda x: F.get(counts, x.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).bitwiseOR(x.bitwiseAND(F.lit((1 << 40) - 1))),
     )
-    prefix = F.slice(F.sort_array(order), 1, F.expr(f"size(h) - (size(h) * {NUM} + {DEN - 1}) div {DEN} + 1").cast("int"))
+    head = F.slice(F.sort_array(order), 1, (prefix_size("size(h)") + BEYOND).cast("int"))
     return lines.select(
         "id",
         "version",
         "nth",
         size.alias("n"),
         F.aggregate("h", zero, lambda a, x: a.bitwiseXOR(x)).alias("k"),
-        F.aggregate("h", zero, lambda a, x: a.bitwiseXOR(bit(x))).alias("mark"),
-        F.when(size >= SMALL, prefix).alias("prefix"),
+        F.aggregate("h", zero, lambda a, x: a.bitwiseXOR(low(x))).alias("mark"),
+        F.aggregate("h", zero, lambda a, x: a.bitwiseXOR(high(x))).alias("more"),
+        F.when(size >= SMALL, head).alias("head"),
     )
 
 
@@ -96,33 +110,12 @@ SET = ["k", "mark", "n"]
 
 
 def classes(lines: DataFrame) -> DataFrame:
-    """Equal sets as one row, with the first line that has it, their number, and the prefix."""
+    """Equal sets as one row, with the first line that has it, their number, and the head."""
     return lines.where("n > 0").groupBy(*SET).agg(
-        F.min(F.struct("id", "nth", "version")).alias("first"), F.count("*").alias("lines"), F.any_value("prefix").alias("prefix")
+        F.min(F.struct("id", "nth", "version")).alias("first"), F.count("*").alias("lines"), F.any_value("more").alias("more"), F.any_value("head").alias("head")
     )
 
 
-def candidates(found: DataFrame) -> DataFrame:
-    """Pairs of marks whose sets pass the prefix, length, positional and mark filters.
-
-    A post is three numbers: the word, the set's size with the word's place, and the mark; posts are dealt by word once and
-    joined with themselves. Only the first common word of a pair need pass, so what follows it in the smaller
-    set must suffice alone. Sets of ``LONG`` words or more meet on the word alone. Different sets with the same mark are a
-    pair without a join.
-    """
-    posts = found.where(f"n >= {SMALL}").select("n", "mark", F.posexplode("prefix").alias("p", "w"))
-    posts = posts.select("w", F.expr(f"shiftleft(least(n, {LONG}), 12) | least(p, {LONG})").alias("m"), "mark")
-    side = lambda k: posts.select("w", F.col("m").alias(f"m{k}"), F.col("mark").alias(f"l{k}"))
-    x, y, i, j = (f"(({e}) & {LONG})" for e in ("m1 >> 12", "m2 >> 12", "m1", "m2"))
-    need = f"(({NUM} * ({x} + {y}) + {NUM + DEN - 1}) div {NUM + DEN})"
-    pairs = side(1).join(side(2), "w").where(
-        f"({x} < {y} or ({x} = {y} and l1 < l2)) and {NUM} * {y} <= {DEN} * {x} and ({y} = {LONG}"
-        f" or (least({x} - {i}, {y} - {j}) >= {need} and bit_count(l1 ^ l2) <= {x} + {y} - 2 * {need}))"
-    )
-    twins = found.where(f"n >= {SMALL}").groupBy("mark").count().where("count > 1")
-    return pairs.select("l1", "l2").union(twins.selectExpr("mark as l1", "mark as l2")).distinct()
-
-
 def sieve(df: DataFrame, keys: list[str], wanted: DataFrame) -> DataFrame:
     """Leave out most rows of ``df`` whose keys aren't among ``wanted``, before a join that leaves out all.
 
@@ -137,6 +130,76 @@ def sieve(df: DataFrame, keys: list[str], wanted: DataFrame) -> DataFrame:
     return df.where(F.get(number_list(marked, "bigint"), place).bitwiseAND(bit) != 0)
 
 
+def signs(head: Column) -> Column:
+    """A few hashes of words that follow each other in the order of rarity; most are the same in a family of like sets."""
+    pairs = F.transform(head, lambda w, i: F.xxhash64(w, F.get(head, i + 1)))
+    return F.slice(F.array_sort(F.slice(pairs, 1, F.greatest(F.size(head) - 1, F.lit(0)))), 1, SIGNS)
+
+
+def budget(n: str) -> str:
+    """Similar sets of ``n`` words together differ in no more words than this, and their marks in no more bits."""
+    return f"({n} - 2 * (({NUM} * ({n}) + {NUM + DEN - 1}) div {NUM + DEN}))"
+
+
+def leaders(found: DataFrame) -> DataFrame:
+    """Of each set and the earliest that shares a sign with it: ``f1`` and ``f2``, the ``late`` set and their words ``n``.
+
+    A pair a sign at most, however large the family.
+    """
+    each = found.where(f"n >= {SMALL}").select(F.struct(*SET, "more").alias("c"), "first", F.explode(signs(F.col("head"))).alias("s"))
+    shared = step(each.groupBy("s").count().where("count > 1").select("s"), "shared-signs")
+    each = step(sieve(each, ["s"], shared), "signed-sets")
+    lead = each.groupBy("s").agg(F.min(F.struct("first", "c")).alias("p"))
+    pairs = each.join(lead, "s").where(F.struct("p.first.id", "p.first.nth") < F.struct("first.id", "first.nth"))
+    pairs = pairs.select(F.col("first").alias("f1"), F.col("p.first").alias("f2"), F.col("c").alias("late"), F.col("p.c").alias("lead"))
+    pairs = pairs.where(
+        f"{NUM} * late.n <= {DEN} * lead.n and {NUM} * lead.n <= {DEN} * late.n"
+        f" and bit_count(late.mark ^ lead.mark) + bit_count(late.more ^ lead.more) <= {budget('late.n + lead.n')}"
+    )
+    return pairs.select("f1", "f2", F.struct(*[f"late.{c}" for c in SET]).alias("late"), F.expr("late.n + lead.n").alias("n")).distinct()
+
+
+#: The rest of the mark with the size.
+SIZED = f"(shiftleft(more, 12) | least(n, {LONG}))"
+
+
+def posts(some: DataFrame, *more: str) -> DataFrame:
+    """A post for each word of a set's prefix: the word ``w``, ``m`` of ``more``, the set's size and the word's place, and the mark."""
+    each = some.where(f"n >= {SMALL}").withColumn("prefix", F.slice("head", 1, prefix_size("n").cast("int")))
+    each = each.select("mark", *more, F.expr(SIZED).alias("s"), F.posexplode("prefix").alias("p", "w"))
+    return each.select("w", F.expr(f"shiftleft(s, 12) | least(p, {LONG})").alias("m"), "mark", *more)
+
+
+def candidates(fresh: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs of sets that pass the prefix, length, positional and mark filters, by mark ``l`` and the rest of it with the size, ``s``.
+
+    The pairs are those of ``fresh`` sets, and of a ``known`` late set with a fresh one that comes after it; a known set needs
+    no further proof, so that two of them make no pair. Posts are dealt by word once and joined with themselves. Only the
+    first common word of a pair need pass, so what follows it in the smaller set must suffice alone. Sets of ``LONG``
+    words or more meet on the word alone. Different sets with the same marks and size are a pair without a join.
+    """
+    x, y, i, j = (f"(({e}) & {LONG})" for e in ("m1 >> 12", "m2 >> 12", "m1", "m2"))
+    need = f"(({NUM} * ({x} + {y}) + {NUM + DEN - 1}) div {NUM + DEN})"
+    passes = (
+        f"{NUM} * greatest({x}, {y}) <= {DEN} * least({x}, {y}) and (greatest({x}, {y}) = {LONG}"
+        f" or (least({x} - {i}, {y} - {j}) >= {need} and bit_count(l1 ^ l2) + bit_count(shiftrightunsigned(m1 ^ m2, 24)) <= {x} + {y} - 2 * {need}))"
+    )
+    s1, s2 = (f"(shiftright({e}, 12) & {(1 << 52) - 1})" for e in ("m1", "m2"))
+    pair = ["l1", f"{s1} as s1", "l2", f"{s2} as s2"]
+    side = lambda p, k: p.select("w", *[F.col(c).alias(f"{a}{k}") for c, a in zip(p.columns[1:], ("m", "l", "o"))])
+    own = posts(fresh)
+    pairs = side(own, 1).join(side(own, 2), "w").where(f"({x} < {y} or ({x} = {y} and (l1 < l2 or (l1 = l2 and {s1} < {s2})))) and {passes}").selectExpr(*pair)
+    order = F.struct("first.id", "first.nth").alias("o")
+    before, after = posts(known.withColumn("o", order), "o"), posts(fresh.withColumn("o", order), "o")
+    after = sieve(after, ["w"], before.select("w"))
+    mixed = side(before, 1).join(side(after, 2), "w").where(f"o1 < o2 and {passes}").selectExpr(*pair)
+    # two sets of one size differ in a word each at least
+    twins = fresh.selectExpr("mark", "more", "n", "1 as open").union(known.selectExpr("mark", "more", "n", "0 as open"))
+    twins = twins.where(f"{DEN} * (n - 1) >= {NUM} * (n + 1)").groupBy("mark", F.expr(SIZED).alias("s"))
+    twins = twins.agg(F.count("*").alias("sets"), F.max("open").alias("open")).where("sets > 1 and open = 1")
+    return pairs.union(mixed).union(twins.selectExpr("mark", "s", "mark", "s")).distinct()
+
+
 def line_words(df: DataFrame, wanted: DataFrame, id_col: str, text: str) -> DataFrame:
     """``f`` (id, line and version) of the ``wanted`` lines, their words ``w`` and a parity mark of ``4 * MARK`` classes."""
     some = sieve(split_lines(df, id_col, text), ["id", "nth"], wanted)
@@ -165,31 +228,18 @@ def similar(named: DataFrame, texts: DataFrame) -> DataFrame:
     return step(good.select("late").distinct(), "late-sets")
 
 
-def earlier(df: DataFrame, found: DataFrame, heads: DataFrame, id_col: str, text: str) -> DataFrame:
-    """Sets for which a similar set has an earlier first line, verified on the words; ``found`` is used up.
+def proven(df: DataFrame, named: DataFrame, id_col: str, text: str) -> DataFrame:
+    """The ``late`` sets of those pairs in ``named`` that are similar, verified on the words; ``named`` is used up.
 
     One similar set is enough, so each set is first compared with the one whose mark is nearest; only where that
-    fails, which the marks make rare, are all its other pairs compared. Large families of like lines cost a comparison
-    a line, not one a pair. Of the paired lines wider marks are made first, which tell long lines apart, too.
+    fails, which the marks make rare, are all its other pairs compared. Of the paired lines wider marks are made first,
+    which tell long lines apart, too.
     """
-    pairs = step(candidates(found), "line-pairs")
-    forget(found)
-    few = step(sieve(heads, ["mark"], pairs.select(F.explode(F.array("l1", "l2")).alias("mark"))), "paired-sets")
-    side = lambda k: few.select(
-        F.col("mark").alias(f"l{k}"), F.struct(*SET).alias(f"c{k}"), F.col("first").alias(f"f{k}")
-    )
-    named = pairs.join(side(1), "l1").join(side(2), "l2").where("c1 <> c2")
-    first, second = F.struct("f1.id", "f1.nth"), F.struct("f2.id", "f2.nth")
-    # of each pair the set that is late, if the pair is one
-    late = F.when(first < second, F.col("c2")).when(second < first, F.col("c1"))
-    named = named.select("f1", "f2", late.alias("late"), F.expr("c1.n + c2.n").alias("n")).where("late is not null")
-    named = step(named, "named-pairs")
     texts = line_words(df, named.select(F.explode(F.array("f1", "f2")).alias("f")).select("f.*").distinct(), id_col, text)
     near = named.join(texts.selectExpr("f as f1", "wide as m1"), "f1").join(texts.selectExpr("f as f2", "wide as m2"), "f2")
     apart = sum((F.bit_count(F.get("m1", F.lit(k)).bitwiseXOR(F.get("m2", F.lit(k)))) for k in range(4)), F.lit(0))
-    # similar sets of n words together differ in no more words than this, and their marks in no more bits
-    budget = F.expr(f"n - 2 * (({NUM} * n + {NUM + DEN - 1}) div {NUM + DEN})")
-    near = step(near.select("late", "f1", "f2", apart.alias("d"), budget.alias("most")).where("d <= most").drop("most"), "near-pairs")
+    near = near.select("late", "f1", "f2", apart.alias("d"), F.expr(budget("n")).alias("most"))
+    near = step(near.where("d <= most").drop("most"), "near-pairs")
     forget(named)
     nearest = near.groupBy("late").agg(F.min(F.struct("d", "f1", "f2")).alias("p")).select("late", "p.f1", "p.f2")
     done = similar(nearest, texts)
@@ -200,14 +250,42 @@ def earlier(df: DataFrame, found: DataFrame, heads: DataFrame, id_col: str, text
     return done.select("late.*")
 
 
+def earlier(df: DataFrame, found: DataFrame, heads: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Sets for which a similar set has an earlier first line; ``found`` is used up.
+
+    Sets are compared with the earliest of their families first. Those proven late there are paired only with sets that
+    come after them and are still open, so that a family of like lines makes pairs by its number of lines.
+    """
+    done = proven(df, step(leaders(found), "leader-pairs"), id_col, text)
+    some = step(found.join(done.withColumn("late", F.lit(True)), SET, "left"), "open-sets")
+    forget(found)
+    known, fresh = some.where("late").drop("late"), some.where("late is null").drop("late")
+    pairs = step(candidates(fresh, known), "line-pairs")
+    forget(some)
+    if pairs.isEmpty():
+        return done
+    few = sieve(heads, ["mark"], pairs.select(F.explode(F.array("l1", "l2")).alias("mark")))
+    few = step(few.join(done.withColumn("late", F.lit(True)), SET, "left"), "paired-sets")
+    side = lambda k: few.select(
+        F.col("mark").alias(f"l{k}"), F.expr(SIZED).alias(f"s{k}"), F.struct(*SET).alias(f"c{k}"),
+        F.col("first").alias(f"f{k}"), F.col("late").alias(f"late{k}"),
+    )
+    named = pairs.join(side(1), ["l1", "s1"]).join(side(2), ["l2", "s2"]).where("c1 <> c2")
+    first, second = F.struct("f1.id", "f1.nth"), F.struct("f2.id", "f2.nth")
+    # of each pair the set that is late, if the pair is one and the set isn't known to be
+    late = F.when((first < second) & F.col("late2").isNull(), F.col("c2")).when((second < first) & F.col("late1").isNull(), F.col("c1"))
+    named = named.select("f1", "f2", late.alias("late"), F.expr("c1.n + c2.n").alias("n")).where("late is not null")
+    return done.union(proven(df, step(named, "named-pairs"), id_col, text))
+
+
 def flags(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per id and text: ``id``, ``version`` and ``removed``, a boolean for each line."""
     full = step(sets(df, id_col, text), "line-sets")
     found = step(classes(full), "line-classes")
-    # what comes later needs no prefixes
-    lines = step(full.drop("prefix"), "lines")
+    # what comes later needs no heads
+    lines = step(full.drop("head", "more"), "lines")
     forget(full)
-    heads = step(found.select(*SET, "first", "lines"), "line-heads")
+    heads = step(found.select(*SET, "more", "first", "lines"), "line-heads")
     late = earlier(df, found, heads, id_col, text).withColumn("late", F.lit(True))
     verdicts = heads.join(late, SET, "left").where("late or lines > 1")
     verdicts = step(verdicts.select(*SET, F.struct("first.id", "first.nth").alias("first"), "late"), "verdicts")

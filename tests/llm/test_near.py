@@ -80,6 +80,24 @@ def test_families_of_like_lines(spark, monkeypatch):
     assert {r.doc_id: r.n_removed for r in lines.summary(df).collect()} == got
 
 
+def test_a_family_makes_pairs_by_its_lines(spark, monkeypatch):
+    """No step of a family of like lines holds its pairs, also where lines drift away from the first one."""
+    base = [f"w{k}" for k in range(40)]
+    rows = [(i, " ".join([*base[: i % 40], f"x{i}", *base[i % 40 + 1 :]])) for i in range(150)]
+    rows += [(500 + i, " ".join(f"d{k}" for k in range(i, i + 30))) for i in range(30)]
+    made, write = {}, lines.step
+
+    def counted(df, name):
+        out = write(df, name)
+        made[name] = max(made.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(lines, "step", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in lines.summary(df).collect()} == {i: int(i not in (0, 500)) for i, _ in rows}
+    assert max(made.values()) <= 8 * len(rows), made
+
+
 def test_long_lines_meet_on_the_word_alone(spark):
     words = [f"t{k}" for k in range(5000)]
     rows = [(1, " ".join(words)), (2, " ".join(words[:4200])), (3, " ".join(words[:3900]))]
