@@ -22,8 +22,8 @@ STEPS = 1000
 MARK = 64
 #: Bits of the rest of the mark, which fit into a post beside the set's size and the word's place.
 MORE = 40
-#: Bits of the filter on rows that a join can't want.
-FETCH = 1 << 22
+#: Bits of the filter on rows that a join can't want; the driver holds them in the plan of each filtered join.
+FETCH = 1 << 20
 #: Sizes and places from here on are not told apart by the filters.
 LONG = 4095
 #: Words kept beyond the prefix, and signs made of the words kept, to find the families of like lines.
