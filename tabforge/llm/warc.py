@@ -73,41 +73,47 @@ def _declared(value: bytes) -> int:
     return 0
 
 
-def _scan(spark: SparkSession, path: str, content: bool) -> DataFrame:
-    """What lies between magic strings, per split (the same splits in every scan, as files and settings are the same): ``file``, ``split``, ``nth``, bytes before it in the split (``at``),
-    ``size``, the ``declared`` record length and, if wanted, the bytes. Spark's line reader finds the magic."""
+def _raw(spark: SparkSession, path: str) -> DataFrame:
+    """What lies between magic strings: ``file``, ``split`` and the bytes (the same splits in every scan, as files and settings are the same). Spark's line reader finds the magic."""
     small_batches(spark)
     raw = spark.read.option("lineSep", MAGIC.decode()).text(path)
-    raw = raw.select(
+    return raw.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("value").cast("binary")
     )
 
+
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    """Per split, of what lies between magic strings: ``file``, ``split``, bytes before it in the split (``at``), ``size`` and
+    the ``declared`` record length."""
+
     def number(batches):
-        here, nth, at = None, 0, 0
+        here, at = None, 0
         for batch in batches:
             out = []
             for file, split, value in zip(batch["file"], batch["split"], batch["value"], strict=True):
                 value = bytes(value)
                 if here != (file, split):
-                    here, nth, at = (file, split), 0, 0
-                out.append((file, split, nth, at, len(value), _declared(value), *([value] if content else [])))
-                nth, at = nth + 1, at + len(value) + len(MAGIC)
-            yield pd.DataFrame(out, columns=["file", "split", "nth", "at", "size", "declared", *(["value"] if content else [])])
+                    here, at = (file, split), 0
+                out.append((file, split, at, len(value), _declared(value)))
+                at += len(value) + len(MAGIC)
+            yield pd.DataFrame(out, columns=["file", "split", "at", "size", "declared"])
 
-    kind = "file string, split long, nth long, at long, size long, declared long" + ", value binary" * content
-    return raw.mapInPandas(number, kind)
+    return _raw(spark, path).mapInPandas(number, "file string, split long, at long, size long, declared long")
 
 
 def chain(pieces: DataFrame) -> DataFrame:
-    """Which pieces start records: ``file``, ``split``, ``nth``, ``off`` (of the magic), ``declared`` and ``record``.
+    """A row a split, of the verified records: ``file``, ``split``, its place ``base`` in the file and its end ``stop``, ``entry``
+    and ``until`` (where its first record starts and its last one ends), ``open`` and ``due`` (start and end of the record that
+    comes before them). Offsets are those of the magic; what there is none of is -1.
 
     A split's place in its file follows from the sizes of the splits before. Each task emits the successor of every
     candidate and shortens it to the first offset outside its split; pointer jumping from offset 0 of every file then
-    doubles its step each round. ``record`` is the offset of the verified record that the piece belongs to.
+    doubles its step each round.
     """
     splits = pieces.groupBy("file", "split").agg(F.max(F.col("at") + F.col("size") + len(MAGIC)).alias("total"))
     # one row a split
     base = splits.selectExpr("file", "split", "sum(total) over (partition by file order by split) - total as base", "total")
+    base = step(base, "splits")
     placed = pieces.join(base, ["file", "split"]).withColumn("off", F.expr(f"base + at - {len(MAGIC)}"))
     placed = step(placed.withColumn("next", F.expr("if(declared > 0 and off >= 0, off + declared, -1)")), "candidates")
 
@@ -122,14 +128,14 @@ def chain(pieces: DataFrame) -> DataFrame:
         return pd.DataFrame({"file": part["file"].iloc[0], "off": list(exits), "next": list(exits.values())})
 
     def follow(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("off")
         succ = dict(zip(part["off"].tolist(), part["next"].tolist(), strict=True))
-        found, at = set(), int(part["entry"].iloc[0]) if part["entry"].notna().any() else None
-        while at is not None and succ.get(at, -1) >= 0:
-            found.add(at)
-            at = succ[at]
-        part["starts"] = part["off"].isin(found)
-        return part[["file", "split", "nth", "off", "declared", "starts"]]
+        entry = at = int(part["entry"].iloc[0])
+        last = until = -1
+        while succ.get(at, -1) >= 0:
+            last, at = at, succ[at]
+            until = at
+        names = ["file", "split", "entry", "last", "until"]
+        return pd.DataFrame([(part["file"].iloc[0], part["split"].iloc[0], entry, last, until)] if last >= 0 else [], columns=names)
 
     jumps = placed.groupBy("file", "split").applyInPandas(shorten, "file string, off long, next long").where("next >= 0")
     jumps = step(jumps, "jumps")
@@ -146,44 +152,98 @@ def chain(pieces: DataFrame) -> DataFrame:
     # the chain enters a split once
     entries = base.join(reached, "file").where(f"off >= base - {len(MAGIC)} and off < base + total - {len(MAGIC)}")
     entries = entries.groupBy("file", "split").agg(F.min("off").alias("entry"))
-    marked = placed.join(entries, ["file", "split"], "left").groupBy("file", "split")
-    marked = marked.applyInPandas(follow, "file string, split long, nth long, off long, declared long, starts boolean")
-    return marked.selectExpr(
-        "*", "last(if(starts, off, null), true) over (partition by file order by off) as record"
-    )
+    followed = placed.join(entries, ["file", "split"]).groupBy("file", "split")
+    followed = followed.applyInPandas(follow, "file string, split long, entry long, last long, until long")
+    known = base.join(followed, ["file", "split"], "left")
+    # one row a split
+    before = lambda c: f"coalesce(last({c}, true) over (partition by file order by split rows between unbounded preceding and 1 preceding), -1)"
+    return known.selectExpr(
+        "file", "split", "base", f"base + total - {len(MAGIC)} as stop", "coalesce(entry, -1) as entry", "coalesce(until, -1) as until",
+        f"{before('last')} as open", f"{before('until')} as due",
+    )
+
+
+def _fields(raw: bytes) -> dict[str, str]:
+    pairs = (line.partition(b":") for line in raw.split(b"\r\n"))
+    return {k.decode("utf-8", "replace").strip().lower(): v.decode("utf-8", "replace").strip() for k, c, v in pairs if c}
+
+
+def _parse(value: bytes, declared: int) -> tuple[dict[str, str], dict[str, str], bytes]:
+    """Headers, http headers and payload of a record without its magic."""
+    head, _, block = value[: declared - len(MAGIC) - 4].partition(b"\r\n\r\n")
+    headers = _fields(head)
+    http, payload = {}, block
+    if headers.get("content-type", "").startswith("application/http"):
+        first, _, payload = block.partition(b"\r\n\r\n")
+        http = _fields(first)
+    return headers, http, payload
+
+
+def _cut(raw: DataFrame, whole: bool) -> DataFrame:
+    """The records that lie whole in one split, parsed, or else one row for each split's part of the others.
+
+    ``raw`` has the columns of ``_raw`` and ``chain``, in the order of the files. What lies beyond a record's declared end is
+    garbage between records.
+    """
+    names = ["headers", "http", "payload"] if whole else ["file", "record", "off", "declared", "value"]
+
+    def cut(batches):
+        here, out = None, []
+        # the open record's start and end, its first offset in the split and its pieces there; the offset and the next start
+        record, end, since, held, off, due = -1, -1, 0, [], 0, -1
+
+        def emit():
+            inside = record == since and off >= end
+            if held and inside == whole:
+                value = MAGIC.join(held)
+                out.append(_parse(value, end - record) if whole else (here[0], record, since, end - record, value))
+            held.clear()
+
+        for batch in batches:
+            for file, split, value, base, entry, start, until in zip(*(batch[c] for c in ("file", "split", "value", "base", "entry", "open", "due")), strict=True):
+                if here != (file, split):
+                    emit()
+                    here, off, due = (file, split), base - len(MAGIC), entry
+                    record, end, since = start, until, off
+                value = bytes(value)
+                if off == due and off >= 0:
+                    declared = _declared(value)
+                    due = off + declared if declared else -1
+                    if declared:
+                        record, end, since = off, due, off
+                if record >= 0 and off < end:
+                    held.append(value)
+                off += len(value) + len(MAGIC)
+                if off >= end:
+                    emit()
+            yield pd.DataFrame(out, columns=names)
+            out.clear()
+        emit()
+        yield pd.DataFrame(out, columns=names)
+
+    parsed = "headers map<string,string>, http map<string,string>, payload binary"
+    return raw.mapInPandas(cut, parsed if whole else "file string, record long, off long, declared long, value binary")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """Every record of the archives under ``path``: ``headers`` (lower-cased names), ``http`` headers and ``payload``."""
-    marks = step(chain(_scan(spark, path, False)), "chain").where("record is not null")
-    # pieces beyond a record's declared end are garbage between records
-    ends = marks.where("starts").selectExpr("file as f", "record as r", "record + declared as end")
-    marks = marks.join(ends, (F.col("file") == F.col("f")) & (F.col("record") == F.col("r"))).where("off < end")
-    counts = marks.groupBy("file", "record").agg(F.count("*").alias("parts"))
-    marks = marks.select("file", "split", "nth", "off", "record", "declared").join(counts, ["file", "record"])
-    found = _scan(spark, path, True).select("file", "split", "nth", "value").join(marks, ["file", "split", "nth"])
-    whole = found.where("parts = 1").select("value", "declared")
-    split = found.where("parts > 1").groupBy("file", "record")
-    split = split.agg(F.sort_array(F.collect_list(F.struct("off", "value"))).alias("p"), F.max_by("declared", -F.col("off")).alias("declared"))
+    """Every record of the archives under ``path``: ``headers`` (lower-cased names), ``http`` headers and ``payload``.
+
+    A split's task cuts its own records by the chain's row of the split; only parts of records that lie in several splits
+    are moved.
+    """
+    splits = step(chain(step(_scan(spark, path), "pieces")), "chain")
+    found = _raw(spark, path)
+    # one row a split; its broadcast keeps the pieces in order
+    inside = _cut(found.join(F.broadcast(splits.where("entry >= 0")), ["file", "split"]), True)
+    crossed = splits.where(f"(open >= 0 and due > base - {len(MAGIC)}) or until > stop")
+    parts = _cut(found.join(F.broadcast(crossed), ["file", "split"]), False).groupBy("file", "record")
+    parts = parts.agg(F.sort_array(F.collect_list(F.struct("off", "value"))).alias("p"), F.max("declared").alias("declared"))
     magic = F.lit(MAGIC)
     joined = F.aggregate(F.slice("p", F.lit(2), F.size("p")), F.col("p")[0]["value"], lambda a, x: F.concat(a, magic, x["value"]))
-    rows = whole.union(split.select(joined.alias("value"), "declared"))
-
-    def fields(raw: bytes) -> dict[str, str]:
-        pairs = (line.partition(b":") for line in raw.split(b"\r\n"))
-        return {k.decode("utf-8", "replace").strip().lower(): v.decode("utf-8", "replace").strip() for k, c, v in pairs if c}
 
     def parse(batches):
         for batch in batches:
-            out = []
-            for value, declared in zip(batch["value"], batch["declared"], strict=True):
-                head, _, block = bytes(value)[: declared - len(MAGIC) - 4].partition(b"\r\n\r\n")
-                headers = fields(head)
-                http, payload = {}, block
-                if headers.get("content-type", "").startswith("application/http"):
-                    first, _, payload = block.partition(b"\r\n\r\n")
-                    http = fields(first)
-                out.append((headers, http, payload))
+            out = [_parse(bytes(value), declared) for value, declared in zip(batch["value"], batch["declared"], strict=True)]
             yield pd.DataFrame(out, columns=["headers", "http", "payload"])
 
-    return rows.mapInPandas(parse, "headers map<string,string>, http map<string,string>, payload binary")
+    return inside.union(parts.select(joined.alias("value"), "declared").mapInPandas(parse, inside.schema))
