@@ -24,8 +24,10 @@ MARK = 64
 MORE = 40
 #: Bits of the filter on rows that a join can't want; the driver holds them in the plan of each filtered join.
 FETCH = 1 << 20
-#: Sizes and places from here on are not told apart by the filters.
+#: Sizes from here on are not told apart by the filters; nor are places, of which smaller sets have fewer.
 LONG = 4095
+#: Passes over the words of the sets' prefixes, a power of two: the posts of one pass are on the disks at a time.
+PASSES = 4
 #: Words kept beyond the prefix, and signs made of the words kept, to find the families of like lines.
 BEYOND, SIGNS = 3, 4
 # Jaccard of at least NUM / DEN; below SMALL words only an equal set reaches it.
@@ -163,20 +165,22 @@ def leaders(found: DataFrame) -> DataFrame:
 SIZED = f"(shiftleft(more, 12) | least(n, {LONG}))"
 
 
-def posts(some: DataFrame, *more: str) -> DataFrame:
-    """A post for each word of a set's prefix: the word ``w``, ``m`` of ``more``, the set's size and the word's place, and the mark."""
+def posts(some: DataFrame, turn: int) -> DataFrame:
+    """A post for each word of a set's prefix that has its ``turn``: the word ``w``, ``m`` of ``more``, the set's size and the word's place, and the mark."""
     each = some.where(f"n >= {SMALL}").withColumn("prefix", F.slice("head", 1, prefix_size("n").cast("int")))
-    each = each.select("mark", *more, F.expr(SIZED).alias("s"), F.posexplode("prefix").alias("p", "w"))
-    return each.select("w", F.expr(f"shiftleft(s, 12) | least(p, {LONG})").alias("m"), "mark", *more)
+    each = each.select("mark", F.expr(SIZED).alias("s"), F.posexplode("prefix").alias("p", "w")).where(f"w & {PASSES - 1} = {turn}")
+    # no nulls, so that every join wants the same posts and they are dealt once
+    columns = {"w": "w", "m": f"shiftleft(s, 12) | least(p, {LONG})", "mark": "mark"}
+    return each.selectExpr(*[f"coalesce({e}, 0L) as {c}" for c, e in columns.items()])
 
 
 def candidates(fresh: DataFrame, known: DataFrame) -> DataFrame:
     """Pairs of sets that pass the prefix, length, positional and mark filters, by mark ``l`` and the rest of it with the size, ``s``.
 
-    The pairs are those of ``fresh`` sets, and of a ``known`` late set with a fresh one that comes after it; a known set needs
-    no further proof, so that two of them make no pair. Posts are dealt by word once and joined with themselves. Only the
-    first common word of a pair need pass, so what follows it in the smaller set must suffice alone. Sets of ``LONG``
-    words or more meet on the word alone. Different sets with the same marks and size are a pair without a join.
+    The pairs are those of ``fresh`` sets, and of a ``known`` late set with a fresh one; a known set needs no further proof,
+    so that two of them make no pair. Posts are dealt by word once and joined with themselves, some of the words at a time.
+    Only the first common word of a pair need pass, so what follows it in the smaller set must suffice alone. Sets of
+    ``LONG`` words or more meet on the word alone. Different sets with the same marks and size are a pair without a join.
     """
     x, y, i, j = (f"(({e}) & {LONG})" for e in ("m1 >> 12", "m2 >> 12", "m1", "m2"))
     need = f"(({NUM} * ({x} + {y}) + {NUM + DEN - 1}) div {NUM + DEN})"
@@ -186,18 +190,18 @@ def candidates(fresh: DataFrame, known: DataFrame) -> DataFrame:
     )
     s1, s2 = (f"(shiftright({e}, 12) & {(1 << 52) - 1})" for e in ("m1", "m2"))
     pair = ["l1", f"{s1} as s1", "l2", f"{s2} as s2"]
-    side = lambda p, k: p.select("w", *[F.col(c).alias(f"{a}{k}") for c, a in zip(p.columns[1:], ("m", "l", "o"))])
-    own = posts(fresh)
-    pairs = side(own, 1).join(side(own, 2), "w").where(f"({x} < {y} or ({x} = {y} and (l1 < l2 or (l1 = l2 and {s1} < {s2})))) and {passes}").selectExpr(*pair)
-    order = F.struct("first.id", "first.nth").alias("o")
-    before, after = posts(known.withColumn("o", order), "o"), posts(fresh.withColumn("o", order), "o")
-    after = sieve(after, ["w"], before.select("w"))
-    mixed = side(before, 1).join(side(after, 2), "w").where(f"o1 < o2 and {passes}").selectExpr(*pair)
+    side = lambda p, k: p.select("w", F.col("m").alias(f"m{k}"), F.col("mark").alias(f"l{k}"))
     # two sets of one size differ in a word each at least
     twins = fresh.selectExpr("mark", "more", "n", "1 as open").union(known.selectExpr("mark", "more", "n", "0 as open"))
     twins = twins.where(f"{DEN} * (n - 1) >= {NUM} * (n + 1)").groupBy("mark", F.expr(SIZED).alias("s"))
     twins = twins.agg(F.count("*").alias("sets"), F.max("open").alias("open")).where("sets > 1 and open = 1")
-    return pairs.union(mixed).union(twins.selectExpr("mark", "s", "mark", "s")).distinct()
+    found = twins.selectExpr("mark", "s", "mark", "s").toDF("l1", "s1", "l2", "s2")
+    for turn in range(PASSES):
+        own, late = posts(fresh, turn), posts(known, turn)
+        pairs = side(own, 1).join(side(own, 2), "w").where(f"({x} < {y} or ({x} = {y} and (l1 < l2 or (l1 = l2 and {s1} < {s2})))) and {passes}")
+        mixed = side(late, 1).join(side(own, 2), "w").where(passes)
+        found = found.union(step(pairs.selectExpr(*pair).union(mixed.selectExpr(*pair)).distinct(), "word-pairs"))
+    return found.distinct()
 
 
 def line_words(df: DataFrame, wanted: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -254,7 +258,7 @@ def earlier(df: DataFrame, found: DataFrame, heads: DataFrame, id_col: str, text
     """Sets for which a similar set has an earlier first line; ``found`` is used up.
 
     Sets are compared with the earliest of their families first. Those proven late there are paired only with sets that
-    come after them and are still open, so that a family of like lines makes pairs by its number of lines.
+    are still open, so that a family of like lines makes pairs by its number of lines.
     """
     done = proven(df, step(leaders(found), "leader-pairs"), id_col, text)
     some = step(found.join(done.withColumn("late", F.lit(True)), SET, "left"), "open-sets")

@@ -98,6 +98,16 @@ def test_a_family_makes_pairs_by_its_lines(spark, monkeypatch):
     assert max(made.values()) <= 8 * len(rows), made
 
 
+def test_posts_are_dealt_in_passes(spark):
+    """A pass deals a part of the prefixes' words, and all passes together each word of each set once."""
+    rows = [(i, " ".join(f"w{k}" for k in range(9 * i, 9 * i + 40))) for i in range(60)]
+    found = lines.classes(lines.sets(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text"))
+    passes = [lines.posts(found, turn).collect() for turn in range(lines.PASSES)]
+    assert max(map(len, passes)) < 0.5 * sum(map(len, passes))
+    want = found.selectExpr("mark", "explode(slice(head, 1, 9)) as w").collect()
+    assert sorted((r.mark, r.w) for p in passes for r in p) == sorted((r.mark, r.w) for r in want)
+
+
 def test_long_lines_meet_on_the_word_alone(spark):
     words = [f"t{k}" for k in range(5000)]
     rows = [(1, " ".join(words)), (2, " ".join(words[:4200])), (3, " ".join(words[:3900]))]
