@@ -59,8 +59,8 @@ def word_counts(df: DataFrame, text: str) -> Column:
     sums = each.groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("b")).count()
     counts = [0] * BUCKETS
     for b, n in sums.select("b", F.floor(STEPS * F.log1p("count")).cast("int")).collect():
-        counts[b] = n << 40
-    return number_list(counts, "bigint")
+        counts[b] = n
+    return number_list(counts)
 
 
 def split_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -92,7 +92,9 @@ def sets(df: DataFrame, id_col: str, text: str) -> DataFrame:
     high = lambda x: F.when(kind(x) >= MARK, bit(kind(x) - MARK)).otherwise(zero)
     order = F.transform(
         "h",
-        lambda x: F.get(counts, x.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).bitwiseOR(x.bitwiseAND(F.lit((1 << 40) - 1))),
+        lambda x: F.shiftleft(F.get(counts, x.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long"), 40).bitwiseOR(
+            x.bitwiseAND(F.lit((1 << 40) - 1))
+        ),
     )
     head = F.slice(F.sort_array(order), 1, (prefix_size("size(h)") + BEYOND).cast("int"))
     return lines.select(
