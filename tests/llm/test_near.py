@@ -108,6 +108,39 @@ def test_posts_are_dealt_in_passes(spark):
     assert sorted((r.mark, r.w) for p in passes for r in p) == sorted((r.mark, r.w) for r in want)
 
 
+def test_filters_are_no_text_in_the_plan(spark):
+    """A filter passes all wanted keys and few others, and its bits don't stand in the plan, which the driver holds as text."""
+    df = spark.range(3000).withColumn("v", F.lit("x"))
+    kept = lines.sieve(df, ["id", "v"], df.where("id % 10 = 3"))
+    assert len(kept._jdf.queryExecution().toString()) < 20_000
+    got = {r.id for r in kept.collect()}
+    assert got >= set(range(3, 3000, 10)) and len(got) < 400
+
+
+def test_open_sets_go_without_their_lines(spark, monkeypatch):
+    """What is dealt for the join has no line of a set, and only lines that go are gathered by document."""
+    seen, write = {}, lines.step
+    monkeypatch.setattr(lines, "step", lambda df, name: seen.setdefault(name, write(df, name)))
+    rows = [(i, f"a{i} b{i} c{i} d{i} e{i} f{i}\nsame line in each of them") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = {r.id: list(r.removed) for r in lines.removals(df).collect()}
+    assert gone == {i: [1] for i in range(1, 9)}
+    assert set(seen["open-sets"].columns) == {"mark", "more", "n", "head", "late"}
+
+
+def test_fine_marks_bound_the_words_apart(spark):
+    """The bits that the marks of long sets differ in, halves of classes told apart, are no more than the words."""
+    words = [f"w{k}" for k in range(300)]
+    rows = [(i, " ".join(words[i : i + 150 - i % 7])) for i in range(0, 120, 6)]
+    found = lines.sets(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()
+    texts = {i: set(t.split()) for i, t in rows}
+    for a in found:
+        for b in found:
+            apart, finer = a.mark ^ b.mark, a.more ^ b.more
+            bits = ((apart ^ finer) & (1 << 64) - 1).bit_count() + finer.bit_count()
+            assert bits <= len(texts[a.id] ^ texts[b.id])
+
+
 def test_long_lines_meet_on_the_word_alone(spark):
     words = [f"t{k}" for k in range(5000)]
     rows = [(1, " ".join(words)), (2, " ".join(words[:4200])), (3, " ".join(words[:3900]))]
